@@ -6,17 +6,20 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Instants are stored in UTC; casts must fail loudly (a bad number fails the
 # batch, it does not become null); a table rewrite touches only the partitions
-# present in the written data.
+# present in the written data. The wide feed projections compile to methods above
+# the size the JVM's own compiler accepts (8000 bytes); past that limit Spark
+# should split them rather than run them interpreted.
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -50,10 +53,14 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint: the result is written to the shared folder, so a
-    lost executor costs a re-read, not a recomputation that might differ."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def staged(rows: DataFrame, label: str = "stage") -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For rows that several branches of a plan read: they are computed once, each
+    branch scans only its columns, and a lost executor costs a re-read. The
+    folder may be removed when the job is over.
+    """
+    spark = rows.sparkSession
+    folder = new_run_dir(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)

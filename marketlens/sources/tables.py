@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketlens import schemas
 from marketlens.operators.merge import latest_per_key, merge_rows
-from marketlens.session import cut_lineage
+from marketlens.session import staged
 
 BUCKET = "key_bucket"
 DEFAULT_BUCKETS = 64
@@ -55,7 +55,7 @@ def upsert_table(
     columns = [c for c in batch.columns if c not in arrival or c in keys]
     latest = latest_per_key(batch, keys, arrival).select(*columns)
     # Read several times below and must not change between the reads.
-    latest = cut_lineage(latest.withColumn(BUCKET, key_bucket(keys, buckets)))
+    latest = staged(latest.withColumn(BUCKET, key_bucket(keys, buckets)))
     merged = latest
     if exists(spark, path):
         # The partition list is at most accounts x buckets rows, so the planner

@@ -21,7 +21,7 @@ from marketlens import schemas
 from marketlens.functions.dates import feed_instant
 from marketlens.operators import cursor, normalize
 from marketlens.operators.merge import latest_per_key
-from marketlens.session import cut_lineage
+from marketlens.session import staged
 from marketlens.sources.tables import DEFAULT_BUCKETS, exists, upsert_table
 
 _CURSOR_SCHEMA = (
@@ -72,7 +72,7 @@ def load_batch(
         "row_at",
         "row_key",
     )
-    kept = cut_lineage(kept)
+    kept = staged(kept)
     upsert_table(
         to_table(kept, keep=_ARRIVAL), table_path, schemas.KEYS[api_type], _ARRIVAL, buckets
     )

@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns(naive) if naive else rows
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a file too small to split, over all cores: parsing is the cost
+    here. Real feeds land as many files and are left as they are."""
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots)
+
+
 def project(rows: DataFrame, mapping: Mapping, *keep: str) -> DataFrame:
     return rows.selectExpr(*[f"{expr} as {name}" for name, expr in mapping], *keep)
 
@@ -197,6 +204,8 @@ def _iso(column: str) -> str:
 def _landed(rows: DataFrame, mapping: Mapping, feed: str, *keep: str) -> DataFrame:
     """Build each feed object as JSON text, then parse it as a landed line is."""
     fields = ", ".join(f"'{name}', {expr}" for name, expr in mapping)
+    if not rows.isStreaming:
+        rows = spread(rows)
     text = rows.selectExpr(*keep, f"to_json(named_struct({fields})) as payload")
     return text.select(*[k.split(" as ")[-1] for k in keep], parse_payload(F.col("payload"), feed).alias("o")).select(
         *[k.split(" as ")[-1] for k in keep], "o.*"
@@ -261,7 +270,7 @@ def sale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def settlement_feed(spark: SparkSession, sf_dir: str, period: str = "week") -> DataFrame:
     """Settlement lines as landed: keys repeat, blanks are blanks."""
-    source = table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE)
+    source = spread(table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE))
     typed = project(_with_orders(spark, sf_dir, source), line_mapping(period), *LINE_ARRIVAL)
     words = {name: name.split("_") for name, _ in line_mapping(period)}
     camel = {n: w[0] + "".join(p.capitalize() for p in w[1:]) for n, w in words.items()}

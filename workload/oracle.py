@@ -1107,22 +1107,22 @@ _EVENTS = f"""log as (
 
 
 def _last_of(kinds: str, value: str) -> str:
-    return f"(max_by({value}, row(at, seq)) filter (kind in ({kinds})))"
+    return f'(max_by({value}, row("at", seq)) filter (kind in ({kinds})))'
 
 
 _STATE = f"""state as (
     select account_id, api_type,
         {_last_of("'checkpoint', 'success'", "{'v': cursor_timestamp}")}.v as cursor_timestamp,
         {_last_of("'checkpoint', 'success'", "{'v': cursor_key}")}.v as cursor_key,
-        max(at) filter (kind = 'started') as last_started_at,
-        max(at) filter (kind in ('success', 'error', 'interrupted')) as last_finished_at,
-        max(at) filter (kind = 'success') as last_success_at,
-        {_last_of("'success', 'error', 'interrupted'", "{'v': case when kind <> 'success' then at end}")}.v as last_error_at,
+        max("at") filter (kind = 'started') as last_started_at,
+        max("at") filter (kind in ('success', 'error', 'interrupted')) as last_finished_at,
+        max("at") filter (kind = 'success') as last_success_at,
+        {_last_of("'success', 'error', 'interrupted'", "{'v': case when kind <> 'success' then l.at end}")}.v as last_error_at,
         {_last_of("'success', 'error', 'interrupted'", "{'v': message}")}.v as last_error_message,
-        max(at) as heartbeat_at, max_by(run_id, row(at, seq)) as run_id,
-        case max_by(kind, row(at, seq)) when 'success' then 'idle' when 'error' then 'error'
+        max("at") as heartbeat_at, max_by(run_id, row("at", seq)) as run_id,
+        case max_by(kind, row("at", seq)) when 'success' then 'idle' when 'error' then 'error'
             when 'interrupted' then 'stopped' else 'running' end as status
-    from log group by all)"""
+    from log l group by all)"""
 _STATE_TIMES = "cursor_timestamp last_started_at last_finished_at last_success_at last_error_at heartbeat_at"
 add(
     "state_from_events",
