@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.schemas import RUN_EVENTS
+
 FEED = ["account_id", "api_type"]
 
 # Fixed value: longest error message kept.
@@ -62,6 +64,18 @@ def feed_state(state: DataFrame, account_id: int, api_type: str) -> DataFrame:
     return state.filter((F.col("account_id") == account_id) & (F.col("api_type") == api_type))
 
 
+def run_event(
+    spark: SparkSession, account_id: int, api_type: str, run_id: str, kind: str, at, seq: int, **details
+) -> DataFrame:
+    """One row to append to the run-event log. ``details``: rows_written,
+    cursor_timestamp, cursor_key, message."""
+    row = {
+        "account_id": account_id, "api_type": api_type, "run_id": run_id,
+        "kind": kind, "at": at, "seq": seq, **details,
+    }
+    return spark.createDataFrame([tuple(row.get(n) for n in RUN_EVENTS.names)], RUN_EVENTS)
+
+
 def _order() -> list[Column]:
     return [F.col("at"), F.col("seq")]
 

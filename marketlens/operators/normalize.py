@@ -157,8 +157,7 @@ def normalize_supplies(payloads: DataFrame, keep=(), now: Column | None = None)
 
 def normalize_supply_details(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
     """Supply details; an absent or empty details object gives no row."""
-    filled = payloads.filter(F.coalesce(F.to_json("details"), F.lit("{}")) != "{}")
-    return filled.select(
+    return payloads.filter(_has_detail()).select(
         *_IDENTITY,
         *_columns(schemas.SUPPLY_DETAIL, "details."),
         _raw(schemas.SUPPLY_DETAIL, "details."),
@@ -178,9 +177,39 @@ def normalize_supply_goods(payloads: DataFrame, keep=(), now: Column | None = No
     )
 
 
+def _has_detail() -> Column:
+    """The details object is there and not empty."""
+    return F.coalesce(F.to_json("details"), F.lit("{}")) != "{}"
+
+
+def _has_code(package: Column) -> Column:
+    return _is_filled(package.getField("packageCode"))
+
+
+def _has_barcode(item: Column) -> Column:
+    return _is_filled(item.getField("barcode"))
+
+
+def records_in(payload_rows: DataFrame) -> DataFrame:
+    """Add ``records``: how many table rows of all five kinds a payload gives."""
+    goods = F.filter("goods", lambda good: good.isNotNull())
+    packages = F.coalesce(F.filter("packages", _has_code), F.array())
+    items = F.transform(
+        packages, lambda p: F.coalesce(F.size(F.filter(p.getField("barcodes"), _has_barcode)), F.lit(0))
+    )
+    return payload_rows.withColumn(
+        "records",
+        1
+        + F.when(_has_detail(), 1).otherwise(0)
+        + F.coalesce(F.size(goods), F.lit(0))
+        + F.size(packages)
+        + F.aggregate(items, F.lit(0), lambda total, n: total + n),
+    )
+
+
 def _packages(payloads: DataFrame) -> DataFrame:
     packed = payloads.select("*", F.posexplode("packages").alias("package_position", "package"))
-    return packed.filter(_is_filled(F.col("package.packageCode")))
+    return packed.filter(_has_code(F.col("package")))
 
 
 def normalize_supply_packages(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
@@ -205,7 +234,7 @@ def normalize_package_barcodes(
     items = _packages(payloads).select(
         "*", F.posexplode("package.barcodes").alias("barcode_position", "item")
     )
-    return items.filter(_is_filled(F.col("item.barcode"))).select(
+    return items.filter(_has_barcode(F.col("item"))).select(
         "account_id",
         "supply_key",
         "supply_id",

@@ -124,6 +124,39 @@ def _unless(blank: Column, value: Column, default) -> Column:
     return F.when(blank, F.lit(default)).otherwise(value)
 
 
+# Rows without a vendor code look up no cost. They may be a large share of all
+# rows, so the join spreads them over this many keys that match nothing.
+_BLANK_SPREAD = 1009
+
+
+def _with_unit_cost(
+    rows: DataFrame, vendor: Column, current_costs: DataFrame, row_key: list[str]
+) -> DataFrame:
+    """Add unit_cost: 0 without a vendor code, the current cost, or the value
+    that stands for a cost nobody has entered."""
+    spread = 1 + F.pmod(F.xxhash64(*row_key), F.lit(_BLANK_SPREAD))
+    keyed = rows.withColumns(
+        {
+            "_vendor": vendor,
+            "_spread": F.when(vendor.isNull(), spread).otherwise(F.lit(0)).cast("bigint"),
+        }
+    )
+    costs = current_costs.select(
+        "account_id",
+        F.col("vendor_code").alias("_vendor"),
+        F.lit(0).cast("bigint").alias("_spread"),
+        F.col("cost").alias("_cost"),
+    )
+    unit_cost = F.when(F.col("_vendor").isNull(), F.lit(0)).otherwise(
+        F.coalesce("_cost", F.lit(op.UNKNOWN_COST))
+    )
+    return (
+        keyed.join(costs, ["account_id", "_vendor", "_spread"], "left")
+        .withColumn("unit_cost", unit_cost.cast("decimal(18,6)"))
+        .drop("_vendor", "_spread", "_cost")
+    )
+
+
 def settlement_by_sku(
     lines: DataFrame, accounts: DataFrame, current_costs: DataFrame
 ) -> DataFrame:
@@ -147,52 +180,28 @@ def settlement_by_sku(
             **{n: _unless(blank_sku, F.col(n), op.NOT_AVAILABLE) for n in _ATTRIBUTES},
         }
     )
-    costs = current_costs.select("account_id", "vendor_code", F.col("cost").alias("unit_cost"))
-    known = F.coalesce("unit_cost", F.lit(op.UNKNOWN_COST).cast("decimal(18,6)"))
-    cost = F.when(F.col("vendor_code") == op.NOT_AVAILABLE, F.lit(0)).otherwise(
-        known * F.col("quantity")
-    )
+    vendor = F.nullif(F.col("vendor_code"), F.lit(op.NOT_AVAILABLE))
     priced = (
-        described.join(costs, ["account_id", "vendor_code"], "left")
-        .withColumn("cost", _money(cost))
+        _with_unit_cost(described, vendor, current_costs, ["report_id", "sku", "currency"])
+        .withColumn("cost", _money(F.col("unit_cost") * F.col("quantity")))
         .drop("unit_cost")
         .withColumn("profit", _money(F.col("total_to_pay") - F.col("cost")))
     )
     return _with_account(priced, accounts)
 
 
-# Lines without a vendor code look up no cost. They may be a large share of the
-# table, so the lookup spreads them over this many partitions of the join.
-_BLANK_SPREAD = 1009
-
-
 def settlement_enriched(lines: DataFrame, current_costs: DataFrame) -> DataFrame:
     """Every line with unit_cost, cost, total_to_pay and profit.
 
     Today's open cost is used, not the cost at the time of the sale.
     """
     vendor = blank_to_null(F.col("vendor_code"))
-    spread = F.when(vendor.isNull(), 1 + F.pmod(F.xxhash64("report_id", "rrd_id"), F.lit(_BLANK_SPREAD)))
-    keyed = lines.withColumns(
-        {"_vendor": vendor, "_spread": F.coalesce(spread, F.lit(0)).cast("bigint")}
-    )
-    costs = current_costs.select(
-        "account_id",
-        F.col("vendor_code").alias("_vendor"),
-        F.lit(0).cast("bigint").alias("_spread"),
-        F.col("cost").alias("_cost"),
-    )
-    unit_cost = F.when(F.col("_vendor").isNull(), F.lit(0)).otherwise(
-        F.coalesce("_cost", F.lit(op.UNKNOWN_COST))
-    )
     sold = signed(F.col("quantity"), op.TURNOVER_SIGNS)
     return (
-        keyed.join(costs, ["account_id", "_vendor", "_spread"], "left")
-        .withColumn("unit_cost", unit_cost.cast("decimal(18,6)"))
+        _with_unit_cost(lines, vendor, current_costs, ["report_id", "rrd_id"])
         .withColumn("cost", _money(sold * F.col("unit_cost")))
         .withColumn("total_to_pay", _money(line_total_to_pay()))
         .withColumn("profit", _money(F.col("total_to_pay") - F.col("cost")))
-        .drop("_vendor", "_spread", "_cost")
     )
 
 

@@ -210,8 +210,23 @@ _SUPPLY_IDENTITY = [
 ]
 
 
-def _plain(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_NAMED = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+    "money": T.DecimalType(18, 6),
+    "price": T.DecimalType(18, 2),
+    "share": T.DecimalType(18, 4),
+}
+
+
+def _plain(columns: str) -> T.StructType:
+    """``"id bigint, cost money"`` as a schema; needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _NAMED[kind]) for name, kind in pairs])
 
 
 ORDERS_TABLE = T.StructType([_ACCOUNT, _RECORD, *ORDERS.stored(), _UPDATED])
@@ -263,7 +278,7 @@ RUN_EVENTS = _plain(
     "rows_written int, cursor_timestamp timestamp, cursor_key string, message string"
 )
 COST_PRICES = _plain(
-    "id bigint, account_id bigint, vendor_code string, cost decimal(18,6), "
+    "id bigint, account_id bigint, vendor_code string, cost money, "
     "valid_from timestamp, valid_to timestamp, created_at timestamp, updated_at timestamp"
 )
 ARTICLE_FACTS = _plain(
@@ -271,11 +286,11 @@ ARTICLE_FACTS = _plain(
     "nm_id bigint, brand_name string, vendor_code string, title string, tech_size string, "
     "buyout_basis_units bigint, ordered_units bigint, logistics_basis_units bigint, "
     "buyout_units bigint, returned_units bigint, no_final_status_units bigint, "
-    "buyout_ratio_sum decimal(18,6), buyout_ratio_avg decimal(18,4), buyout_percent decimal(18,2), "
-    "delivery_iterations decimal(18,6), return_iterations decimal(18,6), "
-    "logistics_iterations decimal(18,6), logistics_cost_units bigint, "
-    "delivery_runs decimal(18,6), return_runs decimal(18,6), logistics_runs decimal(18,6), "
-    "logistics_cost_total decimal(18,6), avg_logistics_cost decimal(18,2)"
+    "buyout_ratio_sum money, buyout_ratio_avg share, buyout_percent price, "
+    "delivery_iterations money, return_iterations money, "
+    "logistics_iterations money, logistics_cost_units bigint, "
+    "delivery_runs money, return_runs money, logistics_runs money, "
+    "logistics_cost_total money, avg_logistics_cost price"
 )
 PRICE_SOURCES = _plain(
     "id bigint, source_code string, source_name string, url string, source_type string, "
@@ -294,8 +309,8 @@ PRICE_SOURCE_RUNS = _plain(
 PRICE_SNAPSHOTS = _plain(
     "id bigint, source_id bigint, source_code string, observed_at timestamp, "
     "requested_url string, final_url string, page_title string, item_key string, "
-    "item_name string, price decimal(18,2), wallet_price decimal(18,2), "
-    "old_price decimal(18,2), currency string, availability string, html_sha256 string, "
+    "item_name string, price price, wallet_price price, "
+    "old_price price, currency string, availability string, html_sha256 string, "
     "raw_payload string, created_at timestamp"
 )
 

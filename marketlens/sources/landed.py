@@ -31,19 +31,16 @@ FEEDS = {
 # Supply states the supplies feed asks for.
 SUPPLY_STATUSES = (1, 2, 3, 4, 5, 6)
 
-# Per-item responses carry no id of their own; the landing job writes the id
-# the response was requested for next to the payload.
-_REQUESTED_FOR = {
-    "supply_details": "supply_key string",
-    "supply_goods": "supply_key string",
-    "supply_packages": "supply_key string",
-}
+# What the landing job writes next to the source's own fields. Responses for one
+# supply carry no id, so they are landed with the key they were requested for.
+_ARRIVAL = [T.StructField(n, T.LongType()) for n in ("account_id", "page", "position")]
+_REQUESTED_FOR = [T.StructField("supply_key", T.StringType())]
+_PER_SUPPLY = ("supply_details", "supply_goods", "supply_packages")
 
 
 def landed_schema(feed: str) -> T.StructType:
-    extra = T.StructType.fromDDL("account_id bigint, page bigint, position bigint")
-    keyed = T.StructType.fromDDL(_REQUESTED_FOR[feed]) if feed in _REQUESTED_FOR else T.StructType()
-    return T.StructType(extra.fields + keyed.fields + FEEDS[feed].fields)
+    keyed = _REQUESTED_FOR if feed in _PER_SUPPLY else []
+    return T.StructType(_ARRIVAL + keyed + FEEDS[feed].fields)
 
 
 def read_feed(spark: SparkSession, folder: str, feed: str) -> DataFrame:

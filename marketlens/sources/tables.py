@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import schemas
-from marketlens.operators.merge import latest_per_key, merge_rows
+from marketlens.operators.merge import latest_per_key, merge_rows, replace_children
 from marketlens.session import staged
 
 BUCKET = "key_bucket"
@@ -22,13 +22,31 @@ def key_bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of ``path``: works for every file system Spark writes to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, target = _files(spark, path)
     return files.exists(target) and len(files.listStatus(target)) > 0
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path`` whose write was committed."""
+    files, target = _files(spark, path)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return [n for n in names if files.exists(_files(spark, f"{path}/{n}/_SUCCESS")[1])]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _files(spark, path)
+    files.delete(target, True)
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A stored table; an absent one reads as empty."""
     schema = schemas.TABLES[name]
@@ -58,13 +76,14 @@ def upsert_table(
     latest = staged(latest.withColumn(BUCKET, key_bucket(keys, buckets)))
     merged = latest
     if exists(spark, path):
-        # The partition list is at most accounts x buckets rows, so the planner
-        # broadcasts it and prunes the folder listing with it.
-        touched = latest.select("account_id", BUCKET).distinct()
+        # At most accounts x buckets rows. The always-true filter is what makes
+        # the planner prune the stored partitions with this list at run time.
+        touched = latest.select("account_id", BUCKET).distinct().filter(F.col(BUCKET) >= 0)
         stored = spark.read.parquet(path).join(touched, ["account_id", BUCKET], "left_semi")
         merged = merge_rows(stored.select(*latest.columns), latest, keys)
+    # Rebalancing groups rows by partition and splits the groups that are large.
     (
-        merged.repartition("account_id", BUCKET)
+        merged.hint("rebalance", "account_id", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("account_id", BUCKET)
@@ -72,30 +91,61 @@ def upsert_table(
     )
 
 
-def replace_accounts(
-    spark: SparkSession, rows: DataFrame, loaded_accounts: list[int], path: str
+def _rewrite(rows: DataFrame, touched: DataFrame, path: str) -> None:
+    """Make ``rows`` the whole content of the ``touched`` partitions.
+
+    Dynamic overwrite leaves a partition alone that has no new rows, so those
+    that end up empty are removed afterwards.
+    """
+    spark, partition = rows.sparkSession, touched.columns
+    rows = staged(rows, "rewrite")
+    (
+        rows.hint("rebalance", *partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition)
+        .parquet(path)
+    )
+    emptied = touched.join(rows.select(*partition).distinct(), partition, "left_anti")
+    # One row per emptied partition: a list of folders, never of data.
+    for row in emptied.collect():
+        remove(spark, path + "".join(f"/{name}={row[name]}" for name in partition))
+
+
+def replace_accounts(rows: DataFrame, loaded: DataFrame, path: str) -> None:
+    """Replace the whole snapshot of every loaded account, also by nothing."""
+    _rewrite(rows, loaded.select("account_id").distinct(), path)
+
+
+def replace_details(
+    rows: DataFrame,
+    parents: DataFrame,
+    path: str,
+    parent_keys: list[str],
+    buckets: int = DEFAULT_BUCKETS,
 ) -> None:
-    """Replace the whole snapshot of the loaded accounts, also by nothing.
+    """Replace the detail rows of every parent in ``parents``, also by nothing.
 
-    Dynamic overwrite leaves a partition without new rows alone, so the folder
-    of every loaded account that brought no rows is removed afterwards.
+    Details lie in their parent's bucket, so only touched buckets are read.
     """
+    spark = rows.sparkSession
+    bucket = key_bucket(parent_keys, buckets)
+    parents = staged(parents.select(*parent_keys).distinct(), "parents")
+    touched = parents.withColumn(BUCKET, bucket).select("account_id", BUCKET).distinct()
+    merged = rows.withColumn(BUCKET, bucket)
+    if exists(spark, path):
+        pruning = touched.filter(F.col(BUCKET) >= 0)
+        stored = spark.read.parquet(path).join(pruning, ["account_id", BUCKET], "left_semi")
+        merged = replace_children(stored.select(*merged.columns), merged, parents, parent_keys)
+    _rewrite(merged, touched, path)
+
+
+def write_groups(rows: DataFrame, path: str, partition: list[str]) -> None:
+    """Write whole partitions; a repeat after a crash replaces what it left."""
     (
-        rows.repartition("account_id", F.pmod(F.xxhash64(*rows.columns), F.lit(8)))
+        rows.hint("rebalance", *partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("account_id")
+        .partitionBy(*partition)
         .parquet(path)
     )
-    # One row per loaded account at most.
-    filled = {row[0] for row in rows.select("account_id").distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    for account in loaded_accounts:
-        if account not in filled:
-            target = jvm.org.apache.hadoop.fs.Path(f"{path}/account_id={account}")
-            files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            files.delete(target, True)
-
-
-def append_partition(rows: DataFrame, path: str, partition: str) -> None:
-    rows.repartition(partition, "account_id").write.mode("append").partitionBy(partition).parquet(path)

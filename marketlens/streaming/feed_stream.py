@@ -20,14 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlens import schemas
 from marketlens.functions.dates import feed_instant
 from marketlens.operators import cursor, normalize
-from marketlens.operators.merge import latest_per_key
 from marketlens.session import staged
-from marketlens.sources.tables import DEFAULT_BUCKETS, exists, upsert_table
+from marketlens.sources.tables import DEFAULT_BUCKETS, finished_folders, upsert_table
 
 _CURSOR_SCHEMA = (
-    "account_id bigint, api_type string, cursor_timestamp timestamp, cursor_key string, "
-    "batch_id bigint"
+    "account_id bigint, api_type string, cursor_timestamp timestamp, cursor_key string"
 )
+_BATCH = "batch="
 _FEEDS = {
     "orders": (normalize.normalize_orders, normalize.order_key),
     "sales": (normalize.normalize_sales, normalize.sale_key),
@@ -35,12 +34,20 @@ _FEEDS = {
 _ARRIVAL = ["page", "position"]
 
 
-def read_cursors(spark: SparkSession, path: str) -> DataFrame:
-    """Cursor of each feed: the one its latest batch left."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], _CURSOR_SCHEMA).drop("batch_id")
-    log = spark.read.schema(_CURSOR_SCHEMA).parquet(path)
-    return latest_per_key(log, cursor.FEED, ["batch_id"]).drop("batch_id")
+def read_cursors(
+    spark: SparkSession, path: str, before_batch: int | None = None
+) -> DataFrame:
+    """Cursor of each feed. Every batch leaves a folder with all of them, so only
+    the newest finished folder is read (older than ``before_batch``, if given)."""
+    numbers = [
+        int(name.removeprefix(_BATCH))
+        for name in finished_folders(spark, path)
+        if name.startswith(_BATCH)
+    ]
+    usable = [n for n in numbers if before_batch is None or n < before_batch]
+    if not usable:
+        return spark.createDataFrame([], _CURSOR_SCHEMA)
+    return spark.read.schema(_CURSOR_SCHEMA).parquet(f"{path}/{_BATCH}{max(usable)}")
 
 
 def load_batch(
@@ -55,46 +62,28 @@ def load_batch(
     spark = rows.sparkSession
     to_table, key = _FEEDS[api_type]
     # Cursors this very batch wrote before a crash must not hide its rows.
-    log = spark.createDataFrame([], _CURSOR_SCHEMA)
-    if exists(spark, cursor_path):
-        log = spark.read.schema(_CURSOR_SCHEMA).parquet(cursor_path)
-    before = latest_per_key(log.filter(F.col("batch_id") < batch_id), cursor.FEED, ["batch_id"])
+    before = read_cursors(spark, cursor_path, batch_id)
     marked = rows.withColumns(
         {
             "api_type": F.lit(api_type),
-            "_at": feed_instant(F.col("lastChangeDate")),
-            "_row_key": key(),
+            "row_at": feed_instant(F.col("lastChangeDate")),
+            "row_key": key(),
         }
     )
-    kept = cursor.rows_after_cursor(
-        marked.withColumnsRenamed({"_at": "row_at", "_row_key": "row_key"}),
-        before.drop("batch_id"),
-        "row_at",
-        "row_key",
-    )
-    kept = staged(kept)
+    kept = cursor.rows_after_cursor(marked, before, "row_at", "row_key")
+    kept = staged(kept, "feed-batch")
     upsert_table(
         to_table(kept, keep=_ARRIVAL), table_path, schemas.KEYS[api_type], _ARRIVAL, buckets
     )
-    feeds = before.drop("batch_id").unionByName(
-        kept.select(*cursor.FEED)
-        .distinct()
-        .join(before.select(*cursor.FEED), cursor.FEED, "left_anti")
-        .withColumns(
-            {
-                "cursor_timestamp": F.lit(None).cast("timestamp"),
-                "cursor_key": F.lit(None).cast("string"),
-            }
-        )
-    )
+    new_feeds = kept.select(*cursor.FEED).distinct().join(before, cursor.FEED, "left_anti")
+    feeds = before.unionByName(new_feeds, allowMissingColumns=True)
     moved = cursor.advance_cursor(feeds, kept, "row_at", "row_key")
     # One folder per batch: a repeated batch overwrites its own cursors only.
     (
         moved.select(*cursor.FEED, "cursor_timestamp", "cursor_key")
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .coalesce(1)
         .write.mode("overwrite")
-        .parquet(f"{cursor_path}/batch={batch_id}")
+        .parquet(f"{cursor_path}/{_BATCH}{batch_id}")
     )
 
 

@@ -1,0 +1,57 @@
+"""Small builders shared by the tests."""
+
+from __future__ import annotations
+
+from datetime import datetime, timezone
+from decimal import Decimal
+
+from pyspark.sql import types as T
+
+from marketlens.schemas import SETTLEMENT_TABLE
+
+LINE_DEFAULTS = {"account_id": 1, "report_id": 10, "currency": "RUB", "report_type": 1}
+
+
+def utc(text: str) -> datetime:
+    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
+
+
+def settlement(spark, rows: list[dict]):
+    """Settlement lines with the named fields; numbers become exact decimals."""
+    types = {f.name: f.dataType for f in SETTLEMENT_TABLE.fields}
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in SETTLEMENT_TABLE.fields])
+    data = []
+    for number, row in enumerate(rows, start=1):
+        full = {**LINE_DEFAULTS, "rrd_id": number, **row}
+        unknown = set(full) - set(types)
+        assert not unknown, unknown
+        data.append(
+            tuple(
+                Decimal(str(full[n]))
+                if isinstance(types[n], T.DecimalType) and full.get(n) is not None
+                else full.get(n)
+                for n in types
+            )
+        )
+    return spark.createDataFrame(data, schema)
+
+
+def accounts(spark, *ids: int):
+    rows = [(i, f"shop_{i}", f"Seller {i}") for i in ids or (1,)]
+    return spark.createDataFrame(rows, "id bigint, account_code string, account_name string")
+
+
+def costs(spark, rows: list[tuple]):
+    """(account_id, vendor_code, cost, valid_from, valid_to, id)"""
+    data = [(i, a, v, Decimal(str(c)), utc(f), t and utc(t)) for a, v, c, f, t, i in rows]
+    return spark.createDataFrame(
+        data,
+        "id bigint, account_id bigint, vendor_code string, cost decimal(18,6), "
+        "valid_from timestamp, valid_to timestamp",
+    )
+
+
+def one(rows):
+    collected = rows.collect()
+    assert len(collected) == 1, collected
+    return collected[0]

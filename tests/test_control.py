@@ -1,0 +1,151 @@
+from datetime import timedelta
+from random import Random
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens.operators import checks, control
+from marketlens.schemas import RUN_EVENTS, RUN_LEDGER
+from tests.helpers import utc
+
+START = utc("2026-05-01T00:00:00")
+KINDS = ["started", "checkpoint", "success", "error", "interrupted", "heartbeat"]
+
+
+def _replay(events):
+    """The updates an event makes to the state and the ledger, one by one."""
+    state, ledger = {}, {}
+    for e in sorted(events, key=lambda e: (e["at"], e["seq"])):
+        feed, kind, run = (e["account_id"], e["api_type"]), e["kind"], e["run_id"]
+        row = state.get(feed)
+        if row is None and kind in ("checkpoint", "heartbeat"):
+            pass
+        else:
+            row = state.setdefault(feed, dict.fromkeys(
+                ["ts", "key", "started", "finished", "success", "error", "message", "beat", "run", "status"]))
+            row["beat"], row["run"] = e["at"], run
+            if kind == "started":
+                row["started"], row["status"] = e["at"], "running"
+            elif kind == "checkpoint":
+                row.update(status="running", ts=e["cursor_timestamp"], key=e["cursor_key"])
+            elif kind == "success":
+                row.update(status="idle", ts=e["cursor_timestamp"], key=e["cursor_key"], finished=e["at"],
+                           success=e["at"], error=None, message=None)
+            elif kind in ("error", "interrupted"):
+                row.update(status="error" if kind == "error" else "stopped", finished=e["at"], error=e["at"],
+                           message=e["message"][:4000])
+        if kind == "started":
+            ledger[run] = {"started": e["at"], "finished": None, "status": "running", "rows": 0, "message": None}
+        elif run in ledger:
+            entry = ledger[run]
+            if kind == "success":
+                entry.update(finished=e["at"], status="success", rows=e["rows_written"])
+            elif kind == "error":
+                entry.update(finished=e["at"], status="error", message=e["message"][:4000])
+            elif kind == "interrupted" and entry["finished"] is None:
+                entry.update(finished=e["at"], status="stopped", message=e["message"][:4000])
+    return state, ledger
+
+
+def _random_events(seed):
+    rng, events, seq = Random(seed), [], 0
+    for n in range(60):
+        run = f"run-{seed}-{n}"
+        feed = {"account_id": rng.randint(1, 3), "api_type": rng.choice(["orders", "sales"])}
+        kinds = ["started"] * (rng.random() < 0.8)
+        kinds += [rng.choice(KINDS[1:]) for _ in range(rng.randint(0, 4))]
+        for kind in kinds:
+            seq += 1
+            at = START + timedelta(minutes=seq // 2)
+            events.append(
+                {**feed, "run_id": run, "seq": seq, "at": at, "kind": kind, "rows_written": seq,
+                 "cursor_timestamp": at if rng.random() < 0.7 else None,
+                 "cursor_key": f"k{seq}" if rng.random() < 0.7 else None,
+                 "message": rng.choice(["e", "m" * 5000])}
+            )
+    return events
+
+
+def _same_time(value):
+    return value and value.astimezone().timestamp()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_state_and_ledger_equal_a_replay(spark, seed):
+    events = _random_events(seed)
+    log = spark.createDataFrame([tuple(e[n] for n in RUN_EVENTS.names) for e in events], RUN_EVENTS)
+    state, ledger = _replay(events)
+
+    found = {(r.account_id, r.api_type): r for r in control.state_from_events(log).collect()}
+    assert set(found) == set(state)
+    for feed, row in state.items():
+        r = found[feed]
+        assert (r.cursor_key, r.last_error_message, r.run_id, r.status) == (
+            row["key"], row["message"], row["run"], row["status"],
+        )
+        times = [r.cursor_timestamp, r.last_started_at, r.last_finished_at, r.last_success_at, r.last_error_at, r.heartbeat_at]
+        names = ["ts", "started", "finished", "success", "error", "beat"]
+        assert [_same_time(t) for t in times] == [_same_time(row[n]) for n in names]
+
+    runs = {r.run_id: r for r in control.run_ledger(log).collect()}
+    assert set(runs) == set(ledger)
+    for run, row in ledger.items():
+        r = runs[run]
+        assert (r.status, r.rows_written, r.error_message) == (row["status"], row["rows"], row["message"])
+        assert (_same_time(r.started_at), _same_time(r.finished_at)) == (
+            _same_time(row["started"]), _same_time(row["finished"]),
+        )
+
+
+def test_run_event_row(spark):
+    row = control.run_event(spark, 1, "orders", "r", "success", START, 1, rows_written=3).first()
+    assert (row.kind, row.rows_written, row.message) == ("success", 3, None)
+
+
+def test_recent_runs(spark):
+    rows = [(n, 1, "orders", f"r{n}", START, None, "success", n, None) for n in range(30)]
+    found = control.recent_runs(spark.createDataFrame(rows, RUN_LEDGER)).collect()
+    assert [r.rows_written for r in found] == list(range(29, 9, -1))
+
+
+def test_feed_configs(spark):
+    accounts = spark.createDataFrame(
+        [(1, "a", "A", "T", True), (2, "b", "B", "T", False)],
+        "id bigint, account_code string, account_name string, token_env_var string, enabled boolean",
+    )
+    configs = spark.createDataFrame(
+        [(10, 1, "sales", True), (11, 1, "orders", False), (12, 2, "orders", True), (13, 9, "orders", True)],
+        "id bigint, account_id bigint, api_type string, enabled boolean",
+    ).selectExpr("*", "1 schedule_seconds", "30 lookback_days", "80000 batch_limit", "1 revision")
+    found = control.feed_configs(configs, accounts).collect()
+    assert [(r.id, r.enabled) for r in found] == [(11, False), (10, True), (12, False)]
+    assert [r.id for r in control.feed_configs(configs, accounts, "orders", "b").collect()] == [12]
+
+
+def test_checks(spark):
+    rows = spark.createDataFrame(
+        [(1, "orders", 5), (1, "orders", 0), (2, "other", None), (7, None, 1)],
+        "account_id bigint, api_type string, n int",
+    )
+    accounts = spark.createDataFrame([(1,), (2,)], "id bigint")
+    report = checks.constraint_report(
+        [
+            checks.rule_violations(rows, "t", checks.api_type_rule() | checks.positive_rules(["n"])),
+            checks.rule_violations(rows, "t", checks.not_null_rules(["api_type"])),
+            checks.duplicate_keys(rows, "t", ["account_id", "api_type"]),
+            checks.orphans(rows, "t", accounts),
+        ]
+    )
+    assert {r.check_name: r.violations for r in report.collect()} == {
+        "api_type is known": 1, "n is positive": 1, "api_type is not null": 1, "key is unique": 1,
+        "account exists": 1,
+    }
+
+
+def test_required_columns_fail_the_batch(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "n bigint, s string")
+    assert checks.require_not_null(rows.filter("n = 1"), ["n", "s"]).dtypes == rows.dtypes
+    with pytest.raises(Exception, match="null in required column n"):
+        checks.require_not_null(rows, ["n"]).collect()
+    with pytest.raises(Exception, match="null in required column n"):
+        checks.require_not_null(rows, ["n"]).select(F.sum("n")).collect()

@@ -1,0 +1,128 @@
+from datetime import date, datetime, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens.functions.dates import (
+    feed_day_end,
+    feed_instant,
+    feed_midnight,
+    local_date,
+    request_text,
+    week_start,
+)
+from marketlens.functions.values import first_filled, snake_case, strip, to_decimal, to_int, to_long
+from tests.helpers import utc
+
+
+def _micros(spark, text, **options):
+    rows = spark.createDataFrame([(text,)], "t string")
+    return rows.select(F.unix_micros(feed_instant(F.col("t"), **options))).first()[0]
+
+
+def _expected(text):
+    moment = datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
+    return int((moment - datetime(1970, 1, 1, tzinfo=timezone.utc)).total_seconds()) * 1_000_000
+
+
+@pytest.mark.parametrize(
+    "text, instant",
+    [
+        ("2026-05-03T10:00:00", "2026-05-03T07:00:00"),
+        ("2026-05-03 10:00:00", "2026-05-03T07:00:00"),
+        ("2026-05-03", "2026-05-02T21:00:00"),
+        ("2026-05-03T10:00:00Z", "2026-05-03T10:00:00"),
+        ("2026-05-03T10:00:00+05:00", "2026-05-03T05:00:00"),
+        ("2026-05-03T10:00:00-02:30", "2026-05-03T12:30:00"),
+        # Fixed UTC+3, although the named zone was at UTC+4 then.
+        ("2012-07-01T00:00:00", "2012-06-30T21:00:00"),
+        # Year one cannot be moved back and stays where it is.
+        ("0001-01-01T00:00:00", "0001-01-01T00:00:00"),
+        ("0001-01-01", "0001-01-01T00:00:00"),
+        ("0001-01-01T02:59:59", "0001-01-01T02:59:59"),
+        ("0001-01-01T03:00:00", "0001-01-01T00:00:00"),
+        ("0001-01-01 05:00:00", "0001-01-01T02:00:00"),
+    ],
+)
+def test_feed_instant(spark, text, instant):
+    assert _micros(spark, text) == _expected(instant)
+
+
+def test_feed_instant_does_not_depend_on_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert _micros(spark, "2026-05-03T10:00:00") == _expected("2026-05-03T07:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_blank_date_is_null_or_fails(spark):
+    assert _micros(spark, "") is None
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        _micros(spark, "", blank_is_null=False)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        _micros(spark, "yesterday")
+
+
+def test_local_date_uses_the_named_zone(spark):
+    # Summer time in 1996 (UTC+4), none in 2026 (UTC+3), UTC+4 all year in 2012.
+    cases = [
+        ("1996-06-30T20:30:00", date(1996, 7, 1)),
+        ("1996-01-31T20:30:00", date(1996, 1, 31)),
+        ("2026-06-30T20:30:00", date(2026, 6, 30)),
+        ("2026-06-30T21:00:00", date(2026, 7, 1)),
+        ("2012-01-31T20:00:00", date(2012, 2, 1)),
+    ]
+    rows = spark.createDataFrame([(utc(t),) for t, _ in cases], "t timestamp")
+    assert [r[0] for r in rows.select(local_date(F.col("t"))).collect()] == [d for _, d in cases]
+
+
+def test_week_starts_on_monday(spark):
+    rows = spark.createDataFrame([(date(2026, 6, 7),), (date(2026, 6, 8),)], "d date")
+    found = [r[0] for r in rows.select(week_start(F.col("d"))).collect()]
+    assert found == [date(2026, 6, 1), date(2026, 6, 8)]
+
+
+def test_feed_days(spark):
+    rows = spark.createDataFrame([(utc("2026-05-03T22:00:00"),)], "t timestamp")
+    first, last, text = rows.select(
+        feed_midnight(F.col("t")).cast("string"),
+        feed_day_end(F.col("t")).cast("string"),
+        request_text(F.col("t")),
+    ).first()
+    assert (first, last) == ("2026-05-03 21:00:00", "2026-05-04 20:59:59")
+    assert text == "2026-05-03T22:00:00"
+
+
+def test_numbers(spark):
+    rows = spark.createDataFrame([("",), (None,), ("2.125",), ("-2.125",)], "t string")
+    found = [r[0] for r in rows.select(to_decimal(F.col("t"), 18, 2)).collect()]
+    assert found == [None, None, Decimal("2.13"), Decimal("-2.13")]
+    whole = spark.createDataFrame([("",), ("7",)], "t string")
+    assert [tuple(r) for r in whole.select(to_int(F.col("t")), to_long(F.col("t"))).collect()] == [
+        (None, None),
+        (7, 7),
+    ]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        spark.createDataFrame([("x",)], "t string").select(to_decimal(F.col("t"))).collect()
+
+
+def test_first_filled(spark):
+    rows = spark.createDataFrame([("", "b"), (None, ""), ("a", "b")], "x string, y string")
+    found = [r[0] for r in rows.select(first_filled(F.col("x"), F.col("y"))).collect()]
+    assert found == ["b", "None", "a"]
+
+
+def test_strip_takes_any_white_space(spark):
+    padded = ["  a b ", "\t\na ", " a", "　", ""]
+    rows = spark.createDataFrame([(p,) for p in padded], "t string")
+    assert [r[0] for r in rows.select(strip(F.col("t"))).collect()] == [p.strip() for p in padded]
+
+
+def test_snake_case():
+    names = {
+        "saleID": "sale_id", "gNumber": "g_number", "isKgvpV2": "is_kgvp_v2", "isB2b": "is_b2b",
+        "salePricePromocodeDiscountPrc": "sale_price_promocode_discount_prc", "srid": "srid",
+    }
+    assert {n: snake_case(n) for n in names} == names

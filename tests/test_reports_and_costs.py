@@ -1,0 +1,95 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from marketlens.functions.operations import UNKNOWN_COST
+from marketlens.operators.cost import missing_for_batch, missing_for_tables, spread_legacy
+from marketlens.operators.reports import existing_reports, hydrate_reports, load_order, missing_reports
+from tests.helpers import costs
+
+LISTED = "account_id bigint, reportId bigint, dateFrom string, dateTo string, createDate string"
+LINE = "account_id bigint, report_id bigint, rrd_id bigint"
+
+
+def test_missing_reports_in_listing_order(spark):
+    listed = spark.createDataFrame(
+        [
+            (1, 3, "2026-05-15", "2026-05-21", "2026-05-22"),
+            (1, 1, "2026-05-01", "2026-05-07", "2026-05-08"),
+            (1, 2, "2026-05-08", "2026-05-14", ""),  # falls back to dateTo
+            (1, 4, "2026-05-02", None, None),  # falls back to dateFrom
+            (1, None, "2026-05-01", None, None),
+        ],
+        LISTED,
+    )
+    stored = spark.createDataFrame([(1, 1, 5), (2, 2, 6)], LINE)
+    found = load_order(missing_reports(listed, stored)).collect()
+    assert [r.report_id for r in found] == [4, 2, 3]
+    wanted = spark.createDataFrame([(1, 1), (1, 2)], "account_id bigint, report_id bigint")
+    assert [tuple(r) for r in existing_reports(stored, wanted).collect()] == [(1, 1)]
+
+
+def _hydrate_by_hand(pages, full):
+    """Page by page, as lines come in."""
+    seen, out = set(), []
+    for number in sorted({p for *_, p in pages}):
+        rows = [r for r in pages if r[3] == number]
+        take = []
+        for report in dict.fromkeys(r[1] for r in rows if r[1] is not None):
+            if report in seen:
+                continue
+            seen.add(report)
+            whole = [r for r in full if r[1] == report]
+            take += whole or [r[:3] for r in rows if r[1] == report]
+        out += take or [r[:3] for r in rows]
+    return Counter(out)
+
+
+def test_hydrate_reports(spark):
+    pages = [
+        (1, 10, 1, 0), (1, 10, 2, 0), (1, 20, 3, 0), (1, None, 4, 0),
+        (1, 10, 5, 1), (1, 20, 6, 1),  # nothing decided here: stored as it is
+        (1, 20, 7, 2), (1, 30, 8, 2), (1, None, 9, 2),
+        (1, 40, 10, 3),
+    ]
+    full = [(1, 10, n) for n in (1, 2, 5, 90)] + [(1, 99, 1)]
+    found = hydrate_reports(
+        spark.createDataFrame(pages, LINE + ", page bigint"), spark.createDataFrame(full, LINE)
+    )
+    assert Counter(tuple(r) for r in found.collect()) == _hydrate_by_hand(pages, full)
+
+
+OPEN = [
+    (1, "A", 5, "2020-01-01", None, 1),
+    (1, "B", 5, "2020-01-01", "2021-01-01", 2),  # closed: counts as missing
+]
+
+
+def test_batch_codes_are_trimmed_and_stored_codes_are_not(spark):
+    batch = spark.createDataFrame(
+        [(1, " A "), (1, "B"), (1, "\tC"), (1, "C"), (1, " "), (1, ""), (1, None), (2, "A")],
+        "account_id bigint, vendor_code string",
+    )
+    now = F.current_timestamp()
+    added = missing_for_batch(batch, costs(spark, OPEN), now).collect()
+    assert sorted((r.account_id, r.vendor_code) for r in added) == [(1, "B"), (1, "C"), (2, "A")]
+    assert {int(r.cost) for r in added} == {UNKNOWN_COST}
+    filled = missing_for_tables([batch, batch], costs(spark, OPEN), now).collect()
+    assert sorted((r.account_id, r.vendor_code) for r in filled) == [
+        (1, "\tC"), (1, " "), (1, " A "), (1, "B"), (1, "C"), (2, "A"),
+    ]
+
+
+def test_legacy_costs_are_copied_to_the_accounts_that_use_them(spark):
+    legacy = costs(
+        spark,
+        [
+            (None, "A", 7, "2020-01-01", None, 1),
+            (None, "A", 8, "2020-01-01", None, 2),  # same start: the first counts
+            (None, "unused", 9, "2020-01-01", None, 3),
+            (1, "A", 5, "2020-01-01", None, 4),  # already owned
+        ],
+    )
+    used = spark.createDataFrame([(1, "A"), (2, "A"), (2, "")], "account_id bigint, vendor_code string")
+    found = spread_legacy(legacy, [used, used]).collect()
+    assert sorted((r.account_id, r.vendor_code, int(r.cost)) for r in found) == [(1, "A", 5), (2, "A", 7)]

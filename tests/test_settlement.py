@@ -1,0 +1,193 @@
+"""Settlement views: hand-made traps and the sums that must agree."""
+
+from datetime import date
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from marketlens.functions import operations as op
+from marketlens.operators.cost import current_costs
+from marketlens.plans.settlement import (
+    settlement_by_sku,
+    settlement_enriched,
+    settlement_summary,
+    sku_reference,
+)
+from tests.helpers import accounts, costs, one, settlement, utc
+from workload import fixtures as fx
+
+
+def _summary(spark, rows, **extra):
+    return one(settlement_summary(settlement(spark, rows), accounts(spark, 1)))
+
+
+def test_signs_of_each_operation(spark):
+    rows = [
+        {"seller_oper_name": op.SALE, "for_pay": 100, "retail_amount": 120},
+        {"seller_oper_name": op.RETURN, "for_pay": 10, "retail_amount": 20},
+        {"seller_oper_name": op.VOLUNTARY_RETURN_COMPENSATION, "for_pay": 1},
+        {"seller_oper_name": op.RETURNS_CORRECTION, "for_pay": 2},
+        {"seller_oper_name": op.SALES_CORRECTION, "for_pay": 4},
+        {"seller_oper_name": op.ACQUIRING_ADJUSTMENT, "for_pay": 8},
+        {"seller_oper_name": "other", "for_pay": 1000, "retail_amount": 1000},
+        {"seller_oper_name": None, "for_pay": 1000},
+    ]
+    row = _summary(spark, rows)
+    assert row.sale_amount == 100
+    assert row.to_transfer_for_goods == 100 - 10 + 1 + 2 - 4 + 8
+    assert row.total_to_pay == row.to_transfer_for_goods
+
+
+def test_charges_and_credits(spark):
+    row = _summary(
+        spark,
+        [
+            {"delivery_service": 1, "paid_storage": 2, "paid_acceptance": 4, "deduction": 8},
+            {"penalty": 16, "cashback_commission_change": 32, "cashback_amount": 64},
+            {"additional_payment": 128},
+        ],
+    )
+    assert row.total_to_pay == -1 - 2 - 4 - 8 - 16 - 32 + 64 + 128
+    assert (row.logistics_cost, row.storage_cost, row.acceptance_cost) == (1, 2, 4)
+    assert (row.other_deductions_payouts, row.penalties_total) == (8, 16)
+    assert (row.loyalty_points_withheld, row.reward_adjustment) == (32, 128)
+    assert row.loyalty_program_cost == 0
+
+
+def test_loyalty_discount_counts_only_beside_a_voluntary_compensation(spark):
+    loyal = {"seller_oper_name": op.LOYALTY_COMPENSATION, "cashback_discount": 7, "cashback_amount": 1}
+    voluntary = {"seller_oper_name": op.VOLUNTARY_RETURN_COMPENSATION}
+    assert _summary(spark, [loyal]).loyalty_discount_compensation == 1
+    assert _summary(spark, [loyal, voluntary]).loyalty_discount_compensation == 8
+    # All operations unknown: the condition is null, which means no.
+    unnamed = {"seller_oper_name": None, "cashback_discount": 7}
+    assert _summary(spark, [unnamed]).loyalty_discount_compensation == 0
+
+
+def test_discount_percent(spark):
+    sale = {"seller_oper_name": op.SALE, "retail_price": 300, "retail_price_with_disc": 200}
+    back = {"seller_oper_name": op.RETURN, "retail_price": 300, "retail_price_with_disc": 250}
+    assert _summary(spark, [sale]).agreed_discount_percent == Decimal("33.33")
+    assert _summary(spark, [sale, back]).agreed_discount_percent == 0
+    assert _summary(spark, [{"seller_oper_name": "other"}]).agreed_discount_percent == 0
+    third = {"seller_oper_name": op.SALE, "retail_price": 8, "retail_price_with_disc": "7.9996"}
+    assert _summary(spark, [third]).agreed_discount_percent == Decimal("0.01")  # 0.005 rounds up
+
+
+def test_days_and_labels(spark):
+    row = _summary(
+        spark,
+        [
+            # 20:30 UTC in the summer of 1996 is already the next local day.
+            {"date_from": utc("1996-06-30T20:30:00"), "date_to": utc("1996-07-07T20:30:00"),
+             "create_date": utc("1996-07-08T01:00:00"), "report_type": 1},
+            {"date_from": utc("1996-07-02T00:00:00"), "report_type": None},
+        ],
+    )
+    assert (row.period_from, row.period_to) == (date(1996, 7, 1), date(1996, 7, 8))
+    assert (row.week_start, row.report_created_date) == (date(1996, 7, 1), date(1996, 7, 8))
+    assert row.report_type_name == op.MAIN_REPORT
+    assert _summary(spark, [{"report_type": 2}]).report_type_name == "2"
+    assert _summary(spark, [{"report_type": None}]).report_type_name is None
+
+
+def test_groups_split_by_currency_and_drop_unknown_accounts(spark):
+    rows = [{"currency": "RUB"}, {"currency": "KZT"}, {"currency": None}, {"account_id": 9}]
+    found = settlement_summary(settlement(spark, rows), accounts(spark, 1))
+    assert sorted(str(r.currency) for r in found.collect()) == ["KZT", "None", "RUB"]
+
+
+COSTS = [
+    (1, "A", 10, "2020-01-01", None, 1),
+    (1, "A", 11, "2021-01-01", None, 2),
+    (1, "A", 99, "2022-01-01", "2023-01-01", 3),  # closed
+    (2, "A", 77, "2021-01-01", None, 4),
+]
+
+
+def test_current_cost_is_the_open_one_that_started_last(spark):
+    rows = current_costs(costs(spark, COSTS)).select("account_id", "cost").collect()
+    assert sorted((r.account_id, int(r.cost)) for r in rows) == [(1, 11), (2, 77)]
+
+
+def test_by_sku_attributes_cost_and_profit(spark):
+    sold = {"seller_oper_name": op.SALE, "for_pay": 100}
+    rows = [
+        {**sold, "sku": "S", "quantity": 3, "vendor_code": "A", "brand_name": "", "nm_id": 5},
+        {"sku": "S", "quantity": 1, "vendor_code": "", "brand_name": "Z",
+         "seller_oper_name": op.RETURN, "for_pay": 10},
+        {**sold, "sku": "", "quantity": 1, "vendor_code": "A", "brand_name": "Z", "nm_id": 5},
+        {**sold, "sku": None, "quantity": 1, "vendor_code": "B", "brand_name": "Y", "nm_id": 6},
+    ]
+    found = settlement_by_sku(
+        settlement(spark, rows), accounts(spark, 1), current_costs(costs(spark, COSTS))
+    )
+    by_sku = {r.sku: r for r in found.collect()}
+    known = by_sku["S"]
+    assert (known.nm_id, known.brand_name, known.vendor_code, known.quantity) == (5, "Z", "A", 2)
+    assert (known.cost, known.profit) == (22, 100 - 10 - 22)
+    blank = by_sku[""]
+    assert (blank.nm_id, blank.brand_name, blank.vendor_code, blank.cost) == (0, "N/A", "N/A", 0)
+    # A null SKU is not a blank one: attributes stay, and its cost is unknown.
+    missing = by_sku[None]
+    assert (missing.nm_id, missing.brand_name, missing.vendor_code) == (6, "Y", "B")
+    assert missing.cost == op.UNKNOWN_COST
+
+
+def test_enriched_lines(spark):
+    rows = [
+        {"seller_oper_name": op.SALE, "quantity": 2, "vendor_code": "A", "for_pay": 50},
+        {"seller_oper_name": op.RETURN, "quantity": 1, "vendor_code": "A", "for_pay": 5, "penalty": 1},
+        {"seller_oper_name": "other", "quantity": 4, "vendor_code": "A", "for_pay": 9},
+        {"seller_oper_name": op.SALE, "quantity": 1, "vendor_code": ""},
+        {"seller_oper_name": op.SALE, "quantity": 1, "vendor_code": None},
+        {"seller_oper_name": op.SALE, "quantity": None, "vendor_code": "new"},
+        {"seller_oper_name": op.SALE, "quantity": 1, "vendor_code": " A "},  # not trimmed
+    ]
+    found = settlement_enriched(settlement(spark, rows), current_costs(costs(spark, COSTS)))
+    got = [
+        (int(r.unit_cost), int(r.cost), int(r.total_to_pay), int(r.profit))
+        for r in found.orderBy("rrd_id").collect()
+    ]
+    unknown = op.UNKNOWN_COST
+    assert got == [
+        (11, 22, 50, 28),
+        (11, -11, -6, 5),
+        (11, 0, 0, 0),
+        (0, 0, 0, 0),
+        (0, 0, 0, 0),
+        (unknown, 0, 0, 0),
+        (unknown, unknown, 0, -unknown),
+    ]
+    assert "restored_kiz" not in found.columns and "raw_payload" in found.columns
+
+
+def test_sku_reference_merges_null_and_blank(spark):
+    rows = [
+        {"sku": "", "brand_name": "Z", "nm_id": 3},
+        {"sku": None, "brand_name": "Y"},
+        {"sku": "S", "brand_name": "B", "title": "", "account_id": 1},
+        {"sku": "S", "brand_name": "C", "nm_id": 4, "account_id": 2},
+    ]
+    found = {r.sku: r for r in sku_reference(settlement(spark, rows)).collect()}
+    assert set(found) == {"N/A", "S"}
+    assert (found["N/A"].nm_id, found["N/A"].brand_name) == (0, "N/A")
+    assert (found["S"].nm_id, found["S"].brand_name, found["S"].title) == (4, "C", "N/A")
+
+
+def test_totals_agree_between_lines_skus_and_reports(spark, sf_dir):
+    lines = fx.settlement_lines(spark, sf_dir).cache()
+    sellers, prices = fx.accounts(spark, sf_dir), current_costs(fx.costs(spark, sf_dir))
+    group = ["account_id", "report_id", "currency"]
+
+    def totals(rows, *measures):
+        summed = rows.groupBy(*group).agg(*[F.sum(m).alias(m) for m in measures])
+        return {tuple(r)[:3]: tuple(r)[3:] for r in summed.collect()}
+
+    report = settlement_summary(lines, sellers)
+    by_sku = settlement_by_sku(lines, sellers, prices)
+    enriched = settlement_enriched(lines, prices)
+    assert totals(report, "total_to_pay") == totals(enriched, "total_to_pay")
+    both = ("total_to_pay", "sale_amount", "to_transfer_for_goods", "logistics_cost")
+    assert totals(report, *both) == totals(by_sku, *both)
+    lines.unpersist()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,17 @@ from workload import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
-NOW = F.lit("2026-06-01 12:00:00").cast("timestamp")
-FACT_DAY = F.lit("2026-06-01").cast("date")
+
+
+def at(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
+
+
+def fact_day() -> Column:
+    return F.lit("2026-06-01").cast("date")
+
+
+NOW = "2026-06-01 12:00:00"
 DAILY, WEEKLY = "day", "week"
 
 
@@ -143,7 +152,7 @@ def unit_buyout(spark, sf_dir):
 
 def _facts(fan_out: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.settlement_lines(spark, sf_dir, DAILY)
-    return facts.article_facts(lines, fx.accounts(spark, sf_dir), FACT_DAY, fan_out)
+    return facts.article_facts(lines, fx.accounts(spark, sf_dir), fact_day(), fan_out)
 
 
 query("article_facts")(partial(_facts, "articles_squared"))
@@ -155,9 +164,9 @@ def facts_load(spark, sf_dir):
     """Accounts 1 and 2 have facts for the day, account 3 for the day before."""
     lines = fx.settlement_lines(spark, sf_dir, DAILY)
     articles = lines.filter("account_id <= 3").select("account_id", "nm_id").distinct()
-    day = F.when(F.col("account_id") == 3, F.date_sub(FACT_DAY, 1)).otherwise(FACT_DAY)
+    day = F.when(F.col("account_id") == 3, F.date_sub(fact_day(), 1)).otherwise(fact_day())
     stored = articles.withColumn("fact_date", day)
-    computed = facts.article_facts(lines, fx.accounts(spark, sf_dir), FACT_DAY)
+    computed = facts.article_facts(lines, fx.accounts(spark, sf_dir), fact_day())
     fresh = facts.facts_to_store(stored, computed)
     columns = ["fact_date", "account_id", "nm_id"]
     return stored.select(*columns, F.lit(0).cast("bigint").alias("buyout_basis_units")).unionByName(
@@ -195,7 +204,7 @@ def cost_ensure(spark, sf_dir):
     padded = "case when l_partkey % 3 = 0 then '\t ' || {c} || '  ' else {c} end"
     code = "case when l_partkey % 10 = 0 then ' ' when l_partkey % 11 = 0 then null else 'VC' || cast(l_partkey % 71 as string) end"
     batch = lines.selectExpr("cast(l_orderkey % 5 + 1 as bigint) as account_id", f"{padded.format(c='(' + code + ')')} as vendor_code")
-    return cost.missing_for_batch(batch, fx.costs(spark, sf_dir), NOW)
+    return cost.missing_for_batch(batch, fx.costs(spark, sf_dir), at(NOW))
 
 
 def table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +221,7 @@ def _coded_lines(spark: SparkSession, sf_dir: str, modulus: int) -> DataFrame:
 @query("cost_backfill")
 def cost_backfill(spark, sf_dir):
     both = [_coded_lines(spark, sf_dir, 53), _coded_lines(spark, sf_dir, 67)]
-    return cost.missing_for_tables(both, fx.costs(spark, sf_dir), NOW)
+    return cost.missing_for_tables(both, fx.costs(spark, sf_dir), at(NOW))
 
 
 @query("cost_legacy_fanout")
@@ -417,7 +426,7 @@ def supplies_load(spark, sf_dir):
 
 @query("supply_rows_processed")
 def supply_rows_processed(spark, sf_dir):
-    return supplies.rows_processed(_payloads(spark, sf_dir))
+    return supplies.rows_processed(fx.supply_feed(spark, sf_dir))
 
 
 # ------------------------------------------------------------ incremental
@@ -451,7 +460,7 @@ def _cursors_after_first_load(rows: DataFrame) -> DataFrame:
 
 @query("initial_cursor")
 def initial_cursor(spark, sf_dir):
-    return cursor.initial_cursor(fx.configs(spark, sf_dir), fx.feed_states(spark, sf_dir), NOW)
+    return cursor.initial_cursor(fx.configs(spark, sf_dir), fx.feed_states(spark, sf_dir), at(NOW))
 
 
 @query("cursor_filter")
@@ -502,14 +511,14 @@ def _settlement_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SETTLEMENT_NOW = F.lit("1998-03-05 21:30:00").cast("timestamp")
+SETTLEMENT_NOW = "1998-03-05 21:30:00"
 
 
 @query("settlement_window")
 def settlement_window(spark, sf_dir):
     """Each line, and whether it lies in the window its account reads."""
     lines = fx.settlement_lines(spark, sf_dir, DAILY)
-    first, last = cursor.settlement_window(F.col("cursor_timestamp"), SETTLEMENT_NOW)
+    first, last = cursor.settlement_window(F.col("cursor_timestamp"), at(SETTLEMENT_NOW))
     windows = _settlement_cursors(spark, sf_dir).select(
         "account_id", first.alias("window_start"), last.alias("window_end")
     )
@@ -525,7 +534,7 @@ def settlement_window(spark, sf_dir):
 @query("settlement_resume")
 def settlement_resume(spark, sf_dir):
     backlog = cursor.settlement_backlog(
-        fx.settlement_lines(spark, sf_dir, DAILY), _settlement_cursors(spark, sf_dir), SETTLEMENT_NOW
+        fx.settlement_lines(spark, sf_dir, DAILY), _settlement_cursors(spark, sf_dir), at(SETTLEMENT_NOW)
     )
     return backlog.select("account_id", "report_id", "rrd_id", "date_from")
 
@@ -534,8 +543,8 @@ def settlement_resume(spark, sf_dir):
 def settlement_checkpoint(spark, sf_dir):
     cursors = _settlement_cursors(spark, sf_dir)
     lines = fx.settlement_lines(spark, sf_dir, DAILY)
-    backlog = cursor.settlement_backlog(lines, cursors, SETTLEMENT_NOW)
-    after = cursor.settlement_next_cursor(cursors, backlog, SETTLEMENT_NOW)
+    backlog = cursor.settlement_backlog(lines, cursors, at(SETTLEMENT_NOW))
+    after = cursor.settlement_next_cursor(cursors, backlog, at(SETTLEMENT_NOW))
     marks = cursor.checkpoint(backlog).withColumnRenamed("cursor_key", "checkpoint_key")
     return after.join(marks, "account_id", "left")
 
@@ -565,7 +574,7 @@ def _stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("report_list")
 def report_list(spark, sf_dir):
-    first, last = cursor.lookback_window(SETTLEMENT_NOW, F.lit(300))
+    first, last = cursor.lookback_window(at(SETTLEMENT_NOW), F.lit(300))
     return landed.reports_between(_report_list(spark, sf_dir), first, last)
 
 
@@ -605,8 +614,7 @@ def hydrate_reports(spark, sf_dir):
 
 @query("changed_since")
 def changed_since(spark, sf_dir):
-    since = F.lit("1998-01-01 00:00:00").cast("timestamp")
-    changed = landed.changed_since(fx.order_feed(spark, sf_dir), since)
+    changed = landed.changed_since(fx.order_feed(spark, sf_dir), at("1998-01-01 00:00:00"))
     return changed.groupBy("account_id").agg(F.count("*").alias("rows"))
 
 
