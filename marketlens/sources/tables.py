@@ -52,8 +52,7 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     schema = schemas.TABLES[name]
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    stored = spark.read.parquet(path)
-    return stored.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def upsert_table(

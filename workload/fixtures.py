@@ -353,15 +353,15 @@ _SUPPLY_PAYLOAD: Mapping = [
 ]
 
 
-def supply_feed(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+def supply_feed(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Nested supply payloads; two orders share a supply number."""
-    source = table(spark, sf_dir, "orders") if rows is None else rows
     return _landed(
-        source,
+        table(spark, sf_dir, "orders"),
         _SUPPLY_PAYLOAD,
         "supply_payloads",
         "cast(o_orderkey % 10 - o_orderkey % 2 as bigint) as account_id",
         "o_orderkey as position",
+        *keep,
     )
 
 

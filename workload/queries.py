@@ -25,7 +25,7 @@ from marketlens.operators.merge import (
     upsert,
 )
 from marketlens.plans import facts, identity, prices, settlement
-from marketlens.session import new_run_dir
+from marketlens.session import new_run_dir, staged
 from marketlens.sources import landed, tables
 from marketlens.streaming import feed_stream
 from workload import fixtures as fx
@@ -379,12 +379,12 @@ def stock_snapshot(spark, sf_dir):
 
 @query("supplies_load")
 def supplies_load(spark, sf_dir):
-    """Even-priced orders are stored, then a third of all orders is loaded."""
-    orders = fx.table(spark, sf_dir, "orders")
+    """Supplies of every second customer are stored, then every third's loaded."""
+    payloads = staged(fx.supply_feed(spark, sf_dir, "o_custkey"), "payloads")
     arrival = ["position"]
 
     def rows(condition: str) -> supplies.Supplies:
-        return supplies.normalize_payloads(fx.supply_feed(spark, sf_dir, orders.filter(condition)), arrival)
+        return supplies.normalize_payloads(payloads.filter(condition), arrival)
 
     def bare(loaded: DataFrame, *extra: str) -> DataFrame:
         return loaded.drop("raw_payload", "updated_at", *extra)
@@ -718,6 +718,8 @@ def constraint_report(spark, sf_dir):
     sources = fx.price_sources(spark, sf_dir)
     orders = normalize.normalize_orders(fx.order_feed(spark, sf_dir))
     lines = normalize.normalize_settlement(fx.settlement_feed(spark, sf_dir))
+    # Two checks read the lines: parse them once, keep the columns they need.
+    lines = staged(lines.select("account_id", "report_id", "rrd_id", "kiz"), "checked-lines")
     numbers = ["schedule_seconds", "lookback_days", "batch_limit"]
     return checks.constraint_report(
         [
