@@ -1,8 +1,7 @@
 """Incremental extraction: cursors, what lies behind them, and how they move.
 
 A cursor is (timestamp, key) per (account, feed). The feed state is one row per
-(account, feed): it is joined to the feed, and small enough in practice that the
-planner broadcasts it after looking at its size.
+(account, feed), looked up by every row of the feed.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.dates import feed_day_end, feed_midnight
+from marketlens.operators.lookup import lookup
 
 FEED = ["account_id", "api_type"]
 
@@ -41,7 +41,7 @@ def rows_after_cursor(rows: DataFrame, cursors: DataFrame, at: str, key: str) ->
     is_old = F.col(at) < F.col("_at")
     is_seen = (F.col(at) == F.col("_at")) & (F.col(key) <= F.col("_key"))
     dropped = F.coalesce(is_old, F.lit(False)) | F.coalesce(is_seen, F.lit(False))
-    return rows.join(started, FEED, "left").filter(~dropped).drop("_at", "_key")
+    return lookup(rows, started, FEED).filter(~dropped).drop("_at", "_key")
 
 
 def advance_cursor(cursors: DataFrame, kept: DataFrame, at: str, key: str) -> DataFrame:
@@ -115,7 +115,7 @@ def settlement_backlog(
         F.coalesce(F.nullif("cursor_key", F.lit("")).cast("bigint"), F.lit(0)).alias("_after"),
     )
     inside = F.col(at).between(F.col("_first"), F.col("_last")) & (F.col("rrd_id") > F.col("_after"))
-    return lines.join(bounds, "account_id").filter(inside).drop("_first", "_last", "_after")
+    return lookup(lines, bounds, ["account_id"], "inner").filter(inside).drop("_first", "_last", "_after")
 
 
 def checkpoint(backlog: DataFrame) -> DataFrame:

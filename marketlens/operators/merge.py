@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.values import all_of, any_of
+from marketlens.operators.lookup import lookup
 
 
 def _one_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -57,7 +58,7 @@ def replace_children(
     """Detail rows after a load: those of touched parents are all replaced, also
     when a parent brings none; the others stay. Duplicates are kept."""
     touched = parents.select(*parent_keys).distinct()
-    kept = stored.join(touched, parent_keys, "left_anti")
+    kept = lookup(stored, touched, parent_keys, "left_anti")
     return kept.unionByName(new_rows.select(*stored.columns))
 
 
@@ -69,11 +70,11 @@ def replace_snapshot(
     arrival: list[str],
 ) -> DataFrame:
     """Snapshot after a load: every loaded account has only the batch's rows."""
-    kept = stored.join(loaded_accounts.select("account_id"), "account_id", "left_anti")
+    kept = lookup(stored, loaded_accounts, ["account_id"], "left_anti")
     fresh = latest_per_complete_key(batch, keys, arrival).select(*stored.columns)
     return kept.unionByName(fresh)
 
 
 def append_once(stored: DataFrame, batch: DataFrame, group: list[str]) -> DataFrame:
     """Rows of ``batch`` whose group (say day and account) is not stored yet."""
-    return batch.join(stored.select(*group).distinct(), group, "left_anti")
+    return lookup(batch, stored.select(*group).distinct(), group, "left_anti")

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.values import blank_to_null
+from marketlens.operators.lookup import lookup
 
 REPORT = ["account_id", "report_id"]
 
 
 def existing_reports(stored_lines: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidate reports that already have stored lines."""
-    wanted = candidates.select(*REPORT).distinct()
-    return stored_lines.select(*REPORT).join(wanted, REPORT, "left_semi").distinct()
+    # Distinct first: a report of any size is one row per task from here on.
+    stored = stored_lines.select(*REPORT).distinct()
+    return stored.join(candidates.select(*REPORT).distinct(), REPORT, "left_semi")
 
 
 def missing_reports(report_list: DataFrame, stored_lines: DataFrame) -> DataFrame:
@@ -48,14 +50,14 @@ def hydrate_reports(page_lines: DataFrame, full_lines: DataFrame, page: str = "p
         .agg(F.min(page).alias("_first"))
     )
     full = full_lines.select(*columns)
-    authoritative = full.join(first_page.select(*REPORT), REPORT, "left_semi")
+    authoritative = lookup(full, first_page, REPORT, "left_semi")
 
     decided = first_page.join(full.select(*REPORT).distinct(), REPORT, "left_anti")
     fallback = (
-        page_lines.join(decided, REPORT)
+        lookup(page_lines.filter(F.col("report_id").isNotNull()), decided, REPORT, "inner")
         .filter(F.col(page) == F.col("_first"))
         .select(*columns)
     )
     deciding_pages = first_page.select("account_id", F.col("_first").alias(page)).distinct()
-    untouched = page_lines.join(deciding_pages, ["account_id", page], "left_anti").select(*columns)
-    return authoritative.unionByName(fallback).unionByName(untouched)
+    untouched = lookup(page_lines, deciding_pages, ["account_id", page], "left_anti")
+    return authoritative.unionByName(fallback).unionByName(untouched.select(*columns))

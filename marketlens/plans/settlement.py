@@ -9,6 +9,7 @@ from marketlens.functions import operations as op
 from marketlens.functions.dates import local_date, week_start
 from marketlens.functions.operations import or_zero, signed
 from marketlens.functions.values import blank_to_null
+from marketlens.operators.lookup import lookup
 
 # Measure name -> line column it sums.
 _PLAIN_SUMS = {
@@ -125,8 +126,10 @@ def _unless(blank: Column, value: Column, default) -> Column:
 
 
 # Rows without a vendor code look up no cost. They may be a large share of all
-# rows, so the join spreads them over this many keys that match nothing.
+# rows, so the join spreads them over this many codes that match nothing: no
+# stored text contains a NUL.
 _BLANK_SPREAD = 1009
+_BLANK_PREFIX = "\x00"
 
 
 def _with_unit_cost(
@@ -134,26 +137,18 @@ def _with_unit_cost(
 ) -> DataFrame:
     """Add unit_cost: 0 without a vendor code, the current cost, or the value
     that stands for a cost nobody has entered."""
-    spread = 1 + F.pmod(F.xxhash64(*row_key), F.lit(_BLANK_SPREAD))
-    keyed = rows.withColumns(
-        {
-            "_vendor": vendor,
-            "_spread": F.when(vendor.isNull(), spread).otherwise(F.lit(0)).cast("bigint"),
-        }
-    )
+    spread = F.pmod(F.xxhash64(*row_key), F.lit(_BLANK_SPREAD)).cast("string")
+    code = F.coalesce(vendor, F.concat(F.lit(_BLANK_PREFIX), spread))
     costs = current_costs.select(
-        "account_id",
-        F.col("vendor_code").alias("_vendor"),
-        F.lit(0).cast("bigint").alias("_spread"),
-        F.col("cost").alias("_cost"),
+        "account_id", F.col("vendor_code").alias("_code"), F.col("cost").alias("_cost")
     )
-    unit_cost = F.when(F.col("_vendor").isNull(), F.lit(0)).otherwise(
+    unit_cost = F.when(F.col("_code").startswith(_BLANK_PREFIX), F.lit(0)).otherwise(
         F.coalesce("_cost", F.lit(op.UNKNOWN_COST))
     )
     return (
-        keyed.join(costs, ["account_id", "_vendor", "_spread"], "left")
+        lookup(rows.withColumn("_code", code), costs, ["account_id", "_code"])
         .withColumn("unit_cost", unit_cost.cast("decimal(18,6)"))
-        .drop("_vendor", "_spread", "_cost")
+        .drop("_code", "_cost")
     )
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens import schemas
-from marketlens.functions.dates import feed_instant, feed_day_end, feed_midnight
+from marketlens.functions.dates import feed_day_end, feed_instant, feed_midnight
+from marketlens.operators.lookup import lookup
 
 FEEDS = {
     "orders": schemas.ORDERS.landed(),
@@ -86,5 +87,5 @@ def supplies_created(supplies: DataFrame, first_day: Column, last_day: Column) -
 
 def report_lines(lines: DataFrame, reports: DataFrame) -> DataFrame:
     """All lines of the given reports (account_id, reportId)."""
-    wanted = reports.select("account_id", "reportId").distinct()
-    return lines.join(wanted, ["account_id", "reportId"], "left_semi")
+    wanted = reports.select("account_id", "reportId").filter("reportId is not null").distinct()
+    return lookup(lines, wanted, ["account_id", "reportId"], "left_semi")

@@ -1,9 +1,11 @@
 """The physical plans are the ones meant: pruned scans, no Python, no hot groups."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from marketlens import schemas
+from marketlens import configure, schemas
 from marketlens.operators.cost import current_costs
+from marketlens.operators.lookup import lookup
 from marketlens.plans import identity, settlement
 from workload import fixtures as fx
 from workload import queries
@@ -42,15 +44,20 @@ def test_trusted_identifiers_scan_once(spark, stored):
 
 
 def test_lines_without_a_vendor_code_are_spread(spark, sf_dir, stored):
-    costs = current_costs(fx.costs(spark, sf_dir))
-    keyed = settlement.settlement_enriched(stored, costs)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    blank = stored.withColumns({"vendor_code": F.lit(""), "account_id": F.lit(1).cast("bigint")})
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        plan = _plan(settlement.settlement_enriched(stored, costs), "simple")
+        enriched = settlement.settlement_enriched(blank, current_costs(fx.costs(spark, sf_dir)))
+        sizes = enriched.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "_spread" in plan.split("SortMergeJoin")[1].splitlines()[0]
-    assert keyed.count() == stored.count()
+        for name in settings:
+            spark.conf.unset(name)
+        configure(spark)
+    total = sum(r["count"] for r in sizes)
+    assert total == stored.count() and len(sizes) == 4
+    assert max(r["count"] for r in sizes) < total / 2
 
 
 @pytest.mark.parametrize("name", sorted(queries.registered()))
@@ -67,3 +74,35 @@ def test_no_python_in_any_plan(spark, sf_dir, name):
 def test_every_table_key_is_declared():
     for name, keys in schemas.KEYS.items():
         assert set(keys) <= set(schemas.TABLES[name].names), name
+
+
+def _final_plan(rows):
+    rows.write.format("noop").mode("overwrite").save()
+    rows.collect()
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_a_hot_key_is_split_over_tasks(spark, how):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 300_000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) as k", "uuid() as v", "id")
+        # One row per key, and already partitioned by it, as grouped rows are.
+        unique = spark.range(0, 300_000, 2).groupBy((F.col("id") + 1).alias("k")).agg(F.max("id").alias("m"))
+        joined = lookup(rows, unique, ["k"], how)
+        plan = _final_plan(joined.groupBy("id").count())
+        assert "skewed=true" in plan or "skew=true" in plan, plan
+        odd = rows.filter("k % 2 = 1").count()
+        expected = {"left": 300_000, "inner": odd, "left_semi": odd, "left_anti": 300_000 - odd}
+        assert joined.count() == expected[how]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
