@@ -45,11 +45,12 @@ def test_trusted_identifiers_scan_once(spark, stored):
 
 def test_lines_without_a_vendor_code_are_spread(spark, sf_dir, stored):
     blank = stored.withColumns({"vendor_code": F.lit(""), "account_id": F.lit(1).cast("bigint")})
+    costs = current_costs(fx.costs(spark, sf_dir))
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        enriched = settlement.settlement_enriched(blank, current_costs(fx.costs(spark, sf_dir)))
+        enriched = settlement.settlement_enriched(blank, costs)
         sizes = enriched.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         for name in settings:
