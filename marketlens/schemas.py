@@ -356,6 +356,13 @@ KEYS = {
     "accounts": ["account_code"],
 }
 
+# What decides a row's storage bucket, where that is not its whole key: lines of
+# one report lie together, so a load touches the buckets of its reports only.
+BUCKET_BY = {
+    "settlement_daily": ["account_id", "report_id"],
+    "settlement_weekly": ["account_id", "report_id"],
+}
+
 # The feed types.
 API_TYPES = (
     "orders",

@@ -2,7 +2,9 @@
 
 An upserted table is partitioned by account and by a hash bucket of its natural
 key. A batch then rewrites only the buckets its keys fall into, a hot account is
-spread over all buckets, and readers of one account prune the rest.
+spread over all buckets, and readers of one account prune the rest. Where the
+catalog has a table format with row-level changes, ``merge_table`` is the better
+choice: it rewrites files, not buckets.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import schemas
+from marketlens.functions.values import all_of
 from marketlens.operators.merge import latest_per_key, merge_rows, replace_children
 from marketlens.session import staged
 
@@ -61,10 +64,12 @@ def upsert_table(
     keys: list[str],
     arrival: list[str],
     buckets: int = DEFAULT_BUCKETS,
+    bucket_by: list[str] | None = None,
 ) -> None:
     """Insert or overwrite rows by key; the last arrival of a key wins.
 
     Reads and rewrites only the (account, bucket) partitions the batch touches.
+    ``bucket_by`` (default: the key) names the key columns a bucket depends on.
     A repeat of the same batch leaves the table as it is, so a run that died
     half way is repaired by running it again.
     """
@@ -72,7 +77,7 @@ def upsert_table(
     columns = [c for c in batch.columns if c not in arrival or c in keys]
     latest = latest_per_key(batch, keys, arrival).select(*columns)
     # Read several times below and must not change between the reads.
-    latest = staged(latest.withColumn(BUCKET, key_bucket(keys, buckets)))
+    latest = staged(latest.withColumn(BUCKET, key_bucket(bucket_by or keys, buckets)), "upsert")
     merged = latest
     if exists(spark, path):
         # At most accounts x buckets rows. The always-true filter is what makes
@@ -90,6 +95,21 @@ def upsert_table(
     )
 
 
+def merge_table(batch: DataFrame, table: str, keys: list[str], arrival: list[str]) -> None:
+    """The same upsert into a catalog table whose format supports MERGE."""
+    latest = latest_per_key(batch, keys, arrival).drop(*[c for c in arrival if c not in keys])
+    same_row = all_of([F.col(f"source.{k}") == F.col(f"{table}.{k}") for k in keys])
+    (
+        latest.alias("source")
+        .mergeInto(table, same_row)
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
 def _rewrite(rows: DataFrame, touched: DataFrame, path: str) -> None:
     """Make ``rows`` the whole content of the ``touched`` partitions.
 

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -184,6 +184,24 @@ def test_supplies_load(spark, tmp_path):
         assert sorted(r.warehouse_id for r in store.read("supply_details").collect()) == [1, 2, 3, 4, 5]
 
 
+def test_lines_of_a_report_share_a_bucket(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    lines = [_line(n, reportId=n % 3) for n in range(30)]
+    load_settlement(store, _feed(spark, "finance_sales_report_weekly", lines), "settlement_weekly", _now())
+    stored = spark.read.parquet(store.path("settlement_weekly"))
+    assert stored.groupBy("report_id").agg(F.countDistinct("key_bucket").alias("n")).filter("n > 1").count() == 0
+
+
+def test_merge_needs_a_table_format(spark):
+    rows = spark.createDataFrame([(1, "k", 0)], "account_id bigint, record_key string, position int")
+    spark.sql("create table if not exists plain_orders (account_id bigint, record_key string) using parquet")
+    try:
+        with pytest.raises(Exception, match="MERGE"):
+            tables.merge_table(rows, "plain_orders", ["account_id", "record_key"], ["position"])
+    finally:
+        spark.sql("drop table plain_orders")
+
+
 # ------------------------------------------------------------ streaming
 
 

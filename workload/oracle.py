@@ -715,7 +715,7 @@ add(
     int="quantity",
 )
 
-_OLD, _NEW = "o_custkey % 2 = 0", "o_custkey % 3 = 0"
+_OLD, _NEW = "year(o_orderdate) < 1998", "year(o_orderdate) >= 1997"
 
 
 def _replaced(table: str, keys: str, arrival: str, item: str, label: str) -> list[str]:
@@ -809,7 +809,7 @@ _CONFIGS = f"""configs as (
 _STATES = f"""states as (
     select o_custkey as account_id, {_API} as api_type, max(o_orderdate) as cursor_timestamp,
         case when o_custkey % 4 > 0 then max('S' || cast(o_orderkey as string)) end as cursor_key
-    from orders where o_custkey % 3 > 0 group by o_custkey, 2)"""
+    from orders where o_orderstatus = 'F' group by o_custkey, 2)"""
 add(
     "initial_cursor",
     [
@@ -832,7 +832,7 @@ _BEFORE = f"""before as (
     qualify row_number() over (partition by account_id order by row_at desc, row_key desc) = 1)"""
 _LATER = """later as (
     select f.* from feed_rows f left join before b using (account_id)
-    where page > 0 and (b.at is null or row_at > b.at or (row_at = b.at and row_key > b.key)))"""
+    where b.at is null or row_at > b.at or (row_at = b.at and row_key > b.key))"""
 _INCREMENTAL = [_ORDER_ROWS, _FEED_ROWS, _BEFORE, _LATER]
 add("cursor_filter", _INCREMENTAL, "later", as_is="account_id row_key position", at="row_at")
 _AFTER = """after as (
@@ -859,9 +859,9 @@ add(
         _AFTER,
         """result as (
     select account_id, api_type, rows_kept,
-        (select count(*) from feed_rows f where f.account_id = a.account_id and page > 0) as rows_read,
+        (select count(*) from feed_rows f where f.account_id = a.account_id) as rows_read,
         case when rows_kept > 0 then 'success' else 'noop' end as status,
-        (select count(*) from feed_rows f where f.account_id = a.account_id and page > 0) >= 10
+        (select count(*) from feed_rows f where f.account_id = a.account_id) >= 10
             and not moved as stuck
     from after a)""",
     ],
@@ -945,7 +945,10 @@ _LIST = f"""listed as (
         case when report_id % 3 > 0 then strftime(max(date_to), {_ISO}) end as dateTo,
         case when report_id % 4 > 0 then strftime(max(create_date), {_ISO}) else '' end as createDate
     from lines group by account_id, report_id)"""
-_HAVE = "have as (select distinct account_id, report_id from lines where (report_id + account_id) % 2 = 0)"
+_HAVE = (
+    "have as (select distinct account_id, report_id from lines "
+    "where year(date_from) < 1997 and account_id <> 2)"
+)
 add(
     "report_list",
     [
@@ -991,7 +994,7 @@ add(
     [
         _RAW_LINES,
         "result as (select account_id, report_id as reportId, count(*) as lines from raw_lines "
-        "where report_id % 37 > 0 and report_id % 5 = 0 group by all)",
+        "where report_id % 37 > 0 and report_id % 3 = 0 group by all)",
     ],
     "result",
     as_is="account_id reportId",
@@ -1003,10 +1006,10 @@ add(
         _lines("week"),
         """paged as (
     select account_id, case when rrd_id % 31 > 0 then report_id end as report_id, rrd_id, rrd_id % 7 as page
-    from lines where rrd_id % 10 < 6)""",
+    from lines)""",
         """first_seen as (
     select account_id, report_id, min(page) as page from paged where report_id is not null group by all)""",
-        "whole as (select account_id, report_id, rrd_id from lines where report_id % 3 > 0)",
+        "whole as (select account_id, report_id, rrd_id from lines where year(date_from) >= 1996)",
         """result as (
     select w.* from whole w where (account_id, report_id) in (select account_id, report_id from first_seen)
     union all
@@ -1053,7 +1056,7 @@ add(
         """fetched as (
     select account_id, supply_key, count(*) as details, sum(least(o_orderkey % 4, 3)) as goods,
         sum(case when supply_id is not null then o_orderkey % 3 + 1 else 0 end) as packages
-    from supply_rows where position % 5 <> 0 group by all)""",
+    from supply_rows where o_orderkey % 8 <> 5 group by all)""",
         """result as (
     select f.account_id, f.supply_key, f.position, coalesce(details, 0) as details,
         coalesce(goods, 0) as goods, coalesce(packages, 0) as packages
@@ -1205,7 +1208,7 @@ report(table_name, check_name, violations) as (
     union all select 'settlement_weekly', 'key is unique', count(*) from (
         select 1 from raw_lines group by account_id, report_id, rrd_id having count(*) > 1)
     union all select 'feed_configs', 'account exists', count(*) from configs
-        where account_id not in (select id from shops where id % 50 <> 0))
+        where account_id not in (select id from shops where enabled))
 select table_name, check_name, cast(violations as bigint) as violations from report"""
 
 # ------------------------------------------------------------ stored tables

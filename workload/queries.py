@@ -379,8 +379,8 @@ def stock_snapshot(spark, sf_dir):
 
 @query("supplies_load")
 def supplies_load(spark, sf_dir):
-    """Supplies of every second customer are stored, then every third's loaded."""
-    payloads = staged(fx.supply_feed(spark, sf_dir, "o_custkey"), "payloads")
+    """Supplies up to 1998 are stored, then those since 1997 are loaded."""
+    payloads = staged(fx.supply_feed(spark, sf_dir, "o_orderdate"), "payloads")
     arrival = ["position"]
 
     def rows(condition: str) -> supplies.Supplies:
@@ -389,7 +389,7 @@ def supplies_load(spark, sf_dir):
     def bare(loaded: DataFrame, *extra: str) -> DataFrame:
         return loaded.drop("raw_payload", "updated_at", *extra)
 
-    old = rows("o_custkey % 2 = 0")
+    old = rows("o_orderdate < timestamp '1998-01-01 00:00:00'")
     stored = supplies.Supplies(
         bare(latest_per_key(old.supplies, ["account_id", "supply_key"], arrival), "position"),
         bare(latest_per_key(old.details, ["account_id", "supply_key"], arrival), "position"),
@@ -406,7 +406,7 @@ def supplies_load(spark, sf_dir):
             "position", "package_position", "barcode_position",
         ),
     )
-    loaded = supplies.load_supplies(stored, rows("o_custkey % 3 = 0"), arrival)
+    loaded = supplies.load_supplies(stored, rows("o_orderdate >= timestamp '1997-01-01 00:00:00'"), arrival)
     items = {
         "supplies": F.col("phone"),
         "supply_details": F.col("acceptance_cost").cast("string"),
@@ -431,7 +431,12 @@ def supply_rows_processed(spark, sf_dir):
 
 # ------------------------------------------------------------ incremental
 
-FIRST_LOAD = "page = 0 and row_at <= '1998-01-01' and account_id <> 5"
+# What an earlier run has seen: all up to a row in the middle of a day, of the
+# accounts there were. The next run is offered the whole feed again.
+FIRST_LOAD = (
+    "account_id <> 5 and (row_at < timestamp '1998-01-01 00:00:00' "
+    "or (row_at = timestamp '1998-01-01 00:00:00' and row_key <= 'S5'))"
+)
 
 
 def _feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,9 +471,7 @@ def initial_cursor(spark, sf_dir):
 @query("cursor_filter")
 def cursor_filter(spark, sf_dir):
     rows = _feed_rows(spark, sf_dir)
-    later = cursor.rows_after_cursor(
-        rows.filter("page > 0"), _cursors_after_first_load(rows), "row_at", "row_key"
-    )
+    later = cursor.rows_after_cursor(rows, _cursors_after_first_load(rows), "row_at", "row_key")
     return later.select("account_id", "row_key", "row_at", "position")
 
 
@@ -476,7 +479,7 @@ def cursor_filter(spark, sf_dir):
 def cursor_advance(spark, sf_dir):
     rows = _feed_rows(spark, sf_dir)
     before = _cursors_after_first_load(rows)
-    later = cursor.rows_after_cursor(rows.filter("page > 0"), before, "row_at", "row_key")
+    later = cursor.rows_after_cursor(rows, before, "row_at", "row_key")
     return cursor.advance_cursor(before, later, "row_at", "row_key")
 
 
@@ -484,10 +487,9 @@ def cursor_advance(spark, sf_dir):
 def load_progress(spark, sf_dir):
     rows = _feed_rows(spark, sf_dir)
     before = _cursors_after_first_load(rows)
-    second = rows.filter("page > 0")
-    later = cursor.rows_after_cursor(second, before, "row_at", "row_key")
+    later = cursor.rows_after_cursor(rows, before, "row_at", "row_key")
     advanced = cursor.advance_cursor(before, later, "row_at", "row_key")
-    return cursor.progress_report(second, advanced, _feed_limits(spark, sf_dir))
+    return cursor.progress_report(rows, advanced, _feed_limits(spark, sf_dir))
 
 
 @query("incremental_load")
@@ -496,9 +498,7 @@ def incremental_load(spark, sf_dir):
     columns = ["account_id", "record_key", "last_change_date", "total_price", "srid"]
     keys = schemas.KEYS["orders"]
     stored = latest_per_key(rows.filter(FIRST_LOAD), keys, fx.ORDER_ARRIVAL).select(*columns)
-    later = cursor.rows_after_cursor(
-        rows.filter("page > 0"), _cursors_after_first_load(rows), "row_at", "row_key"
-    )
+    later = cursor.rows_after_cursor(rows, _cursors_after_first_load(rows), "row_at", "row_key")
     return upsert(stored, later, keys, fx.ORDER_ARRIVAL)
 
 
@@ -569,7 +569,9 @@ def _report_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.settlement_lines(spark, sf_dir, WEEKLY).filter("(report_id + account_id) % 2 = 0")
+    """Reports up to 1997 are stored; of account 2 none is."""
+    lines = fx.settlement_lines(spark, sf_dir, WEEKLY)
+    return lines.filter("date_from < timestamp '1997-01-01 00:00:00' and account_id <> 2")
 
 
 @query("report_list")
@@ -593,23 +595,22 @@ def missing_reports(spark, sf_dir):
 @query("report_lines")
 def report_lines(spark, sf_dir):
     feed = fx.settlement_feed(spark, sf_dir)
-    wanted = _report_list(spark, sf_dir).filter("reportId % 5 = 0")
+    wanted = _report_list(spark, sf_dir).filter("dateTo is null")
     lines = landed.report_lines(feed, wanted)
     return lines.groupBy("account_id", "reportId").agg(F.count("*").alias("lines"))
 
 
 @query("hydrate_reports")
 def hydrate_reports(spark, sf_dir):
-    """Paged lines without 6 and 7; whole reports exist for two in three."""
-    lines = fx.settlement_lines(spark, sf_dir, WEEKLY).select("account_id", "report_id", "rrd_id")
+    """Paged lines, some without a report; whole reports exist from 1996 on."""
+    columns = ["account_id", "report_id", "rrd_id"]
+    lines = fx.settlement_lines(spark, sf_dir, WEEKLY).select(*columns, "date_from")
     numbered = F.expr("case when rrd_id % 31 > 0 then report_id end")
-    pages = lines.filter("rrd_id % 10 < 6").select(
-        "account_id",
-        numbered.alias("report_id"),
-        "rrd_id",
-        F.expr("rrd_id % 7").alias("page"),
+    pages = lines.select(
+        "account_id", numbered.alias("report_id"), "rrd_id", F.expr("rrd_id % 7").alias("page")
     )
-    return reports.hydrate_reports(pages, lines.filter("report_id % 3 > 0"))
+    whole = lines.filter("date_from >= timestamp '1996-01-01 00:00:00'").select(*columns)
+    return reports.hydrate_reports(pages, whole)
 
 
 @query("changed_since")
@@ -627,11 +628,12 @@ def supplies_listed(spark, sf_dir):
 
 @query("supplies_assemble")
 def supplies_assemble(spark, sf_dir):
-    """First listing of each supply, with how much was fetched for it."""
+    """First listing of each supply, with how much was fetched for it; nothing is
+    found for supplies in state 5."""
     feed = fx.supply_feed(spark, sf_dir)
     listed = feed.select("account_id", "position", "supply.*")
     keyed = normalize.identify_supplies(feed, "supply.")
-    fetched = keyed.filter("position % 5 <> 0")
+    fetched = keyed.filter("supply.statusID <> '5'")
     kept, details, goods, packages = supplies.assemble_supplies(
         listed,
         fetched.select("account_id", "supply_key", "details"),
@@ -740,7 +742,7 @@ def constraint_report(spark, sf_dir):
             checks.duplicate_keys(configs, "feed_configs", schemas.KEYS["feed_configs"]),
             checks.duplicate_keys(orders, "orders", schemas.KEYS["orders"]),
             checks.duplicate_keys(lines, "settlement_weekly", schemas.KEYS["settlement_weekly"]),
-            checks.orphans(configs, "feed_configs", shops.filter("id % 50 <> 0")),
+            checks.orphans(configs, "feed_configs", shops.filter("enabled")),
         ]
     )
 
