@@ -207,9 +207,10 @@ def _landed(rows: DataFrame, mapping: Mapping, feed: str, *keep: str) -> DataFra
     if not rows.isStreaming:
         rows = spread(rows)
     text = rows.selectExpr(*keep, f"to_json(named_struct({fields})) as payload")
-    return text.select(*[k.split(" as ")[-1] for k in keep], parse_payload(F.col("payload"), feed).alias("o")).select(
-        *[k.split(" as ")[-1] for k in keep], "o.*"
-    )
+    # Unfolded as a one-row array: conditions on the fields are then checked after
+    # the parse, not by parsing once more below it.
+    parsed = F.inline(F.array(parse_payload(F.col("payload"), feed)))
+    return text.select(*[k.split(" as ")[-1] for k in keep], parsed)
 
 
 # The three ways a date may be written, by order number.
