@@ -17,10 +17,15 @@ from marketlens.functions.values import all_of
 from marketlens.operators.merge import latest_per_key, merge_rows, replace_children
 from marketlens.session import staged
 
-BUCKET = "key_bucket"
 DEFAULT_BUCKETS = 64
 
 
+def bucket_column(buckets: int) -> str:
+    """The number of buckets is in the name: a table written with another number
+    has no such column, so a load with the wrong one fails."""
+    return f"bucket_of_{buckets}"
+
+
 def key_bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
@@ -32,8 +37,11 @@ def _files(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Is there any data? Markers, whose names start with _ or ., do not count."""
     files, target = _files(spark, path)
-    return files.exists(target) and len(files.listStatus(target)) > 0
+    if not files.exists(target):
+        return False
+    return any(s.getPath().getName()[0] not in "_." for s in files.listStatus(target))
 
 
 def finished_folders(spark: SparkSession, path: str) -> list[str]:
@@ -73,24 +81,24 @@ def upsert_table(
     A repeat of the same batch leaves the table as it is, so a run that died
     half way is repaired by running it again.
     """
-    spark = batch.sparkSession
+    spark, bucket = batch.sparkSession, bucket_column(buckets)
     columns = [c for c in batch.columns if c not in arrival or c in keys]
     latest = latest_per_key(batch, keys, arrival).select(*columns)
     # Read several times below and must not change between the reads.
-    latest = staged(latest.withColumn(BUCKET, key_bucket(bucket_by or keys, buckets)), "upsert")
+    latest = staged(latest.withColumn(bucket, key_bucket(bucket_by or keys, buckets)), "upsert")
     merged = latest
     if exists(spark, path):
         # At most accounts x buckets rows. The always-true filter is what makes
         # the planner prune the stored partitions with this list at run time.
-        touched = latest.select("account_id", BUCKET).distinct().filter(F.col(BUCKET) >= 0)
-        stored = spark.read.parquet(path).join(touched, ["account_id", BUCKET], "left_semi")
+        touched = latest.select("account_id", bucket).distinct().filter(F.col(bucket) >= 0)
+        stored = spark.read.parquet(path).join(touched, ["account_id", bucket], "left_semi")
         merged = merge_rows(stored.select(*latest.columns), latest, keys)
     # Rebalancing groups rows by partition and splits the groups that are large.
     (
-        merged.hint("rebalance", "account_id", BUCKET)
+        merged.hint("rebalance", "account_id", bucket)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("account_id", BUCKET)
+        .partitionBy("account_id", bucket)
         .parquet(path)
     )
 
@@ -147,14 +155,14 @@ def replace_details(
 
     Details lie in their parent's bucket, so only touched buckets are read.
     """
-    spark = rows.sparkSession
-    bucket = key_bucket(parent_keys, buckets)
+    spark, bucket = rows.sparkSession, bucket_column(buckets)
+    number = key_bucket(parent_keys, buckets)
     parents = staged(parents.select(*parent_keys).distinct(), "parents")
-    touched = parents.withColumn(BUCKET, bucket).select("account_id", BUCKET).distinct()
-    merged = rows.withColumn(BUCKET, bucket)
+    touched = parents.withColumn(bucket, number).select("account_id", bucket).distinct()
+    merged = rows.withColumn(bucket, number)
     if exists(spark, path):
-        pruning = touched.filter(F.col(BUCKET) >= 0)
-        stored = spark.read.parquet(path).join(pruning, ["account_id", BUCKET], "left_semi")
+        pruning = touched.filter(F.col(bucket) >= 0)
+        stored = spark.read.parquet(path).join(pruning, ["account_id", bucket], "left_semi")
         merged = replace_children(stored.select(*merged.columns), merged, parents, parent_keys)
     _rewrite(merged, touched, path)
 

@@ -76,6 +76,13 @@ def test_an_upsert_leaves_untouched_buckets_alone(spark, tmp_path):
     assert len(rewritten) == 1 and len(before & after) == len(before) - len(before - after)
 
 
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    load_movements(store, _feed(spark, "orders", [_order(1, 1)]), "orders")
+    with pytest.raises(Exception, match="bucket_of_8"):
+        load_movements(Store(spark, store.root, buckets=8), _feed(spark, "orders", [_order(1, 2)]), "orders")
+
+
 def test_stored_partitions_are_pruned(spark, tmp_path, monkeypatch):
     store = _store(spark, tmp_path)
     rows = [_order(n, n) for n in range(40)]
@@ -189,7 +196,7 @@ def test_lines_of_a_report_share_a_bucket(spark, tmp_path):
     lines = [_line(n, reportId=n % 3) for n in range(30)]
     load_settlement(store, _feed(spark, "finance_sales_report_weekly", lines), "settlement_weekly", _now())
     stored = spark.read.parquet(store.path("settlement_weekly"))
-    assert stored.groupBy("report_id").agg(F.countDistinct("key_bucket").alias("n")).filter("n > 1").count() == 0
+    assert stored.groupBy("report_id").agg(F.countDistinct("bucket_of_4").alias("n")).filter("n > 1").count() == 0
 
 
 def test_merge_needs_a_table_format(spark):

@@ -1088,7 +1088,7 @@ add(
 add(
     "feed_state",
     [_STATES],
-    "states where account_id = 7 and api_type = 'orders'",
+    "states where account_id = 8 and api_type = 'orders'",
     as_is="account_id api_type cursor_key",
     at="cursor_timestamp",
 )

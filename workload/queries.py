@@ -17,13 +17,7 @@ from pyspark.sql import types as T
 from marketlens import schemas
 from marketlens.functions.dates import feed_instant, feed_midnight, request_text, week_start
 from marketlens.operators import checks, control, cost, cursor, normalize, reports, supplies
-from marketlens.operators.merge import (
-    append_once,
-    first_per_key,
-    latest_per_key,
-    replace_snapshot,
-    upsert,
-)
+from marketlens.operators.merge import first_per_key, latest_per_key, replace_snapshot, upsert
 from marketlens.plans import facts, identity, prices, settlement
 from marketlens.session import new_run_dir, staged
 from marketlens.sources import landed, tables
@@ -201,9 +195,14 @@ def cost_current(spark, sf_dir):
 def cost_ensure(spark, sf_dir):
     """A batch whose codes come padded, and partly new."""
     lines = table_lines(spark, sf_dir)
-    padded = "case when l_partkey % 3 = 0 then '\t ' || {c} || '  ' else {c} end"
-    code = "case when l_partkey % 10 = 0 then ' ' when l_partkey % 11 = 0 then null else 'VC' || cast(l_partkey % 71 as string) end"
-    batch = lines.selectExpr("cast(l_orderkey % 5 + 1 as bigint) as account_id", f"{padded.format(c='(' + code + ')')} as vendor_code")
+    code = (
+        "case when l_partkey % 10 = 0 then ' ' when l_partkey % 11 = 0 then null "
+        "else 'VC' || cast(l_partkey % 71 as string) end"
+    )
+    batch = lines.selectExpr(
+        "cast(l_orderkey % 5 + 1 as bigint) as account_id",
+        f"case when l_partkey % 3 = 0 then '\t ' || ({code}) || '  ' else ({code}) end as vendor_code",
+    )
     return cost.missing_for_batch(batch, fx.costs(spark, sf_dir), at(NOW))
 
 
@@ -672,7 +671,7 @@ def feed_configs_orders(spark, sf_dir):
 
 @query("feed_state")
 def feed_state(spark, sf_dir):
-    return control.feed_state(fx.feed_states(spark, sf_dir), 7, "orders")
+    return control.feed_state(fx.feed_states(spark, sf_dir), 8, "orders")
 
 
 @query("state_from_events")
