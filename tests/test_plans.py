@@ -41,6 +41,8 @@ def test_trusted_identifiers_scan_once(spark, stored):
     plan = _plan(identity.trusted_identifiers(stored), "simple")
     assert plan.count("FileScan parquet") == 1
     assert plan.count("Exchange") == 1
+    assert "Not(EqualTo(kiz,))" in _plan(identity.trusted_identifiers(stored))
+    assert "Or(IsNull(kiz),EqualTo(kiz,))" in _plan(identity.resolve_lines(stored))
 
 
 def test_lines_without_a_vendor_code_are_spread(spark, sf_dir, stored):
