@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,14 +55,46 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def files_at(spark: SparkSession, path: str):
+    """Hadoop's view of ``path``: works for every file system Spark writes to."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = files_at(spark, path)
+    files.delete(target, True)
+
+
+_open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
+
+
 def staged(rows: DataFrame, label: str = "stage") -> DataFrame:
     """The same rows, written once to the shared folder and read back.
 
     For rows that several branches of a plan read: they are computed once, each
     branch scans only its columns, and a lost executor costs a re-read. The
-    folder may be removed when the job is over.
+    folder stays until the enclosing ``discarding`` block ends, or for good.
     """
     spark = rows.sparkSession
     folder = new_run_dir(spark, label)
+    scope = _open_scope.get()
+    if scope is not None:
+        scope.append(folder)
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
+
+
+@contextmanager
+def discarding(spark: SparkSession):
+    """Remove what was staged inside the block when it ends, so that a job that
+    runs for ever does not fill the shared folder. Results must be written, not
+    returned, inside the block."""
+    token = _open_scope.set([])
+    try:
+        yield
+    finally:
+        folders = _open_scope.get()
+        _open_scope.reset(token)
+        for folder in folders:
+            remove(spark, folder)

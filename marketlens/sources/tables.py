@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marketlens import schemas
 from marketlens.functions.values import all_of
 from marketlens.operators.merge import latest_per_key, merge_rows, replace_children
-from marketlens.session import staged
+from marketlens.session import discarding, files_at, remove, staged
 
 DEFAULT_BUCKETS = 64
 
@@ -30,15 +30,9 @@ def key_bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's view of ``path``: works for every file system Spark writes to."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there any data? Markers, whose names start with _ or ., do not count."""
-    files, target = _files(spark, path)
+    files, target = files_at(spark, path)
     if not files.exists(target):
         return False
     return any(s.getPath().getName()[0] not in "_." for s in files.listStatus(target))
@@ -46,16 +40,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def finished_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders under ``path`` whose write was committed."""
-    files, target = _files(spark, path)
+    files, target = files_at(spark, path)
     if not files.exists(target):
         return []
     names = [status.getPath().getName() for status in files.listStatus(target)]
-    return [n for n in names if files.exists(_files(spark, f"{path}/{n}/_SUCCESS")[1])]
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    files, target = _files(spark, path)
-    files.delete(target, True)
+    return [n for n in names if files.exists(files_at(spark, f"{path}/{n}/_SUCCESS")[1])]
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -84,23 +73,19 @@ def upsert_table(
     spark, bucket = batch.sparkSession, bucket_column(buckets)
     columns = [c for c in batch.columns if c not in arrival or c in keys]
     latest = latest_per_key(batch, keys, arrival).select(*columns)
-    # Read several times below and must not change between the reads.
-    latest = staged(latest.withColumn(bucket, key_bucket(bucket_by or keys, buckets)), "upsert")
-    merged = latest
-    if exists(spark, path):
-        # At most accounts x buckets rows. The always-true filter is what makes
-        # the planner prune the stored partitions with this list at run time.
-        touched = latest.select("account_id", bucket).distinct().filter(F.col(bucket) >= 0)
-        stored = spark.read.parquet(path).join(touched, ["account_id", bucket], "left_semi")
-        merged = merge_rows(stored.select(*latest.columns), latest, keys)
-    # Rebalancing groups rows by partition and splits the groups that are large.
-    (
-        merged.hint("rebalance", "account_id", bucket)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("account_id", bucket)
-        .parquet(path)
-    )
+    with discarding(spark):
+        # Read several times below and must not change between the reads.
+        latest = staged(
+            latest.withColumn(bucket, key_bucket(bucket_by or keys, buckets)), "upsert"
+        )
+        merged = latest
+        if exists(spark, path):
+            # At most accounts x buckets rows. The always-true filter is what makes
+            # the planner prune the stored partitions with this list at run time.
+            touched = latest.select("account_id", bucket).distinct().filter(F.col(bucket) >= 0)
+            stored = spark.read.parquet(path).join(touched, ["account_id", bucket], "left_semi")
+            merged = merge_rows(stored.select(*latest.columns), latest, keys)
+        write_groups(merged, path, ["account_id", bucket])
 
 
 def merge_table(batch: DataFrame, table: str, keys: list[str], arrival: list[str]) -> None:
@@ -125,18 +110,13 @@ def _rewrite(rows: DataFrame, touched: DataFrame, path: str) -> None:
     that end up empty are removed afterwards.
     """
     spark, partition = rows.sparkSession, touched.columns
-    rows = staged(rows, "rewrite")
-    (
-        rows.hint("rebalance", *partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition)
-        .parquet(path)
-    )
-    emptied = touched.join(rows.select(*partition).distinct(), partition, "left_anti")
-    # One row per emptied partition: a list of folders, never of data.
-    for row in emptied.collect():
-        remove(spark, path + "".join(f"/{name}={row[name]}" for name in partition))
+    with discarding(spark):
+        rows = staged(rows, "rewrite")
+        write_groups(rows, path, partition)
+        emptied = touched.join(rows.select(*partition).distinct(), partition, "left_anti")
+        # One row per emptied partition: a list of folders, never of data.
+        for row in emptied.collect():
+            remove(spark, path + "".join(f"/{name}={row[name]}" for name in partition))
 
 
 def replace_accounts(rows: DataFrame, loaded: DataFrame, path: str) -> None:
@@ -157,18 +137,22 @@ def replace_details(
     """
     spark, bucket = rows.sparkSession, bucket_column(buckets)
     number = key_bucket(parent_keys, buckets)
-    parents = staged(parents.select(*parent_keys).distinct(), "parents")
-    touched = parents.withColumn(bucket, number).select("account_id", bucket).distinct()
-    merged = rows.withColumn(bucket, number)
-    if exists(spark, path):
-        pruning = touched.filter(F.col(bucket) >= 0)
-        stored = spark.read.parquet(path).join(pruning, ["account_id", bucket], "left_semi")
-        merged = replace_children(stored.select(*merged.columns), merged, parents, parent_keys)
-    _rewrite(merged, touched, path)
+    with discarding(spark):
+        parents = staged(parents.select(*parent_keys).distinct(), "parents")
+        touched = parents.withColumn(bucket, number).select("account_id", bucket).distinct()
+        merged = rows.withColumn(bucket, number)
+        if exists(spark, path):
+            pruning = touched.filter(F.col(bucket) >= 0)
+            stored = spark.read.parquet(path).join(pruning, ["account_id", bucket], "left_semi")
+            merged = replace_children(stored.select(*merged.columns), merged, parents, parent_keys)
+        _rewrite(merged, touched, path)
 
 
 def write_groups(rows: DataFrame, path: str, partition: list[str]) -> None:
-    """Write whole partitions; a repeat after a crash replaces what it left."""
+    """Write whole partitions; a repeat after a crash replaces what it left.
+
+    Rebalancing groups the rows by partition and splits the groups that are large.
+    """
     (
         rows.hint("rebalance", *partition)
         .write.mode("overwrite")

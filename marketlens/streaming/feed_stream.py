@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlens import schemas
 from marketlens.functions.dates import feed_instant
 from marketlens.operators import cursor, normalize
-from marketlens.session import staged
+from marketlens.session import discarding, staged
 from marketlens.sources.tables import DEFAULT_BUCKETS, finished_folders, upsert_table
 
 _CURSOR_SCHEMA = (
@@ -59,6 +59,13 @@ def load_batch(
     buckets: int = DEFAULT_BUCKETS,
 ) -> None:
     """One idempotent load of landed rows (account_id, page, position, fields)."""
+    with discarding(rows.sparkSession):
+        _load_batch(rows, batch_id, api_type, table_path, cursor_path, buckets)
+
+
+def _load_batch(
+    rows: DataFrame, batch_id: int, api_type: str, table_path: str, cursor_path: str, buckets: int
+) -> None:
     spark = rows.sparkSession
     to_table, key = _FEEDS[api_type]
     # Cursors this very batch wrote before a crash must not hide its rows.

@@ -19,6 +19,7 @@ from marketlens.plans.loads import (
     load_stock,
     load_supplies,
 )
+from marketlens.session import shared_dir
 from marketlens.sources import landed, tables
 from marketlens.streaming import feed_stream
 
@@ -209,6 +210,18 @@ def test_merge_needs_a_table_format(spark):
         spark.sql("drop table plain_orders")
 
 
+def test_loads_leave_nothing_staged(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    _accounts(store)
+    before = set(os.listdir(shared_dir(spark)))
+    load_settlement(store, _feed(spark, "finance_sales_report_details", [_line(1)]), "settlement_daily", _now())
+    load_supplies(store, _feed(spark, "supply_payloads", [{"supply": {"supplyID": 1}, "goods": [{"barcode": "a"}]}]))
+    feed_stream.load_batch(
+        _feed(spark, "orders", [_order(1, 1)]), 0, "orders", str(tmp_path / "table"), str(tmp_path / "cursor"), 2
+    )
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
 # ------------------------------------------------------------ streaming
 
 
