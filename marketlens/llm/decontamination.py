@@ -20,7 +20,7 @@ is found wherever it starts.
 
 Defined results: null texts are empty; documents and items of fewer than
 ``2 * WINDOW - 1`` template words never match; windows of fewer than two literal
-words are no evidence and join nothing; repeated rows count each; items of equal
+words are no evidence and join nothing; repeated rows count once; items of equal
 id and text count once; an empty table gives no rows. Only the named id and text
 columns are read.
 """
@@ -93,15 +93,15 @@ def _item_windows(items: DataFrame) -> DataFrame:
     )
 
 
-def _aligned() -> dict[str, Column]:
+def _met(hits: DataFrame) -> DataFrame:
     """Raw and template words of both sides where the alignment makes them meet."""
     first, item_first = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
-    length = F.least(F.size("words") - first, F.size("item_words") - item_first)
-    sides = {"doc_raw": "raw", "doc_words": "words"}
-    columns = {name: F.slice(side, first + 1, length) for name, side in sides.items()}
-    for side in ("item_raw", "item_words"):
-        columns["met_" + side] = F.slice(side, item_first + 1, length)
-    return columns | {"first": first}
+    length = F.least(F.size("doc_words") - first, F.size("item_words") - item_first)
+    cuts = {"doc_raw": first, "doc_words": first, "item_raw": item_first, "item_words": item_first}
+    sides = hits.withColumns({"doc_raw": F.split("raw", " "), "doc_words": F.split("words", " ")})
+    met = [F.slice(side, start + 1, length).alias(side) for side, start in cuts.items()]
+    size = F.size("item_words").alias("size")
+    return sides.select("doc_id", "text_key", "item_key", "item_id", "shift", first.alias("first"), size, *met)
 
 
 def _longest_run(same: Column) -> Column:
@@ -130,49 +130,53 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """One row per document row and item found in it at some alignment: doc_id,
+    """One row per document and item found in it at some alignment: doc_id,
     text_key, item_id, first_word (of the matching run, from 0), n_words (of the
     run), n_slots, changed (slots of other values than the item's)."""
     items = staged(_items(benchmark, item_id, item_text), "benchmark-items")
     windows = staged(_item_windows(items), "benchmark-windows")
-    if windows.count() <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key")
     )
     cut = F.regexp_extract_all("words", F.lit(rf"[^ ]+(?: [^ ]+){{{WINDOW - 1}}}"), F.lit(0))
-    found = with_words(docs, "text").select("text_key", F.posexplode(cut).alias("nth", "window"))
-    found = found.select("text_key", "nth", F.xxhash64("window").alias("hash"))
-    hits = found.join(windows, "hash").select(
-        "text_key", "item_key", (F.col("nth") * WINDOW - F.col("start")).alias("shift")
-    )
-    hits = staged(hits.distinct().join(items, "item_key").drop("item_key"), "benchmark-hits")
-    met = (
-        with_words(docs.join(hits, "text_key"), "text")
-        .withColumns({"words": F.split("words", " "), "raw": F.split("raw", " ")})
-        .select("doc_id", "text_key", "item_id", F.size("item_words").alias("size"), *(
-            c.alias(n) for n, c in _aligned().items()
-        ))
-    )
-    plain = [F.transform(side, lambda word: F.lower(F.ltrim(word, F.lit(_MARK)))) for side in ("doc_raw", "met_item_raw")]
+    found = with_words(docs, "text").select("*", F.posexplode(cut).alias("nth", "window"))
+    found = found.withColumn("hash", F.xxhash64("window"))
+    shift = (F.col("nth") * WINDOW - F.col("start")).alias("shift")
+    if windows.count() <= BROADCAST_WINDOWS:
+        # The words ride along: no text is shuffled, and few rows leave the join.
+        hits = found.join(F.broadcast(windows), "hash").select(
+            "doc_id", "text_key", "raw", "words", "item_key", shift
+        )
+        hits = hits.join(F.broadcast(items), "item_key")
+    else:
+        hits = found.select("text_key", "nth", "hash").join(windows, "hash")
+        hits = hits.select("text_key", "item_key", shift).distinct().join(items, "item_key")
+        hits = with_words(docs.join(staged(hits, "benchmark-hits"), "text_key"), "text")
+    met = _met(hits).dropDuplicates(["doc_id", "text_key", "item_key", "shift"])
+    plain = [
+        F.transform(side, lambda word: F.lower(F.ltrim(word, F.lit(_MARK)))) for side in ("doc_raw", "item_raw")
+    ]
     same = F.zip_with(
-        F.zip_with("doc_words", "met_item_words", lambda a, b: a == b),
+        F.zip_with("doc_words", "item_words", lambda a, b: a == b),
         F.zip_with(*plain, lambda a, b: a == b),
         lambda template, word: template | word,
     )
-    runs = met.withColumn("run", _longest_run(same)).withColumn(
-        "agree", F.size(F.filter(same, lambda equal: equal))
+    # Written in between: a filter pushed below would evaluate the arrays anew for each use.
+    runs = staged(met.withColumn("same", same), "benchmark-alignments")
+    runs = runs.withColumn("run", _longest_run(F.col("same"))).withColumn(
+        "agree", F.size(F.filter("same", lambda equal: equal))
     )
+    runs = staged(runs.drop("same"), "benchmark-runs")
     start = F.col("run.end") - F.col("run.best") + 1
     whole = F.arrays_zip(
         *(
             F.slice(side, start, F.col("run.best")).alias(name)
-            for name, side in (("kind", "met_item_words"), ("asked", "met_item_raw"), ("found", "doc_raw"))
+            for name, side in (("kind", "item_words"), ("asked", "item_raw"), ("found", "doc_raw"))
         )
     )
     slots = F.filter(whole, lambda word: word["kind"].startswith("<"))
     asked = F.transform("slots", lambda s: F.struct(s["kind"], s["asked"]))
-    checked = runs.withColumn("slots", slots).filter(
+    checked = staged(runs.withColumn("slots", slots), "benchmark-slots").filter(
         ((F.col("run.best") >= F.least(F.lit(RUN), "size")) | (F.col("agree") >= SHARE * F.col("size")))
         & (2 * F.size("slots") <= F.col("run.best"))
         & (F.size(F.array_distinct("slots")) == F.size(F.array_distinct(asked)))
@@ -194,7 +198,7 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaked = staged(contaminated(documents, benchmark).select("text_key").distinct(), "leaked-texts")
     names = documents.columns
     kept = documents.withColumn("_llm_text_key", text_key(documents["text"])).join(
-        leaked.withColumnRenamed("text_key", "_llm_text_key"), "_llm_text_key", "left_anti"
+        leaked.withColumnRenamed("text_key", "_llm_text_key").hint("merge"), "_llm_text_key", "left_anti"
     )
     return kept.select(*names)
 
