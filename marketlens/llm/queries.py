@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketlens.llm import chat, decontamination
+from marketlens.llm import chat, decontamination, simhash
 
 _OPERATORS = [
+    simhash.op3_simhash_near_dedup,
     decontamination.op7_benchmark_decontamination,
     chat.op9_chat_formatting,
 ]
