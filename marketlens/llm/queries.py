@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketlens.llm import chat, decontamination, simhash
+from marketlens.llm import chat, decontamination, simhash, substrings
 
 _OPERATORS = [
+    substrings.op6_substring_dedup,
     simhash.op3_simhash_near_dedup,
     decontamination.op7_benchmark_decontamination,
     chat.op9_chat_formatting,
