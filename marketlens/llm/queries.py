@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from marketlens.llm import chat, decontamination, simhash, substrings
+from marketlens.llm import chat, decontamination, language, licenses, quality, simhash, substrings
 
 _OPERATORS = [
+    licenses.op2_license_scan,
+    quality.op5_quality_classifier,
+    language.op8_language_id,
     substrings.op6_substring_dedup,
     simhash.op3_simhash_near_dedup,
     decontamination.op7_benchmark_decontamination,
