@@ -85,9 +85,13 @@ def _cluster(vectors: np.ndarray, rounds: int = 8) -> np.ndarray:
 def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float = 0.3) -> LanguageModel:
     """Learns from rows (key, text, lang). ``key`` only decides which are taken; at
     most ``rows_per_language`` rows of a language reach the driver, as counts."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "text")
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_language)
+    rows = rows.withColumn("hash", F.xxhash64("key", "text"))
+    order = Window.partitionBy("lang").orderBy("hash")
+    # Languages and hashes alone are shuffled; the few taken are broadcast to the texts.
+    taken = rows.select("lang", "hash", F.row_number().over(order).alias("nth"))
+    taken = taken.filter(F.col("nth") <= rows_per_language).select("lang", "hash").distinct()
+    rows = rows.join(F.broadcast(taken), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
