@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from marketlens.llm import chat, decontamination, language, licenses, quality, simhash, substrings
+from marketlens.llm import (
+    chat,
+    decontamination,
+    language,
+    licenses,
+    neighbours,
+    packing,
+    pages,
+    quality,
+    simhash,
+    substrings,
+)
 
 _OPERATORS = [
+    neighbours.op1_nearest_neighbours,
+    pages.op4_html_extraction,
+    packing.op10_best_fit_packing,
     licenses.op2_license_scan,
     quality.op5_quality_classifier,
     language.op8_language_id,
