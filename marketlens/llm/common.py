@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +52,12 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
 def text_key(text: Column) -> Column:
     """Identity of a text: equal for equal texts, and for null and the empty one."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def kept_in_process(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker and used by its later tasks
+    too. Functions that travel by value have no module of their own to keep it in."""
+    holder = sys.modules.setdefault("marketlens_kept", types.ModuleType("marketlens_kept")).__dict__
+    if name not in holder:
+        holder[name] = make()
+    return holder[name]

@@ -30,19 +30,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import staged, table
+from marketlens.llm.common import kept_in_process, staged, table
 
 END_ID = 1
-_CACHED_CHUNKS = 300_000
+_CACHED_CHUNKS = 700_000
+_TEXTS_AT_ONCE = 64
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
 class IdEncoder:
-    """Ids of a text as little-endian unsigned 32-bit numbers.
+    """Ids of texts as little-endian unsigned 32-bit numbers.
 
     The vocabulary drops white space and never joins across it, so a text's ids are
-    those of its chunks; each chunk is encoded once.
+    those of its chunks, and each chunk is encoded once. It does not join letters with
+    punctuation either, so a word of letters alone shares its ids with the same word
+    before a full stop or in capitals. Such words are encoded many at a time: each ends
+    with the first id that closes a word.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,18 +55,55 @@ class IdEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        vocabulary = self._tokenizer.get_vocab()
+        self._closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._closes[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
 
-    def encode(self, text: str | None) -> bytes:
-        chunks = (text or "").encode().split()
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, dtype="<u4") for one in encoded]
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        known = self._known
+        words: dict[bytes, tuple[str, str]] = {}
+        others = {tail for tail in (b".", b",") if tail not in known}
+        listed = list(chunks)
+        joined = b"\n".join(listed).decode()
+        # Two letters whose small form depends on their place or is no single letter.
+        odd = "\u03a3" in joined or "\u0130" in joined
+        for chunk, text in zip(listed, (joined if odd else joined.lower()).split("\n"), strict=True):
+            core = text.rstrip(".,")
+            if core.isalpha() and len(text) - len(core) <= 1 and not (odd and ("\u03a3" in core or "\u0130" in core)):
+                words[chunk] = (core, text[len(core) :])
+            else:
+                others.add(chunk)
+        plain = list(others)
+        for chunk, ids in zip(plain, self._ids([chunk.decode() for chunk in plain]), strict=True):
+            known[chunk] = ids.tobytes()
+        cores = [core for core in {core for core, _ in words.values()} if core.encode() not in known]
+        ids = self._ids([" ".join(cores)])[0]
+        ends = np.flatnonzero(self._closes[ids]) + 1
+        if len(ends) != len(cores):  # a letter that the vocabulary takes for something else
+            found = [own.tobytes() for own in self._ids(cores)]
+        else:
+            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        known.update(zip([core.encode() for core in cores], found, strict=True))
+        for chunk, (core, tail) in words.items():
+            own = known[core.encode()]
+            known[chunk] = own + known[tail.encode()] if tail else own
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split = [(text or "").encode().split() for text in texts]
         if len(self._known) > _CACHED_CHUNKS:
             self._known.clear()
         known = self._known
-        new = [chunk for chunk in set(chunks) if chunk not in known]
-        encoded = self._tokenizer.encode_batch([chunk.decode() for chunk in new], add_special_tokens=False)
-        for chunk, ids in zip(new, encoded, strict=True):
-            known[chunk] = np.array(ids.ids, dtype="<u4").tobytes()
-        return b"".join([known[chunk] for chunk in chunks]) + np.array([END_ID], dtype="<u4").tobytes()
+        new = set().union(*split).difference(known)
+        if new:
+            self._learn(new)
+        end = np.array([END_ID], dtype="<u4").tobytes()
+        return [b"".join([known[chunk] for chunk in chunks]) + end for chunks in split]
 
 
 def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -70,15 +111,16 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = IdEncoder(tokenizer)
+        encoder = kept_in_process(f"ids:{tokenizer}", lambda: IdEncoder(tokenizer))
         for batch in batches:
             rows, at = [], []
-            for n, text in enumerate(batch["text"]):
-                ids = encoder.encode(text)
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((piece, start, len(part) // 4, zlib.crc32(part)))
-                    at.append(n)
+            texts = batch["text"].tolist()
+            for first in range(0, len(texts), _TEXTS_AT_ONCE):
+                for n, ids in enumerate(encoder.encode(texts[first : first + _TEXTS_AT_ONCE]), first):
+                    for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
+                        part = ids[4 * start : 4 * (start + capacity)]
+                        rows.append((piece, start, len(part) // 4, zlib.crc32(part)))
+                        at.append(n)
             found = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
             found.insert(0, "doc_id", batch["doc_id"].iloc[at].to_numpy())
             yield found
