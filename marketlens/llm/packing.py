@@ -27,13 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import kept_in_process, staged, table
 
 END_ID = 1
-_CACHED_CHUNKS = 700_000
+_CACHED_CHUNKS = 1_500_000
 _TEXTS_AT_ONCE = 64
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -66,7 +67,9 @@ class IdEncoder:
 
     def _learn(self, chunks: set[bytes]) -> None:
         known = self._known
-        words: dict[bytes, tuple[str, str]] = {}
+        words: list[bytes] = []  # chunks that are a word and perhaps one mark
+        cores: list[bytes] = []
+        tails: list[bytes] = []
         others = {tail for tail in (b".", b",") if tail not in known}
         listed = list(chunks)
         joined = b"\n".join(listed).decode()
@@ -75,24 +78,25 @@ class IdEncoder:
         for chunk, text in zip(listed, (joined if odd else joined.lower()).split("\n"), strict=True):
             core = text.rstrip(".,")
             if core.isalpha() and len(text) - len(core) <= 1 and not (odd and ("\u03a3" in core or "\u0130" in core)):
-                words[chunk] = (core, text[len(core) :])
+                words.append(chunk)
+                cores.append(core.encode())
+                tails.append(chunk[-1:] if len(core) < len(text) else b"")
             else:
                 others.add(chunk)
         plain = list(others)
         for chunk, ids in zip(plain, self._ids([chunk.decode() for chunk in plain]), strict=True):
             known[chunk] = ids.tobytes()
-        cores = [core for core in {core for core, _ in words.values()} if core.encode() not in known]
-        ids = self._ids([" ".join(cores)])[0]
+        new = list(set(cores).difference(known))
+        ids = self._ids([b" ".join(new).decode()])[0]
         ends = np.flatnonzero(self._closes[ids]) + 1
-        if len(ends) != len(cores):  # a letter that the vocabulary takes for something else
-            found = [own.tobytes() for own in self._ids(cores)]
+        if len(ends) != len(new):  # a letter that the vocabulary takes for something else
+            found = [own.tobytes() for own in self._ids([core.decode() for core in new])]
         else:
             raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
             found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        known.update(zip([core.encode() for core in cores], found, strict=True))
-        for chunk, (core, tail) in words.items():
-            own = known[core.encode()]
-            known[chunk] = own + known[tail.encode()] if tail else own
+        known.update(zip(new, found, strict=True))
+        for chunk, core, tail in zip(words, cores, tails, strict=True):
+            known[chunk] = known[core] + known[tail] if tail else known[core]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(text or "").encode().split() for text in texts]
@@ -285,7 +289,9 @@ def packed_sequences(
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     within = Window.partitionBy("part", "length").orderBy("doc_id", "piece")
-    numbered = cut.withColumn("nth", F.row_number().over(within) - 1).join(starts, ["part", "length"])
+    numbered = cut.withColumn("nth", F.row_number().over(within) - 1).join(
+        starts.hint("merge"), ["part", "length"]
+    )
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:
@@ -298,7 +304,5 @@ def packed_sequences(
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
-    import public_tokenizers
-
     path = public_tokenizers.path("word_bpe_49k.json")
     return packed_sequences(table(spark, sf_dir, "documents"), tokenizer=path, capacity=4096)
