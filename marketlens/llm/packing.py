@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import kept_in_process, staged, table
 
 END_ID = 1
-_CACHED_CHUNKS = 1_500_000
+_CACHED_CHUNKS = 500_000
 _TEXTS_AT_ONCE = 64
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
