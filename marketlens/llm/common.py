@@ -49,6 +49,16 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, in a session that hands at most 8 MB at a time to Python: texts may be
+    long, and default batches of them take much of an executor's memory."""
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+    conf = rows.sparkSession.conf
+    if int(conf.get(key).rstrip("bB")) > most:
+        conf.set(key, str(most))
+    return rows
+
+
 def text_key(text: Column) -> Column:
     """Identity of a text: equal for equal texts, and for null and the empty one."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

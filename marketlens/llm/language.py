@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import table
+from marketlens.llm.common import small_batches, table
 
 DIMENSIONS = 1 << 13
 CENTROIDS = 3
@@ -85,7 +85,7 @@ def _cluster(vectors: np.ndarray, rounds: int = 8) -> np.ndarray:
 def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float = 0.3) -> LanguageModel:
     """Learns from rows (key, text, lang). ``key`` only decides which are taken; at
     most ``rows_per_language`` rows of a language reach the driver, as counts."""
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = small_batches(labelled).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("hash", F.xxhash64("key", "text"))
     order = Window.partitionBy("lang").orderBy("hash")
     # Languages and hashes alone are shuffled; the few taken are broadcast to the texts.
@@ -139,7 +139,7 @@ def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text")
         return pd.DataFrame(rows, columns=["lang_pred", "score", "rejected"])
 
     names = documents.columns
-    found = documents.withColumn("_llm_language", nearest(F.col(text)))
+    found = small_batches(documents).withColumn("_llm_language", nearest(F.col(text)))
     return found.select(*names, *(f"_llm_language.{name}" for name in ("lang_pred", "score", "rejected")))
 
 

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import table
+from marketlens.llm.common import small_batches, table
 
 # Phrases whose places are counted, and their labels.
 PHRASES = {
@@ -152,7 +152,7 @@ def scan(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
             found = pd.DataFrame(rows, columns=["n_words", "phrases", "notices"], index=batch.index)
             yield pd.concat([batch[["doc_id"]], found], axis=1)
 
-    chosen = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    chosen = small_batches(documents).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return chosen.mapInPandas(scanned, schema)
 
 

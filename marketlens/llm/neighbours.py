@@ -96,10 +96,10 @@ class Block:
                 return found
         return np.arange(self.ranks.shape[1])
 
-    def nearest(self, queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
+    def nearest(self, queries: np.ndarray, own: np.ndarray, rows: np.ndarray, order: tuple, k: int):
         """For each query the positions and scores of its ``k`` nearest in the block."""
         least = min(len(rows), max(k + 1, math.ceil(self.share * len(rows))))
-        order_of = np.where(np.isnan(ids), np.inf, ids)
+        unnamed, ids = order
         for start in range(0, len(queries), 64):
             part = slice(start, start + 64)
             first, width = self.windows(queries[part])
@@ -110,7 +110,7 @@ class Block:
                 if len(found) > k:
                     worst = np.partition(scores, len(scores) - k)[len(scores) - k]
                     found, scores = found[scores >= worst], scores[scores >= worst]
-                best = np.lexsort((order_of[found], -scores))[:k]
+                best = np.lexsort((ids[found], unnamed[found], -scores))[:k]
                 yield found[best], scores[best]
 
 
@@ -141,7 +141,8 @@ def nearest_neighbours(
     """Rows (query_id, rank, vec_id, score): the ``k`` nearest rows of each query row,
     by largest inner product, the query's own row left out."""
     rows = vectors.select(
-        F.col(vec_id).cast("long").alias("vec_id"),
+        F.coalesce(F.col(vec_id).cast("long"), F.lit(0)).alias("vec_id"),
+        F.col(vec_id).isNotNull().alias("named"),
         F.col(embedding).cast("array<double>").alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
@@ -163,10 +164,10 @@ def nearest_neighbours(
     all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     all_query_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1))
     indexed = dealt.select(
-        "size", "longest", "vec_id", "row", "v", block.alias("block"), all_query_blocks.alias("query_block")
+        "size", "longest", "vec_id", "named", "row", "v", block.alias("block"), all_query_blocks.alias("query_block")
     )
     asking = dealt.filter("asks").select(
-        *(F.col(name).alias(name) for name in ("size", "vec_id", "row", "v")),  # columns of its own
+        *(F.col(name).alias(name) for name in ("size", "vec_id", "named", "row", "v")),  # columns of its own
         query_block.alias("query_block"),
         all_blocks.alias("block"),
     )
@@ -174,27 +175,28 @@ def nearest_neighbours(
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         answers = []
         if len(asked) and len(held):
-            ids = held["vec_id"].to_numpy(dtype=float)  # only to order ties
+            ids, named = held["vec_id"].to_numpy(), held["named"].to_numpy()
             built = Block(np.stack(held["v"].to_list()), float(held["longest"].iloc[0]), collisions, share)
             queries = np.stack(asked["v"].to_list())
-            found = built.nearest(queries, asked["row"].to_numpy(), held["row"].to_numpy(), ids, k)
-            known = held["vec_id"].astype("Int64").to_numpy()
+            found = built.nearest(queries, asked["row"].to_numpy(), held["row"].to_numpy(), (~named, ids), k)
             block = int(held["block"].iloc[0])
-            for row, query_id, (at, scores) in zip(asked["row"], asked["vec_id"], found, strict=True):
+            asking = zip(asked["row"], asked["vec_id"], asked["named"], found, strict=True)
+            for row, query_id, query_named, (at, scores) in asking:
                 pairs = [
-                    {"vec_id": None if known[n] is pd.NA else int(known[n]), "score": float(s)}
+                    {"vec_id": int(ids[n]) if named[n] else None, "score": float(s)}
                     for n, s in zip(at, scores, strict=True)
                 ]
-                answers.append((row, query_id, block, pairs))
-        return pd.DataFrame(answers, columns=["row", "query_id", "block", "found"])
+                answers.append((row, query_id, query_named, block, pairs))
+        return pd.DataFrame(answers, columns=["row", "query_id", "named", "block", "found"])
 
     keys = ["size", "query_block", "block"]
-    schema = "row long, query_id long, block long, found array<struct<vec_id: long, score: double>>"
+    schema = "row long, query_id long, named boolean, block long, found array<struct<vec_id: long, score: double>>"
     answers = asking.groupBy(*keys).cogroup(indexed.groupBy(*keys)).applyInPandas(search, schema)
     answers = answers.withColumn("part", F.floor(F.col("block") / 64))
-    answers = _merged(answers, ["row", "query_id", "part"], k)
-    answers = _merged(answers, ["row", "query_id"], k)
-    return answers.select("query_id", F.posexplode("found").alias("nth", "near")).select(
+    answers = _merged(answers, ["row", "query_id", "named", "part"], k)
+    answers = _merged(answers, ["row", "query_id", "named"], k)
+    query_id = F.when(F.col("named"), F.col("query_id")).alias("query_id")
+    return answers.select(query_id, F.posexplode("found").alias("nth", "near")).select(
         "query_id", (F.col("nth") + 1).alias("rank"), "near.vec_id", "near.score"
     )
 

@@ -31,8 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import staged, table
+from marketlens.llm.common import small_batches, staged, table
 
+#: Elements nested deeper become siblings, as browsers have it too.
+_DEEPEST = 200
 #: Reference pages up to this many characters in all are broadcast.
 BROADCAST_CHARACTERS = 16_000_000
 # Element names of HTML.
@@ -129,7 +131,7 @@ def parse(page: str) -> Node:
         inside = "article" in tags or "main" in tags
         node = Node(tag, _is_furniture(tag, token["attributes"], inside))
         stack[-1].children.append(node)
-        if tag not in _VOID and not token["attributes"].endswith("/"):
+        if tag not in _VOID and not token["attributes"].endswith("/") and len(stack) < _DEEPEST:
             stack.append(node)
             tags.append(tag)
     if at < len(page):
@@ -300,7 +302,7 @@ def extracted(
     """``pages`` with ``text``, the main text, and ``n_template``, the number of text
     nodes that the host's template holds on this page."""
     host = F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    read = pages.withColumns(
+    read = small_batches(pages).withColumns(
         {"_llm_host": F.when(host != "", host), "_llm_html": F.coalesce(F.col(html), F.lit(""))}
     )
     references = _references(read.select("_llm_host", "_llm_html"))

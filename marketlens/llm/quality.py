@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import table
+from marketlens.llm.common import small_batches, table
 from marketlens.llm.language import held_out
 
 WORD_DIMENSIONS = 1 << 12
@@ -171,7 +171,7 @@ def fit(labelled: DataFrame, *, fit_rows: int = 6000, rank: int = 8) -> Factoris
             )
 
     schema = "at array<int>, x array<float>, stats array<float>, label int"
-    rows = labelled.limit(fit_rows).mapInPandas(inputs, schema).toPandas()
+    rows = small_batches(labelled).limit(fit_rows).mapInPandas(inputs, schema).toPandas()
     if rows["label"].nunique() < 2:
         return None
     rows["order"] = [zlib.crc32(np.asarray(s).tobytes()) for s in rows["stats"]]
@@ -217,7 +217,7 @@ def scored(documents: DataFrame, model: FactorisationMachine | None, *, text: st
         "batches": Iterator[tuple[pd.Series, pd.Series]],
         "return": Iterator[pd.Series],
     }
-    return documents.withColumn("score", F.pandas_udf(probabilities, "double")(*_texts(documents, text)))
+    return small_batches(documents).withColumn("score", F.pandas_udf(probabilities, "double")(*_texts(documents, text)))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import staged, table
+from marketlens.llm.common import small_batches, staged, table
 
 _BASE = 0x9E3779B97F4A7C15
 #: Hashes of that many distinct words are kept in a task at a time.
@@ -151,7 +151,7 @@ def repeated_windows(documents: DataFrame, *, text: str = "text", length: int =
     """One row per distinct text that loses words: its two key columns, ``copies``,
     and ``starts``, where windows begin that also start elsewhere in other texts or
     again in this one (no entry is needed for a text with copies)."""
-    texts = documents.select(*_identity(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = small_batches(documents).select(*_identity(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = "_llm_k1 long, _llm_k2 long, halves array<long>, own array<long>"
     halves = texts.mapInPandas(lambda batches: _halves_of(batches, length), schema)
     classes = halves.groupBy(*_KEYS).agg(
