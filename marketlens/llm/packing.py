@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import kept_in_process, small_batches, staged, table
 
 END_ID = 1
-_CACHED_CHUNKS = 500_000
+_CACHED_CHUNKS = 800_000
 _TEXTS_AT_ONCE = 64
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -98,6 +98,9 @@ class IdEncoder:
         for chunk, core, tail in zip(words, cores, tails, strict=True):
             known[chunk] = known[core] + known[tail] if tail else known[core]
 
+    def forget(self) -> None:
+        self._known = {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(text or "").encode().split() for text in texts]
         if len(self._known) > _CACHED_CHUNKS:
@@ -128,6 +131,7 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
             found = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
             found.insert(0, "doc_id", batch["doc_id"].iloc[at].to_numpy())
             yield found
+        encoder.forget()  # the worker lives on, for other stages too
 
     chosen = small_batches(documents).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return chosen.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -30,7 +30,7 @@ from marketlens.llm.common import small_batches, table
 from marketlens.llm.language import held_out
 
 WORD_DIMENSIONS = 1 << 12
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 200_000
 _BYTES = np.arange(256)
 _CLASSES = {
     "upper": (_BYTES >= 65) & (_BYTES <= 90),
