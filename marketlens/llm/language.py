@@ -125,8 +125,8 @@ def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text")
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
         rows = []
-        for start in range(0, len(texts), 256):
-            counts = [ngram_counts(t) for t in texts.iloc[start : start + 256]]
+        for start in range(0, len(texts), 64):
+            counts = [ngram_counts(t) for t in texts.iloc[start : start + 64]]
             known = [k for k, c in enumerate(counts) if c is not None and model.languages]
             block = [("und", 0.0, True)] * len(counts)
             if known:

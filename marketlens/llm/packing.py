@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import bisect
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import kept_in_process, small_batches, staged, table
 
 END_ID = 1
-_CACHED_CHUNKS = 800_000
+_CACHED_CHUNKS = 400_000
+_KEPT_CHUNKS = 100_000
 _TEXTS_AT_ONCE = 64
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -52,17 +55,24 @@ class IdEncoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        # The same model for words that need no more than to be told apart.
+        self._of_words = Tokenizer.from_file(path)
+        self._of_words.encode_special_tokens = True
+        self._of_words.normalizer = normalizers.Sequence([])
+        self._of_words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         vocabulary = self._tokenizer.get_vocab()
         self._closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._closes[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        encoded = (tokenizer or self._tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4") for one in encoded]
 
     def _learn(self, chunks: set[bytes]) -> None:
@@ -87,7 +97,9 @@ class IdEncoder:
         for chunk, ids in zip(plain, self._ids([chunk.decode() for chunk in plain]), strict=True):
             known[chunk] = ids.tobytes()
         new = list(set(cores).difference(known))
-        ids = self._ids([b" ".join(new).decode()])[0]
+        text = b" ".join(new).decode()
+        clean = not odd and unicodedata.is_normalized("NFC", text)
+        ids = self._ids([text], self._of_words if clean else None)[0]
         ends = np.flatnonzero(self._closes[ids]) + 1
         if len(ends) != len(new):  # a letter that the vocabulary takes for something else
             found = [own.tobytes() for own in self._ids([core.decode() for core in new])]
@@ -99,7 +111,8 @@ class IdEncoder:
             known[chunk] = known[core] + known[tail] if tail else known[core]
 
     def forget(self) -> None:
-        self._known = {}
+        """Keeps the words met first, among which the frequent ones are."""
+        self._known = dict(islice(self._known.items(), _KEPT_CHUNKS))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(text or "").encode().split() for text in texts]

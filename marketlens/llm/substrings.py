@@ -34,7 +34,7 @@ from marketlens.llm.common import small_batches, staged, table
 
 _BASE = 0x9E3779B97F4A7C15
 #: Hashes of that many distinct words are kept in a task at a time.
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 100_000
 
 
 class WindowHashes:
