@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import kept_in_process, small_batches, staged, table
 
 END_ID = 1
-_CACHED_CHUNKS = 400_000
+_CACHED_CHUNKS = 900_000
 _KEPT_CHUNKS = 100_000
 _TEXTS_AT_ONCE = 64
 
