@@ -69,8 +69,9 @@ def run_status(rows_written: Column) -> Column:
 
 
 def progress_report(rows: DataFrame, advanced: DataFrame, configs: DataFrame) -> DataFrame:
-    """Per feed: rows read and kept, status, and whether it is stuck, that is a
-    full batch came and nothing in it lies behind the cursor."""
+    """Per feed, of one fetched page that starts at the cursor: rows read and kept,
+    status, and whether it is stuck, that is the page is full and nothing in it lies
+    behind the cursor. For a whole landed history this is no test."""
     read = rows.groupBy(*FEED).agg(F.count("*").alias("rows_read"))
     limits = configs.select(*FEED, "batch_limit")
     joined = advanced.join(read, FEED, "left").join(limits, FEED, "left")
@@ -85,11 +86,12 @@ def progress_report(rows: DataFrame, advanced: DataFrame, configs: DataFrame) ->
 
 
 def require_progress(report: DataFrame) -> None:
-    """Fail when any feed is stuck: reading on would repeat the batch for ever."""
-    stuck = report.filter("stuck").select(*FEED).limit(1).collect()
+    """Fail when any feed is stuck: reading on would repeat the page for ever. The
+    report has one row per feed."""
+    stuck = sorted(tuple(row) for row in report.filter("stuck").select(*FEED).collect())
     if stuck:
-        account, api = stuck[0]
-        raise RuntimeError(f"cursor did not advance for account_id={account} api_type={api}")
+        named = "; ".join(f"account_id={account} api_type={api}" for account, api in stuck)
+        raise RuntimeError(f"cursor did not advance for {named}")
 
 
 # ------------------------------------------------------------ settlement window

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -36,18 +34,12 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is accepted only when Spark itself runs inside one
-    process (``local[...]``), as in tests.
+    Where that is unset, a folder of the warehouse, which they share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = os.path.join(tempfile.gettempdir(), "marketlens-shared")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoint"
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:

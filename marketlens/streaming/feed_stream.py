@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlens import schemas
 from marketlens.functions.dates import feed_instant
 from marketlens.operators import cursor, normalize
+from marketlens.plans.loads import movement_batch
 from marketlens.session import discarding, staged
 from marketlens.sources.tables import DEFAULT_BUCKETS, finished_folders, upsert_table
 
@@ -28,8 +29,8 @@ _CURSOR_SCHEMA = (
 )
 _BATCH = "batch="
 _FEEDS = {
-    "orders": (normalize.normalize_orders, normalize.order_key),
-    "sales": (normalize.normalize_sales, normalize.sale_key),
+    "orders": normalize.order_key,
+    "sales": normalize.sale_key,
 }
 _ARRIVAL = ["page", "position"]
 
@@ -67,7 +68,7 @@ def _load_batch(
     rows: DataFrame, batch_id: int, api_type: str, table_path: str, cursor_path: str, buckets: int
 ) -> None:
     spark = rows.sparkSession
-    to_table, key = _FEEDS[api_type]
+    key = _FEEDS[api_type]
     # Cursors this very batch wrote before a crash must not hide its rows.
     before = read_cursors(spark, cursor_path, batch_id)
     marked = rows.withColumns(
@@ -80,7 +81,7 @@ def _load_batch(
     kept = cursor.rows_after_cursor(marked, before, "row_at", "row_key")
     kept = staged(kept, "feed-batch")
     upsert_table(
-        to_table(kept, keep=_ARRIVAL), table_path, schemas.KEYS[api_type], _ARRIVAL, buckets
+        movement_batch(kept, api_type), table_path, schemas.KEYS[api_type], _ARRIVAL, buckets
     )
     new_feeds = kept.select(*cursor.FEED).distinct().join(before, cursor.FEED, "left_anti")
     feeds = before.unionByName(new_feeds, allowMissingColumns=True)
@@ -88,7 +89,7 @@ def _load_batch(
     # One folder per batch: a repeated batch overwrites its own cursors only.
     (
         moved.select(*cursor.FEED, "cursor_timestamp", "cursor_key")
-        .coalesce(1)
+        .repartition(1)  # one row per feed; what makes them runs in many tasks
         .write.mode("overwrite")
         .parquet(f"{cursor_path}/{_BATCH}{batch_id}")
     )

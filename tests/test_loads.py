@@ -200,16 +200,6 @@ def test_lines_of_a_report_share_a_bucket(spark, tmp_path):
     assert stored.groupBy("report_id").agg(F.countDistinct("bucket_of_4").alias("n")).filter("n > 1").count() == 0
 
 
-def test_merge_needs_a_table_format(spark):
-    rows = spark.createDataFrame([(1, "k", 0)], "account_id bigint, record_key string, position int")
-    spark.sql("create table if not exists plain_orders (account_id bigint, record_key string) using parquet")
-    try:
-        with pytest.raises(Exception, match="MERGE"):
-            tables.merge_table(rows, "plain_orders", ["account_id", "record_key"], ["position"])
-    finally:
-        spark.sql("drop table plain_orders")
-
-
 def test_loads_leave_nothing_staged(spark, tmp_path):
     store = _store(spark, tmp_path)
     _accounts(store)
