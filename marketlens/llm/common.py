@@ -50,9 +50,9 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(rows: DataFrame) -> DataFrame:
-    """``rows``, in a session that hands at most 8 MB at a time to Python: texts may be
+    """``rows``, in a session that hands at most 2 MB at a time to Python: texts may be
     long, and default batches of them take much of an executor's memory."""
-    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
     conf = rows.sparkSession.conf
     if int(conf.get(key).rstrip("bB")) > most:
         conf.set(key, str(most))

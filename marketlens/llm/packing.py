@@ -25,7 +25,6 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,6 @@ from marketlens.llm.common import kept_in_process, small_batches, staged, table
 
 END_ID = 1
 _CACHED_CHUNKS = 900_000
-_KEPT_CHUNKS = 100_000
 _TEXTS_AT_ONCE = 64
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -111,8 +109,8 @@ class IdEncoder:
             known[chunk] = known[core] + known[tail] if tail else known[core]
 
     def forget(self) -> None:
-        """Keeps the words met first, among which the frequent ones are."""
-        self._known = dict(islice(self._known.items(), _KEPT_CHUNKS))
+        """A few words kept would hold on to most of the memory of all."""
+        self._known = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [(text or "").encode().split() for text in texts]
