@@ -356,11 +356,19 @@ KEYS = {
     "accounts": ["account_code"],
 }
 
-# What decides a row's storage bucket, where that is not its whole key: lines of
-# one report lie together, so a load touches the buckets of its reports only.
-BUCKET_BY = {
-    "settlement_daily": ["account_id", "report_id"],
-    "settlement_weekly": ["account_id", "report_id"],
+# Tables that loads add to, and the key by which a load replaces earlier rows: a row's
+# own key where it is upserted, else what owns the rows.
+LOADED = {
+    **{
+        name: KEYS[name]
+        for name in (
+            "orders", "sales", "settlement_daily", "settlement_weekly", "supplies", "supply_details"
+        )
+    },
+    "stock": ["account_id"],
+    "supply_goods": ["account_id", "supply_key"],
+    "supply_packages": ["account_id", "supply_key"],
+    "supply_package_barcodes": ["account_id", "supply_key"],
 }
 
 # The feed types.

@@ -1,133 +1,147 @@
-"""Stored tables: Parquet folders with a declared schema and a hash layout.
+"""Stored tables: Parquet folders that a load only adds to.
 
-An upserted table is partitioned by account and by a hash bucket of its natural
-key. A batch then rewrites only the buckets its keys fall into, a hot account is
-spread over all buckets, and readers of one account prune the rest.
+A loaded table is a folder of folders:
+
+``load=<n>``      the rows of load ``n``, each with ``_order``: what decides between
+                  two versions of a row (load number, then arrival)
+``replaced=<n>``  for loads that replace: the keys whose earlier rows no longer count
+``base=<n>``      the rows in force after load ``n``, by account
+
+A folder counts once Spark has written its ``_SUCCESS``, as the last thing. No load
+rewrites or removes a folder, so one that dies leaves the table as it was, and its
+cost does not depend on the size of the table. Reading merges the loads since the
+base into it; when they are few the planner broadcasts them and the base is not
+moved. ``compact`` makes a new base, as often as reads should be cheap. One load or
+compaction of a table runs at a time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlens import schemas
-from marketlens.operators.merge import latest_per_key, merge_rows, replace_children
-from marketlens.session import discarding, files_at, remove, staged
-
-DEFAULT_BUCKETS = 64
-
+from marketlens.operators.lookup import lookup
+from marketlens.operators.merge import latest_per_key, merge_rows
+from marketlens.session import files_at, remove
 
-def bucket_column(buckets: int) -> str:
-    """The number of buckets is in the name: a table written with another number
-    has no such column, so a load with the wrong one fails."""
-    return f"bucket_of_{buckets}"
+_ORDER = T.StructField("_order", T.ArrayType(T.LongType()))
 
 
-def key_bucket(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+def folders(spark: SparkSession, path: str) -> list[str]:
+    files, target = files_at(spark, path)
+    if not files.exists(target):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(target)]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there any data? Markers, whose names start with _ or ., do not count."""
-    files, target = files_at(spark, path)
-    if not files.exists(target):
-        return False
-    return any(s.getPath().getName()[0] not in "_." for s in files.listStatus(target))
+    return any(name[0] not in "_." for name in folders(spark, path))
 
 
 def finished_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders under ``path`` whose write was committed."""
-    files, target = files_at(spark, path)
-    if not files.exists(target):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(target)]
+    files, _ = files_at(spark, path)
+    names = folders(spark, path)
     return [n for n in names if files.exists(files_at(spark, f"{path}/{n}/_SUCCESS")[1])]
 
 
+def numbered(names: list[str], kind: str) -> list[int]:
+    """The numbers of the folders ``<kind>=<n>``, ascending."""
+    start = f"{kind}="
+    return sorted(int(name.removeprefix(start)) for name in names if name.startswith(start))
+
+
+def next_number(spark: SparkSession, path: str) -> int:
+    """Number of the next load; that of one that died is not used again."""
+    names = folders(spark, path)
+    return 1 + max([0, *(n for kind in ("load", "replaced", "base") for n in numbered(names, kind))])
+
+
+def _since_base(spark: SparkSession, path: str) -> tuple[int, list[int]]:
+    """Number of the newest base (0: none) and the finished loads after it."""
+    names = finished_folders(spark, path)
+    base = max([0, *numbered(names, "base")])
+    return base, [n for n in numbered(names, "load") if n > base]
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A stored table; an absent one reads as empty."""
+    """The rows of a table in force; an absent table reads as empty."""
     schema = schemas.TABLES[name]
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    if name not in schemas.LOADED:
+        if not exists(spark, path):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    base, loads = _since_base(spark, path)
+    stored = spark.createDataFrame([], schema)
+    if base:
+        stored = spark.read.schema(schema).parquet(f"{path}/base={base}").select(*schema.names)
+    if not loads:
+        return stored
+    added = spark.read.schema(T.StructType([*schema.fields, _ORDER]))
+    rows = added.parquet(*(f"{path}/load={n}" for n in loads))
+    keys = schemas.LOADED[name]
+    if keys == schemas.KEYS.get(name):
+        latest = latest_per_key(rows, keys, ["_order"]).select(*schema.names)
+        return merge_rows(stored, latest, keys) if base else latest
+    replaced = spark.read.parquet(*(f"{path}/replaced={n}" for n in loads))
+    last = replaced.groupBy(*keys).agg(F.max("_load").alias("_load"))
+    in_force = lookup(
+        rows.withColumn("_load", F.element_at("_order", 1)), last, [*keys, "_load"], "left_semi"
+    )
+    kept = lookup(stored, last, keys, "left_anti")
+    return kept.unionByName(in_force.select(*schema.names))
+
+
+def _order(number: int, arrival: list[str]) -> Column:
+    parts = [F.lit(number).cast("bigint"), *(F.col(c).cast("bigint") for c in arrival)]
+    return F.array(*parts).alias("_order")
 
 
 def upsert_table(
-    batch: DataFrame,
-    path: str,
-    keys: list[str],
-    arrival: list[str],
-    buckets: int = DEFAULT_BUCKETS,
-    bucket_by: list[str] | None = None,
+    batch: DataFrame, path: str, keys: list[str], arrival: list[str], order: int | None = None
 ) -> None:
     """Insert or overwrite rows by key; the last arrival of a key wins.
 
-    Reads and rewrites only the (account, bucket) partitions the batch touches.
-    ``bucket_by`` (default: the key) names the key columns a bucket depends on.
-    A repeat of the same batch leaves the table as it is, so a run that died
-    half way is repaired by running it again.
+    Later loads win over earlier ones. Loads that are given the same ``order`` count
+    as parts of one, so that among them arrival alone decides. A repeat of the
+    same batch leaves the table as it is.
     """
-    spark, bucket = batch.sparkSession, bucket_column(buckets)
+    number = next_number(batch.sparkSession, path)
     columns = [c for c in batch.columns if c not in arrival or c in keys]
-    latest = latest_per_key(batch, keys, arrival).select(*columns)
-    with discarding(spark):
-        # Read several times below and must not change between the reads.
-        latest = staged(
-            latest.withColumn(bucket, key_bucket(bucket_by or keys, buckets)), "upsert"
-        )
-        merged = latest
-        if exists(spark, path):
-            # At most accounts x buckets rows. The always-true filter is what makes
-            # the planner prune the stored partitions with this list at run time.
-            touched = latest.select("account_id", bucket).distinct().filter(F.col(bucket) >= 0)
-            stored = spark.read.parquet(path).join(touched, ["account_id", bucket], "left_semi")
-            merged = merge_rows(stored.select(*latest.columns), latest, keys)
-        write_groups(merged, path, ["account_id", bucket])
-
-
-def _rewrite(rows: DataFrame, touched: DataFrame, path: str) -> None:
-    """Make ``rows`` the whole content of the ``touched`` partitions.
-
-    Dynamic overwrite leaves a partition alone that has no new rows, so those
-    that end up empty are removed afterwards.
-    """
-    spark, partition = rows.sparkSession, touched.columns
-    with discarding(spark):
-        rows = staged(rows, "rewrite")
-        write_groups(rows, path, partition)
-        emptied = touched.join(rows.select(*partition).distinct(), partition, "left_anti")
-        # One row per emptied partition: a list of folders, never of data.
-        for row in emptied.collect():
-            remove(spark, path + "".join(f"/{name}={row[name]}" for name in partition))
-
-
-def replace_accounts(rows: DataFrame, loaded: DataFrame, path: str) -> None:
-    """Replace the whole snapshot of every loaded account, also by nothing."""
-    _rewrite(rows, loaded.select("account_id").distinct(), path)
-
-
-def replace_details(
-    rows: DataFrame,
-    parents: DataFrame,
-    path: str,
-    parent_keys: list[str],
-    buckets: int = DEFAULT_BUCKETS,
-) -> None:
-    """Replace the detail rows of every parent in ``parents``, also by nothing.
-
-    Details lie in their parent's bucket, so only touched buckets are read.
-    """
-    spark, bucket = rows.sparkSession, bucket_column(buckets)
-    number = key_bucket(parent_keys, buckets)
-    with discarding(spark):
-        parents = staged(parents.select(*parent_keys).distinct(), "parents")
-        touched = parents.withColumn(bucket, number).select("account_id", bucket).distinct()
-        merged = rows.withColumn(bucket, number)
-        if exists(spark, path):
-            pruning = touched.filter(F.col(bucket) >= 0)
-            stored = spark.read.parquet(path).join(pruning, ["account_id", bucket], "left_semi")
-            merged = replace_children(stored.select(*merged.columns), merged, parents, parent_keys)
-        _rewrite(merged, touched, path)
+    latest = latest_per_key(batch, keys, arrival)
+    latest.select(*columns, _order(order or number, arrival)).write.parquet(f"{path}/load={number}")
+
+
+def replace_rows(rows: DataFrame, replaced: DataFrame, path: str, keys: list[str]) -> None:
+    """Make ``rows`` all there is of every key in ``replaced``, also where there are none."""
+    number = next_number(rows.sparkSession, path)
+    gone = replaced.select(*keys, F.lit(number).cast("bigint").alias("_load")).distinct()
+    gone.write.parquet(f"{path}/replaced={number}")
+    rows.select(*rows.columns, _order(number, [])).write.parquet(f"{path}/load={number}")
+
+
+def compact(spark: SparkSession, path: str, name: str) -> None:
+    """Make the rows in force the new base. What the base before it needs stays until
+    the next compaction, for those who read it. Afterwards arrival decides no more
+    between a row of the base and a load: compact when no stream is amid a run."""
+    base, loads = _since_base(spark, path)
+    if not loads:
+        return
+    target = f"{path}/base={loads[-1]}"
+    rows = read_table(spark, path, name).hint("rebalance", "account_id")
+    # Overwrites at most what a compaction that died has left.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("account_id").parquet(target)
+    names = folders(spark, path)
+    for old in [f"base={n}" for n in numbered(names, "base") if n < base]:
+        remove(spark, f"{path}/{old}")
+    for kind in ("load", "replaced"):
+        for number in numbered(names, kind):
+            if number <= base:
+                remove(spark, f"{path}/{kind}={number}")
 
 
 def write_groups(rows: DataFrame, path: str, partition: list[str]) -> None:

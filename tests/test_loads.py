@@ -40,7 +40,7 @@ def _feed(spark, feed, rows, page=0):
 
 
 def _store(spark, tmp_path):
-    return Store(spark, str(tmp_path / "store"), buckets=4)
+    return Store(spark, str(tmp_path / "store"))
 
 
 def _order(n, price, when="2026-05-03T10:00:00Z", **more):
@@ -62,40 +62,75 @@ def test_orders_load_is_repeatable(spark, tmp_path):
         expected = found
 
 
-def test_an_upsert_leaves_untouched_buckets_alone(spark, tmp_path):
+def _files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names}
+
+
+def test_a_load_touches_no_stored_file(spark, tmp_path):
     store = _store(spark, tmp_path)
     load_movements(store, _feed(spark, "orders", [_order(n, n) for n in range(40)]), "orders")
+    store.compact()
     path = store.path("orders")
+    before = {f: os.stat(f).st_mtime_ns for f in _files(path)}
+    load_movements(store, _feed(spark, "orders", [_order(n, 7) for n in range(0, 60, 2)]), "orders")
+    assert {f: os.stat(f).st_mtime_ns for f in _files(path) if f in before} == before
+    assert len(_files(path)) > len(before)
 
-    def files():
-        return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
-    before = files()
-    load_movements(store, _feed(spark, "orders", [_order(3, 5)]), "orders")
-    after = files()
-    rewritten = {os.path.dirname(f) for f in before - after}
-    assert len(rewritten) == 1 and len(before & after) == len(before) - len(before - after)
+def _prices(store, table="orders"):
+    return {(r.account_id, r.record_key): int(r.total_price) for r in store.read(table).collect()}
 
 
-def test_another_number_of_buckets_is_refused(spark, tmp_path):
+def test_a_load_that_dies_leaves_the_old_table(spark, tmp_path):
+    """Killed after the data and before the mark of a finished write."""
     store = _store(spark, tmp_path)
-    load_movements(store, _feed(spark, "orders", [_order(1, 1)]), "orders")
-    with pytest.raises(Exception, match="bucket_of_8"):
-        load_movements(Store(spark, store.root, buckets=8), _feed(spark, "orders", [_order(1, 2)]), "orders")
+    load_movements(store, _feed(spark, "orders", [_order(1, 1), _order(2, 2)]), "orders")
+    load_movements(store, _feed(spark, "orders", [_order(2, 20), _order(3, 30)]), "orders")
+    os.remove(f"{store.path('orders')}/load=2/_SUCCESS")
+    assert _prices(store) == {(1, "s1"): 1, (1, "s2"): 2}
+    load_movements(store, _feed(spark, "orders", [_order(2, 21)]), "orders")
+    assert sorted(n for n in os.listdir(store.path("orders"))) == ["load=1", "load=2", "load=3"]
+    assert _prices(store) == {(1, "s1"): 1, (1, "s2"): 21}
 
 
-def test_stored_partitions_are_pruned(spark, tmp_path, monkeypatch):
+def test_compaction_changes_no_row_and_may_die(spark, tmp_path):
     store = _store(spark, tmp_path)
-    rows = [_order(n, n) for n in range(40)]
-    load_movements(store, _feed(spark, "orders", rows), "orders")
-    seen = []
-    original = tables.merge_rows
-    monkeypatch.setattr(
-        tables, "merge_rows", lambda stored, latest, keys: seen.append(stored) or original(stored, latest, keys)
-    )
-    load_movements(store, _feed(spark, "orders", rows[:1]), "orders")
-    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
+    expected = {}
+    for load in range(4):
+        rows = [_order(n, 10 * n + load, account_id=n % 3) for n in range(load, 12, load + 1)]
+        load_movements(store, _feed(spark, "orders", rows), "orders")
+        expected |= {(n % 3, f"s{n}"): 10 * n + load for n in range(load, 12, load + 1)}
+        if load % 2:
+            store.compact()
+        assert _prices(store) == expected
+    path = store.path("orders")
+    # The base before and the loads after it stay for those who read them.
+    assert sorted(os.listdir(path)) == ["base=2", "base=4", "load=3", "load=4"]
+    store.compact()  # nothing new: nothing happens
+    assert sorted(os.listdir(path)) == ["base=2", "base=4", "load=3", "load=4"]
+    os.remove(f"{path}/base=4/_SUCCESS")
+    assert _prices(store) == expected
+    store.compact()
+    assert _prices(store) == expected and os.path.exists(f"{path}/base=4/_SUCCESS")
+    types = [(f.name, f.dataType) for f in store.read("orders").schema]
+    assert types == [(f.name, f.dataType) for f in schemas.ORDERS_TABLE]
+
+
+def test_parts_of_one_load_are_ordered_by_arrival_alone(spark, tmp_path):
+    keys, arrival = schemas.KEYS["orders"], ["page", "position"]
+    path = str(tmp_path / "table")
+    for page in (2, 0, 1):
+        rows = normalize.normalize_orders(_feed(spark, "orders", [_order(1, page)], page), arrival)
+        tables.upsert_table(rows, path, keys, arrival, order=5)
+    assert [int(r.total_price) for r in tables.read_table(spark, path, "orders").collect()] == [2]
+
+
+def test_one_account_is_read_from_its_own_files(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    load_movements(store, _feed(spark, "orders", [_order(n, n, account_id=n % 2) for n in range(4)]), "orders")
+    store.compact()
+    plan = store.read("orders").filter("account_id = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(account_id" in plan
 
 
 def _line(n, **more):
@@ -166,6 +201,7 @@ def test_stock_load_replaces_and_clears(spark, tmp_path):
     assert sorted((r.account_id, r.quantity) for r in store.read("stock").collect()) == [
         (1, 2), (1, 3), (1, 4), (2, 5), (3, 6),
     ]
+    store.compact()
     load_stock(store, _feed(spark, "warehouse_remains", [stock(1, "X", 9)]), accounts(1, 2))
     assert sorted((r.account_id, r.warehouse_name, r.quantity) for r in store.read("stock").collect()) == [
         (1, "X", 9), (3, "W", 6),
@@ -181,6 +217,7 @@ def test_supplies_load(spark, tmp_path):
 
     first = [payload(n, ["a", "a"], ["P"], {"warehouseID": n}) for n in range(1, 6)]
     load_supplies(store, _feed(spark, "supply_payloads", first))
+    store.compact()
     again = [payload(1, ["b"]), payload(2, []), payload(7, ["c"], ["Q"])]
     for _ in range(2):
         load_supplies(store, _feed(spark, "supply_payloads", again, 1))
@@ -192,14 +229,6 @@ def test_supplies_load(spark, tmp_path):
         assert sorted(r.warehouse_id for r in store.read("supply_details").collect()) == [1, 2, 3, 4, 5]
 
 
-def test_lines_of_a_report_share_a_bucket(spark, tmp_path):
-    store = _store(spark, tmp_path)
-    lines = [_line(n, reportId=n % 3) for n in range(30)]
-    load_settlement(store, _feed(spark, "finance_sales_report_weekly", lines), "settlement_weekly", _now())
-    stored = spark.read.parquet(store.path("settlement_weekly"))
-    assert stored.groupBy("report_id").agg(F.countDistinct("bucket_of_4").alias("n")).filter("n > 1").count() == 0
-
-
 def test_loads_leave_nothing_staged(spark, tmp_path):
     store = _store(spark, tmp_path)
     _accounts(store)
@@ -207,7 +236,7 @@ def test_loads_leave_nothing_staged(spark, tmp_path):
     load_settlement(store, _feed(spark, "finance_sales_report_details", [_line(1)]), "settlement_daily", _now())
     load_supplies(store, _feed(spark, "supply_payloads", [{"supply": {"supplyID": 1}, "goods": [{"barcode": "a"}]}]))
     feed_stream.load_batch(
-        _feed(spark, "orders", [_order(1, 1)]), 0, "orders", str(tmp_path / "table"), str(tmp_path / "cursor"), 2
+        _feed(spark, "orders", [_order(1, 1)]), 0, "orders", str(tmp_path / "table"), str(tmp_path / "cursor")
     )
     assert set(os.listdir(shared_dir(spark))) == before
 
@@ -222,14 +251,14 @@ def _land(folder, rows, page):
         out.write("\n".join(lines))
 
 
-def _stream(spark, tmp_path, folder, checkpoint="checkpoint"):
+def _stream(spark, tmp_path, folder, checkpoint="checkpoint", max_files=1, **options):
     run = feed_stream.start_load(
-        landed.stream_feed(spark, folder, "orders", max_files=1),
+        landed.stream_feed(spark, folder, "orders", max_files=max_files),
         "orders",
         str(tmp_path / "table"),
         str(tmp_path / "cursor"),
         str(tmp_path / checkpoint),
-        buckets=2,
+        **options,
     )
     run.awaitTermination()
     rows = tables.read_table(spark, str(tmp_path / "table"), "orders").collect()
@@ -281,12 +310,62 @@ def test_stream_equals_batch(spark, tmp_path):
     assert streamed == {(r.account_id, r.record_key): int(r.total_price) for r in rows}
 
 
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_the_size_of_batches_decides_nothing(spark, tmp_path, max_files):
+    """Pages land out of order, an earlier change in a later file, a row without a date."""
+    folder = str(tmp_path / "landed")
+    days = {2: "2026-05-04", 0: "2026-05-02", 1: "2026-05-03", 3: "2026-05-01"}
+    for place, (page, day) in enumerate(days.items()):
+        _land(folder, [_order(n, 10 * page + n, f"{day}T00:00:00Z") for n in range(page, 6)], page)
+        stamp = time.time() - 100 + place
+        os.utime(f"{folder}/page-{page}.json", (stamp, stamp))
+    expected = {(1, f"s{n}"): 10 * min(n, 3) + n for n in range(6)}
+    assert _stream(spark, tmp_path, folder, max_files=max_files) == expected
+    assert _cursor(spark, tmp_path) == {1: ("04 00:00", "s5")}
+    assert len([n for n in os.listdir(tmp_path / "cursor") if n.startswith("batch=")]) <= 2
+    if max_files == 1:
+        _land(folder, [_order(1, 1, None)], 9)
+        with pytest.raises(Exception, match="last_change_date"):
+            _stream(spark, tmp_path, folder)
+
+
+def test_a_run_that_goes_on_keeps_its_starting_cursors(spark, tmp_path):
+    folder = str(tmp_path / "landed")
+    _land(folder, [_order(1, 1, "2026-05-04T00:00:00Z")], 0)
+    died = []
+
+    def load(rows, batch_id, *args, **options):
+        if batch_id == 1 and not died:
+            died.append(batch_id)
+            raise RuntimeError("lost")
+        feed_stream.load_batch(rows, batch_id, *args, **options)
+
+    _stream(spark, tmp_path, folder, load=load)
+    time.sleep(1.1)
+    _land(folder, [_order(2, 2, "2026-05-06T00:00:00Z")], 1)
+    stamp = time.time() + 5
+    _land(folder, [_order(3, 3, "2026-05-05T00:00:00Z"), _order(4, 4, "2026-05-03T00:00:00Z")], 2)
+    os.utime(f"{folder}/page-2.json", (stamp, stamp))
+    with pytest.raises(Exception, match="lost"):
+        _stream(spark, tmp_path, folder, load=load)
+    after = _stream(spark, tmp_path, folder, load=load, resumed=True)
+    assert after == {(1, "s1"): 1, (1, "s2"): 2, (1, "s3"): 3}
+
+
+def test_feeds_without_cursor_start_where_told(spark, tmp_path):
+    folder = str(tmp_path / "landed")
+    _land(folder, [_order(1, 1, "2026-03-04T00:00:00Z"), _order(2, 2, "2026-05-04T00:00:00Z")], 0)
+    starts = spark.sql("select 1L account_id, 'orders' api_type, timestamp'2026-05-01 00:00:00' cursor_timestamp, "
+                       "cast(null as string) cursor_key")
+    assert _stream(spark, tmp_path, folder, starts=starts) == {(1, "s2"): 2}
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     table, cursor = str(tmp_path / "table"), str(tmp_path / "cursor")
     rows = _feed(spark, "orders", [_order(n, n) for n in range(5)])
     seen = []
     for _ in range(2):
-        feed_stream.load_batch(rows, 0, "orders", table, cursor, buckets=2)
+        feed_stream.load_batch(rows, 0, "orders", table, cursor)
         stored = tables.read_table(spark, table, "orders")
         seen.append((sorted(r.record_key for r in stored.collect()), feed_stream.read_cursors(spark, cursor).count()))
     assert seen[0] == seen[1] == ([f"s{n}" for n in range(5)], 1)
@@ -296,6 +375,6 @@ def test_crash_between_rows_and_cursor_is_repaired(spark, tmp_path):
     table, cursor = str(tmp_path / "table"), str(tmp_path / "cursor")
     rows = _feed(spark, "orders", [_order(n, n) for n in range(5)])
     batch = normalize.normalize_orders(rows, ["page", "position"])
-    tables.upsert_table(batch, table, schemas.KEYS["orders"], ["page", "position"], 2)
-    feed_stream.load_batch(rows, 0, "orders", table, cursor, buckets=2)
+    tables.upsert_table(batch, table, schemas.KEYS["orders"], ["page", "position"])
+    feed_stream.load_batch(rows, 0, "orders", table, cursor)
     assert tables.read_table(spark, table, "orders").count() == 5

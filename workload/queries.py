@@ -755,9 +755,9 @@ def stored_orders(spark, sf_dir):
     rows = normalize.normalize_orders(fx.order_feed(spark, sf_dir), fx.ORDER_ARRIVAL)
     path = new_run_dir(spark, "orders-table")
     keys = schemas.KEYS["orders"]
-    tables.upsert_table(rows.filter("page <> 1"), path, keys, fx.ORDER_ARRIVAL, buckets=2)
+    tables.upsert_table(rows.filter("page <> 1"), path, keys, fx.ORDER_ARRIVAL)
     for _ in range(2):
-        tables.upsert_table(rows.filter("page = 1"), path, keys, fx.ORDER_ARRIVAL, buckets=2)
+        tables.upsert_table(rows.filter("page = 1"), path, keys, fx.ORDER_ARRIVAL)
     return tables.read_table(spark, path, "orders").select(
         "account_id", "record_key", "last_change_date", "total_price", "srid"
     )
@@ -778,7 +778,6 @@ def streamed_orders(spark, sf_dir):
         f"{folder}/table",
         f"{folder}/cursor",
         f"{folder}/checkpoint",
-        buckets=2,
     )
     run.awaitTermination()
     return tables.read_table(spark, f"{folder}/table", "orders").select(
