@@ -141,13 +141,13 @@ def identify_supplies(rows: DataFrame, prefix: str = "") -> DataFrame:
     ).filter(F.col("supply_key").isNotNull())
 
 
-_IDENTITY = ("account_id", "supply_key", "supply_id", "preorder_id")
+IDENTITY = ("account_id", "supply_key", "supply_id", "preorder_id")
 
 
 def normalize_supplies(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
     """Supply headers from identified payloads (``supply`` struct)."""
     return payloads.select(
-        *_IDENTITY,
+        *IDENTITY,
         *_columns(schemas.SUPPLY, "supply.", skip=("supplyID", "preorderID")),
         _raw(schemas.SUPPLY, "supply."),
         _stamp(now),
@@ -158,7 +158,7 @@ def normalize_supplies(payloads: DataFrame, keep=(), now: Column | None = None)
 def normalize_supply_details(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
     """Supply details; an absent or empty details object gives no row."""
     return payloads.filter(_has_detail()).select(
-        *_IDENTITY,
+        *IDENTITY,
         *_columns(schemas.SUPPLY_DETAIL, "details."),
         _raw(schemas.SUPPLY_DETAIL, "details."),
         _stamp(now),
@@ -169,7 +169,7 @@ def normalize_supply_details(payloads: DataFrame, keep=(), now: Column | None =
 def normalize_supply_goods(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
     goods = payloads.select("*", F.explode("goods").alias("good")).filter(F.col("good").isNotNull())
     return goods.select(
-        *_IDENTITY,
+        *IDENTITY,
         *_columns(schemas.SUPPLY_GOOD, "good."),
         _raw(schemas.SUPPLY_GOOD, "good."),
         _stamp(now),

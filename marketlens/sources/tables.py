@@ -106,13 +106,14 @@ def upsert_table(
     """Insert or overwrite rows by key; the last arrival of a key wins.
 
     Later loads win over earlier ones. Loads that are given the same ``order`` count
-    as parts of one, so that among them arrival alone decides. A repeat of the
-    same batch leaves the table as it is.
+    as parts of one, so that among them arrival (whole numbers) alone decides. A
+    repeat of the same batch leaves the table as it is.
     """
     number = next_number(batch.sparkSession, path)
     columns = [c for c in batch.columns if c not in arrival or c in keys]
     latest = latest_per_key(batch, keys, arrival)
-    latest.select(*columns, _order(order or number, arrival)).write.parquet(f"{path}/load={number}")
+    version = _order(number, []) if order is None else _order(order, arrival)
+    latest.select(*columns, version).write.parquet(f"{path}/load={number}")
 
 
 def replace_rows(rows: DataFrame, replaced: DataFrame, path: str, keys: list[str]) -> None:
