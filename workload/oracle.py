@@ -1213,8 +1213,8 @@ select table_name, check_name, cast(violations as bigint) as violations from rep
 
 # ------------------------------------------------------------ stored tables
 
-for _name in ("stored_orders", "streamed_orders"):
-    # Pages 0 and 2, then page 1; the stream takes all pages at once.
+for _name in ("stored_orders", "streamed_orders", "streamed_pages"):
+    # Pages 0 and 2, then page 1; a stream's batches count as one load.
     _load = "case when page = 1 then 1 else 0 end" if _name == "stored_orders" else "0"
     add(
         _name,
@@ -1228,3 +1228,97 @@ for _name in ("stored_orders", "streamed_orders"):
         at="last_change_date",
         money="total_price",
     )
+
+add(
+    "stored_sales",
+    [
+        _SALE_ROWS,
+        "loads as (select *, l_linenumber = 1 as load from sale_rows)",
+        _newest("loads", "account_id record_key", "load " + " ".join(fx.SALE_ARRIVAL), "result"),
+    ],
+    "result",
+    as_is="account_id record_key nm_id",
+    at="last_change_date",
+    money="total_price for_pay",
+)
+
+# ------------------------------------------------------------ runs
+
+_OUTCOME = {"as_is": "account_id", "int": "rows_written stored succeeded failed", "at": "cursor_timestamp"}
+
+
+def _per_account(rows: str, columns: str) -> str:
+    """Every account, also one without rows."""
+    return (
+        "result as (select a.id as account_id, "
+        f"{columns} from accounts a left join {rows} r on r.account_id = a.id group by a.id)"
+    )
+
+
+add(
+    "change_runs",
+    [
+        ACCOUNTS,
+        _ORDER_ROWS,
+        _per_account(
+            "order_rows",
+            "count(r.account_id) as rows_written, count(distinct r.record_key) as stored, "
+            "case when a.id = 4 then 2 else 3 end as succeeded, case when a.id = 4 then 1 else 0 end as failed, "
+            "max(r.last_change_date) as cursor_timestamp",
+        ),
+    ],
+    "result",
+    **_OUTCOME,
+)
+add(
+    "weekly_run",
+    [
+        ACCOUNTS,
+        _RAW_LINES,
+        _per_account(
+            "raw_lines",
+            "count(r.account_id) as rows_written, count(distinct (r.report_id, r.rrd_id)) filter (r.rrd_id is not null) "
+            "as stored, 2 as succeeded, 0 as failed, timestamp '2026-06-01 20:59:59' as cursor_timestamp",
+        ),
+    ],
+    "result",
+    **_OUTCOME,
+)
+_KEPT_STOCK = "((r.account_id = 5) = (r.l_linestatus = 'F')) and r.account_id <> 4"
+add(
+    "stock_run",
+    [
+        ACCOUNTS,
+        _STOCK_ROWS,
+        _per_account(
+            "stock_rows",
+            "count(*) filter (r.l_linestatus = 'F' or r.account_id <= 3) as rows_written, "
+            f"count(*) filter (r.nm_id is null and {_KEPT_STOCK}) + count(distinct (r.nm_id, r.barcode, r.tech_size, "
+            f"r.warehouse_name)) filter (r.nm_id is not null and {_KEPT_STOCK}) as stored, "
+            "case when a.id = 5 then 1 else 2 end as succeeded, 0 as failed, "
+            "case when a.id = 5 then timestamp '2026-06-01 12:00:00' else timestamp '2026-06-02 12:00:00' end "
+            "as cursor_timestamp",
+        ),
+    ],
+    "result",
+    **_OUTCOME,
+)
+add(
+    "supplies_run",
+    [
+        ACCOUNTS,
+        """listed as (
+    select o_orderkey % 10 - o_orderkey % 2 as account_id,
+        case when o_orderkey % 9 > 0 then 'supply:' || cast(o_orderkey - o_orderkey % 2 as string)
+             when o_orderkey % 27 > 0 then 'preorder:' || cast(o_orderkey as string) end as supply_key
+    from orders
+    where o_orderkey % 8 between 1 and 6 and o_orderdate >= timestamp '1995-01-01 00:00:00')""",
+        _per_account(
+            "listed",
+            "count(distinct r.supply_key) as stored, 1 as succeeded, 0 as failed, "
+            "timestamp '2026-06-01 20:59:59' as cursor_timestamp",
+        ),
+    ],
+    "result",
+    **(_OUTCOME | {"int": "stored succeeded failed"}),
+)

@@ -18,7 +18,8 @@ from marketlens import schemas
 from marketlens.functions.dates import feed_instant, feed_midnight, request_text, week_start
 from marketlens.operators import checks, control, cost, cursor, normalize, reports, supplies
 from marketlens.operators.merge import first_per_key, latest_per_key, replace_snapshot, upsert
-from marketlens.plans import facts, identity, prices, settlement
+from marketlens.plans import facts, identity, prices, runs, settlement
+from marketlens.plans.loads import Store
 from marketlens.session import new_run_dir, staged
 from marketlens.sources import landed, tables
 from marketlens.streaming import feed_stream
@@ -783,3 +784,127 @@ def streamed_orders(spark, sf_dir):
     return tables.read_table(spark, f"{folder}/table", "orders").select(
         "account_id", "record_key", "last_change_date", "total_price", "srid"
     )
+
+
+@query("stored_sales")
+def stored_sales(spark, sf_dir):
+    """Sales in two loads, the first lines of orders last, with a compaction in between."""
+    rows = normalize.normalize_sales(fx.sale_feed(spark, sf_dir), fx.SALE_ARRIVAL)
+    path = new_run_dir(spark, "sales-table")
+    for condition in ("l_linenumber > 1", "l_linenumber = 1"):
+        tables.upsert_table(rows.filter(condition), path, schemas.KEYS["sales"], fx.SALE_ARRIVAL)
+        if ">" in condition:
+            tables.compact(spark, path, "sales")
+    return tables.read_table(spark, path, "sales").select(
+        "account_id", "record_key", "last_change_date", "total_price", "for_pay", "nm_id"
+    )
+
+
+@query("streamed_pages")
+def streamed_pages(spark, sf_dir):
+    """Landed JSON as a stream, two files a batch: the last page lands first."""
+    folder = new_run_dir(spark, "pages-stream")
+    feed = fx.order_feed(spark, sf_dir)
+    for page in (2, 0, 1):
+        feed.filter(F.col("page") == page).repartition(2).write.mode("append").json(f"{folder}/landed")
+    run = feed_stream.start_load(
+        landed.stream_feed(spark, f"{folder}/landed", "orders", max_files=2),
+        "orders",
+        f"{folder}/table",
+        f"{folder}/cursor",
+        f"{folder}/checkpoint",
+    )
+    run.awaitTermination()
+    return tables.read_table(spark, f"{folder}/table", "orders").select(
+        "account_id", "record_key", "last_change_date", "total_price", "srid"
+    )
+
+
+# ------------------------------------------------------------ runs
+
+
+def _run_configs(spark: SparkSession, sf_dir: str, api_type: str) -> DataFrame:
+    return _feed_limits(spark, sf_dir).withColumns(
+        {"api_type": F.lit(api_type), "enabled": F.lit(True), "lookback_days": F.lit(20000)}
+    )
+
+
+def _outcomes(store: Store, rows: DataFrame) -> DataFrame:
+    """Per account: what its runs wrote and how they ended, where its cursor is, and
+    ``rows`` of it that are stored."""
+    ended = control.run_ledger(store.read("run_events")).groupBy("account_id").agg(
+        F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written"),
+        F.count_if(F.col("status") == "success").alias("succeeded"),
+        F.count_if(F.col("status") == "error").alias("failed"),
+    )
+    state = runs.current_state(store).select("account_id", "cursor_timestamp")
+    counted = rows.groupBy("account_id").agg(F.count("*").alias("stored"))
+    joined = ended.join(state, "account_id").join(counted, "account_id", "left")
+    return joined.fillna(0, ["stored"])
+
+
+@query("change_runs")
+def change_runs(spark, sf_dir):
+    """Three runs over one growing folder: orders before 1997, where every row of account 4
+    lacks its date; then all; then nothing new, though far above the batch limit."""
+    store = Store(spark, new_run_dir(spark, "change-runs"))
+    feed = fx.order_feed(spark, sf_dir)
+    dateless = F.expr("if(account_id = 4, null, lastChangeDate)")
+    early = feed.filter(feed_instant(F.col("lastChangeDate")) < at("1997-01-01 00:00:00"))
+    configs = _run_configs(spark, sf_dir, "orders")
+    offered = (early.withColumn("lastChangeDate", dateless), feed, feed)
+    for minute, landed_rows in enumerate(offered):
+        runs.run_changes(store, landed_rows, configs, "orders", at(f"2026-06-01 12:0{minute}:00"))
+    return _outcomes(store, store.read("orders"))
+
+
+@query("weekly_run")
+def weekly_run(spark, sf_dir):
+    """Reports of even number, then all: the second run loads the others alone."""
+    store = Store(spark, new_run_dir(spark, "weekly-run"))
+    feed = fx.settlement_feed(spark, sf_dir).withColumns(
+        {"page": F.lit(0).cast("bigint"), "position": F.xxhash64(*fx.LINE_ARRIVAL)}
+    )
+    listed = feed.groupBy("account_id", "reportId").agg(
+        F.min("dateFrom").alias("dateFrom"), F.max("dateTo").alias("dateTo"), F.max("createDate").alias("createDate")
+    )
+    configs = _run_configs(spark, sf_dir, "finance_sales_report_weekly")
+    for reports_listed in (listed.filter("reportId % 2 = 0"), listed):
+        runs.run_weekly(store, reports_listed, feed, configs, at(NOW))
+    return _outcomes(store, store.read("settlement_weekly"))
+
+
+@query("stock_run")
+def stock_run(spark, sf_dir):
+    """All accounts are answered once, then accounts 1-4, of which 4 has nothing left."""
+    store = Store(spark, new_run_dir(spark, "stock-run"))
+    feed = fx.stock_feed(spark, sf_dir).withColumns(
+        {"page": F.col("l_orderkey"), "position": F.xxhash64(*fx.STOCK_ARRIVAL)}
+    )
+    configs = _run_configs(spark, sf_dir, "warehouse_remains")
+    everyone = configs.select("account_id")
+    runs.run_stock(store, feed.filter("l_linestatus = 'F'"), everyone, configs, at(NOW))
+    later = feed.filter("l_linestatus <> 'F' and account_id <= 3")
+    runs.run_stock(store, later, everyone.filter("account_id <> 5"), configs, at("2026-06-02 12:00:00"))
+    return _outcomes(store, store.read("stock"))
+
+
+@query("supplies_run")
+def supplies_run(spark, sf_dir):
+    """The supplies of the list since 1995, with what was fetched for each."""
+    store = Store(spark, new_run_dir(spark, "supplies-run"))
+    feed = fx.supply_feed(spark, sf_dir).withColumn("page", F.lit(0).cast("bigint"))
+    arrival = ["account_id", "page", "position"]
+    keyed = normalize.identify_supplies(feed, "supply.").select(*arrival, "supply_key", "details", "goods", "packages")
+    days = F.datediff(F.lit(NOW).cast("date"), F.lit("1995-01-01").cast("date"))
+    configs = _run_configs(spark, sf_dir, "fbw_supplies").withColumn("lookback_days", days)
+    runs.run_supplies(
+        store,
+        feed.select(*arrival, "supply.*"),
+        keyed.select(*arrival, "supply_key", "details.*"),
+        keyed.select(*arrival, "supply_key", F.inline("goods")),
+        keyed.select(*arrival, "supply_key", F.inline("packages")),
+        configs,
+        at(NOW),
+    )
+    return _outcomes(store, store.read("supplies")).drop("rows_written")
