@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import sys
 import types
 import uuid
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +73,12 @@ def kept_in_process(name: str, make: Callable[[], Any]) -> Any:
     if name not in holder:
         holder[name] = make()
     return holder[name]
+
+
+def give_back_memory() -> None:
+    """Called when a task's Python ends: hands freed memory to the system. The worker
+    lives on for the next stages, which share the executor's memory with it."""
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import small_batches, table
+from marketlens.llm.common import give_back_memory, small_batches, table
 
 DIMENSIONS = 1 << 13
 CENTROIDS = 3
@@ -98,6 +98,7 @@ def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float
             found = [(lang, ngram_counts(text)) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
             found = [(lang, np.flatnonzero(c), c[c > 0]) for lang, c in found if c is not None]
             yield pd.DataFrame(found, columns=["lang", "at", "n"])
+        give_back_memory()
 
     sample = rows.select("lang", "text").mapInPandas(counted, "lang string, at array<int>, n array<int>").collect()
     sample.sort(key=lambda row: (row["lang"], row["at"], row["n"]))
@@ -122,7 +123,6 @@ def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float
 def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:
     """``documents`` with ``lang_pred``, ``score`` (the cosine, 0 to 1) and ``rejected``."""
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def nearest(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for start in range(0, len(texts), 64):
@@ -138,8 +138,14 @@ def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text")
             rows += block
         return pd.DataFrame(rows, columns=["lang_pred", "score", "rejected"])
 
+    @F.pandas_udf("lang_pred string, score double, rejected boolean")
+    def identified(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield nearest(texts)
+        give_back_memory()
+
     names = documents.columns
-    found = small_batches(documents).withColumn("_llm_language", nearest(F.col(text)))
+    found = small_batches(documents).withColumn("_llm_language", identified(F.col(text)))
     return found.select(*names, *(f"_llm_language.{name}" for name in ("lang_pred", "score", "rejected")))
 
 

@@ -32,7 +32,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import kept_in_process, small_batches, staged, table
+from marketlens.llm.common import give_back_memory, kept_in_process, small_batches, staged, table
 
 END_ID = 1
 _CACHED_CHUNKS = 900_000
@@ -143,6 +143,7 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
             found.insert(0, "doc_id", batch["doc_id"].iloc[at].to_numpy())
             yield found
         encoder.forget()  # the worker lives on, for other stages too
+        give_back_memory()
 
     chosen = small_batches(documents).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return chosen.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

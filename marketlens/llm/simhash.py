@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from marketlens.llm.common import small_batches, staged, table, text_key
+from marketlens.llm.common import give_back_memory, small_batches, staged, table, text_key
 
 SEED = 42
 
@@ -58,6 +58,7 @@ def with_fingerprints(documents: DataFrame, text: str, name: str, shingle: int)
     def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([_signed(fingerprint(t, shingle)) for t in texts], dtype="int64")
+        give_back_memory()
 
     return small_batches(documents).withColumn(name, fingerprints(F.col(text)))
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import small_batches, staged, table
+from marketlens.llm.common import give_back_memory, small_batches, staged, table
 
 _BASE = 0x9E3779B97F4A7C15
 #: Hashes of that many distinct words are kept in a task at a time.
@@ -107,6 +107,8 @@ def _halves_of(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.Data
             found.append(distinct.view(np.int64))
             own.append(distinct[times > 1].view(np.int64))
         yield batch[_KEYS].assign(halves=found, own=own)
+    del hashing
+    give_back_memory()
 
 
 def _windows_of(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
@@ -139,6 +141,8 @@ def _windows_of(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.Dat
             alone = once[new]
             rows.append((tid, pairs[first, 0], pairs[first, 1], np.where(alone, starts[first], -1).astype(np.int32), own))
         yield pd.DataFrame(rows, columns=["tid", "h1", "h2", "starts", "own"])
+    del hashing
+    give_back_memory()
 
 
 def _survivors(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
@@ -202,9 +206,11 @@ def without_repeats(documents: DataFrame, *, text: str = "text", length: int = 3
     names = documents.columns
 
     @F.pandas_udf("kept string, n_words long, n_removed long")
-    def keep(texts: pd.Series, starts: pd.Series, copied: pd.Series) -> pd.DataFrame:
-        rows = [_kept_words(t, s, c, length) for t, s, c in zip(texts, starts, copied, strict=True)]
-        return pd.DataFrame(rows, columns=["kept", "n_words", "n_removed"])
+    def keep(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, starts, copied in batches:
+            rows = [_kept_words(t, s, c, length) for t, s, c in zip(texts, starts, copied, strict=True)]
+            yield pd.DataFrame(rows, columns=["kept", "n_words", "n_removed"])
+        give_back_memory()
 
     keyed = documents.select("*", F.struct(*_identity(F.col(text))).alias("_llm_key"))
     marks = found.select(
