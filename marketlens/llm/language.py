@@ -5,8 +5,15 @@ the lower-cased text, everything else one space), scaled to length one. Each
 language has several centroids, clustered from a bounded sample of labelled texts
 (``rows_per_language`` of each, those of the smallest hash). A text takes the
 language of the centroid with the largest cosine. It is rejected if it has no
-letter or if that cosine is below the language's floor, a share of the smallest
-one seen in fitting.
+letter or if that cosine is below the language's floor for texts of its size. The
+size is the number of different n-grams, on which the cosine depends far more than
+on the length: a text that says one word a hundred times is a short one.
+
+Floors are learned from texts kept back: half of a language's sample is judged by
+centroids of the other half, whole and cut to 4, 8, 16 ... letters, and at each size
+the floor is a share of a low quantile of those cosines. A language of fewer than
+``LEAST_TEXTS`` sampled texts, of which none can be kept back, has one floor for all
+sizes, a share of the smallest cosine of its sample.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0
 and rejected; languages come from non-null labels of texts with letters; ties go
@@ -18,6 +25,7 @@ rows. Other columns stay.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +38,10 @@ from marketlens.llm.common import give_back_memory, small_batches, table
 
 DIMENSIONS = 1 << 13
 CENTROIDS = 3
+#: Letters of the cut texts that floors are learned from, texts of a language and
+#: texts of a size below which there is no floor of their own.
+CUTS = [1 << k for k in range(2, 12)]
+LEAST_TEXTS, LEAST_OF_SIZE = 10, 10
 _BLOCK = 1 << 20
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
@@ -41,7 +53,22 @@ class LanguageModel:
     weights: np.ndarray  # inverse document frequency by dimension
     centroids: np.ndarray  # (centroids, dimensions), length one
     owner: np.ndarray  # language of each centroid
-    floors: np.ndarray  # smallest cosine accepted, by language
+    floors: list[tuple[np.ndarray, np.ndarray]]  # by language: sizes, smallest cosines accepted
+
+    def floor(self, language: int, counts: np.ndarray) -> float:
+        """The smallest cosine at which a text of these counts is of the language."""
+        return float(np.interp(_size(counts), *self.floors[language]))
+
+
+def _size(counts: np.ndarray) -> np.ndarray:
+    """Binary logarithm of the number of different n-grams."""
+    return np.log2(np.maximum((counts > 0).sum(axis=-1), 1))
+
+
+def _cut(text: str) -> list[str]:
+    """The beginnings of a text that are shorter than it."""
+    letters = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    return [letters[:n] for n in CUTS if n < len(letters)]
 
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
@@ -82,9 +109,26 @@ def _cluster(vectors: np.ndarray, rounds: int = 8) -> np.ndarray:
     return centres
 
 
-def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float = 0.3) -> LanguageModel:
+def _floors(sizes: np.ndarray, cosines: np.ndarray, quantile: float, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Floors at the mean sizes of texts kept back, by doublings of the size."""
+    bins = np.floor(sizes)
+    bins = [bins == b for b in np.unique(bins) if (bins == b).sum() >= LEAST_OF_SIZE] or [bins == bins]
+    at = np.array([sizes[b].mean() for b in bins])
+    return at, share * np.array([np.quantile(cosines[b], quantile) for b in bins])
+
+
+def fit(
+    labelled: DataFrame,
+    *,
+    rows_per_language: int = 400,
+    floor_share: float = 0.3,
+    quantile: float = 0.02,
+    quantile_share: float = 0.65,
+) -> LanguageModel:
     """Learns from rows (key, text, lang). ``key`` only decides which are taken; at
-    most ``rows_per_language`` rows of a language reach the driver, as counts."""
+    most ``rows_per_language`` rows of a language reach the driver, as counts of the
+    text and of its beginnings. Floors are ``quantile_share`` of the ``quantile`` of
+    cosines kept back, or ``floor_share`` of the smallest of a small sample."""
     rows = small_batches(labelled).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("hash", F.xxhash64("key", "text"))
     order = Window.partitionBy("lang").orderBy("hash")
@@ -95,16 +139,31 @@ def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(lang, ngram_counts(text)) for lang, text in zip(batch["lang"], batch["text"], strict=True)]
-            found = [(lang, np.flatnonzero(c), c[c > 0]) for lang, c in found if c is not None]
-            yield pd.DataFrame(found, columns=["lang", "at", "n"])
+            found = []
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                whole = ngram_counts(text)
+                if whole is not None:
+                    of = zlib.crc32(whole.tobytes())
+                    pieces = [whole, *(c for c in map(ngram_counts, _cut(text)) if c is not None)]
+                    found += [(lang, of, k == 0, *packed(c)) for k, c in enumerate(pieces)]
+            yield pd.DataFrame(found, columns=["lang", "of", "whole", "at", "n"])
         give_back_memory()
 
-    sample = rows.select("lang", "text").mapInPandas(counted, "lang string, at array<int>, n array<int>").collect()
-    sample.sort(key=lambda row: (row["lang"], row["at"], row["n"]))
-    counts = np.zeros((len(sample), DIMENSIONS), dtype=np.float32)
-    for k, row in enumerate(sample):
-        counts[k, row["at"]] = row["n"]
+    def packed(c: np.ndarray) -> tuple[bytes, bytes]:
+        return np.flatnonzero(c).astype("<u2").tobytes(), c[c > 0].astype("<u4").tobytes()
+
+    def unpacked(rows: list) -> np.ndarray:
+        counts = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
+        for k, row in enumerate(rows):
+            counts[k, np.frombuffer(row["at"], "<u2")] = np.frombuffer(row["n"], "<u4")
+        return counts
+
+    schema = "lang string, of long, whole boolean, at binary, n binary"
+    sample = rows.select("lang", "text").mapInPandas(counted, schema).collect()
+    sample.sort(key=lambda row: (row["lang"], row["of"], bytes(row["at"]), bytes(row["n"])))
+    beginnings = [row for row in sample if not row["whole"]]
+    sample = [row for row in sample if row["whole"]]
+    counts = unpacked(sample)
     weights = np.log((1 + len(sample)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
     vectors = _vectors(counts, weights)
     langs = np.array([row["lang"] for row in sample])
@@ -115,9 +174,24 @@ def fit(labelled: DataFrame, *, rows_per_language: int = 400, floor_share: float
         centres = _cluster(own)
         centroids.append(centres)
         owner += [k] * len(centres)
-        floors.append(floor_share * float((own @ centres.T).max(axis=1).min()))
+        # Copies of a text are on one side.
+        side = np.array([row["of"] % 2 for row in sample if row["lang"] == language])
+        if len(own) < LEAST_TEXTS or side.min() == side.max():
+            floors.append((np.zeros(1), np.array([floor_share * float((own @ centres.T).max(axis=1).min())])))
+            continue
+        sizes, cosines = [_size(counts[langs == language])], np.zeros(len(own))
+        judged = [cosines]
+        for part in (0, 1):
+            others = _cluster(own[side != part]).T
+            cosines[side == part] = (own[side == part] @ others).max(axis=1)
+            cut = [row for row in beginnings if row["lang"] == language and row["of"] % 2 == part]
+            for start in range(0, len(cut), 512):
+                block = unpacked(cut[start : start + 512])
+                sizes.append(_size(block))
+                judged.append((_vectors(block, weights) @ others).max(axis=1))
+        floors.append(_floors(np.concatenate(sizes), np.concatenate(judged), quantile, quantile_share))
     stacked = np.concatenate(centroids) if centroids else np.zeros((0, DIMENSIONS))
-    return LanguageModel(languages, weights, stacked.astype(np.float32), np.array(owner), np.array(floors))
+    return LanguageModel(languages, weights, stacked.astype(np.float32), np.array(owner), floors)
 
 
 def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:
@@ -134,7 +208,7 @@ def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text")
                 best = cosines.argmax(axis=1)
                 for k, centre, row in zip(known, best.tolist(), cosines, strict=True):
                     own, score = int(model.owner[centre]), float(np.clip(row[centre], 0, 1))
-                    block[k] = (model.languages[own], score, score < model.floors[own])
+                    block[k] = (model.languages[own], score, score < model.floor(own, counts[k]))
             rows += block
         return pd.DataFrame(rows, columns=["lang_pred", "score", "rejected"])
 

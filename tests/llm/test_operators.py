@@ -294,6 +294,40 @@ def test_texts_without_letters_and_far_texts_are_rejected(spark):
     assert language.identify(edge_docs(spark).limit(0), model).count() == 0
 
 
+FAR = {
+    "Polish": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem "
+    "i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+    "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Turkish": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve "
+    "birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+}
+
+
+def test_other_languages_and_letter_junk_are_rejected_and_short_texts_stay(spark, sf_dir):
+    rng = random.Random(11)
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.fitted(documents)
+    junk = ["".join(rng.choice(letters) for _ in range(n)) for n in (60, 400, 4000) for letters in (
+        "abcdefghijklmnopqrstuvwxyz    ", "bcdfghjklmnpqrstvwxz   ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/",
+    )]
+    far = [*FAR.values(), *(text[:70] for text in FAR.values()), *junk]
+    found = language.identify(docs(spark, list(enumerate(far))), model).collect()
+    assert [r.text for r in found if not r.rejected] == []
+    whole = documents.select("doc_id", "text")
+    starts = whole.selectExpr("doc_id", "array_join(slice(split(text, ' '), 1, 3), ' ') as text")
+    for clean in (whole, starts):
+        judged = language.identify(clean, model).filter("text rlike '[a-z]'").collect()
+        assert np.mean([r.rejected for r in judged]) <= (0.0 if clean is whole else 0.02)
+
+
+def test_floors_of_small_samples_and_sizes(spark):
+    few = language.fit(language_rows(spark, n=4))
+    assert all(len(at) == 1 for at, _ in few.floors)
+    model = language.fit(language_rows(spark))
+    assert all((floors > 0).all() and (np.diff(at) > 0).all() for at, floors in model.floors)
+
+
 def test_long_texts_are_counted_in_blocks(monkeypatch):
     text = prose(random.Random(1), 500)
     whole = language.ngram_counts(text)
