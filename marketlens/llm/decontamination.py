@@ -14,25 +14,32 @@ DataFrame function.
 A document is contaminated by an item if, at some alignment, the longest run of
 equal template words has at least ``RUN`` words or the whole item, or if at least
 ``SHARE`` of the item's words agree; in either case half of the run or more must
-be literal words and the slots consistent. Documents give windows at every
-``WINDOW``-th word, items at every word, so every run of ``2 * WINDOW - 1`` words
-is found wherever it starts.
-
-Defined results: null texts are empty; documents and items of fewer than
-``2 * WINDOW - 1`` template words never match; windows of fewer than two literal
-words are no evidence and join nothing; repeated rows count once; items of equal
-id and text count once; an empty table gives no rows. Only the named id and text
-columns are read.
+be literal words and the slots consistent. Neighbouring alignments are judged
+together too: ``SHARE`` of the words may agree in order while the alignment drifts by
+up to ``DRIFT`` words to either side, as it does where words were put in or left
+out; then the slots of all agreeing words are checked.
+
+Both sides give windows at every word. Of an item of ``SHORT`` words or more, of
+which a fifth may differ, ``WINDOW`` words in a row are always left equal, and so are
+they in every run.
+
+Defined results: null texts are empty; items of fewer than ``SHORT`` template
+words never match;
+windows of fewer than two literal words, except the beginning of a literal word, two
+slots and a literal word, are no evidence and join nothing, since no run that counts
+consists of them; repeated rows
+count once; items of equal id and text count once; an empty table gives no rows. Only
+the named id and text columns are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import staged, table, text_key
 
-WINDOW, RUN, SHARE = 5, 13, 0.8
+WINDOW, RUN, SHARE, SHORT, DRIFT = 3, 13, 0.8, 9, 3
 #: Windows of the benchmark up to this many are broadcast (40 bytes each).
 BROADCAST_WINDOWS = 400_000
 # Words that count as units after a number.
@@ -68,8 +75,11 @@ def with_words(texts: DataFrame, text: str) -> DataFrame:
     return texts.drop(text, "_marked", "_slots")
 
 
-def _evidence(window: Column) -> Column:
-    return F.size(F.filter(F.split(window, " "), lambda word: ~word.startswith("<"))) >= 2
+def _evidence(words: Column, start: Column) -> Column:
+    """Whether the window of ``words`` at ``start`` can be part of a run that counts."""
+    literal = [~F.get(words, start + k).startswith("<") for k in range(WINDOW + 1)]
+    several = sum(F.when(word, 1).otherwise(0) for word in literal[:WINDOW]) >= 2
+    return several | F.coalesce(literal[0] & literal[WINDOW], F.lit(False))
 
 
 def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -77,7 +87,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     items = with_words(items, "item").select(
         "item_id", F.split("raw", " ").alias("item_raw"), F.split("words", " ").alias("item_words")
     )
-    return items.filter(F.size("item_words") >= 2 * WINDOW - 1).withColumn(
+    return items.filter(F.size("item_words") >= SHORT).withColumn(
         "item_key", F.unhex(F.md5(F.to_json(F.struct("item_id", "item_raw")).cast("binary")))
     )
 
@@ -87,21 +97,63 @@ def _item_windows(items: DataFrame) -> DataFrame:
         return F.array_join(F.slice("item_words", start + 1, WINDOW), " ")
 
     starts = F.sequence(F.lit(0), F.size("item_words") - WINDOW)
-    windows = items.select("item_key", F.posexplode(F.transform(starts, window)).alias("start", "window"))
-    return windows.filter(_evidence(F.col("window"))).select(
+    windows = items.select(
+        "item_key", "item_words", F.posexplode(F.transform(starts, window)).alias("start", "window")
+    )
+    return windows.filter(_evidence(F.col("item_words"), F.col("start"))).select(
         F.xxhash64("window").alias("hash"), "item_key", "start"
     )
 
 
 def _met(hits: DataFrame) -> DataFrame:
-    """Raw and template words of both sides where the alignment makes them meet."""
-    first, item_first = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
-    length = F.least(F.size("doc_words") - first, F.size("item_words") - item_first)
-    cuts = {"doc_raw": first, "doc_words": first, "item_raw": item_first, "item_words": item_first}
+    """Words of the item, and of the document where the alignment and its neighbours
+    make them meet; word j of the item meets word j + ``off`` of these."""
+    first = F.greatest(F.col("shift") - DRIFT, F.lit(0))
+    length = F.col("shift") + F.size("item_words") + DRIFT - first
     sides = hits.withColumns({"doc_raw": F.split("raw", " "), "doc_words": F.split("words", " ")})
-    met = [F.slice(side, start + 1, length).alias(side) for side, start in cuts.items()]
-    size = F.size("item_words").alias("size")
-    return sides.select("doc_id", "text_key", "item_key", "item_id", "shift", first.alias("first"), size, *met)
+    met = [F.slice(side, first + 1, length).alias(side) for side in ("doc_raw", "doc_words")]
+    size, off = F.size("item_words").alias("size"), (F.col("shift") - first).alias("off")
+    return sides.select(
+        "doc_id", "text_key", "item_key", "item_id", "shift", off, size, *met, "item_raw", "item_words"
+    )
+
+
+def _same(j: Column, at: Column) -> Column:
+    """Whether word j of the item equals word ``at`` of the document: as templates, or
+    as words where one side alone takes it for a name."""
+    template = F.get("item_words", j) == F.get("doc_words", at)
+    return F.coalesce(template | (F.get("item_plain", j) == F.get("doc_plain", at)), F.lit(False))
+
+
+def _drifting() -> Column:
+    """The most words that agree in order within the drift, with their slots."""
+    slot = "struct<kind: string, asked: string, found: string>"
+    zero = F.array_repeat(F.struct(F.lit(0).alias("n"), F.array().cast(f"array<{slot}>").alias("slots")), 2 * DRIFT + 1)
+
+    def step(state: Column, j: Column) -> Column:
+        paths = []
+        for k in range(2 * DRIFT + 1):
+            at = j + F.col("off") + (k - DRIFT)
+            # Words of the document may be passed over, a word of the item is then left out.
+            before = F.greatest(*(F.get(state, F.lit(i)) for i in range(k + 1))) if k else F.get(state, F.lit(0))
+            kind = F.get("item_words", j)
+            pair = F.struct(
+                kind.alias("kind"), F.get("item_raw", j).alias("asked"), F.get("doc_raw", at).alias("found")
+            )
+            slots = F.when(kind.startswith("<"), F.concat(before["slots"], F.array(pair))).otherwise(before["slots"])
+            path = F.when(
+                _same(j, at), F.struct((before["n"] + 1).alias("n"), slots.cast(f"array<{slot}>").alias("slots"))
+            ).otherwise(before)
+            paths.append(F.greatest(path, F.get(state, F.lit(k + 1))) if k < 2 * DRIFT else path)
+        return F.array(*paths)
+
+    return F.array_max(F.aggregate(F.sequence(F.lit(0), F.col("size") - 1), zero, step))
+
+
+def _consistent(slots: Column) -> Column:
+    """Whether equal values of the item stand for equal values of the document."""
+    asked = F.transform(slots, lambda s: F.struct(s["kind"], s["asked"]))
+    return F.size(F.array_distinct(slots)) == F.size(F.array_distinct(asked))
 
 
 def _longest_run(same: Column) -> Column:
@@ -130,18 +182,19 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """One row per document and item found in it at some alignment: doc_id,
-    text_key, item_id, first_word (of the matching run, from 0), n_words (of the
-    run), n_slots, changed (slots of other values than the item's)."""
+    """One row per document and item found in it at some alignment, neighbouring
+    alignments judged together giving one: doc_id, text_key, item_id, first_word (of
+    the longest matching run, from 0), n_words (of the run), n_slots, changed (slots of
+    other values than the item's)."""
     items = staged(_items(benchmark, item_id, item_text), "benchmark-items")
     windows = staged(_item_windows(items), "benchmark-windows")
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key")
     )
-    cut = F.regexp_extract_all("words", F.lit(rf"[^ ]+(?: [^ ]+){{{WINDOW - 1}}}"), F.lit(0))
+    cut = F.regexp_extract_all("words", F.lit(f"(?=({' '.join(['[^ ]++'] * WINDOW)}))[^ ]++"), F.lit(1))
     found = with_words(docs, "text").select("*", F.posexplode(cut).alias("nth", "window"))
     found = found.withColumn("hash", F.xxhash64("window"))
-    shift = (F.col("nth") * WINDOW - F.col("start")).alias("shift")
+    shift = (F.col("nth") - F.col("start")).alias("shift")
     if windows.count() <= BROADCAST_WINDOWS:
         # The words ride along: no text is shuffled, and few rows leave the join.
         hits = found.join(F.broadcast(windows), "hash").select(
@@ -153,40 +206,72 @@ def contaminated(
         hits = hits.select("text_key", "item_key", shift).distinct().join(items, "item_key")
         hits = with_words(docs.join(staged(hits, "benchmark-hits"), "text_key"), "text")
     met = _met(hits).dropDuplicates(["doc_id", "text_key", "item_key", "shift"])
-    plain = [
-        F.transform(side, lambda word: F.lower(F.ltrim(word, F.lit(_MARK)))) for side in ("doc_raw", "item_raw")
-    ]
-    same = F.zip_with(
-        F.zip_with("doc_words", "item_words", lambda a, b: a == b),
-        F.zip_with(*plain, lambda a, b: a == b),
-        lambda template, word: template | word,
-    )
+    plain = {
+        f"{side}_plain": F.transform(f"{side}_raw", lambda word: F.lower(F.ltrim(word, F.lit(_MARK))))
+        for side in ("doc", "item")
+    }
     # Written in between: a filter pushed below would evaluate the arrays anew for each use.
-    runs = staged(met.withColumn("same", same), "benchmark-alignments")
+    words = F.sequence(F.lit(0), F.col("size") - 1)
+    runs = staged(met.withColumns(plain), "benchmark-alignments")
+    runs = runs.withColumn(
+        "known",
+        F.size(
+            F.filter(
+                words,
+                lambda j: F.array_contains("doc_words", F.get("item_words", j))
+                | F.array_contains("doc_plain", F.get("item_plain", j)),
+            )
+        ),
+    )
+    # No more words agree than are known at all.
+    runs = staged(runs, "benchmark-words").filter(
+        F.col("known") >= F.least(F.least(F.lit(RUN), "size"), F.ceil(SHARE * F.col("size")))
+    )
+    same = F.transform(words, lambda j: _same(j, j + F.col("off")))
+    runs = staged(runs.withColumn("same", same), "benchmark-same")
     runs = runs.withColumn("run", _longest_run(F.col("same"))).withColumn(
         "agree", F.size(F.filter("same", lambda equal: equal))
     )
-    runs = staged(runs.drop("same"), "benchmark-runs")
+    shares = (F.col("size") >= SHORT) & (F.col("known") >= SHARE * F.col("size"))
+    runs = staged(runs.withColumn("path", F.when(shares, _drifting())).drop("same"), "benchmark-runs")
     start = F.col("run.end") - F.col("run.best") + 1
     whole = F.arrays_zip(
         *(
-            F.slice(side, start, F.col("run.best")).alias(name)
-            for name, side in (("kind", "item_words"), ("asked", "item_raw"), ("found", "doc_raw"))
+            F.slice(side, at, F.col("run.best")).alias(name)
+            for name, side, at in (
+                ("kind", "item_words", start),
+                ("asked", "item_raw", start),
+                ("found", "doc_raw", F.greatest(start + F.col("off"), F.lit(1))),
+            )
         )
     )
     slots = F.filter(whole, lambda word: word["kind"].startswith("<"))
-    asked = F.transform("slots", lambda s: F.struct(s["kind"], s["asked"]))
-    checked = staged(runs.withColumn("slots", slots), "benchmark-slots").filter(
-        ((F.col("run.best") >= F.least(F.lit(RUN), "size")) | (F.col("agree") >= SHARE * F.col("size")))
+    share = SHARE * F.col("size")
+    alone = (
+        ((F.col("run.best") >= F.least(F.lit(RUN), "size")) | ((F.col("size") >= SHORT) & (F.col("agree") >= share)))
         & (2 * F.size("slots") <= F.col("run.best"))
-        & (F.size(F.array_distinct("slots")) == F.size(F.array_distinct(asked)))
+        & _consistent(F.col("slots"))
+    )
+    drifting = (
+        (F.col("path.n") >= share)
+        & (2 * F.size("path.slots") <= F.col("path.n"))
+        & _consistent(F.col("path.slots"))
     )
+    checked = staged(runs.withColumn("slots", slots), "benchmark-slots")
+    checked = checked.withColumns({"alone": alone, "drifting": F.coalesce(drifting, F.lit(False))})
+    checked = checked.filter(F.col("alone") | F.col("drifting"))
+    # Of neighbours that only match together, the one of the longest run stays.
+    near = Window.partitionBy("doc_id", "text_key", "item_key").orderBy("shift").rangeBetween(-DRIFT, DRIFT)
+    rank = F.struct("alone", F.col("run.best"), -F.col("shift"))
+    checked = checked.withColumn("rank", rank).withColumn("first", F.max("rank").over(near))
+    checked = checked.filter(F.col("alone") | (F.col("rank") == F.col("first")))
+    checked = checked.withColumn("slots", F.when(F.col("alone"), F.col("slots")).otherwise(F.col("path.slots")))
     changed = F.exists("slots", lambda s: s["asked"] != s["found"])
     return checked.select(
         "doc_id",
         "text_key",
         "item_id",
-        (F.col("first") + start - 1).cast("long").alias("first_word"),
+        (F.col("shift") + start - 1).cast("long").alias("first_word"),
         F.col("run.best").cast("long").alias("n_words"),
         F.size("slots").cast("long").alias("n_slots"),
         changed.alias("changed"),

@@ -209,6 +209,42 @@ def test_windows_beyond_the_broadcast_bound_give_the_same(spark, monkeypatch):
     assert found_items(spark, texts) == small == {(0, 2): False}
 
 
+def test_a_fifth_of_the_words_may_differ_anywhere(spark):
+    rng = random.Random(6)
+    item = ITEMS[1][1].split()
+    texts = []
+    for k in range(12):
+        words = list(item)
+        for at in rng.sample(range(len(words)), len(words) // 5):
+            words[at] = f"other{chr(97 + at)}"
+        texts.append(f"{prose(rng, k)} {' '.join(words)} {prose(rng, 7)}")
+    short = "the old man went home with his three small brown dogs after the long dark rain".split()
+    bench = spark.createDataFrame([(2, " ".join(item)), (5, " ".join(short[:15]))], "item_id long, text string")
+    every_fourth = [f"w{chr(97 + k)}" if k % 4 == 3 else w for k, w in enumerate(short[:15])]
+    texts.append(f"{prose(rng, 3)} {' '.join(every_fourth)} {prose(rng, 3)}")
+    rows = decontamination.contaminated(docs(spark, list(enumerate(texts))), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(k, 2) for k in range(12)} | {(12, 5)}
+
+
+def test_words_put_in_or_left_out_are_judged_together(spark):
+    words = ITEMS[1][1].split()
+    texts = [" ".join([*words[:10], "really", *words[10:]]), " ".join([*words[:9], *words[10:]])]
+    texts.append(" ".join([*words[:6], "very", "very", *words[6:12], *words[13:]]))
+    texts.append(" ".join(reversed(words)))
+    rng = random.Random(7)
+    rows = [(k, f"{prose(rng, 4)} {t} {prose(rng, 4)}") for k, t in enumerate(texts)]
+    bench = spark.createDataFrame(ITEMS[1:2], "item_id long, text string")
+    found = decontamination.contaminated(docs(spark, rows), bench).collect()
+    assert sorted(r.doc_id for r in found) == [0, 1, 2]
+    # Slots are checked along the drift too.
+    item = "The train with 5 cars left and 5 of its 5 doors were open when it came to the bridge"
+    other = item.replace("left", "left really")
+    texts = [other.replace("5", "8"), other.replace("5 of its 5", "6 of its 4")]
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    found = decontamination.contaminated(docs(spark, list(enumerate(texts))), bench).collect()
+    assert [(r.doc_id, r.changed) for r in found] == [(0, True)]
+
+
 def test_contaminated_documents_go(spark):
     rows = clashing(docs(spark, [(1, ITEMS[1][1]), (2, "clean"), (None, None), (2, "clean")]))
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
