@@ -23,11 +23,11 @@ Both sides give windows at every word. Of an item of ``SHORT`` words or more, of
 which a fifth may differ, ``WINDOW`` words in a row are always left equal, and so are
 they in every run.
 
-Defined results: null texts are empty; items of fewer than ``SHORT`` template
-words never match;
+Defined results: null texts are empty; items of fewer than ``WINDOW`` template
+words never match; items of fewer than ``SHORT`` words match as a whole only;
 windows of fewer than two literal words, except the beginning of a literal word, two
 slots and a literal word, are no evidence and join nothing, since no run that counts
-consists of them; repeated rows
+consists of them; in scripts without spaces each character is a word; repeated rows
 count once; items of equal id and text count once; an empty table gives no rows. Only
 the named id and text columns are read.
 """
@@ -50,6 +50,9 @@ UNITS = (
     "dollar dollars cent cents euro euros percent degree degrees mph kph volt volts watt watts"
 )
 _MARK = "\u0001"
+# Scripts that put no space between words.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_MAY_BE_UNSPACED = r"[\u0E00-\u109F\u1780-\u17FF\u2E80-\u9FFF\uA9E0-\uAA7F\uF900-\uFAFF\uFF66-\uFF9D\x{1B000}-\x{3FFFF}]"
 
 
 def with_words(texts: DataFrame, text: str) -> DataFrame:
@@ -57,7 +60,10 @@ def with_words(texts: DataFrame, text: str) -> DataFrame:
     mark, and ``words``, its template, word for word. Each step is a column of its
     own, so that Spark evaluates it once."""
     source = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(_MARK), F.lit(" "))
-    marked = F.regexp_replace(source, r" (?<=[\p{L}\p{Nd},;:] )(?=\p{Lu}\p{Ll})", f" {_MARK}")
+    spaced = F.regexp_replace("_source", rf"([{_UNSPACED}]\p{{M}}*)", " $1 ")
+    # Scripts are looked up one by one, which is slow: a plain range comes first.
+    spaced = F.when(F.col("_source").rlike(_MAY_BE_UNSPACED), spaced).otherwise(F.col("_source"))
+    marked = F.regexp_replace("_spaced", r" (?<=[\p{L}\p{Nd},;:] )(?=\p{Lu}\p{Ll})", f" {_MARK}")
     plain = F.regexp_replace("_marked", rf"[^\p{{L}}\p{{M}}{_MARK}]+", " ")
     digits = F.regexp_replace("_marked", r"(?<=\p{Nd})%", " percent ")
     digits = F.regexp_replace(digits, r"(?<=\p{Nd})(?=\p{L})", " ")
@@ -69,10 +75,10 @@ def with_words(texts: DataFrame, text: str) -> DataFrame:
     numbers = F.regexp_replace("_slots", r"\p{Nd}[^ ]*", "<num>")
     units = F.regexp_replace(numbers, rf"<num> (?:{'|'.join(UNITS.split())})(?= |$)", "<num> <unit>")
     words = F.when(F.col("_slots").rlike(r"\p{Nd}"), units).otherwise(F.col("_slots"))
-    steps = {"_marked": marked, "raw": raw, "_slots": slots, "words": words}
+    steps = {"_source": source, "_spaced": spaced, "_marked": marked, "raw": raw, "_slots": slots, "words": words}
     for name, column in steps.items():
         texts = texts.withColumn(name, column)
-    return texts.drop(text, "_marked", "_slots")
+    return texts.drop(text, "_source", "_spaced", "_marked", "_slots")
 
 
 def _evidence(words: Column, start: Column) -> Column:
@@ -87,7 +93,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     items = with_words(items, "item").select(
         "item_id", F.split("raw", " ").alias("item_raw"), F.split("words", " ").alias("item_words")
     )
-    return items.filter(F.size("item_words") >= SHORT).withColumn(
+    return items.filter(F.size("item_words") >= WINDOW).withColumn(
         "item_key", F.unhex(F.md5(F.to_json(F.struct("item_id", "item_raw")).cast("binary")))
     )
 

@@ -245,6 +245,21 @@ def test_words_put_in_or_left_out_are_judged_together(spark):
     assert [(r.doc_id, r.changed) for r in found] == [(0, True)]
 
 
+def test_short_items_and_unspaced_scripts_are_found_whole(spark):
+    items = [(1, "What is the capital of France?"), (2, "中国的首都是哪座城市"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "Name 3 of 7 seas")]
+    texts = [
+        "Question: What is the capital of France? Paris.",
+        "They asked what is the capital of a big country and left.",
+        "他问我中国的首都是哪座城市，我说北京。",
+        "他问我中国的城市。",
+        "ถาม ประเทศไทยมีกี่จังหวัด ตอบ",
+        "Please name 3 of 7 seas",
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contaminated(docs(spark, list(enumerate(texts))), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(0, 1), (2, 2), (4, 3), (5, 4)}
+
+
 def test_contaminated_documents_go(spark):
     rows = clashing(docs(spark, [(1, ITEMS[1][1]), (2, "clean"), (None, None), (2, "clean")]))
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
