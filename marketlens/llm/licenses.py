@@ -102,13 +102,24 @@ class NoticeSearch:
             windows[k] = merged
         return windows
 
+    def _matches(self, k: int, text: str, begin: int, end: int) -> Iterator[regex.Match]:
+        """All matches in a window that do not overlap. The search gives the best one of
+        the window, so what lies before it is searched as well as what lies behind."""
+        open_parts = [(begin, end)]
+        while open_parts:
+            begin, end = open_parts.pop()
+            match = self._patterns[k].search(text, begin, end)
+            if match is not None and match.end() > match.start():
+                yield match
+                open_parts += [(begin, match.start()), (match.end(), end)]
+
     def find(self, text: str) -> list[tuple[str, int, int, int, float]]:
         """(label, start, end, edits, likeness) of each match in ``text``."""
         found = []
         for k, windows in self._windows(text).items():
             notice, label, exact = self._notices[k]
             for begin, end in windows:
-                for match in self._patterns[k].finditer(text, begin, end):
+                for match in self._matches(k, text, begin, end):
                     words = set(text[match.start() : match.end()].split())
                     if set(exact.split()) <= words:
                         edits = sum(match.fuzzy_counts)

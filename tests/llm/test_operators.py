@@ -432,6 +432,18 @@ def test_fuzzy_search_finds_what_a_whole_search_finds(spark):
         assert whole == any(k[0] == label and k[3] <= licenses.allowed_edits(notice) for k in search.find(text) if k[0] == label), text
 
 
+def test_notices_side_by_side_are_all_found():
+    search = licenses.NoticeSearch(licenses.NOTICES)
+    mit = search.find("releesed under the mit licence and released under the mit license")
+    spans = sorted(f[1:4] for f in mit if f[0] == "mit" and f[4] > 0.9)
+    assert [edits for _, _, edits in spans] == [2, 0]
+    three = search.find("licensd undr the gnu genral public license version 3 " * 1
+        + "licensed under the gnu general public license version 2 licensed under the gnu general public license version 3")
+    assert {f[0] for f in three} >= {"gpl-2", "gpl-3"}
+    gpl = search.find("licensd undr the gnu general publc licens version 3 licensed under the gnu general public license version 2")
+    assert {f[0] for f in gpl} >= {"gpl-2", "gpl-3"}
+
+
 def test_phrases_and_notices(spark):
     texts = {
         1: "Released UNDER the MIT, License. Under the mit license!",
