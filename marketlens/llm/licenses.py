@@ -1,7 +1,7 @@
 """License scan: fuzzy search for short notices.
 
 Texts are reduced to words (a-z, digits, all beyond ASCII; A-Z lower-cased) one
-space apart. A notice of n characters may differ by k = n // 10 edits. Cut into
+space apart. A notice of n characters may differ by k = n // 10 edits, at least one. Cut into
 k + 1 pieces, one piece of any such match is exact (pigeonhole); one automaton
 finds the pieces of all notices in a single pass, and around each the regex
 library's bounded-error matching verifies the notice and tells its edits and span.
@@ -48,6 +48,20 @@ NOTICES = [
     ("redistribution and use in source and binary forms with or without modification", "bsd", "redistribution"),
     ("mozilla public license version 2 0", "mpl-2", "mozilla 2"),
 ]
+# The short forms, likewise. A find that overlaps one of a longer notice
+# of the same label is part of it and not counted.
+SHORT_NOTICES = [
+    ("under the mit license", "mit", "mit"),
+    ("apache license version 2", "apache-2", "apache 2"),
+    ("cc by nc", "cc-by-nc", "cc nc"),
+    ("gnu general public license version 3", "gpl-3", "gnu general 3"),
+    ("gnu general public license version 2", "gpl-2", "gnu general 2"),
+    ("gpl version 3", "gpl-3", "gpl 3"),
+    ("gpl version 2", "gpl-2", "gpl 2"),
+    ("lesser general public license", "lgpl", "lesser"),
+    ("bsd license", "bsd", "bsd"),
+    ("mozilla public license 2 0", "mpl-2", "mozilla 2"),
+]
 _WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -57,7 +71,7 @@ def text_words(text: str | None) -> list[str]:
 
 
 def allowed_edits(notice: str) -> int:
-    return len(notice) // 10
+    return max(1, len(notice) // 10)
 
 
 def pieces(notice: str) -> list[tuple[int, str]]:
@@ -116,12 +130,20 @@ class NoticeSearch:
     def find(self, text: str) -> list[tuple[str, int, int, int, float]]:
         """(label, start, end, edits, likeness) of each match in ``text``."""
         found = []
-        for k, windows in self._windows(text).items():
+        # Longer notices come first in the list, so that short forms see their finds.
+        for k, windows in sorted(self._windows(text).items()):
             notice, label, exact = self._notices[k]
+            longer = list(found)
             for begin, end in windows:
                 for match in self._matches(k, text, begin, end):
-                    words = set(text[match.start() : match.end()].split())
-                    if set(exact.split()) <= words:
+                    # Words cut off by the match are not those words: "20" is not "2".
+                    first = text.rfind(" ", 0, match.start() + 1) + 1
+                    last = text.find(" ", max(match.end() - 1, first))
+                    whole = set(text[first : last if last >= 0 else len(text)].split())
+                    words = set(text[match.start() : match.end()].split()) & whole
+                    if set(exact.split()) <= words and not any(
+                        label == other[0] and match.start() < other[2] and other[1] < match.end() for other in longer
+                    ):
                         edits = sum(match.fuzzy_counts)
                         found.append((label, match.start(), match.end(), edits, 1 - edits / len(notice)))
         return sorted(found, key=lambda f: f[1:])
@@ -149,7 +171,7 @@ def scan(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     ).format(id=documents.schema[doc_id].dataType.simpleString())
 
     def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        search = NoticeSearch(NOTICES)
+        search = NoticeSearch(NOTICES + SHORT_NOTICES)
         for batch in batches:
             rows = []
             for text in batch["text"]:

@@ -444,6 +444,24 @@ def test_notices_side_by_side_are_all_found():
     assert {f[0] for f in gpl} >= {"gpl-2", "gpl-3"}
 
 
+def test_short_forms_with_a_typo_are_found(spark):
+    texts = {
+        1: ("distributed under the MIT Licence", ["mit"]),
+        2: ("licensed under the MIT licence", ["mit"]),
+        3: ("Apache Licence, Version 2.0", ["apache-2"]),
+        4: ("CC-B-NC", ["cc-by-nc"]),
+        5: ("GNU General Public Licence, version 3", ["gpl-3"]),
+        6: ("BSD licence", ["bsd"]),
+        7: ("apache licence version 20", []),
+        8: ("GNU Lesser General Public Licence, version 3", ["lgpl"]),
+        9: ("released under the mit licence", ["mit"]),
+        10: ("under the summit license of CC BY-SA", []),
+    }
+    rows = docs(spark, [(k, text) for k, (text, _) in texts.items()])
+    found = {r.doc_id: [n.label for n in r.notices] for r in licenses.scan(rows).collect()}
+    assert found == {k: labels for k, (_, labels) in texts.items()}
+
+
 def test_phrases_and_notices(spark):
     texts = {
         1: "Released UNDER the MIT, License. Under the mit license!",
