@@ -74,6 +74,8 @@ _TOKENS = re.compile(
 _MARKS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
+_TELLS_OF_PAGE = ("has-", "no-", "with-", "without-")
+
 
 class Node:
     """An element, or a text when ``tag`` is ``#text``."""
@@ -93,7 +95,9 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for match in _MARKS.finditer(attributes):
         value = next((group for group in match.groups() if group is not None), "")
-        if not _FURNITURE_WORDS.isdisjoint(_PARTS.split(value.lower())):
+        # "has-sidebar" tells of the page, not of the element.
+        names = [name for name in value.lower().split() if not name.startswith(_TELLS_OF_PAGE)]
+        if not _FURNITURE_WORDS.isdisjoint(_PARTS.split(" ".join(names))):
             return True
     return False
 
@@ -235,8 +239,32 @@ class TreeMatcher:
                     todo.append((left[i], right[j]))
 
 
+def _release_wrappers(root: Node) -> None:
+    """Forms and elements marked by a word only are no furniture if they wrap the page:
+    if they hold its main element or most of its text outside furniture elements."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        if node.tag not in _FURNITURE or node.tag == "form":
+            todo.extend(node.children)
+    if not any(node.furniture for node in order):
+        return
+    texts: dict[int, int] = {}
+    mains = set()
+    for node in reversed(order):
+        known = [child for child in node.children if id(child) in texts]
+        texts[id(node)] = len(node.text.strip()) + sum(texts[id(child)] for child in known)
+        if node.tag == "main" or any(id(child) in mains for child in known):
+            mains.add(id(node))
+    for node in order:
+        if node.furniture and (node.tag not in _FURNITURE or node.tag == "form"):
+            node.furniture = id(node) not in mains and 2 * texts[id(node)] <= texts[id(root)]
+
+
 def content(root: Node, template: set[int]) -> str:
     """The text of a tree without furniture and without the numbered template nodes."""
+    _release_wrappers(root)
     regions: list[Node] = []
     todo = [root]
     while todo:

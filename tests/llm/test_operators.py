@@ -563,6 +563,17 @@ def test_pages_beyond_the_broadcast_bound_give_the_same(spark, monkeypatch):
     assert {k: r.text for k, r in extract(spark, rows).items()} == before
 
 
+@pytest.mark.parametrize("wrapper", ["div class='site right-sidebar'", "div class='has-sidebar'", "div class='no-ads'", "form"])
+@pytest.mark.parametrize("inner", ["main", "article", "div"])
+def test_wrappers_of_the_whole_page_are_no_furniture(wrapper, inner):
+    text = "The long story of the page is told here in many words."
+    aside = "<div class='sidebar'>See too</div><nav>Home</nav>"
+    page = f"<html><body><{wrapper}>{aside}<{inner}>{text}</{inner}></{wrapper.split()[0]}></body></html>"
+    assert pages.content(pages.parse(page), set()) == text
+    beside = f"<html><body><div>{text}</div><div class='related'><article>Teaser</article></div></body></html>"
+    assert pages.content(pages.parse(beside), set()) == text
+
+
 def test_broken_and_empty_pages(spark):
     rows = [
         (1, None, None),
