@@ -52,8 +52,9 @@ def staged(rows: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(rows: DataFrame) -> DataFrame:
-    """``rows``, in a session that hands at most 2 MB at a time to Python: texts may be
-    long, and default batches of them take much of an executor's memory."""
+    """``rows``, in a session that hands at most 2 MB, or one row, at a time to Python:
+    texts may be long, and default batches of them take much of an executor's memory. The
+    setting stays, since rows are handed over when a result is written, not here."""
     key, most = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
     conf = rows.sparkSession.conf
     if int(conf.get(key).rstrip("bB")) > most:
@@ -61,6 +62,37 @@ def small_batches(rows: DataFrame) -> DataFrame:
     return rows
 
 
+#: Bits of the filter that ``divided`` broadcasts: 2 MB, however many keys there are.
+_FILTER_BITS = 1 << 24
+
+
+def divided(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose ``key`` (a hash, long) may be among ``keys``
+    (one column of hashes), and those for which it is certainly not, which then need no
+    shuffle to be told apart. A bitmap of fixed size is broadcast; more keys than it has
+    bits only make the first part larger. A null key is certainly not among them."""
+    word = F.col("_llm_bit").bitwiseAND(F.lit((1 << 15) - 1))
+    bits = keys.toDF("_llm_bit").select(F.col("_llm_bit").bitwiseAND(F.lit(_FILTER_BITS - 1)).alias("_llm_bit"))
+    bits = bits.groupBy(F.shiftright("_llm_bit", 15).alias("_llm_bucket")).agg(
+        F.bitmap_construct_agg(word).alias("_llm_bits")
+    )
+    bits = staged(bits, "filter")
+    own = F.col(key).bitwiseAND(F.lit(_FILTER_BITS - 1))
+    looked = rows.withColumn("_llm_bucket", F.shiftright(own, 15)).join(F.broadcast(bits), "_llm_bucket", "left")
+    place = own.bitwiseAND(F.lit((1 << 15) - 1))
+    byte = F.substring("_llm_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    mask = F.pow(F.lit(2), place.bitwiseAND(F.lit(7))).cast("long")
+    among = F.coalesce(F.conv(F.hex(byte), 16, 10).cast("long").bitwiseAND(mask) != 0, F.lit(False))
+    return looked.filter(among).select(*rows.columns), looked.filter(~among).select(*rows.columns)
+
+
+def others(rows: DataFrame, *given: str) -> list[str]:
+    """The columns of ``rows`` that stay beside the results ``given``. A result takes the
+    place of a column of its name, upper and lower case alike."""
+    taken = {name.lower() for name in given}
+    return [name for name in rows.columns if name.lower() not in taken]
+
+
 def text_key(text: Column) -> Column:
     """Identity of a text: equal for equal texts, and for null and the empty one."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

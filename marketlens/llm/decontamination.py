@@ -23,11 +23,13 @@ Both sides give windows at every word. Of an item of ``SHORT`` words or more, of
 which a fifth may differ, ``WINDOW`` words in a row are always left equal, and so are
 they in every run.
 
-Defined results: null texts are empty; items of fewer than ``WINDOW`` template
-words never match; items of fewer than ``SHORT`` words match as a whole only;
-windows of fewer than two literal words, except the beginning of a literal word, two
-slots and a literal word, are no evidence and join nothing, since no run that counts
-consists of them; in scripts without spaces each character is a word; repeated rows
+Defined results: null texts are empty, and items without a word match nothing; items
+of fewer than ``SHORT`` words match as a whole only; windows of fewer than two literal
+words, except the beginning of a literal word, two slots and a literal word, are no
+evidence, since no run that counts consists of them. Items that have no window of
+evidence match as a whole, word for word, numbers, names and units as they are:
+from ``WINDOW`` words on anywhere in a text, shorter ones where they are all of the text,
+since any text may happen to say one or two words. In scripts without spaces each character is a word; repeated rows
 count once; items of equal id and text count once; an empty table gives no rows. Only
 the named id and text columns are read.
 """
@@ -37,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import staged, table, text_key
+from marketlens.llm.common import divided, staged, table, text_key
 
 WINDOW, RUN, SHARE, SHORT, DRIFT = 3, 13, 0.8, 9, 3
 #: Windows of the benchmark up to this many are broadcast (40 bytes each).
@@ -93,7 +95,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     items = with_words(items, "item").select(
         "item_id", F.split("raw", " ").alias("item_raw"), F.split("words", " ").alias("item_words")
     )
-    return items.filter(F.size("item_words") >= WINDOW).withColumn(
+    return items.filter(F.get("item_words", F.lit(0)) != "").withColumn(
         "item_key", F.unhex(F.md5(F.to_json(F.struct("item_id", "item_raw")).cast("binary")))
     )
 
@@ -103,12 +105,24 @@ def _item_windows(items: DataFrame) -> DataFrame:
         return F.array_join(F.slice("item_words", start + 1, WINDOW), " ")
 
     starts = F.sequence(F.lit(0), F.size("item_words") - WINDOW)
-    windows = items.select(
-        "item_key", "item_words", F.posexplode(F.transform(starts, window)).alias("start", "window")
-    )
-    return windows.filter(_evidence(F.col("item_words"), F.col("start"))).select(
-        F.xxhash64("window").alias("hash"), "item_key", "start"
+    windows = items.filter(F.size("item_words") >= WINDOW).select(
+        "item_key", "item_raw", "item_words", F.posexplode(F.transform(starts, window)).alias("start", "window")
     )
+    windows = windows.withColumn("evidence", _evidence(F.col("item_words"), F.col("start")))
+    some = Window.partitionBy("item_key")
+    windows = windows.withColumn("exact", ~F.bool_or("evidence").over(some))
+    # Of an item without evidence the first window stands for the whole, also as it is
+    # inside a sentence, where its first word is a name.
+    windows = windows.filter(F.col("evidence") | (F.col("exact") & (F.col("start") == 0)))
+    inside = F.array(F.col("window"), F.regexp_replace("window", "^[^ ]+", "<name>"))
+    named = F.col("exact") & F.get("item_raw", F.lit(0)).rlike(r"^\p{Lu}\p{Ll}")
+    windows = windows.withColumn("window", F.explode(F.when(named, F.array_distinct(inside)).otherwise(F.array("window"))))
+    return windows.select(F.xxhash64("window").alias("hash"), "item_key", "start", "exact")
+
+
+def _plain(raw: str) -> Column:
+    """Words in small letters, without the marks of names."""
+    return F.lower(F.replace(raw, F.lit(_MARK), F.lit("")))
 
 
 def _met(hits: DataFrame) -> DataFrame:
@@ -120,7 +134,7 @@ def _met(hits: DataFrame) -> DataFrame:
     met = [F.slice(side, first + 1, length).alias(side) for side in ("doc_raw", "doc_words")]
     size, off = F.size("item_words").alias("size"), (F.col("shift") - first).alias("off")
     return sides.select(
-        "doc_id", "text_key", "item_key", "item_id", "shift", off, size, *met, "item_raw", "item_words"
+        "doc_id", "text_key", "item_key", "item_id", "exact", "shift", off, size, *met, "item_raw", "item_words"
     )
 
 
@@ -192,8 +206,11 @@ def contaminated(
     alignments judged together giving one: doc_id, text_key, item_id, first_word (of
     the longest matching run, from 0), n_words (of the run), n_slots, changed (slots of
     other values than the item's)."""
-    items = staged(_items(benchmark, item_id, item_text), "benchmark-items")
-    windows = staged(_item_windows(items), "benchmark-windows")
+    asked = staged(_items(benchmark, item_id, item_text), "benchmark-items")
+    windows = staged(_item_windows(asked), "benchmark-windows")
+    exact = windows.groupBy("item_key").agg(F.bool_or("exact").alias("exact"))
+    items = staged(asked.join(exact, "item_key"), "benchmark-windowed")  # at most one per window
+    windows = windows.drop("exact")
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key")
     )
@@ -211,6 +228,10 @@ def contaminated(
         hits = found.select("text_key", "nth", "hash").join(windows, "hash")
         hits = hits.select("text_key", "item_key", shift).distinct().join(items, "item_key")
         hits = with_words(docs.join(staged(hits, "benchmark-hits"), "text_key"), "text")
+    holds = F.concat(F.lit(" "), _plain("raw"), F.lit(" ")).contains(
+        F.concat(F.lit(" "), F.array_join(F.transform("item_raw", lambda w: F.lower(F.ltrim(w, F.lit(_MARK)))), " "), F.lit(" "))
+    )
+    hits = hits.filter(~F.col("exact") | holds)
     met = _met(hits).dropDuplicates(["doc_id", "text_key", "item_key", "shift"])
     plain = {
         f"{side}_plain": F.transform(f"{side}_raw", lambda word: F.lower(F.ltrim(word, F.lit(_MARK))))
@@ -264,7 +285,13 @@ def contaminated(
         & _consistent(F.col("path.slots"))
     )
     checked = staged(runs.withColumn("slots", slots), "benchmark-slots")
-    checked = checked.withColumns({"alone": alone, "drifting": F.coalesce(drifting, F.lit(False))})
+    verbatim = F.slice("doc_plain", F.greatest(F.col("off") + 1, F.lit(1)), F.col("size")) == F.col("item_plain")
+    checked = checked.withColumns(
+        {
+            "alone": F.when(F.col("exact"), verbatim & (F.col("off") >= 0)).otherwise(alone),
+            "drifting": ~F.col("exact") & F.coalesce(drifting, F.lit(False)),
+        }
+    )
     checked = checked.filter(F.col("alone") | F.col("drifting"))
     # Of neighbours that only match together, the one of the longest run stays.
     near = Window.partitionBy("doc_id", "text_key", "item_key").orderBy("shift").rangeBetween(-DRIFT, DRIFT)
@@ -273,7 +300,7 @@ def contaminated(
     checked = checked.filter(F.col("alone") | (F.col("rank") == F.col("first")))
     checked = checked.withColumn("slots", F.when(F.col("alone"), F.col("slots")).otherwise(F.col("path.slots")))
     changed = F.exists("slots", lambda s: s["asked"] != s["found"])
-    return checked.select(
+    found = checked.select(
         "doc_id",
         "text_key",
         "item_id",
@@ -282,16 +309,37 @@ def contaminated(
         F.size("slots").cast("long").alias("n_slots"),
         changed.alias("changed"),
     )
+    tiny = asked.filter(F.size("item_words") < WINDOW)
+    return found if tiny.isEmpty() else found.unionByName(_whole_texts(docs, tiny))
+
+
+def _whole_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Documents whose words are those of an item and no others."""
+    words = F.array_join(F.transform("item_raw", lambda word: F.lower(F.ltrim(word, F.lit(_MARK)))), " ")
+    asked = items.select("item_id", "item_words", words.alias("plain"))
+    texts = with_words(docs, "text").select("doc_id", "text_key", _plain("raw").alias("plain")).distinct()
+    return texts.join(asked, "plain").select(
+        "doc_id",
+        "text_key",
+        "item_id",
+        F.lit(0).cast("long").alias("first_word"),
+        F.size("item_words").cast("long").alias("n_words"),
+        F.size(F.filter("item_words", lambda word: word.startswith("<"))).cast("long").alias("n_slots"),
+        F.lit(False).alias("changed"),
+    )
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item of the benchmark, all columns kept."""
+    """The documents that hold no item of the benchmark, all columns kept. Only those
+    that may have to go are shuffled."""
     leaked = staged(contaminated(documents, benchmark).select("text_key").distinct(), "leaked-texts")
     names = documents.columns
-    kept = documents.withColumn("_llm_text_key", text_key(documents["text"])).join(
-        leaked.withColumnRenamed("text_key", "_llm_text_key").hint("merge"), "_llm_text_key", "left_anti"
-    )
-    return kept.select(*names)
+    keyed = documents.withColumn("_llm_text_key", text_key(documents["text"]))
+    keyed = keyed.withColumn("_llm_hash", F.xxhash64("_llm_text_key"))
+    suspects, clean = divided(keyed, "_llm_hash", leaked.select(F.xxhash64("text_key")))
+    leaked = leaked.withColumnRenamed("text_key", "_llm_text_key")
+    kept = suspects.join(leaked.hint("merge"), "_llm_text_key", "left_anti")
+    return clean.select(*names).unionByName(kept.select(*names))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

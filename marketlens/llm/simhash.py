@@ -4,8 +4,9 @@ A text's fingerprint is the bitwise majority of the XXH64 hashes of its shingles
 Every distinct fingerprint emits all variants within half the radius; two
 fingerprints within the radius share a variant, so a shuffle on variants brings
 together all that may link, and colliding neighbours are verified by their
-bits. Variants of one bucket lie within the radius of each other, so linking each
-fingerprint to the next one of its bucket loses no connection. Components of the
+bits. Variants of one bucket that lie within half the radius, rounded down, are within the
+radius of each other, so linking each to the next one of its bucket loses no connection;
+of an odd radius, those a bit farther are linked to one of them. Components of the
 links are found by alternating star contraction on written tables; documents of
 equal fingerprint never meet as pairs.
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from marketlens.llm.common import give_back_memory, small_batches, staged, table, text_key
+from marketlens.llm.common import divided, give_back_memory, small_batches, staged, table, text_key
 
 SEED = 42
 
@@ -70,12 +71,17 @@ def links(fingerprints: DataFrame, radius: int) -> DataFrame:
     masks = [0] + [sum(1 << bit for bit in bits) for n in range(1, half + 1) for bits in combinations(range(64), n)]
     masks = F.array(*(F.lit(_signed(mask)).cast("long") for mask in masks))
     variants = fingerprints.select("fp", F.explode(masks).alias("mask")).select(
-        "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant")
+        "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), (F.bit_count("mask") > radius // 2).alias("far")
     )
-    bucket = Window.partitionBy("variant").orderBy("fp")
-    pairs = variants.select(F.lag("fp").over(bucket).alias("a"), F.col("fp").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    return pairs.filter(F.col("a").isNotNull() & near).distinct()
+    # For an odd radius two that are far from the variant may be a bit too far from each
+    # other: each is linked to one that is near, which all the near ones are to the next.
+    bucket = Window.partitionBy("variant").orderBy("far", "fp")
+    first = F.first(F.struct("far", "fp")).over(bucket)
+    near = F.when(~first["far"], first["fp"])
+    met = F.when(F.col("far"), near).otherwise(F.lag("fp").over(bucket))
+    pairs = variants.select(met.alias("a"), F.col("fp").alias("b")).filter("a <> b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -115,8 +121,9 @@ def components(
     shingle: int = 3,
     radius: int = 2,
 ) -> DataFrame:
-    """One row per document row: doc_id, text_key, fp (signed), component_id (the
-    smallest id that links reach, its own included)."""
+    """One row per document row: doc_id, text_key, fp (signed), root (the smallest
+    fingerprint of the component), component_id (the smallest id that links reach, its
+    own included)."""
     docs = with_fingerprints(
         documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", "fp", shingle
     )
@@ -128,29 +135,34 @@ def components(
     )
     rooted = staged(rooted, "rooted-classes")
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = staged(rooted.join(staged(firsts, "components"), "root").select("fp", "component_id"), "named-classes")
-    return docs.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = staged(rooted.join(staged(firsts, "components"), "root").select("fp", "root", "component_id"), "named-classes")
+    return docs.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each component, all columns kept: the one of the smallest
-    id. Of several rows of that id the smallest text key stays, once; where no id
-    is known, likewise."""
-    named = components(documents, shingle=shingle, radius=radius)
-    kept = named.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
-    kept = staged(kept.agg(F.min("text_key").alias("text_key")), "kept-documents")
-    keys = kept.select(F.struct(F.col("component_id").alias("id"), "text_key").alias("_llm_row")).distinct()
+    """One document of each component, all columns kept: the one of the smallest id,
+    null last. Of several rows of that id the smallest text key stays, once; an id that
+    is repeated with unrelated texts stays once for each component. Only documents that
+    may have to go are shuffled."""
+    named = staged(components(documents, shingle=shingle, radius=radius).drop("component_id"), "named-documents")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), "text_key")
+    kept = staged(named.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.id", "kept.text_key"), "kept-documents")
+    own = F.xxhash64("id", "text_key").alias("hash")
+    rows = named.select(F.col("doc_id").alias("id"), "text_key")
+    # What may go: rows that are not kept, and rows of one id and text more than once.
+    counted = rows.groupBy("id", "text_key").agg(F.count("*").alias("n"))
+    counted = counted.select(F.struct("id", "text_key").alias("_llm_row"), "n")
+    stays = kept.select(F.struct("id", "text_key").alias("_llm_row"), F.lit(True).alias("stays"))
+    judged = staged(counted.join(stays, "_llm_row", "left").filter("stays is null or n > 1"), "judged-documents")
+    named_row = F.struct(documents["doc_id"].alias("id"), text_key(documents["text"]).alias("text_key"))
+    found = documents.withColumn("_llm_row", named_row)
+    found = found.withColumn("_llm_hash", F.xxhash64("_llm_row.id", "_llm_row.text_key"))
+    suspects, clean = divided(found, "_llm_hash", judged.select("_llm_row.*").select(own))
+    suspects = suspects.join(judged.hint("merge"), "_llm_row", "left")
     names = documents.columns
-    found = documents.withColumn(
-        "_llm_row", F.struct(documents["doc_id"].alias("id"), text_key(documents["text"]).alias("text_key"))
-    )
-    kept = found.join(staged(keys, "kept-rows").hint("merge"), "_llm_row", "left_semi")
-    # Rows repeated whole under one id: the join keeps each, one may stay.
-    again = staged(named.groupBy("doc_id", "text_key").count().filter("count > 1"), "repeated-rows")
-    if again.isEmpty():
-        return kept.select(*names)
-    return kept.dropDuplicates(["_llm_row"]).select(*names)
+    once = suspects.filter("n is null").select(*names)
+    several = suspects.filter("stays").dropDuplicates(["_llm_row"]).select(*names)
+    return clean.select(*names).unionByName(once).unionByName(several)
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

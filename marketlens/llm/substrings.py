@@ -1,23 +1,26 @@
 """Removal of passages that repeat, by level-wise doubling.
 
 A passage repeats if a window of ``length`` words starts at two places of the
-corpus. Windows of half that length are looked at first, and those that repeat
-alone are extended to twice their length, ``length``. Levels beyond could not
-remove more: a longer repeat is the union of its windows.
+corpus. Short windows are looked at first; those that repeat alone are extended to
+twice their length, and so on up to ``length`` (9, 18 and 35 words), until no
+candidates survive. Levels beyond could not remove more: a longer repeat is the union of
+its windows.
 
-First level: of all windows of half the length only those are kept whose hash is
-the smallest among the half windows of some full window. Equal full windows
-choose the same one, so a full window can repeat only if its chosen half window
-does; about one word in ten has a chosen window. Second level: full windows whose
-chosen half survived are hashed to 128 bits over their words and counted.
+Of the shortest windows only those are counted that have the smallest hash among the
+places of some full window from which the next levels still fit into it. Equal full
+windows choose the same place, so a full window can repeat only if the windows at its
+chosen place do, at every level; about one word in ten is a chosen place. The last level
+hashes the words of full windows to 128 bits.
 
 Equal texts are counted as one text with copies. What repeats inside one text is
 found in its task; between texts, each text gives a window once. Removal is judged
-on the input. Nothing is collected but the positions of one text.
+on the input. Nothing is collected but the positions of one text. Of whole texts, only
+those that may hold a candidate are shuffled, told apart by a bitmap of fixed size.
 
 Defined results: null and empty texts have no words; texts shorter than the
 window lose nothing; repeated rows are copies and lose every word that a window
-covers; an empty table gives no rows. Other columns stay.
+covers; an empty table gives no rows. Other columns stay, but for those of a result's
+name, whose place the result takes.
 """
 
 from __future__ import annotations
@@ -30,9 +33,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import give_back_memory, small_batches, staged, table
+from marketlens.llm.common import divided, give_back_memory, others, small_batches, staged, table
 
 _BASE = 0x9E3779B97F4A7C15
+#: A level of windows below this many words is not halved further.
+SHORTEST = 8
 #: Hashes of that many distinct words are kept in a task at a time.
 _CACHED_WORDS = 100_000
 
@@ -72,12 +77,23 @@ def _powers(base: int, size: int) -> np.ndarray:
     return np.cumprod(powers, dtype=np.uint64)
 
 
-def chosen_halves(hashing: WindowHashes, words: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all half windows, and for each full window the start of its chosen one."""
-    half = (length + 1) // 2
-    halves = hashing.windows(hashing.word_hashes(words), half)
-    per_window = np.lib.stride_tricks.sliding_window_view(halves, length - half + 1)
-    return halves, per_window.argmin(axis=1) + np.arange(len(per_window))
+def levels_of(length: int) -> list[int]:
+    """Lengths of the windows, each about twice the one before: 9, 18, 35."""
+    found = [length]
+    while len(found) == 1 or found[-1] >= 2 * SHORTEST - 1:
+        found.append((found[-1] + 1) // 2)
+    return found[::-1]
+
+
+def chosen_places(hashing: WindowHashes, words: list[bytes], length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Window hashes of all levels but the last, by place, and for each full window its
+    chosen place, from which the windows of all these levels lie inside it."""
+    *shorter, _ = levels_of(length)
+    hashes = hashing.word_hashes(words)
+    levels = [hashing.windows(hashes, size) for size in shorter]
+    usable = levels[0][: len(levels[-1])]
+    per_window = np.lib.stride_tricks.sliding_window_view(usable, length - shorter[-1] + 1)
+    return levels, per_window.argmin(axis=1) + np.arange(len(per_window))
 
 
 def _identity(text: Column) -> list[Column]:
@@ -91,22 +107,30 @@ def _identity(text: Column) -> list[Column]:
 _KEYS = ["_llm_k1", "_llm_k2"]
 
 
-def _halves_of(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def _names(length: int) -> list[str]:
+    """Columns of the levels but the last."""
+    return [f"l{k}" for k in range(len(levels_of(length)) - 1)]
+
+
+def _chosen_of(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
     hashing = WindowHashes()
     none = np.empty(0, dtype=np.int64)
+    names = _names(length)
     for batch in batches:
-        found, own = [], []
+        found: dict[str, list] = {name: [] for name in [*names, "own"]}
         for text in batch["text"]:
             words = (text or "").encode().split()
             if len(words) < length:
-                found.append(none)
-                own.append(none)
+                for rows in found.values():
+                    rows.append(none)
                 continue
-            halves, chosen = chosen_halves(hashing, words, length)
-            distinct, times = np.unique(halves[np.unique(chosen)], return_counts=True)
-            found.append(distinct.view(np.int64))
-            own.append(distinct[times > 1].view(np.int64))
-        yield batch[_KEYS].assign(halves=found, own=own)
+            levels, chosen = chosen_places(hashing, words, length)
+            places = np.unique(chosen)
+            distinct, first, times = np.unique(levels[-1][places], return_index=True, return_counts=True)
+            for name, level in zip(names, levels, strict=True):
+                found[name].append(level[places[first]].view(np.int64))
+            found["own"].append(distinct[times > 1].view(np.int64))
+        yield batch[_KEYS].assign(**found)
     del hashing
     give_back_memory()
 
@@ -117,9 +141,9 @@ def _windows_of(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.Dat
         rows = []
         for tid, text, halves_left in zip(batch["tid"], batch["text"], batch["halves"], strict=True):
             words = text.encode().split()
-            halves, chosen = chosen_halves(hashing, words, length)
+            levels, chosen = chosen_places(hashing, words, length)
             left = np.asarray(halves_left, dtype=np.int64).view(np.uint64)
-            starts = np.flatnonzero(np.isin(halves[chosen], left))
+            starts = np.flatnonzero(np.isin(levels[-1][chosen], left))
             joined = b" ".join(words)
             ends = np.cumsum([len(word) + 1 for word in words])
             begins = ends - [len(word) + 1 for word in words]
@@ -156,22 +180,29 @@ def repeated_windows(documents: DataFrame, *, text: str = "text", length: int =
     and ``starts``, where windows begin that also start elsewhere in other texts or
     again in this one (no entry is needed for a text with copies)."""
     texts = small_batches(documents).select(*_identity(F.col(text)), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    schema = "_llm_k1 long, _llm_k2 long, halves array<long>, own array<long>"
-    halves = texts.mapInPandas(lambda batches: _halves_of(batches, length), schema)
-    classes = halves.groupBy(*_KEYS).agg(
-        F.count("*").alias("copies"), F.first("halves").alias("halves"), F.first("own").alias("own")
+    names = _names(length)
+    schema = ", ".join(["_llm_k1 long, _llm_k2 long", *(f"{name} array<long>" for name in names), "own array<long>"])
+    chosen = texts.mapInPandas(lambda batches: _chosen_of(batches, length), schema)
+    classes = chosen.groupBy(*_KEYS).agg(
+        F.count("*").alias("copies"), *(F.first(name).alias(name) for name in [*names, "own"])
     )
     classes = staged(classes.withColumn("tid", F.monotonically_increasing_id()), "texts")
 
-    # First level: half windows.
-    level = classes.select("tid", F.explode("halves").alias("half"))
-    repeated = _survivors(level.select("half"), ["half"], "repeated-halves")
-    left = level.join(repeated, "half").unionByName(classes.select("tid", F.explode("own").alias("half")))
+    # Windows of each length that repeat; those alone go on to the next.
+    level = classes.select("tid", F.explode(F.arrays_zip(*names)).alias("w")).select("tid", "w.*")
+    for name in names:
+        repeated = _survivors(level.select(name), [name], f"repeated-{name}")
+        level = level.join(repeated, name)
+        if name != names[-1]:
+            level = staged(level, f"candidates-{name}")
+    left = level.select("tid", F.col(names[-1]).alias("half"))
+    left = left.unionByName(classes.select("tid", F.explode("own").alias("half")))
     left = left.groupBy("tid").agg(F.collect_set("half").alias("halves"))
     left = staged(left.join(classes.select("tid", *_KEYS), "tid"), "candidate-texts")
 
-    # Second level: windows of twice that length.
-    bodies = texts.groupBy(*_KEYS).agg(F.first("text").alias("text"))
+    # The last level: whole windows, of texts with candidates.
+    bodies, _ = divided(texts, "_llm_k1", left.select("_llm_k1"))
+    bodies = bodies.groupBy(*_KEYS).agg(F.first("text").alias("text"))
     candidates = bodies.join(left, _KEYS).select("tid", "text", "halves")
     schema = "tid long, h1 array<long>, h2 array<long>, starts array<int>, own array<int>"
     windows = staged(candidates.mapInPandas(lambda batches: _windows_of(batches, length), schema), "windows")
@@ -180,8 +211,8 @@ def repeated_windows(documents: DataFrame, *, text: str = "text", length: int =
     starts = level.filter("starts >= 0").join(repeated, ["h1", "h2"]).select("tid", F.col("starts").alias("start"))
     starts = starts.unionByName(windows.select("tid", F.explode("own").alias("start")))
     starts = starts.groupBy("tid").agg(F.collect_list("start").alias("starts"))
-    found = classes.select("tid", *_KEYS, "copies", "halves").join(starts, "tid", "left")
-    found = found.filter(F.col("starts").isNotNull() | ((F.col("copies") > 1) & (F.size("halves") > 0)))
+    found = classes.select("tid", *_KEYS, "copies", F.size(names[-1]).alias("n")).join(starts, "tid", "left")
+    found = found.filter(F.col("starts").isNotNull() | ((F.col("copies") > 1) & (F.col("n") > 0)))
     return staged(found.select(*_KEYS, "copies", "starts"), "repeated-passages")
 
 
@@ -199,12 +230,22 @@ def _kept_words(text: str | None, starts: np.ndarray | None, all_covered: bool,
     return b" ".join(kept).decode(), len(words), int(covered.sum())
 
 
-def without_repeats(documents: DataFrame, *, text: str = "text", length: int = 35) -> DataFrame:
-    """``documents`` with ``kept`` (the words that stay, joined by one space),
-    ``n_words`` and ``n_removed``."""
+def _marked(documents: DataFrame, text: str, length: int) -> tuple[DataFrame, DataFrame]:
+    """``documents`` in two parts: those that may lose words, with ``_llm_starts`` and
+    ``_llm_copied``, and the others, which are not shuffled."""
     found = repeated_windows(documents, text=text, length=length)
     names = documents.columns
+    keyed = small_batches(documents).select("*", *_identity(F.col(text)))
+    suspects, clean = divided(keyed, "_llm_k1", found.select("_llm_k1"))
+    marks = found.select(
+        F.struct(*_KEYS).alias("_llm_key"), F.col("starts").alias("_llm_starts"), (F.col("copies") > 1).alias("_llm_copied")
+    )
+    suspects = suspects.withColumn("_llm_key", F.struct(*_KEYS)).join(marks.hint("merge"), "_llm_key", "left")
+    copied = F.coalesce("_llm_copied", F.lit(False)).alias("_llm_copied")
+    return suspects.select(*names, "_llm_starts", copied), clean.select(*names)
 
+
+def _kept(length: int):
     @F.pandas_udf("kept string, n_words long, n_removed long")
     def keep(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, starts, copied in batches:
@@ -212,33 +253,38 @@ def without_repeats(documents: DataFrame, *, text: str = "text", length: int = 3
             yield pd.DataFrame(rows, columns=["kept", "n_words", "n_removed"])
         give_back_memory()
 
-    keyed = documents.select("*", F.struct(*_identity(F.col(text))).alias("_llm_key"))
-    marks = found.select(
-        F.struct(*_KEYS).alias("_llm_key"), F.col("starts").alias("_llm_starts"), F.col("copies").alias("_llm_copies")
-    )
-    copied = F.coalesce(F.col("_llm_copies") > 1, F.lit(False))
-    rows = keyed.join(marks.hint("merge"), "_llm_key", "left")
-    rows = rows.withColumn("_llm_kept", keep(F.col(text), F.col("_llm_starts"), copied))
-    return rows.select(*names, *(F.col(f"_llm_kept.{name}") for name in ("kept", "n_words", "n_removed")))
+    return keep
+
+
+def without_repeats(documents: DataFrame, *, text: str = "text", length: int = 35) -> DataFrame:
+    """``documents`` with ``kept`` (the words that stay, joined by one space),
+    ``n_words`` and ``n_removed``."""
+    results = ("kept", "n_words", "n_removed")
+    suspects, clean = _marked(documents, text, length)
+    unmarked = clean.select("*", F.lit(None).cast("array<int>").alias("_llm_starts"), F.lit(False).alias("_llm_copied"))
+    rows = suspects.unionByName(unmarked)
+    rows = rows.withColumn("_llm_kept", _kept(length)(F.col(text), F.col("_llm_starts"), F.col("_llm_copied")))
+    return rows.select(*others(documents, *results), *(F.col(f"_llm_kept.{name}") for name in results))
 
 
 def drop_repeats(documents: DataFrame, *, length: int = 35) -> DataFrame:
     """``documents`` with repeated passages cut out of ``text`` and ``n_chars`` to
     match; texts that lose nothing stay as they are, texts that lose all go."""
-    plain = documents.select(*documents.columns)
-    rows = without_repeats(plain.withColumnsRenamed({n: f"_llm_in_{i}" for i, n in enumerate(plain.columns)}),
-                           text=f"_llm_in_{plain.columns.index('text')}", length=length)
-    rows = rows.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    cut = F.col("n_removed") > 0
+    suspects, clean = _marked(documents, "text", length)
+    rows = suspects.withColumn(
+        "_llm_kept", _kept(length)(F.col("text"), F.col("_llm_starts"), F.col("_llm_copied"))
+    )
+    removed = F.col("_llm_kept.n_removed")
+    rows = rows.filter((removed == 0) | (removed < F.col("_llm_kept.n_words")))
     columns = []
-    for i, field in enumerate(plain.schema.fields):
-        column = F.col(f"_llm_in_{i}")
+    for field in documents.schema.fields:
+        column = F.col(f"`{field.name}`")
         if field.name == "text":
-            column = F.when(cut, F.col("kept")).otherwise(column)
+            column = F.when(removed > 0, F.col("_llm_kept.kept")).otherwise(column)
         elif field.name == "n_chars":
-            column = F.when(cut, F.char_length("kept").cast(field.dataType)).otherwise(column)
+            column = F.when(removed > 0, F.char_length("_llm_kept.kept").cast(field.dataType)).otherwise(column)
         columns.append(column.alias(field.name))
-    return rows.select(*columns)
+    return clean.unionByName(rows.select(*columns))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

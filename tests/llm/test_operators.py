@@ -52,7 +52,7 @@ def edge_docs(spark):
 
 def clashing(rows):
     """Columns with the names that operators use inside or give out."""
-    names = ["kept", "fp", "score", "n_words", "row", "key", "h1", "part", "_marked", "hash", "words", "raw"]
+    names = ["kept", "fp", "score", "n_words", "row", "key", "h1", "part", "_marked", "hash", "words", "raw", "root", "l0"]
     return rows.withColumns({name: F.lit("x") for name in names})
 
 
@@ -115,6 +115,44 @@ def test_chains_and_stars_of_links(spark):
     assert {roots[k] for k in range(101, 160)} == {100}
 
 
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_links_connect_all_pairs_within_the_radius(spark, radius):
+    rng = random.Random(radius)
+    prints = {2, 3, 8, 10, 0, (1 << 63) | 1}
+    for _ in range(40):
+        start = rng.getrandbits(64)
+        for _ in range(4):
+            prints.add(start)
+            for _ in range(rng.randrange(1, radius + 2)):
+                start ^= 1 << rng.randrange(64)
+    prints = sorted(prints)
+    table = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    found = {(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(table, radius).collect()}
+    assert all((a ^ b).bit_count() <= radius for a, b in found)
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a, b in found:
+        root[find(a)] = find(b)
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            assert (a ^ b).bit_count() > radius or find(a) == find(b)
+
+
+def test_ids_repeated_with_unrelated_texts_stay(spark):
+    rng = random.Random(9)
+    texts = [prose(rng, 50) for _ in range(5)]
+    rows = docs(spark, [(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (3, texts[2])])
+    kept = simhash.drop_near_duplicates(rows).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted(
+        [("1", texts[0]), ("1", texts[1]), ("2", texts[2]), ("None", texts[3]), ("None", texts[4])]
+    )
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = docs(spark, [(3, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "other words here now"), (None, "third text")])
     kept = simhash.drop_near_duplicates(clashing(rows))
@@ -188,7 +226,17 @@ def test_items_are_found_wherever_they_stand(spark):
     rng = random.Random(3)
     texts = [f"{prose(rng, k)} {ITEMS[1][1].upper()} {prose(rng, 11)}" for k in range(12)]
     texts += [prose(rng, 300), None, "", "too short"]
-    assert found_items(spark, texts) == {(k, 2): False for k in range(12)}
+    # An item of two words is found where it is the whole text.
+    assert found_items(spark, texts) == {(k, 2): False for k in range(12)} | {(15, 3): False}
+
+
+def test_items_without_evidence_are_found_word_for_word(spark):
+    items = [(1, "Yes."), (2, "17 23 42 99"), (3, "Anna Berta Carla Dora"), (4, "?!"), (5, "")]
+    texts = ["yes", "Yes or no", "Count 17, 23, 42 and 99.", "Count 17, 23, 42, 99 now.", "Count 17, 23, 42, 98 now.",
+             "So said Anna, Berta, Carla, Dora.", "So said Anna, Berta, Carla, Emma.", "", None, "?!"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contaminated(docs(spark, list(enumerate(texts))), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(0, 1), (3, 2), (5, 3)}
 
 
 def test_other_numbers_and_names_are_found_if_consistent(spark):
@@ -540,7 +588,8 @@ def page(words, n, extra="", template=True):
 
 def extract(spark, rows):
     table = spark.createDataFrame(rows, "page_id long, url string, html string")
-    return {r.page_id: r for r in pages.extracted(clashing(table)).collect()}
+    table = clashing(table).withColumn("text", F.lit("x")).withColumn("N_Template", F.lit("x"))
+    return {r.page_id: r for r in pages.extracted(table).collect()}
 
 
 def test_constant_nodes_are_template_and_varying_slots_content(spark):
@@ -592,6 +641,53 @@ def test_broken_and_empty_pages(spark):
     assert len(found) == 16 and extract(spark, rows[:0] or [(0, None, None)])[0].text == ""
 
 
+@pytest.mark.parametrize("depth", [3, 190, 198, 199, 250, 3000])
+def test_text_behind_a_deep_nest_stays(depth):
+    deep = "<div>" * depth + "in<ul><li>a<li>b</ul>" + "</div>" * depth
+    page = f"<div><article><p>start</p>{deep}<p>tail</p></article><div>no</div></div><p>end"
+    assert pages.content(pages.parse(page), set()) == "start in a b tail"
+
+
+def test_marks_that_name_a_content_are_no_furniture():
+    page = (
+        "<div class='share-price'><p>Share price of the day</p></div><section class='search-results'>Found</section>"
+        "<div class='site-footer'>x</div><div id='c-ad__box2'>x</div><div class='left sidebar'>x</div><p class='social-history'>Old"
+        "<div class='cookie-banner'>x</div><div class='post-content'>Text</div>" + "<p>more of it</p>" * 9
+    )
+    assert pages.content(pages.parse(page), set()) == "Share price of the day Found Old Text" + " more of it" * 9
+
+
+def test_large_tables_are_matched_as_small_ones(monkeypatch):
+    rng = random.Random(21)
+
+    def tree(n):
+        root = pages.Node("div")
+        for _ in range(n):
+            child = pages.Node(rng.choice("pqr"))
+            child.children = [pages.Node("#text", text=rng.choice("abc"))] * rng.randrange(2)
+            root.children.append(child)
+        return root
+
+    def size(pairs):
+        return sum(1 + 0.01 * (a.key == b.key) for a, b in pairs)
+
+    for _ in range(60):
+        a, b = tree(rng.randrange(1, 15)), tree(rng.randrange(1, 15))
+        found = []
+        for largest in (40_000, 6):
+            monkeypatch.setattr(pages, "_LARGE_TABLE", largest)
+            matcher = pages.TreeMatcher()
+            left, right = matcher.prepare(a), matcher.prepare(b)
+            pairs = list(matcher._matched(left.children, right.children))
+            order = {id(node): k for k, node in enumerate(left.children)}, {id(node): k for k, node in enumerate(right.children)}
+            at = sorted((order[0][id(x)], order[1][id(y)]) for x, y in pairs)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(at, at[1:], strict=False))
+            total = 1 + sum(matcher.score(x, y) for x, y in pairs)
+            assert total == matcher.score(left, right)
+            found.append(total + size(pairs))
+        assert found[0] == pytest.approx(found[1])
+
+
 def test_tree_matching_is_maximal():
     """Against the plain recursive definition on small random trees."""
     rng = random.Random(14)
@@ -681,7 +777,6 @@ def test_ids_are_those_of_the_whole_text():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     own, theirs = packing.IdEncoder(path), Tokenizer.from_file(path)
-    theirs.encode_special_tokens = True
     rng = random.Random(18)
     letters = "aAbÉéßΣσςİı한가.,' \x1c \x85 \n\t!?%$ñ中'sK Å1²"
     texts = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(2000)] + [None, "<|endoftext|> I'll."]
@@ -699,12 +794,15 @@ def test_edge_documents_pass_all_document_operators(spark):
     rows = edge_docs(spark)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     for table, n in ((clashing(rows), 8), (rows.limit(0), 0)):
-        plain = table.drop("kept", "score", "n_words", "fp")
         assert simhash.components(table).count() == n
-        assert substrings.without_repeats(plain).count() == n
+        found = substrings.without_repeats(table)
+        assert found.count() == n and found.columns.count("kept") == 1
         assert licenses.scan(table).count() == n
         assert decontamination.contaminated(table, bench).count() == 0
-        assert quality.scored(plain, None).count() == n
+        found = quality.scored(table, None)
+        assert found.count() == n and found.columns.count("score") == 1
+        found = language.identify(table, language.fit(language_rows(spark, 4)))
+        assert found.count() == n and found.columns.count("score") == 1
     kept = substrings.without_repeats(rows).filter("doc_id = 5").collect()
     assert [(r.kept, r.n_removed) for r in kept] == [("", 30_000)] * 2
     assert hashlib.sha256(b"").hexdigest()
