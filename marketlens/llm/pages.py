@@ -16,13 +16,15 @@ Defined results: null and empty pages have no text; a page whose address has no
 or whose host has fewer distinct pages, has no template and is read by structure
 alone; exact copies of a page count once in the host's statistics; broken markup is
 closed as browsers do, and what is cut off counts as far as it goes; repeated rows
-each give a row; an empty table gives no rows. Other columns stay.
+each give a row; an empty table gives no rows. Other columns stay, but for those of a
+result's name, whose place the result takes.
 """
 
 from __future__ import annotations
 
 import html as markup
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import small_batches, staged, table
+from marketlens.llm.common import others, small_batches, staged, table
 
-#: Elements nested deeper become siblings, as browsers have it too.
+#: Elements nested deeper get no node of their own; what they hold belongs to the deepest.
 _DEEPEST = 200
+#: Lists of children are matched in one table up to this product of their lengths.
+_LARGE_TABLE = 40_000
 #: Reference pages up to this many characters in all are broadcast.
 BROADCAST_CHARACTERS = 16_000_000
 # Element names of HTML.
@@ -65,6 +69,13 @@ _FURNITURE_WORDS = set(
     "notices alert popup modal overlay comment comments disqus respond replies share sharing social related "
     "recommended newsletter subscribe subscription signup login search widget toolbar complementary contentinfo".split()
 )
+# Words that say where an element stands and not what it holds.
+_LAYOUT_WORDS = set(
+    "site page global main top bottom left right upper lower center middle inner outer first last primary secondary "
+    "mobile desktop sticky fixed floating box wrap wrapper container holder inside area block section panel row col "
+    "column grid bar list links link items item group button buttons icons icon text title label form area zone unit "
+    "slot placeholder content js css web html wp post article blog".split()
+)
 _TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -88,6 +99,15 @@ class Node:
         self.key = self.number = self.shape = self.size = 0
 
 
+def _marks_furniture(name: str) -> bool:
+    """Whether a class, id or role says furniture and nothing else: "site-footer" does,
+    "share-price" and "search-results" name a content."""
+    parts = [part for part in (part.rstrip("0123456789") for part in _PARTS.split(name)) if len(part) > 1]
+    return not _FURNITURE_WORDS.isdisjoint(parts) and all(
+        part in _FURNITURE_WORDS or part in _LAYOUT_WORDS for part in parts
+    )
+
+
 def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in _FURNITURE and not (tag == "header" and inside_article):
         return True
@@ -96,8 +116,7 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
     for match in _MARKS.finditer(attributes):
         value = next((group for group in match.groups() if group is not None), "")
         # "has-sidebar" tells of the page, not of the element.
-        names = [name for name in value.lower().split() if not name.startswith(_TELLS_OF_PAGE)]
-        if not _FURNITURE_WORDS.isdisjoint(_PARTS.split(" ".join(names))):
+        if any(_marks_furniture(name) for name in value.lower().split() if not name.startswith(_TELLS_OF_PAGE)):
             return True
     return False
 
@@ -105,7 +124,8 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
 def parse(page: str) -> Node:
     """The DOM tree below one root; scripts, styles and comments leave no nodes."""
     root = Node("#root")
-    stack, tags = [root], ["#root"]
+    stack, tags = [root], ["#root"]  # of the open elements, those beyond _DEEPEST have a tag only
+    opened: Counter[str] = Counter()
     at = 0
 
     def add_text(text: str) -> None:
@@ -114,6 +134,21 @@ def parse(page: str) -> Node:
         elif text:
             stack[-1].children.append(Node("#space"))
 
+    def close_from(k: int) -> None:
+        opened.subtract(tags[k:])
+        del stack[k:], tags[k:]
+
+    def close(closed: set[str], limits: set[str]) -> None:
+        """Ends the innermost open element of ``closed``, unless a limit lies within."""
+        if not any(opened[tag] for tag in closed):
+            return
+        for k in range(len(tags) - 1, 0, -1):
+            if tags[k] in closed:
+                close_from(k)
+                return
+            if tags[k] in limits:
+                return
+
     for token in _TOKENS.finditer(page):
         if token.start() > at:
             add_text(page[at : token.start()])
@@ -123,36 +158,29 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if token["end"]:
-            if tag in tags:
-                while tags.pop() != tag:
-                    stack.pop()
-                stack.pop()
+            if opened[tag]:
+                k = len(tags) - 1
+                while tags[k] != tag:
+                    k -= 1
+                close_from(k)
             continue
-        if tag in _CLOSES_P and "p" in tags:
-            _close(stack, tags, {"p"}, {"article", "main", "section", "div", "td", "li", "body"})
+        if tag in _CLOSES_P and opened["p"]:
+            close({"p"}, {"article", "main", "section", "div", "td", "li", "body"})
         if tag in _CLOSED_BY:
-            _close(stack, tags, *_CLOSED_BY[tag])
-        inside = "article" in tags or "main" in tags
-        node = Node(tag, _is_furniture(tag, token["attributes"], inside))
+            close(*_CLOSED_BY[tag])
+        inside = opened["article"] or opened["main"]
+        node = Node(tag, _is_furniture(tag, token["attributes"], bool(inside)))
         stack[-1].children.append(node)
-        if tag not in _VOID and not token["attributes"].endswith("/") and len(stack) < _DEEPEST:
-            stack.append(node)
+        if tag not in _VOID and not token["attributes"].endswith("/"):
             tags.append(tag)
+            opened[tag] += 1
+            if len(tags) <= _DEEPEST:
+                stack.append(node)
     if at < len(page):
         add_text(page[at:])
     return root
 
 
-def _close(stack: list[Node], tags: list[str], closed: set[str], limits: set[str]) -> None:
-    """Ends the innermost open element of ``closed``, unless a limit lies within."""
-    for k in range(len(tags) - 1, 0, -1):
-        if tags[k] in closed:
-            del stack[k:], tags[k:]
-            return
-        if tags[k] in limits:
-            return
-
-
 def _words(text: str) -> str:
     return " ".join(text.split())
 
@@ -194,9 +222,15 @@ class TreeMatcher:
             return a.size
         known = self._scores.get((a.shape, b.shape))
         if known is None:
-            known = self._scores[a.shape, b.shape] = 1 + self._table(a.children, b.children, False)[-1][-1]
+            known = self._scores[a.shape, b.shape] = 1 + self._best(a.children, b.children)
         return known
 
+    def _best(self, left: list[Node], right: list[Node]) -> float:
+        """The score of the best match of two lists of children."""
+        if len(left) * len(right) > _LARGE_TABLE:
+            return float(self._last_row(left, right, False)[-1])
+        return self._table(left, right, False)[-1][-1]
+
     def _table(self, left: list[Node], right: list[Node], by_text: bool) -> list[list[float]]:
         above = [0.0] * (len(right) + 1)
         rows = [above]
@@ -217,16 +251,50 @@ class TreeMatcher:
             above = row
         return rows
 
-    def aligned(self, a: Node, b: Node) -> Iterator[tuple[Node, Node]]:
-        """Pairs of text nodes that the best match of the two trees joins. Texts that
-        are equal are preferred among matches of equal size."""
-        todo = [(a, b)] if a.tag == b.tag else []
+    def _last_row(self, left: list[Node], right: list[Node], by_text: bool) -> np.ndarray:
+        """The last row of ``_table``, in memory for one row."""
+        kinds: dict[int, int] = {}
+        kind = np.array([kinds.setdefault(b.shape, len(kinds)) for b in right])
+        examples = {b.shape: b for b in right}
+        keys = np.array([b.key for b in right], dtype=np.uint64)
+        worths: dict[int, np.ndarray] = {}
+        row = np.zeros(len(right) + 1)
+        for a in left:
+            if a.shape not in worths:
+                worths[a.shape] = np.array([self.score(a, examples[shape]) for shape in kinds], dtype=float)[kind]
+            worth = worths[a.shape]
+            if by_text:
+                worth = worth + 0.5 * ((keys == np.uint64(a.key)) & (worth > 0))
+            both = np.where(worth > 0, row[:-1] + worth, 0)
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], both))
+        return row
+
+    def _matched(self, left: list[Node], right: list[Node]) -> Iterator[tuple[Node, Node]]:
+        """Children that the best match joins. Large tables are halved (each half's part
+        of the other list is where the two best scores add up to most), so that memory
+        grows with the lists and not with their product."""
+        todo = [(left, right)]
         while todo:
-            a, b = todo.pop()
-            if a.tag == "#text":
-                yield a, b
+            left, right = todo.pop()
+            # Equal beginnings and ends: no other match of these is better.
+            first, last = 0, 0
+            shorter = min(len(left), len(right))
+            while first < shorter and _alike(left[first], right[first]):
+                yield left[first], right[first]
+                first += 1
+            while last < shorter - first and _alike(left[-1 - last], right[-1 - last]):
+                yield left[-1 - last], right[-1 - last]
+                last += 1
+            left, right = left[first : len(left) - last], right[first : len(right) - last]
+            if not left or not right:
+                continue
+            if len(left) * len(right) > _LARGE_TABLE and len(left) > 1:
+                middle = len(left) // 2
+                before = self._last_row(left[:middle], right, True)
+                after = self._last_row(left[:middle - 1 : -1], right[::-1], True)[::-1]
+                cut = int((before + after).argmax())
+                todo += [(left[:middle], right[:cut]), (left[middle:], right[cut:])]
                 continue
-            left, right = a.children, b.children
             rows = self._table(left, right, True)
             i, j = len(left), len(right)
             while i and j:
@@ -236,7 +304,22 @@ class TreeMatcher:
                     j -= 1
                 else:
                     i, j = i - 1, j - 1
-                    todo.append((left[i], right[j]))
+                    yield left[i], right[j]
+
+    def aligned(self, a: Node, b: Node) -> Iterator[tuple[Node, Node]]:
+        """Pairs of text nodes that the best match of the two trees joins. Texts that
+        are equal are preferred among matches of equal size."""
+        todo = [(a, b)] if a.tag == b.tag else []
+        while todo:
+            a, b = todo.pop()
+            if a.tag == "#text":
+                yield a, b
+                continue
+            todo.extend(self._matched(a.children, b.children))
+
+
+def _alike(a: Node, b: Node) -> bool:
+    return a.shape == b.shape and a.key == b.key
 
 
 def _release_wrappers(root: Node) -> None:
@@ -385,7 +468,7 @@ def extracted(
             rows.append((content(root, dropped), len(dropped)))
         return pd.DataFrame(rows, columns=["text", "n_template"])
 
-    names = pages.columns
+    names = others(pages, "text", "n_template")
     joined = _with_host(read, facts, small)
     found = joined.withColumn(
         "_llm_found", read_content("_llm_host", "_llm_html", "_llm_reference", "_llm_template")
