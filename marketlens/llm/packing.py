@@ -56,10 +56,8 @@ class IdEncoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         # The same model for words that need no more than to be told apart.
         self._of_words = Tokenizer.from_file(path)
-        self._of_words.encode_special_tokens = True
         self._of_words.normalizer = normalizers.Sequence([])
         self._of_words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
