@@ -19,7 +19,9 @@ Defined results: null texts and texts without a letter are ``und`` with score 0
 and rejected; languages come from non-null labels of texts with letters; ties go
 to the first language by name; whole texts are read, long ones in blocks; if
 nothing can be learned all texts are ``und`` and rejected; an empty table gives no
-rows. Other columns stay.
+rows. Other columns stay, but for those of a result's name, whose place the result
+takes. ``keep_identified`` learns from its own table and needs its ``lang``; for a table
+without it, use ``identify`` with a model.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import give_back_memory, small_batches, table
+from marketlens.llm.common import give_back_memory, others, small_batches, table
 
 DIMENSIONS = 1 << 13
 CENTROIDS = 3
@@ -43,6 +45,8 @@ CENTROIDS = 3
 CUTS = [1 << k for k in range(2, 12)]
 LEAST_TEXTS, LEAST_OF_SIZE = 10, 10
 _BLOCK = 1 << 20
+#: Parts of a language that are ranked apart before they are ranked together.
+_PARTS = 16
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
@@ -131,10 +135,13 @@ def fit(
     cosines kept back, or ``floor_share`` of the smallest of a small sample."""
     rows = small_batches(labelled).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("hash", F.xxhash64("key", "text"))
-    order = Window.partitionBy("lang").orderBy("hash")
-    # Languages and hashes alone are shuffled; the few taken are broadcast to the texts.
-    taken = rows.select("lang", "hash", F.row_number().over(order).alias("nth"))
-    taken = taken.filter(F.col("nth") <= rows_per_language).select("lang", "hash").distinct()
+    # Languages and hashes alone are shuffled; the few taken are broadcast to the texts. A
+    # language may hold most rows: the smallest hashes of each of its parts come first.
+    taken = rows.select("lang", "hash", F.pmod("hash", F.lit(_PARTS)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("hash")
+        taken = taken.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_language).drop("nth")
+    taken = taken.select("lang", "hash").distinct()
     rows = rows.join(F.broadcast(taken), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,9 +225,9 @@ def identify(documents: DataFrame, model: LanguageModel, *, text: str = "text")
             yield nearest(texts)
         give_back_memory()
 
-    names = documents.columns
+    results = ("lang_pred", "score", "rejected")
     found = small_batches(documents).withColumn("_llm_language", identified(F.col(text)))
-    return found.select(*names, *(f"_llm_language.{name}" for name in ("lang_pred", "score", "rejected")))
+    return found.select(*others(documents, *results), *(f"_llm_language.{name}" for name in results))
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

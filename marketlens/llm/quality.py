@@ -12,7 +12,8 @@ It is fitted by gradient steps on a bounded sample of labelled rows
 Defined results: null and empty texts have no words and score by their other
 inputs; null or missing ``n_chars`` counts as the text's length; labels other than
 0 and 1 teach nothing; of several labels of one document the smallest counts; without labels every
-score is 0.5; an empty table gives no rows. Other columns stay.
+score is 0.5; an empty table gives no rows. Other columns stay; a column ``score`` gives
+its place to the result.
 """
 
 from __future__ import annotations
