@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from marketlens.functions.values import all_of
 from marketlens.schemas import API_TYPES
 
-# Kinds of observed price sources; a deployment passes its own list.
-SOURCE_TYPES = ("product_page",)
-
-
 def _row(violations: DataFrame, table: str, check: str) -> DataFrame:
     return violations.select(
         F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "violations"
@@ -45,7 +41,8 @@ def positive_rules(columns: Iterable[str]) -> dict[str, Column]:
     return {f"{name} is positive": F.col(name) > 0 for name in columns}
 
 
-def source_type_rule(kinds: Iterable[str] = SOURCE_TYPES) -> dict[str, Column]:
+def source_type_rule(kinds: Iterable[str]) -> dict[str, Column]:
+    """``kinds`` of observed price sources are for the deployment to name."""
     return {"source_type is known": F.col("source_type").isin(*kinds)}
 
 

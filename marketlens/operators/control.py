@@ -161,6 +161,27 @@ def run_ledger(events: DataFrame) -> DataFrame:
     )
 
 
+def interruptions(events: DataFrame, at: Column, message: str = "run did not end") -> DataFrame:
+    """One interrupted event for every run that was started and that nothing has closed:
+    what the driver of such a run could no longer log."""
+    closing = (SUCCESS, *_FAILED)
+    key = [*FEED, "run_id"]
+    started = events.filter(F.col("kind") == STARTED).select(*key).distinct()
+    closed = events.filter(F.col("kind").isin(*closing)).select(*key)
+    fixed = {
+        "seq": F.lit(0).cast("bigint"),
+        "at": at,
+        "kind": F.lit(INTERRUPTED),
+        "message": F.lit(message[:MESSAGE_LIMIT]),
+    }
+    found = started.join(closed, key, "left_anti").withColumns(fixed)
+    columns = [
+        (F.col(f.name) if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in RUN_EVENTS.fields
+    ]
+    return found.select(*columns)
+
+
 def state_report(state: DataFrame) -> DataFrame:
     return state.select(
         *FEED, "status", "cursor_timestamp", "last_success_at", "last_error_at", "last_error_message"

@@ -103,9 +103,10 @@ def settlement_window(cursor: Column, now: Column) -> tuple[Column, Column]:
 
 
 def settlement_backlog(
-    lines: DataFrame, cursors: DataFrame, now: Column, at: str = "date_from"
+    lines: DataFrame, cursors: DataFrame, now: Column, at: str = "date_from", keep: Column | None = None
 ) -> DataFrame:
-    """Lines inside each account's window and behind its line checkpoint.
+    """Lines inside each account's window and behind its line checkpoint; those that
+    ``keep`` names stay wherever they are.
 
     ``cursor_key`` holds the last line number stored by an unfinished run.
     """
@@ -117,6 +118,8 @@ def settlement_backlog(
         F.coalesce(F.nullif("cursor_key", F.lit("")).cast("bigint"), F.lit(0)).alias("_after"),
     )
     inside = F.col(at).between(F.col("_first"), F.col("_last")) & (F.col("rrd_id") > F.col("_after"))
+    if keep is not None:
+        inside = F.coalesce(inside, F.lit(False)) | keep
     return lookup(lines, bounds, ["account_id"], "inner").filter(inside).drop("_first", "_last", "_after")
 
 

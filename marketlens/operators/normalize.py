@@ -44,14 +44,63 @@ def _columns(feed: Feed, prefix: str = "", skip: tuple[str, ...] = ()) -> list[C
     ]
 
 
-def _raw(feed: Feed, prefix: str = "", *extra: Column) -> Column:
-    """The source object as JSON text, its dates already normalised."""
+# What the landing job adds to an object is no part of it.
+_LANDING = ("account_id", "page", "position", "supply_key")
+_OBJECT = "map<string,variant>"
+
+
+def _payload(source: Column, feed: Feed, dated: bool = True, **extra: Column) -> Column:
+    """A source object, a variant, as JSON text: all its fields, declared or not, with
+    their own types and nulls; texts of date fields as instants if ``dated``. ``extra``
+    fields are added."""
+    fields = F.try_variant_get(source, "$", _OBJECT)
+    fields = F.map_filter(fields, lambda name, _: ~name.isin(*_LANDING, *extra))
+    dates = [name for name, _, kind in feed.fields() if kind.endswith("instant")] if dated else []
+    if dates:
+
+        def shown(name: Column, value: Column) -> Column:
+            is_date = name.isin(*dates) & (F.schema_of_variant(value) == "STRING")
+            text = F.when(is_date, F.nullif(F.try_variant_get(value, "$", "string"), F.lit("")))
+            instant = F.date_format(feed_instant(text), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+            return F.when(text.isNotNull(), instant.cast("variant")).otherwise(value)
+
+        fields = F.transform_values(fields, shown)
+    for name, value in extra.items():
+        fields = F.map_concat(fields, F.create_map(F.lit(name), value))
+    return F.to_json(fields).alias("raw_payload")
+
+
+def _raw(rows: DataFrame, source: str, feed: Feed, prefix: str = "", dated: bool = True, **extra: Column) -> Column:
+    """The source object as JSON text: the variant in column ``source`` where rows were
+    landed with it, else what the declared fields hold."""
+    if source in rows.columns:
+        return _payload(F.col(source), feed, dated, **extra)
     parts = []
     for name, _, kind in feed.fields():
         value = F.col(prefix + name)
         parts.append((typed(value, kind) if kind.endswith("instant") else value).alias(name))
     parts += [F.col(prefix + nested.name).alias(nested.name) for nested in feed.nested]
-    return F.to_json(F.struct(*parts, *extra)).alias("raw_payload")
+    parts += [F.col(name).alias(name) for name in extra]
+    return F.to_json(F.struct(*parts)).alias("raw_payload")
+
+
+def _elements(source: str, path: str) -> Column:
+    """The elements of an array in a variant, as variants."""
+    return F.try_variant_get(source, path, "array<variant>")
+
+
+def with_sources(payloads: DataFrame) -> DataFrame:
+    """Payloads landed whole, with the source objects of their pieces beside them."""
+    if "_raw" not in payloads.columns:
+        return payloads
+    return payloads.withColumns(
+        {
+            "supply_raw": F.try_variant_get("_raw", "$.supply", "variant"),
+            "details_raw": F.try_variant_get("_raw", "$.details", "variant"),
+            "goods_raw": _elements("_raw", "$.goods"),
+            "packages_raw": _elements("_raw", "$.packages"),
+        }
+    )
 
 
 def _stamp(now: Column | None) -> Column:
@@ -97,7 +146,7 @@ def normalize_settlement(rows: DataFrame, keep=(), now: Column | None = None) ->
     return rows.select(
         "account_id",
         *_columns(schemas.SETTLEMENT),
-        _raw(schemas.SETTLEMENT),
+        _raw(rows, "_raw", schemas.SETTLEMENT),
         _stamp(now),
         *keep,
     )
@@ -110,13 +159,16 @@ def normalize_stock(rows: DataFrame, keep=(), now: Column | None = None) -> Data
     """
     moment = F.current_timestamp() if now is None else now
     stocked = rows.select("*", F.posexplode("warehouses").alias("warehouse_position", "warehouse"))
+    own = F.col("warehouse")
+    if "_raw" in rows.columns:
+        own = F.get(_elements("_raw", "$.warehouses"), F.col("warehouse_position"))
     return stocked.select(
         "account_id",
         moment.alias("snapshot_at"),
         *_columns(schemas.STOCK),
         F.coalesce("warehouse.warehouseName", F.lit("")).alias("warehouse_name"),
         F.coalesce("warehouse.quantity", F.lit(0)).alias("quantity"),
-        _raw(schemas.STOCK, "", F.col("warehouse")),
+        _raw(stocked, "_raw", schemas.STOCK, warehouse=own),
         _stamp(now),
         *keep,
         "warehouse_position",
@@ -149,7 +201,7 @@ def normalize_supplies(payloads: DataFrame, keep=(), now: Column | None = None)
     return payloads.select(
         *IDENTITY,
         *_columns(schemas.SUPPLY, "supply.", skip=("supplyID", "preorderID")),
-        _raw(schemas.SUPPLY, "supply."),
+        _raw(payloads, "supply_raw", schemas.SUPPLY, "supply."),
         _stamp(now),
         *keep,
     )
@@ -160,23 +212,29 @@ def normalize_supply_details(payloads: DataFrame, keep=(), now: Column | None =
     return payloads.filter(_has_detail()).select(
         *IDENTITY,
         *_columns(schemas.SUPPLY_DETAIL, "details."),
-        _raw(schemas.SUPPLY_DETAIL, "details."),
+        _raw(payloads, "details_raw", schemas.SUPPLY_DETAIL, "details.", dated=False),
         _stamp(now),
         *keep,
     )
 
 
 def normalize_supply_goods(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
-    goods = payloads.select("*", F.explode("goods").alias("good")).filter(F.col("good").isNotNull())
+    goods = payloads.select("*", F.posexplode("goods").alias("_place", "good")).filter(F.col("good").isNotNull())
+    goods = _with_element(goods, "goods_raw", "_place", "good_raw")
     return goods.select(
         *IDENTITY,
         *_columns(schemas.SUPPLY_GOOD, "good."),
-        _raw(schemas.SUPPLY_GOOD, "good."),
+        _raw(goods, "good_raw", schemas.SUPPLY_GOOD, "good."),
         _stamp(now),
         *keep,
     )
 
 
+def _with_element(rows: DataFrame, source: str, place: str, name: str) -> DataFrame:
+    """Adds the element of ``source`` at ``place``, where there are source objects."""
+    return rows.withColumn(name, F.get(source, F.col(place))) if source in rows.columns else rows
+
+
 def _has_detail() -> Column:
     """The details object is there and not empty."""
     return F.coalesce(F.to_json("details"), F.lit("{}")) != "{}"
@@ -209,18 +267,20 @@ def records_in(payload_rows: DataFrame) -> DataFrame:
 
 def _packages(payloads: DataFrame) -> DataFrame:
     packed = payloads.select("*", F.posexplode("packages").alias("package_position", "package"))
+    packed = _with_element(packed, "packages_raw", "package_position", "package_raw")
     return packed.filter(_has_code(F.col("package")))
 
 
 def normalize_supply_packages(payloads: DataFrame, keep=(), now: Column | None = None) -> DataFrame:
     """Boxes of a supply; a box without a code is dropped."""
-    return _packages(payloads).select(
+    packages = _packages(payloads)
+    return packages.select(
         "account_id",
         "supply_key",
         "supply_id",
         F.col("package.packageCode").alias("package_code"),
         to_int(F.col("package.quantity")).alias("quantity"),
-        _raw(schemas.SUPPLY_PACKAGE, "package."),
+        _raw(packages, "package_raw", schemas.SUPPLY_PACKAGE, "package."),
         _stamp(now),
         *keep,
         "package_position",
@@ -234,6 +294,8 @@ def normalize_package_barcodes(
     items = _packages(payloads).select(
         "*", F.posexplode("package.barcodes").alias("barcode_position", "item")
     )
+    if "package_raw" in items.columns:
+        items = items.withColumn("item_raw", F.get(_elements("package_raw", "$.barcodes"), F.col("barcode_position")))
     return items.filter(_has_barcode(F.col("item"))).select(
         "account_id",
         "supply_key",
@@ -241,7 +303,7 @@ def normalize_package_barcodes(
         F.col("package.packageCode").alias("package_code"),
         F.col("item.barcode").alias("barcode"),
         to_int(F.col("item.quantity")).alias("quantity"),
-        _raw(schemas.PACKAGE_BARCODE, "item."),
+        _raw(items, "item_raw", schemas.PACKAGE_BARCODE, "item."),
         _stamp(now),
         *keep,
         "package_position",

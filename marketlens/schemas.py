@@ -292,6 +292,10 @@ ARTICLE_FACTS = _plain(
     "delivery_runs money, return_runs money, logistics_runs money, "
     "logistics_cost_total money, avg_logistics_cost price"
 )
+# Kept up to date by loads: the least and greatest marking code seen with an identifier
+# (null: none any more), and the unit of each line.
+IDENTIFIERS = _plain("account_id bigint, match_type string, match_value string, low string, high string")
+LINE_UNITS = _plain("account_id bigint, report_id bigint, rrd_id bigint, restored_kiz string, uniq_product_id string")
 PRICE_SOURCES = _plain(
     "id bigint, source_code string, source_name string, url string, source_type string, "
     "enabled boolean, schedule_seconds int, extraction_config string, revision int, "
@@ -332,6 +336,8 @@ TABLES = {
     "supply_packages": PACKAGE_TABLE,
     "supply_package_barcodes": PACKAGE_BARCODE_TABLE,
     "article_facts": ARTICLE_FACTS,
+    "identifiers": IDENTIFIERS,
+    "line_units": LINE_UNITS,
     "price_sources": PRICE_SOURCES,
     "price_source_state": PRICE_SOURCE_STATE,
     "price_source_runs": PRICE_SOURCE_RUNS,
@@ -349,6 +355,8 @@ KEYS = {
     "supply_details": ["account_id", "supply_key"],
     "supply_packages": ["account_id", "supply_key", "package_code"],
     "supply_package_barcodes": ["account_id", "supply_key", "package_code", "barcode"],
+    "identifiers": ["account_id", "match_type", "match_value"],
+    "line_units": ["account_id", "report_id", "rrd_id"],
     "cost_prices": ["account_id", "vendor_code", "valid_from"],
     "article_facts": ["fact_date", "account_id", "nm_id"],
     "feed_configs": ["account_id", "api_type"],
@@ -362,7 +370,8 @@ LOADED = {
     **{
         name: KEYS[name]
         for name in (
-            "orders", "sales", "settlement_daily", "settlement_weekly", "supplies", "supply_details"
+            "orders", "sales", "settlement_daily", "settlement_weekly", "supplies", "supply_details",
+            "identifiers", "line_units",
         )
     },
     "stock": ["account_id"],

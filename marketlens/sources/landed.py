@@ -1,8 +1,9 @@
 """Landed feed pages: NDJSON folders read with a declared schema.
 
 A landed folder holds one JSON object per line and is partitioned by
-``account_id=<n>``. Unknown fields are ignored; a line that is not an object of
-the declared shape fails the read.
+``account_id=<n>``. Fields that are not declared get no column; feeds whose tables
+keep the source object carry it whole in ``_raw``, a variant. A line that is not an
+object of the declared shape fails the read, or is set apart with its account.
 """
 
 from __future__ import annotations
@@ -44,9 +45,55 @@ def landed_schema(feed: str) -> T.StructType:
     return T.StructType(_ARRIVAL + keyed + FEEDS[feed].fields)
 
 
-def read_feed(spark: SparkSession, folder: str, feed: str) -> DataFrame:
-    """All landed rows of ``feed``. ``page`` and ``position`` give arrival order."""
-    return spark.read.schema(landed_schema(feed)).option("mode", "FAILFAST").json(folder)
+#: Feeds whose tables keep the source object.
+WITH_PAYLOAD = (
+    "finance_sales_report_details",
+    "finance_sales_report_weekly",
+    "warehouse_remains",
+    "fbw_supplies",
+    "supply_payloads",
+    *_PER_SUPPLY,
+)
+#: Partition of a landed folder: the UTC day on which its lines were landed.
+LANDED_ON = "landed_on"
+#: Text of a line that is no object of its feed.
+BROKEN = "_broken"
+
+
+def read_feed(spark: SparkSession, folder: str, feed: str, keep_broken: bool = False) -> DataFrame:
+    """All landed rows of ``feed``. ``page`` and ``position`` give arrival order.
+
+    A line that is no object of the declared shape fails the read. With
+    ``keep_broken`` it becomes a row of its account, without fields and with its text in
+    ``_broken``, so that a run can fail that account and load the others.
+    """
+    return parsed_lines(spark.read.text(folder), feed, keep_broken)
+
+
+def parsed_lines(lines: DataFrame, feed: str, keep_broken: bool = False) -> DataFrame:
+    """Rows of a feed from its lines (column ``value``; others are columns of the folder's
+    partitions, which stand before a field of that name)."""
+    schema, line = landed_schema(feed), F.col("value")
+    outside = [name for name in lines.columns if name != "value"]
+    is_object = F.ltrim(line).startswith("{")
+    if keep_broken:
+        schema = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+        whole = F.from_json(F.when(is_object, line), schema, options)
+    else:
+        not_one = F.raise_error(F.concat(F.lit("MALFORMED_RECORD: no object: "), F.substring(line, 1, 200)))
+        whole = F.from_json(F.when(is_object, line).otherwise(not_one), schema, {"mode": "FAILFAST"})
+    # Unfolded as a one-row array, so that a line is parsed once.
+    rows = lines.filter(F.trim(line) != "").select(*outside, "value", F.inline_outer(F.array(whole)).alias(
+        *(f"_{name}" if name in outside else name for name in schema.names)
+    ))
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != BROKEN]
+    columns += [F.col(LANDED_ON).cast("date").alias(LANDED_ON)] if LANDED_ON in outside else []
+    if feed in WITH_PAYLOAD:
+        columns.append(F.try_parse_json("value").alias("_raw"))
+    if keep_broken:
+        columns.append(F.when(is_object, F.col(BROKEN)).otherwise(F.col("value")).alias(BROKEN))
+    return rows.select(*columns)
 
 
 def stream_feed(
@@ -69,6 +116,23 @@ def changed_since(feed: DataFrame, since: Column) -> DataFrame:
     return feed.filter(feed_instant(F.col("lastChangeDate")) >= since)
 
 
+def landed_since(feed: DataFrame, cursors: DataFrame, at: str = "cursor_timestamp") -> DataFrame:
+    """``feed`` without the landing days that no cursor reaches back to.
+
+    For folders with a second partition, ``landed_on``, the UTC day on which a line was
+    landed. A row is landed on the day it changed or later, so rows behind a cursor lie in
+    no earlier day; the days before are not even listed. Rows of an earlier day with a
+    later date do not exist, late rows lie in the day they came. The lowest cursor is one
+    value; other folders are read whole.
+    """
+    if LANDED_ON not in feed.columns:
+        return feed
+    lowest = cursors.agg(F.to_date(F.min(at)).alias("day"), F.count_if(F.col(at).isNull()).alias("open")).first()
+    if lowest["day"] is None or lowest["open"]:
+        return feed
+    return feed.filter(F.col(LANDED_ON) >= F.lit(lowest["day"]))
+
+
 def reports_between(report_list: DataFrame, start: Column, end: Column) -> DataFrame:
     """Listed reports that overlap the days of ``start`` .. ``end``."""
     begins, ends = feed_instant(F.col("dateFrom")), feed_instant(F.col("dateTo"))

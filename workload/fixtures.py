@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from marketlens import configure
 from marketlens.functions import operations as op
-from marketlens.sources.landed import parse_payload
+from marketlens.sources.landed import WITH_PAYLOAD, parse_payload
 
 Mapping = list[tuple[str, str]]
 
@@ -32,8 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(rows: DataFrame) -> DataFrame:
     """Rows of a file too small to split, over all cores: parsing is the cost
     here. Real feeds land as many files and are left as they are."""
-    slots = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= slots else rows.repartition(slots)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def project(rows: DataFrame, mapping: Mapping, *keep: str) -> DataFrame:
@@ -201,16 +200,39 @@ def _iso(column: str) -> str:
     return f"date_format({column}, \"yyyy-MM-dd'T'HH:mm:ss\")"
 
 
+# What feeds send beyond their declared fields: text put before a declared one.
+_UNDECLARED = {
+    "finance_sales_report_details": {
+        "rrdId": """'"note":null,"lineTax":' || cast(cast(l_tax as decimal(4,2)) as string) || ',"more":{"a":[1,"x"]},'""",
+    },
+    "warehouse_remains": {"barcode": """'"note":null,"shelf":' || cast(l_linenumber as string) || ','"""},
+    "supply_payloads": {
+        "statusID": """'"note":null,"dock":' || cast(o_custkey % 9 as string) || ','""",
+        "needKiz": """'"note":null,"layer":' || cast(o_custkey % 5 as string) || ','""",
+        "packageCode": """'"note":null,"weight":' || cast(o_custkey % 8 as string) || '.5,'""",
+    },
+}
+
+
+def landed_text(rows: DataFrame, mapping: Mapping, feed: str, *keep: str) -> DataFrame:
+    """Each feed object as JSON text in ``payload``, the form it arrives in."""
+    fields = ", ".join(f"'{name}', {expr}" for name, expr in mapping)
+    text = f"to_json(named_struct({fields}))"
+    for name, more in _UNDECLARED.get(feed, {}).items():
+        text = f"replace({text}, '\"{name}\":', {more} || '\"{name}\":')"
+    return rows.selectExpr(*keep, f"{text} as payload")
+
+
 def _landed(rows: DataFrame, mapping: Mapping, feed: str, *keep: str) -> DataFrame:
     """Build each feed object as JSON text, then parse it as a landed line is."""
-    fields = ", ".join(f"'{name}', {expr}" for name, expr in mapping)
     if not rows.isStreaming:
         rows = spread(rows)
-    text = rows.selectExpr(*keep, f"to_json(named_struct({fields})) as payload")
+    text = landed_text(rows, mapping, feed, *keep)
     # Unfolded as a one-row array: conditions on the fields are then checked after
     # the parse, not by parsing once more below it.
     parsed = F.inline(F.array(parse_payload(F.col("payload"), feed)))
-    return text.select(*[k.split(" as ")[-1] for k in keep], parsed)
+    raw = [F.parse_json("payload").alias("_raw")] if feed in WITH_PAYLOAD else []
+    return text.select(*[k.split(" as ")[-1] for k in keep], *raw, parsed)
 
 
 # The three ways a date may be written, by order number.
@@ -246,6 +268,14 @@ def order_feed(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None)
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of a landed folder: account_id, position, value."""
+    arrival = [("page", "o_orderkey % 3"), ("position", "o_orderkey")]
+    keep = ["cast(o_custkey % 5 + 1 as bigint) as account_id", "o_orderkey as position"]
+    rows = spread(table(spark, sf_dir, "orders"))
+    return landed_text(rows, arrival + _ORDER_FEED, "orders", *keep).withColumnRenamed("payload", "value")
+
+
 _SALE_FEED: Mapping = [
     ("saleID", "case when l_linenumber <= 4 then 'S' || cast(l_orderkey as string) when l_linenumber = 5 then '' end"),
     ("srid", "'R' || cast(l_orderkey as string)"),
@@ -271,7 +301,7 @@ def sale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def settlement_feed(spark: SparkSession, sf_dir: str, period: str = "week") -> DataFrame:
     """Settlement lines as landed: keys repeat, blanks are blanks."""
-    source = spread(table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE))
+    source = table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE)
     typed = project(_with_orders(spark, sf_dir, source), line_mapping(period), *LINE_ARRIVAL)
     words = {name: name.split("_") for name, _ in line_mapping(period)}
     camel = {n: w[0] + "".join(p.capitalize() for p in w[1:]) for n, w in words.items()}

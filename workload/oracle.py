@@ -567,12 +567,17 @@ add(
     as_is="account_id row_key",
     int="landed",
 )
+_UNDECLARED = "true as is_number, true as keeps_null"
 add(
     "settlement_payload",
-    [_RAW_LINES, "result as (select *, seller_oper_name as operation from raw_lines)"],
+    [
+        _RAW_LINES.replace(" from lineitem", ", l_tax from lineitem"),
+        "result as (select *, seller_oper_name as operation, 'x' as more, "
+        f"cast(l_tax as decimal(4,2)) as line_tax, {_UNDECLARED} from raw_lines)",
+    ],
     "result",
-    as_is="account_id rrd_id operation",
-    money="retail_price",
+    as_is="account_id rrd_id operation more is_number keeps_null",
+    money="retail_price line_tax",
     at="date_from",
 )
 
@@ -598,6 +603,20 @@ add(
     money="volume",
 )
 
+add(
+    "stock_payload",
+    [
+        _STOCK_ROWS,
+        f"""result as (select *, {_UNDECLARED}, cast(l_linenumber as double) as shelf,
+        case when warehouse_position = 0 or l_suppkey % 3 > 0 then warehouse_name end as warehouse,
+        'W' || cast(l_suppkey % 7 as string) as first_warehouse from stock_rows)""",
+    ],
+    "result",
+    as_is="account_id barcode warehouse first_warehouse is_number keeps_null",
+    int="warehouse_position",
+    money="shelf",
+)
+
 _SUPPLY_ROWS = """supply_rows as (
     select o.*, o_orderkey as position, o_orderkey % 10 - o_orderkey % 2 as account_id,
         case when o_orderkey % 9 > 0 then o_orderkey - o_orderkey % 2 end as supply_id,
@@ -667,6 +686,36 @@ add(
     int="quantity package_position barcode_position",
 )
 
+add(
+    "supply_payload",
+    [_SUPPLY_ROWS, _HEADS, f"result as (select *, '' as updated, o_custkey % 9 as dock, {_UNDECLARED} from heads)"],
+    "result",
+    as_is="account_id supply_key position updated is_number keeps_null",
+    at="create_date",
+    money="dock",
+)
+add(
+    "goods_payload",
+    [_SUPPLY_ROWS, _GOODS, f"result as (select *, cast(nm_id as string) as nm, o_custkey % 5 as layer, {_UNDECLARED} from goods)"],
+    "result",
+    as_is="account_id supply_key barcode nm is_number keeps_null",
+    int="quantity",
+    money="layer",
+)
+add(
+    "package_payload",
+    [
+        _SUPPLY_ROWS,
+        _PACKAGES,
+        "result as (select *, cast(quantity as string) as said_quantity, o_custkey % 8 + 0.5 as weight, "
+        f"{_UNDECLARED} from packages)",
+    ],
+    "result",
+    as_is="account_id supply_key position said_quantity is_number keeps_null",
+    int="package_position",
+    money="weight",
+)
+
 # ------------------------------------------------------------ loads
 
 
@@ -1166,6 +1215,19 @@ add(
     int="rows_written",
     at="started_at finished_at",
 )
+add(
+    "orphan_runs",
+    [
+        _EVENTS,
+        """result as (select account_id, api_type, run_id, s.at as started_at, timestamp '2026-06-01 12:00:00' as finished_at,
+        'stopped' as status, 'run did not end' as error_message from log s
+    where kind = 'started' and not exists (
+        select 1 from log e where e.run_id = s.run_id and e.kind in ('success', 'error', 'interrupted')))""",
+    ],
+    "result",
+    as_is="account_id api_type run_id status error_message",
+    at="started_at finished_at",
+)
 add(
     "recent_runs",
     [_EVENTS, _RUNS, "newest as (select * from runs order by id desc limit 20)"],
@@ -1322,3 +1384,64 @@ add(
     "result",
     **(_OUTCOME | {"int": "stored succeeded failed"}),
 )
+
+_RUN_ROWS = {"as_is": "part account_id item status", "at": "moment", "money": "a b c"}
+_HALF = "(select max(l_orderkey) // 2 * 10 from lineitem)"
+add(
+    "settlement_run",
+    [
+        *_facts(_SQUARED),
+        # What lies behind each account's checkpoint, the highest line of the lower half.
+        f"""landed_lines as ({_select(fx.line_mapping('day'), 'lineitem join orders on l_orderkey = o_orderkey')})""",
+        f"""marks as (select account_id, max(rrd_id) as reached, count(*) as first_rows
+    from landed_lines where rrd_id <= {_HALF} group by account_id)""",
+        """behind as (select account_id, count(*) as later_rows
+    from landed_lines join marks using (account_id) where rrd_id > reached group by account_id)""",
+        """all_rows as (
+    select 'run' as part, a.id as account_id, number as item,
+        case when number = '1' then 'stopped' when a.id = 4 and number = '2' then 'error' else 'success' end as status,
+        case number when '1' then timestamp '2026-06-01 12:01:00' when '2' then timestamp '2026-06-01 12:01:00'
+            else timestamp '2026-06-01 12:02:00' end as moment,
+        case when number = (case when a.id = 4 then '3' else '2' end) then later_rows else 0 end as a,
+        null as b, null as c
+    from accounts a join behind on behind.account_id = a.id, unnest(['1', '2', '3']) n(number)
+    union all
+    select 'state', id, null, 'idle', timestamp '2026-05-31 21:00:00', null, null, null from accounts
+    union all
+    select 'line', account_id, report_id || ':' || rrd_id, seller_oper_name, date_from, for_pay, quantity, delivery_service
+    from lines
+    union all
+    select 'fact', account_id, cast(nm_id as string), vendor_code, null, buyout_ratio_sum, logistics_cost_total, buyout_units
+    from result)""",
+    ],
+    "all_rows",
+    **_RUN_ROWS,
+)
+add(
+    "quarantine_runs",
+    [
+        ACCOUNTS,
+        _ORDER_ROWS,
+        """broken as (select o_custkey % 5 + 1 as account_id from orders
+    where (o_custkey % 5 + 1 = 2 and o_orderkey % 50 = 0) or (o_custkey % 5 + 1 = 4 and o_orderkey % 100 = 1)
+    group by all)""",
+        """all_rows as (
+    select 'run' as part, id as account_id, number as item,
+        case when number = '1' and id in (select account_id from broken) then 'error' else 'success' end as status,
+        case number when '1' then timestamp '2026-06-01 12:00:00' else timestamp '2026-06-01 12:01:00' end as moment,
+        case when (number = '1') = (id not in (select account_id from broken))
+            then (select count(*) from order_rows r where r.account_id = id) else 0 end as a, null as b, null as c
+    from accounts, unnest(['1', '2']) n(number)
+    union all
+    select 'state', id, (select arg_max(record_key, row(last_change_date, record_key)) from order_rows r where r.account_id = id),
+        'idle', (select max(last_change_date) from order_rows r where r.account_id = id), null, null, null
+    from accounts
+    union all
+    select 'order', account_id, record_key, null, last_change_date, total_price, null, null from (
+        select * from order_rows
+        qualify row_number() over (partition by account_id, record_key order by page desc, position desc) = 1))""",
+    ],
+    "all_rows",
+    **_RUN_ROWS,
+)
+_REGISTRY["identity_update"] = _REGISTRY["unit_identity"]

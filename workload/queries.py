@@ -7,10 +7,11 @@ operators themselves keep exact decimals and real dates.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +20,7 @@ from marketlens.functions.dates import feed_instant, feed_midnight, request_text
 from marketlens.operators import checks, control, cost, cursor, normalize, reports, supplies
 from marketlens.operators.merge import first_per_key, latest_per_key, replace_snapshot, upsert
 from marketlens.plans import facts, identity, prices, runs, settlement
-from marketlens.plans.loads import Store
+from marketlens.plans.loads import Store, load_identified_lines
 from marketlens.session import new_run_dir, staged
 from marketlens.sources import landed, tables
 from marketlens.streaming import feed_stream
@@ -281,16 +282,77 @@ def settlement_keys(spark, sf_dir):
     )
 
 
+def _said(path: str) -> Column:
+    """What the kept source object says, read back from its text."""
+    return F.get_json_object("raw_payload", path)
+
+
+def _undeclared(name: str, column: str) -> list[Column]:
+    """An undeclared number of the source object, and whether it is kept as a number and
+    an undeclared null as a null."""
+    return [
+        _said(f"$.{name}").cast("double").alias(column),
+        F.col("raw_payload").rlike(f'"{name}":[0-9]').alias("is_number"),
+        F.col("raw_payload").contains('"note":null').alias("keeps_null"),
+    ]
+
+
 @query("settlement_payload")
 def settlement_payload(spark, sf_dir):
-    """What the kept source object says, read back from its text."""
     rows = normalize.normalize_settlement(fx.settlement_feed(spark, sf_dir))
     return rows.select(
         "account_id",
         "rrd_id",
-        F.get_json_object("raw_payload", "$.sellerOperName").alias("operation"),
-        F.get_json_object("raw_payload", "$.retailPrice").cast("decimal(18,6)").alias("retail_price"),
-        F.to_timestamp(F.get_json_object("raw_payload", "$.dateFrom")).alias("date_from"),
+        _said("$.sellerOperName").alias("operation"),
+        _said("$.retailPrice").cast("decimal(18,6)").alias("retail_price"),
+        F.to_timestamp(_said("$.dateFrom")).alias("date_from"),
+        _said("$.more.a[1]").alias("more"),
+        *_undeclared("lineTax", "line_tax"),
+    )
+
+
+@query("stock_payload")
+def stock_payload(spark, sf_dir):
+    """The stock row, with its one warehouse beside all of them."""
+    rows = normalize.normalize_stock(fx.stock_feed(spark, sf_dir))
+    return rows.select(
+        "account_id",
+        "barcode",
+        "warehouse_position",
+        _said("$.warehouse.warehouseName").alias("warehouse"),
+        _said("$.warehouses[0].warehouseName").alias("first_warehouse"),
+        *_undeclared("shelf", "shelf"),
+    )
+
+
+@query("supply_payload")
+def supply_payload(spark, sf_dir):
+    return _payloads(spark, sf_dir).supplies.select(
+        "account_id",
+        "supply_key",
+        "position",
+        F.to_timestamp(_said("$.createDate")).alias("create_date"),
+        _said("$.updatedDate").alias("updated"),
+        *_undeclared("dock", "dock"),
+    )
+
+
+@query("goods_payload")
+def goods_payload(spark, sf_dir):
+    return _payloads(spark, sf_dir).goods.select(
+        "account_id", "supply_key", "barcode", "quantity", _said("$.nmID").alias("nm"), *_undeclared("layer", "layer")
+    )
+
+
+@query("package_payload")
+def package_payload(spark, sf_dir):
+    return _payloads(spark, sf_dir).packages.select(
+        "account_id",
+        "supply_key",
+        "position",
+        "package_position",
+        _said("$.quantity").alias("said_quantity"),
+        *_undeclared("weight", "weight"),
     )
 
 
@@ -695,6 +757,19 @@ def run_ledger(spark, sf_dir):
     return _ledger(spark, sf_dir)
 
 
+@query("orphan_runs")
+def orphan_runs(spark, sf_dir):
+    """Runs that nothing has closed, and how the ledger shows them once they are."""
+    log = fx.run_events(spark, sf_dir)
+    closed = log.unionByName(control.interruptions(log, at(NOW)))
+    found = control.run_ledger(closed).join(
+        control.run_ledger(log).filter("status = 'running'").select("account_id", "api_type", "run_id"),
+        ["account_id", "api_type", "run_id"],
+        "left_semi",
+    )
+    return found.select("account_id", "api_type", "run_id", "started_at", "finished_at", "status", "error_message")
+
+
 @query("recent_runs")
 def recent_runs(spark, sf_dir):
     return control.recent_runs(_ledger(spark, sf_dir))
@@ -731,7 +806,7 @@ def constraint_report(spark, sf_dir):
             checks.rule_violations(
                 sources,
                 "price_sources",
-                checks.source_type_rule() | checks.positive_rules(["schedule_seconds"]),
+                checks.source_type_rule(["product_page", "category_page"]) | checks.positive_rules(["schedule_seconds"]),
             ),
             checks.rule_violations(
                 orders, "orders", checks.not_null_rules(["record_key", "last_change_date"])
@@ -908,3 +983,115 @@ def supplies_run(spark, sf_dir):
         at(NOW),
     )
     return _outcomes(store, store.read("supplies")).drop("rows_written")
+
+
+class _Killed(BaseException):
+    """Ends a run as the loss of its driver does: nothing more is logged."""
+
+
+def _numbered_runs(store: Store) -> DataFrame:
+    """The ledger, with the number of each run of an account."""
+    order = Window.partitionBy("account_id").orderBy("started_at")
+    return control.run_ledger(store.read("run_events")).withColumn("number", F.row_number().over(order))
+
+
+def _run_rows(store: Store) -> list[DataFrame]:
+    """Ledger and state as rows of one shape: part, account_id, item, status, moment, a, b, c."""
+    nothing = F.lit(None).cast("double")
+    ledger = _numbered_runs(store).select(
+        F.lit("run").alias("part"), "account_id", F.col("number").cast("string").alias("item"), "status",
+        F.col("finished_at").alias("moment"), F.col("rows_written").cast("double").alias("a"), nothing.alias("b"), nothing.alias("c"),
+    )
+    state = runs.current_state(store).select(
+        F.lit("state"), "account_id", "cursor_key", "status", "cursor_timestamp", nothing, nothing, nothing
+    )
+    return [ledger, state]
+
+
+@query("settlement_run")
+def settlement_run(spark, sf_dir):
+    """Three runs over one growing folder. The first, over the lower half of the line
+    numbers, is killed between lines and facts. The second goes on behind its checkpoint; of
+    account 4 it finds a line without a date. The third finds all in order: only account
+    4 has lines to read. Ledger, state, stored lines and facts."""
+    store = Store(spark, new_run_dir(spark, "settlement-run"))
+    fx.accounts(spark, sf_dir).select(
+        *(F.col(n) if n in ("id", "account_code", "account_name", "enabled", "token_env_var") else F.lit(None).alias(n)
+          for n in schemas.ACCOUNTS.names)
+    ).select(*(F.col(f.name).cast(f.dataType) for f in schemas.ACCOUNTS.fields)).write.parquet(store.path("accounts"))
+    # Of the rows of a key the one that counts arrives last.
+    feed = fx.settlement_feed(spark, sf_dir, DAILY).withColumns(
+        {
+            "page": F.round(F.col("l_extendedprice") * 100).cast("bigint"),
+            "position": F.col("l_partkey") * 1_000_000 + F.col("l_suppkey"),
+        }
+    )
+    half = fx.table(spark, sf_dir, "lineitem").agg(F.expr("max(l_orderkey) div 2 * 10").alias("half"))
+    feed = staged(feed.crossJoin(F.broadcast(half)), "settlement-feed")
+    configs = _run_configs(spark, sf_dir, "finance_sales_report_details")
+    no_date = F.expr("if(account_id = 4, null, dateFrom)")
+    offered = (feed.filter("rrdId <= half"), feed.withColumn("dateFrom", no_date), feed)
+
+    def killed(*_, **__):
+        raise _Killed
+
+    for minute, landed_rows in enumerate(offered):
+        steps = {"load_facts": killed} if minute == 0 else {}
+        with contextlib.suppress(_Killed):
+            runs.run_settlement(store, landed_rows.drop("half"), configs, at(f"2026-06-01 12:0{minute}:00"), **steps)
+    nothing = F.lit(None).cast("timestamp")
+    lines = store.read("settlement_daily").select(
+        F.lit("line"), "account_id", F.concat_ws(":", "report_id", "rrd_id"), "seller_oper_name", "date_from",
+        F.col("for_pay").cast("double"), F.col("quantity").cast("double"), F.col("delivery_service").cast("double"),
+    )
+    found = store.read("article_facts").select(
+        F.lit("fact"), "account_id", F.col("nm_id").cast("string"), "vendor_code", nothing,
+        F.col("buyout_ratio_sum").cast("double"), F.col("logistics_cost_total").cast("double"),
+        F.col("buyout_units").cast("double"),
+    )
+    return reduce(DataFrame.unionAll, [*_run_rows(store), lines, found])
+
+
+@query("quarantine_runs")
+def quarantine_runs(spark, sf_dir):
+    """Two runs over a landed folder of orders. In the first, lines of account 2 are cut off
+    and lines of account 4 are no objects: these accounts fail, the others are stored. The
+    second finds them mended."""
+    store = Store(spark, new_run_dir(spark, "quarantine-runs"))
+    text = staged(fx.order_lines(spark, sf_dir), "order-lines")
+    cut = F.when(F.expr("account_id = 2 and position % 50 = 0"), F.expr("left(value, length(value) - 4)"))
+    cut = cut.when(F.expr("account_id = 4 and position % 100 = 1"), F.lit("[7]")).otherwise(F.col("value"))
+    configs = _run_configs(spark, sf_dir, "orders")
+    for minute, lines in enumerate((text.withColumn("value", cut), text)):
+        folder = f"{store.root}-landed-{minute}"
+        lines.select("account_id", "value").write.partitionBy("account_id").text(folder)
+        feed = landed.read_feed(spark, folder, "orders", keep_broken=True)
+        runs.run_changes(store, feed, configs, "orders", at(f"2026-06-01 12:0{minute}:00"))
+    stored = store.read("orders").select(
+        F.lit("order"), "account_id", "record_key", F.lit(None).cast("string"), "last_change_date",
+        F.col("total_price").cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double"),
+    )
+    return reduce(DataFrame.unionAll, [*_run_rows(store), stored])
+
+
+@query("identity_update")
+def identity_update(spark, sf_dir):
+    """Units kept up to date over two loads: lines 1 to 5 of orders, of which some carry
+    another code, then the others with those lines as they should be."""
+    store = Store(spark, new_run_dir(spark, "identity-update"))
+    lines = fx.settlement_lines(spark, sf_dir, DAILY).withColumns(
+        {"page": F.lit(0).cast("bigint"), "position": F.col("rrd_id")}
+    )
+    lines = staged(lines, "all-lines")
+    changing = F.expr("rrd_id div 10 % 3 = 0 and rrd_id % 10 in (1, 2)")
+    early = lines.filter("rrd_id % 10 <= 5").withColumn(
+        "kiz", F.when(changing, F.expr("if(rrd_id % 10 = 1, 'OLD' || rrd_id div 20, null)")).otherwise(F.col("kiz"))
+    )
+    for batch in (early, lines.filter(F.expr("rrd_id % 10 > 5") | changing)):
+        load_identified_lines(store, batch)
+    units = store.read("line_units")
+    found = store.read("settlement_daily").join(units, identity.LINE_KEY)
+    return found.select(
+        "account_id", "report_id", "rrd_id", "nm_id", "seller_oper_name", "kiz", "srid", "order_id", "order_uid",
+        "shk_id", "restored_kiz", "uniq_product_id",
+    )
