@@ -117,7 +117,10 @@ def _item_windows(items: DataFrame) -> DataFrame:
     inside = F.array(F.col("window"), F.regexp_replace("window", "^[^ ]+", "<name>"))
     named = F.col("exact") & F.get("item_raw", F.lit(0)).rlike(r"^\p{Lu}\p{Ll}")
     windows = windows.withColumn("window", F.explode(F.when(named, F.array_distinct(inside)).otherwise(F.array("window"))))
-    return windows.select(F.xxhash64("window").alias("hash"), "item_key", "start", "exact")
+    words = F.split("window", " ")
+    return windows.select(
+        F.xxhash64(*(F.get(words, F.lit(k)) for k in range(WINDOW))).alias("hash"), "item_key", "start", "exact"
+    )
 
 
 def _plain(raw: str) -> Column:
@@ -214,9 +217,12 @@ def contaminated(
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key")
     )
-    cut = F.regexp_extract_all("words", F.lit(f"(?=({' '.join(['[^ ]++'] * WINDOW)}))[^ ]++"), F.lit(1))
-    found = with_words(docs, "text").select("*", F.posexplode(cut).alias("nth", "window"))
-    found = found.withColumn("hash", F.xxhash64("window"))
+    # Each word beside the next ones: windows are hashed from their words and never written out.
+    found = with_words(docs, "text").withColumn("split", F.split("words", " "))
+    many = F.greatest(F.size("split") - (WINDOW - 1), F.lit(0))
+    beside = F.arrays_zip(*(F.slice("split", k + 1, many).alias(f"w{k}") for k in range(WINDOW)))
+    found = found.select("doc_id", "text_key", "raw", "words", F.posexplode(beside).alias("nth", "window"))
+    found = found.withColumn("hash", F.xxhash64(*(F.col(f"window.w{k}") for k in range(WINDOW)))).drop("window")
     shift = (F.col("nth") - F.col("start")).alias("shift")
     if windows.count() <= BROADCAST_WINDOWS:
         # The words ride along: no text is shuffled, and few rows leave the join.
