@@ -296,6 +296,17 @@ ARTICLE_FACTS = _plain(
 # (null: none any more), and the unit of each line.
 IDENTIFIERS = _plain("account_id bigint, match_type string, match_value string, low string, high string")
 LINE_UNITS = _plain("account_id bigint, report_id bigint, rrd_id bigint, restored_kiz string, uniq_product_id string")
+# Totals of a unit under an article, kept up to date by loads.
+ARTICLE_UNITS = T.StructType(
+    [
+        *_plain(
+            "account_id bigint, nm_id bigint, uniq_product_id string, has_order boolean, has_logistics boolean"
+        ).fields,
+        *(T.StructField(name, T.DecimalType(28, 6)) for name in ("deliveries", "returns", "service")),
+        T.StructField("has_sale", T.BooleanType()),
+        T.StructField("status", _plain("at timestamp, rrd_id bigint, report_id bigint, operation string")),
+    ]
+)
 PRICE_SOURCES = _plain(
     "id bigint, source_code string, source_name string, url string, source_type string, "
     "enabled boolean, schedule_seconds int, extraction_config string, revision int, "
@@ -338,6 +349,7 @@ TABLES = {
     "article_facts": ARTICLE_FACTS,
     "identifiers": IDENTIFIERS,
     "line_units": LINE_UNITS,
+    "article_units": ARTICLE_UNITS,
     "price_sources": PRICE_SOURCES,
     "price_source_state": PRICE_SOURCE_STATE,
     "price_source_runs": PRICE_SOURCE_RUNS,
@@ -371,9 +383,10 @@ LOADED = {
         name: KEYS[name]
         for name in (
             "orders", "sales", "settlement_daily", "settlement_weekly", "supplies", "supply_details",
-            "identifiers", "line_units",
+            "identifiers", "line_units", "feed_state",
         )
     },
+    "article_units": ["account_id", "uniq_product_id"],
     "stock": ["account_id"],
     "supply_goods": ["account_id", "supply_key"],
     "supply_packages": ["account_id", "supply_key"],

@@ -1445,3 +1445,5 @@ add(
     **_RUN_ROWS,
 )
 _REGISTRY["identity_update"] = _REGISTRY["unit_identity"]
+_REGISTRY["facts_update"] = _REGISTRY["article_facts"]
+_REGISTRY["state_stream"] = _REGISTRY["state_from_events"]

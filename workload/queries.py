@@ -24,6 +24,7 @@ from marketlens.plans.loads import Store, load_identified_lines
 from marketlens.session import new_run_dir, staged
 from marketlens.sources import landed, tables
 from marketlens.streaming import feed_stream
+from marketlens.streaming import state_stream as state_events
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1074,24 +1075,58 @@ def quarantine_runs(spark, sf_dir):
     return reduce(DataFrame.unionAll, [*_run_rows(store), stored])
 
 
-@query("identity_update")
-def identity_update(spark, sf_dir):
-    """Units kept up to date over two loads: lines 1 to 5 of orders, of which some carry
-    another code, then the others with those lines as they should be."""
-    store = Store(spark, new_run_dir(spark, "identity-update"))
+def _updated_store(spark: SparkSession, sf_dir: str) -> Store:
+    """Lines loaded with what is derived from them kept up to date, in three loads: lines 1
+    to 5 of orders, of which some carry another code, article and amount; lines 6 and 7;
+    those lines as they should be."""
+    store = Store(spark, new_run_dir(spark, "updates"))
     lines = fx.settlement_lines(spark, sf_dir, DAILY).withColumns(
         {"page": F.lit(0).cast("bigint"), "position": F.col("rrd_id")}
     )
     lines = staged(lines, "all-lines")
     changing = F.expr("rrd_id div 10 % 3 = 0 and rrd_id % 10 in (1, 2)")
-    early = lines.filter("rrd_id % 10 <= 5").withColumn(
-        "kiz", F.when(changing, F.expr("if(rrd_id % 10 = 1, 'OLD' || rrd_id div 20, null)")).otherwise(F.col("kiz"))
-    )
-    for batch in (early, lines.filter(F.expr("rrd_id % 10 > 5") | changing)):
+    wrong = {
+        "kiz": F.when(changing, F.expr("if(rrd_id % 10 = 1, 'OLD' || rrd_id div 20, null)")).otherwise(F.col("kiz")),
+        "nm_id": F.when(changing, F.col("nm_id") + 1).otherwise(F.col("nm_id")),
+        "delivery_amount": F.when(changing, F.col("delivery_amount") + 2).otherwise(F.col("delivery_amount")).cast("decimal(18,6)"),
+    }
+    early = lines.filter("rrd_id % 10 <= 5").withColumns(wrong)
+    for batch in (early, lines.filter("rrd_id % 10 > 5"), lines.filter(changing)):
         load_identified_lines(store, batch)
-    units = store.read("line_units")
-    found = store.read("settlement_daily").join(units, identity.LINE_KEY)
+    return store
+
+
+@query("identity_update")
+def identity_update(spark, sf_dir):
+    """The units of lines, resolved again only where a load changed an identifier."""
+    store = _updated_store(spark, sf_dir)
+    found = store.read("settlement_daily").join(store.read("line_units"), identity.LINE_KEY)
     return found.select(
         "account_id", "report_id", "rrd_id", "nm_id", "seller_oper_name", "kiz", "srid", "order_id", "order_uid",
         "shk_id", "restored_kiz", "uniq_product_id",
     )
+
+
+@query("facts_update")
+def facts_update(spark, sf_dir):
+    """Article facts from totals of units that three loads kept up to date."""
+    store = _updated_store(spark, sf_dir)
+    return facts.article_facts(
+        store.read("settlement_daily"), fx.accounts(spark, sf_dir), fact_day(), per_article=store.read("article_units")
+    )
+
+
+@query("state_stream")
+def state_stream(spark, sf_dir):
+    """Feed states from a stream of run events that is stopped and goes on when more came."""
+    folder = new_run_dir(spark, "state-stream")
+    log = fx.run_events(spark, sf_dir).selectExpr(
+        *(f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schemas.RUN_EVENTS.fields)
+    )
+    log = staged(log, "run-events")
+    for part in ("seq % 3 = 1", "seq % 3 <> 1"):
+        log.filter(part).write.mode("append").parquet(f"{folder}/events")
+        events = state_events.event_stream(spark, f"{folder}/events")
+        run = state_events.start_state(events, f"{folder}/table", f"{folder}/checkpoint")
+        run.awaitTermination()
+    return tables.read_table(spark, f"{folder}/table", "feed_state")
