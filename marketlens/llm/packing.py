@@ -87,7 +87,8 @@ class IdEncoder:
         joined = b"\n".join(listed).decode()
         # Two letters whose small form depends on their place or is no single letter.
         odd = "\u03a3" in joined or "\u0130" in joined
-        for chunk, text in zip(listed, (joined if odd else joined.lower()).split("\n"), strict=True):
+        small = joined.lower()
+        for chunk, text in zip(listed, (joined if odd else small).split("\n"), strict=True):
             core = text.rstrip(".,")
             if core.isalpha() and len(text) - len(core) <= 1 and not (odd and ("\u03a3" in core or "\u0130" in core)):
                 words.append(chunk)
@@ -95,7 +96,6 @@ class IdEncoder:
                 tails.append(chunk[-1:] if len(core) < len(text) else b"")
             else:
                 others.add(chunk)
-        small = joined.lower()
         marks = [mark for mark in self._marks if mark in small]
         special = [chunk for chunk in others if any(mark in chunk.decode().lower() for mark in marks)] if marks else []
         plain = list(others.difference(special))
