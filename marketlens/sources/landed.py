@@ -58,6 +58,8 @@ WITH_PAYLOAD = (
 LANDED_ON = "landed_on"
 #: Text of a line that is no object of its feed.
 BROKEN = "_broken"
+#: Number of the answer a line is part of, in feeds that are streamed by answers.
+ANSWER = "answer"
 
 
 def read_feed(spark: SparkSession, folder: str, feed: str, keep_broken: bool = False) -> DataFrame:
@@ -70,10 +72,14 @@ def read_feed(spark: SparkSession, folder: str, feed: str, keep_broken: bool = F
     return parsed_lines(spark.read.text(folder), feed, keep_broken)
 
 
-def parsed_lines(lines: DataFrame, feed: str, keep_broken: bool = False) -> DataFrame:
+def parsed_lines(
+    lines: DataFrame, feed: str, keep_broken: bool = False, answered: bool = False
+) -> DataFrame:
     """Rows of a feed from its lines (column ``value``; others are columns of the folder's
-    partitions, which stand before a field of that name)."""
+    partitions, which stand before a field of that name). ``answered`` adds ``answer``."""
     schema, line = landed_schema(feed), F.col("value")
+    if answered:
+        schema = T.StructType([*schema.fields, T.StructField(ANSWER, T.LongType())])
     outside = [name for name in lines.columns if name != "value"]
     is_object = F.ltrim(line).startswith("{")
     if keep_broken:

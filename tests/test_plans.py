@@ -67,6 +67,7 @@ def test_lines_without_a_vendor_code_are_spread(spark, sf_dir, stored):
 _WRITING = {
     "stored_orders", "stored_sales", "streamed_orders", "streamed_pages", "change_runs", "weekly_run", "stock_run",
     "supplies_run", "settlement_run", "quarantine_runs", "identity_update", "facts_update", "state_stream",
+    "streamed_stock", "streamed_supplies",
 }
 
 

@@ -763,6 +763,23 @@ add(
     as_is="account_id nm_id barcode tech_size warehouse_name brand vendor_code",
     int="quantity",
 )
+add(
+    "streamed_stock",
+    [
+        _STOCK_ROWS,
+        f"""current as (
+    select * from stock_rows where if(account_id = 5, l_linestatus = 'F', account_id <= 3 and l_linestatus <> 'F')),
+result as (
+    select * from current where nm_id is null
+    union all
+    (select * from current where nm_id is not null
+     qualify row_number() over (partition by account_id, nm_id, barcode, tech_size, warehouse_name
+                                order by {_STOCK_ORDER}) = 1))""",
+    ],
+    "result",
+    as_is="account_id nm_id barcode tech_size warehouse_name brand vendor_code",
+    int="quantity",
+)
 
 _OLD, _NEW = "year(o_orderdate) < 1998", "year(o_orderdate) >= 1997"
 
@@ -798,39 +815,40 @@ def _upserted(table: str, item: str, label: str) -> list[str]:
     ]
 
 
-add(
-    "supplies_load",
-    [
-        _SUPPLY_ROWS,
-        _HEADS,
-        _DETAILS,
-        _GOODS,
-        _PACKAGES,
-        _BARCODES,
-        f"touched as (select distinct account_id, supply_key from supply_rows where {_NEW})",
-        *_upserted("heads", "phone", "supplies"),
-        *_upserted("details", "cast(cast(acceptance_cost as decimal(18,6)) as string)", "supply_details"),
-        *_replaced("goods", "", "", "concat(barcode, '/', quantity)", "supply_goods"),
-        *_replaced(
-            "packages",
-            "account_id supply_key package_code",
-            "position package_position",
-            "concat(package_code, '/', quantity)",
-            "supply_packages",
-        ),
-        *_replaced(
-            "barcodes",
-            "account_id supply_key package_code barcode",
-            "position package_position barcode_position",
-            "concat(package_code, '/', barcode, '/', quantity)",
-            "supply_package_barcodes",
-        ),
-        "result as (from out_heads union all from out_details union all from out_goods "
-        "union all from out_packages union all from out_barcodes)",
-    ],
-    "result",
-    as_is="table_name account_id supply_key item",
-)
+for _name in ("supplies_load", "streamed_supplies"):
+    add(
+        _name,
+        [
+            _SUPPLY_ROWS,
+            _HEADS,
+            _DETAILS,
+            _GOODS,
+            _PACKAGES,
+            _BARCODES,
+            f"touched as (select distinct account_id, supply_key from supply_rows where {_NEW})",
+            *_upserted("heads", "phone", "supplies"),
+            *_upserted("details", "cast(cast(acceptance_cost as decimal(18,6)) as string)", "supply_details"),
+            *_replaced("goods", "", "", "concat(barcode, '/', quantity)", "supply_goods"),
+            *_replaced(
+                "packages",
+                "account_id supply_key package_code",
+                "position package_position",
+                "concat(package_code, '/', quantity)",
+                "supply_packages",
+            ),
+            *_replaced(
+                "barcodes",
+                "account_id supply_key package_code barcode",
+                "position package_position barcode_position",
+                "concat(package_code, '/', barcode, '/', quantity)",
+                "supply_package_barcodes",
+            ),
+            "result as (from out_heads union all from out_details union all from out_goods "
+            "union all from out_packages union all from out_barcodes)",
+        ],
+        "result",
+        as_is="table_name account_id supply_key item",
+    )
 add(
     "supply_rows_processed",
     [

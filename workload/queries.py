@@ -23,7 +23,7 @@ from marketlens.plans import facts, identity, prices, runs, settlement
 from marketlens.plans.loads import Store, load_identified_lines
 from marketlens.session import new_run_dir, staged
 from marketlens.sources import landed, tables
-from marketlens.streaming import feed_stream
+from marketlens.streaming import answer_stream, feed_stream
 from marketlens.streaming import state_stream as state_events
 from workload import fixtures as fx
 
@@ -469,7 +469,11 @@ def supplies_load(spark, sf_dir):
             "position", "package_position", "barcode_position",
         ),
     )
-    loaded = supplies.load_supplies(stored, rows("o_orderdate >= timestamp '1997-01-01 00:00:00'"), arrival)
+    return _supply_items(supplies.load_supplies(stored, rows("o_orderdate >= timestamp '1997-01-01 00:00:00'"), arrival))
+
+
+def _supply_items(loaded: supplies.Supplies) -> DataFrame:
+    """The five supply tables as rows of one shape."""
     items = {
         "supplies": F.col("phone"),
         "supply_details": F.col("acceptance_cost").cast("string"),
@@ -896,6 +900,67 @@ def streamed_pages(spark, sf_dir):
     )
 
 
+def _streamed_answers(
+    spark: SparkSession, lines: DataFrame, feed: str, parts: Callable, folder: str
+) -> None:
+    """Lands ``lines`` (account_id, answer, value, late) and runs the stream three times: half
+    of the second answers first, then the first answers, then the rest."""
+    lines = staged(lines, "answer-lines")
+    for landing in ("answer = 2 and not late", "answer = 1", "answer = 2 and late"):
+        part = lines.filter(landing).select("account_id", "value")
+        part.write.mode("append").partitionBy("account_id").text(f"{folder}/landed")
+        source = answer_stream.stream_answers(spark, f"{folder}/landed", feed)
+        answer_stream.start_answers(source, parts, f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
+
+
+def _answer_lines(feed: DataFrame, answer: int, late: str) -> DataFrame:
+    """Source objects as lines of an answer, with their page and position."""
+    head = F.format_string('{"answer":%d,"page":%d,"position":%d,', F.lit(answer), "page", "position")
+    body = F.substring(F.to_json("_raw"), 2, 2**31 - 1)
+    return feed.select(
+        "account_id", F.lit(answer).alias("answer"), F.concat(head, body).alias("value"), F.expr(late).alias("late")
+    )
+
+
+@query("streamed_stock")
+def streamed_stock(spark, sf_dir):
+    """Stock as a stream: the first answers name all accounts, the second 1-4, of which 4 has
+    nothing left. They land in three parts, the older ones in the middle."""
+    order = Window.partitionBy("l_orderkey").orderBy(*fx.STOCK_ARRIVAL[1:])
+    feed = fx.stock_feed(spark, sf_dir).withColumns(
+        {"page": F.col("l_orderkey"), "position": F.row_number().over(order).cast("bigint")}
+    )
+    emptied = spark.range(1).select(
+        F.lit(4).cast("bigint").alias("account_id"), F.lit(2).alias("answer"),
+        F.lit('{"answer":2}').alias("value"), F.lit(True).alias("late"),
+    )
+    lines = [
+        _answer_lines(feed.filter("l_linestatus = 'F'"), 1, "false"),
+        _answer_lines(feed.filter("l_linestatus <> 'F' and account_id <= 3"), 2, "l_linenumber % 2 = 0"),
+        emptied,
+    ]
+    folder = new_run_dir(spark, "stock-stream")
+    _streamed_answers(
+        spark, reduce(DataFrame.unionByName, lines), "warehouse_remains", answer_stream.stock_parts, folder
+    )
+    return answer_stream.read_stock(spark, f"{folder}/tables").select(
+        *schemas.KEYS["stock"], "quantity", "brand", "vendor_code"
+    )
+
+
+@query("streamed_supplies")
+def streamed_supplies(spark, sf_dir):
+    """Supplies as a stream: those up to 1998 in the first answers, those since 1997 in the
+    second, which land in two parts around the first."""
+    feed = fx.supply_feed(spark, sf_dir, "o_orderdate", "o_custkey").withColumn("page", F.lit(0).cast("bigint"))
+    early = feed.filter("o_orderdate < timestamp '1998-01-01 00:00:00'")
+    recent = feed.filter("o_orderdate >= timestamp '1997-01-01 00:00:00'")
+    lines = _answer_lines(early, 1, "false").unionByName(_answer_lines(recent, 2, "o_custkey % 2 = 0"))
+    folder = new_run_dir(spark, "supplies-stream")
+    _streamed_answers(spark, lines, "supply_payloads", answer_stream.supply_parts, folder)
+    return _supply_items(answer_stream.read_supplies(spark, f"{folder}/tables"))
+
+
 # ------------------------------------------------------------ runs
 
 
