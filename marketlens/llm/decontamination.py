@@ -21,7 +21,9 @@ out; then the slots of all agreeing words are checked.
 
 Both sides give windows at every word. Of an item of ``SHORT`` words or more, of
 which a fifth may differ, ``WINDOW`` words in a row are always left equal, and so are
-they in every run.
+they in every run. Windows may be as common as "what is the", so a hit is first held against
+the item's words: where more of its literal words are missing around the alignment than may
+differ, no text is split, written or shuffled for it.
 
 Defined results: null texts are empty, and items without a word match nothing; items
 of fewer than ``SHORT`` words match as a whole only; windows of fewer than two literal
@@ -128,13 +130,47 @@ def _plain(raw: str) -> Column:
     return F.lower(F.replace(raw, F.lit(_MARK), F.lit("")))
 
 
+def _needed(size: Column) -> Column:
+    """The least number of an item's words that must agree."""
+    return F.least(F.least(F.lit(RUN), size), F.ceil(SHARE * size))
+
+
+def _around(words: str) -> Column:
+    """``words`` of the document where an alignment and its neighbours lie."""
+    first = F.greatest(F.col("shift") - DRIFT, F.lit(0))
+    return F.slice(words, first + 1, F.col("shift") + F.size("item_words") + DRIFT - first)
+
+
+def _sizes(items: DataFrame) -> DataFrame:
+    """Adds what hits are held against: the different literal words, how many may be
+    missing, and the words as text."""
+    size = F.size("item_words")
+    said = F.array_join(F.transform("item_raw", lambda word: F.lower(F.ltrim(word, F.lit(_MARK)))), " ")
+    return items.withColumns(
+        {
+            "literals": F.array_distinct(F.filter("item_words", lambda word: ~word.startswith("<"))),
+            "may_miss": size - _needed(size).cast("int"),
+            "said": F.concat(F.lit(" "), said, F.lit(" ")),
+        }
+    )
+
+
+def _hopeful(hits: DataFrame) -> DataFrame:
+    """Hits (raw, words of the document; the item) that may be matches, by functions that
+    need no copy of the document. A literal word of the item may also be met by a name."""
+    around = _around("words")
+    names = F.size(around) - F.size(F.array_remove(around, "<name>"))
+    missing = F.size(F.array_except("literals", around)) - names
+    holds = F.concat(F.lit(" "), _plain("raw"), F.lit(" ")).contains(F.col("said"))
+    return hits.filter((missing <= F.col("may_miss")) & (~F.col("exact") | holds))
+
+
 def _met(hits: DataFrame) -> DataFrame:
     """Words of the item, and of the document where the alignment and its neighbours
     make them meet; word j of the item meets word j + ``off`` of these."""
     first = F.greatest(F.col("shift") - DRIFT, F.lit(0))
-    length = F.col("shift") + F.size("item_words") + DRIFT - first
-    sides = hits.withColumns({"doc_raw": F.split("raw", " "), "doc_words": F.split("words", " ")})
-    met = [F.slice(side, first + 1, length).alias(side) for side in ("doc_raw", "doc_words")]
+    sides = hits.withColumns({"doc_raw": F.split("raw", " "), "doc_words": F.col("words")})
+    met = [_around(side).alias(side) for side in ("doc_raw", "doc_words")]
     size, off = F.size("item_words").alias("size"), (F.col("shift") - first).alias("off")
     return sides.select(
         "doc_id", "text_key", "item_key", "item_id", "exact", "shift", off, size, *met, "item_raw", "item_words"
@@ -212,15 +248,15 @@ def contaminated(
     asked = staged(_items(benchmark, item_id, item_text), "benchmark-items")
     windows = staged(_item_windows(asked), "benchmark-windows")
     exact = windows.groupBy("item_key").agg(F.bool_or("exact").alias("exact"))
-    items = staged(asked.join(exact, "item_key"), "benchmark-windowed")  # at most one per window
+    items = staged(_sizes(asked.join(exact, "item_key")), "benchmark-windowed")  # at most one per window
     windows = windows.drop("exact")
     docs = documents.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key")
     )
     # Each word beside the next ones: windows are hashed from their words and never written out.
-    found = with_words(docs, "text").withColumn("split", F.split("words", " "))
-    many = F.greatest(F.size("split") - (WINDOW - 1), F.lit(0))
-    beside = F.arrays_zip(*(F.slice("split", k + 1, many).alias(f"w{k}") for k in range(WINDOW)))
+    found = with_words(docs, "text").withColumn("words", F.split("words", " "))
+    many = F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))
+    beside = F.arrays_zip(*(F.slice("words", k + 1, many).alias(f"w{k}") for k in range(WINDOW)))
     found = found.select("doc_id", "text_key", "raw", "words", F.posexplode(beside).alias("nth", "window"))
     found = found.withColumn("hash", F.xxhash64(*(F.col(f"window.w{k}") for k in range(WINDOW)))).drop("window")
     shift = (F.col("nth") - F.col("start")).alias("shift")
@@ -229,15 +265,15 @@ def contaminated(
         hits = found.join(F.broadcast(windows), "hash").select(
             "doc_id", "text_key", "raw", "words", "item_key", shift
         )
-        hits = hits.join(F.broadcast(items), "item_key")
+        hits = _hopeful(hits.join(F.broadcast(items), "item_key"))
     else:
         hits = found.select("text_key", "nth", "hash").join(windows, "hash")
-        hits = hits.select("text_key", "item_key", shift).distinct().join(items, "item_key")
-        hits = with_words(docs.join(staged(hits, "benchmark-hits"), "text_key"), "text")
-    holds = F.concat(F.lit(" "), _plain("raw"), F.lit(" ")).contains(
-        F.concat(F.lit(" "), F.array_join(F.transform("item_raw", lambda w: F.lower(F.ltrim(w, F.lit(_MARK)))), " "), F.lit(" "))
-    )
-    hits = hits.filter(~F.col("exact") | holds)
+        hits = staged(hits.select("text_key", "item_key", shift).distinct(), "benchmark-hits")
+        # Texts that may have hits come to them, each once; the others are not shuffled.
+        keyed = docs.withColumn("_llm_hash", F.xxhash64("text_key"))
+        texts, _ = divided(keyed, "_llm_hash", hits.select(F.xxhash64("text_key")).distinct())
+        texts = with_words(texts.drop("_llm_hash"), "text").withColumn("words", F.split("words", " "))
+        hits = _hopeful(texts.join(hits.join(items, "item_key").hint("merge"), "text_key"))
     met = _met(hits).dropDuplicates(["doc_id", "text_key", "item_key", "shift"])
     plain = {
         f"{side}_plain": F.transform(f"{side}_raw", lambda word: F.lower(F.ltrim(word, F.lit(_MARK))))
@@ -257,9 +293,7 @@ def contaminated(
         ),
     )
     # No more words agree than are known at all.
-    runs = staged(runs, "benchmark-words").filter(
-        F.col("known") >= F.least(F.least(F.lit(RUN), "size"), F.ceil(SHARE * F.col("size")))
-    )
+    runs = staged(runs, "benchmark-words").filter(F.col("known") >= _needed(F.col("size")))
     same = F.transform(words, lambda j: _same(j, j + F.col("off")))
     runs = staged(runs.withColumn("same", same), "benchmark-same")
     runs = runs.withColumn("run", _longest_run(F.col("same"))).withColumn(

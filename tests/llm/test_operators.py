@@ -308,6 +308,98 @@ def test_short_items_and_unspaced_scripts_are_found_whole(spark):
     assert {(r.doc_id, r.item_id) for r in found} == {(0, 1), (2, 2), (4, 3), (5, 4)}
 
 
+def _template(word):
+    return "<num>" if word.isdigit() else "<name>" if word[0].isupper() else word
+
+
+def _consistent(pairs):
+    return len(set(pairs)) == len({(kind, asked) for kind, asked, _ in pairs})
+
+
+def _slots(pairs):
+    return [(_template(a), a, b) for a, b in pairs if _template(a).startswith("<")]
+
+
+def _counts(pairs):
+    return 2 * len(_slots(pairs)) <= len(pairs) and _consistent(_slots(pairs))
+
+
+def _alone(doc, item):
+    """Whether the item matches at some single alignment, by trying all."""
+    for shift in range(-len(item), len(doc)):
+        met = [(a, doc[j + shift] if 0 <= j + shift < len(doc) else "-") for j, a in enumerate(item)]
+        best, run = [], []
+        for a, b in met:
+            run = [*run, (a, b)] if _template(a) == _template(b) else []
+            best = run if len(run) > len(best) else best
+        agree = sum(_template(a) == _template(b) for a, b in met)
+        enough = len(best) >= min(13, len(item)) or (len(item) >= 9 and agree >= 0.8 * len(item))
+        if enough and _counts(best):
+            return True
+    return False
+
+
+def _in_order(doc, item):
+    """Whether four fifths of the item's words stand in the document in order."""
+    row = [0] * (len(doc) + 1)
+    for a in item:
+        before = 0
+        for k, b in enumerate(doc, 1):
+            before, row[k] = row[k], max(row[k], row[k - 1], before + (_template(a) == _template(b)))
+    return row[-1] >= 0.8 * len(item)
+
+
+@pytest.mark.parametrize("limit", [decontamination.BROADCAST_WINDOWS, 0])
+def test_items_found_are_those_of_all_alignments(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", limit)
+    rng = random.Random(12)
+    words = "red fox sees old barn near wide lake while snow falls over tall pines".split()
+    names = ["Olga", "Peter", "Maria", "Ivan"]
+
+    def text(n):
+        drawn = [rng.choice([*words, *words[:3], rng.choice(names), str(rng.randint(2, 9))]) for _ in range(n)]
+        return [rng.choice(words), *drawn]  # the first word of a text is no name
+
+    items = [text(rng.randint(8, 18)) for _ in range(12)]
+    texts = []
+    for k in range(60):
+        asked = list(items[k % 12])
+        for at in rng.sample(range(1, len(asked)), rng.randint(0, len(asked) // 3)):
+            asked[at] = rng.choice(words)
+        if k % 3 == 0:  # other names and numbers, each for its own or as they come
+            new = {w: rng.choice(names) if w[0].isupper() else str(rng.randint(2, 9)) for w in asked}
+            asked = [new[w] if _template(w).startswith("<") else w for w in asked]
+        texts.append([*text(rng.randint(1, 9)), *asked, *text(rng.randint(0, 9))])
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    table = docs(spark, [(k, " ".join(t)) for k, t in enumerate(texts)])
+    found = {(r.doc_id, r.item_id) for r in decontamination.contaminated(table, bench).collect()}
+    alone = {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if _alone(t, item)}
+    drifting = {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if _in_order(t, item)}
+    assert len(alone) > 25 and alone <= found <= alone | drifting
+
+
+def test_common_openings_are_not_aligned(spark, monkeypatch):
+    rng = random.Random(13)
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(500)]
+    items = [(k, "what is the " + " ".join(rng.choices(words, k=12))) for k in range(40)]
+    texts = [" ".join(f"what is the {rng.choice(words)}" for _ in range(60)) for _ in range(20)] + [items[5][1]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    aligned, write = [], decontamination.staged
+
+    def counted(rows, label):
+        rows = write(rows, label)
+        if label == "benchmark-alignments":
+            aligned.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(decontamination, "staged", counted)
+    for limit in (decontamination.BROADCAST_WINDOWS, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", limit)
+        found = decontamination.contaminated(docs(spark, list(enumerate(texts))), bench).collect()
+        assert [(r.doc_id, r.item_id) for r in found] == [(20, 5)]
+    assert len(aligned) == 2 and max(aligned) < 100  # 48 000 hits
+
+
 def test_contaminated_documents_go(spark):
     rows = clashing(docs(spark, [(1, ITEMS[1][1]), (2, "clean"), (None, None), (2, "clean")]))
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
