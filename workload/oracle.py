@@ -763,18 +763,19 @@ add(
     as_is="account_id nm_id barcode tech_size warehouse_name brand vendor_code",
     int="quantity",
 )
-add(
-    "streamed_stock",
-    [
-        _STOCK_ROWS,
-        f"""current as (
+_CURRENT_STOCK = f"""current as (
     select * from stock_rows where if(account_id = 5, l_linestatus = 'F', account_id <= 3 and l_linestatus <> 'F')),
 result as (
     select * from current where nm_id is null
     union all
     (select * from current where nm_id is not null
      qualify row_number() over (partition by account_id, nm_id, barcode, tech_size, warehouse_name
-                                order by {_STOCK_ORDER}) = 1))""",
+                                order by {_STOCK_ORDER}) = 1))"""
+add(
+    "streamed_stock",
+    [
+        _STOCK_ROWS,
+        _CURRENT_STOCK,
     ],
     "result",
     as_is="account_id nm_id barcode tech_size warehouse_name brand vendor_code",
@@ -1324,15 +1325,13 @@ add(
 
 # ------------------------------------------------------------ runs
 
-_OUTCOME = {"as_is": "account_id", "int": "rows_written stored succeeded failed", "at": "cursor_timestamp"}
+_RUN_ROWS = {"as_is": "part account_id item status", "at": "moment", "money": "a b c"}
+_STORED_ORDER = "select 'order', account_id, record_key, srid, last_change_date, total_price, finished_price, nm_id"
 
 
-def _per_account(rows: str, columns: str) -> str:
-    """Every account, also one without rows."""
-    return (
-        "result as (select a.id as account_id, "
-        f"{columns} from accounts a left join {rows} r on r.account_id = a.id group by a.id)"
-    )
+def _idle(moment: str) -> str:
+    """The states after runs whose cursor is a time."""
+    return f"select 'state', id, null, 'idle', {moment}, null, null, null from accounts"
 
 
 add(
@@ -1340,70 +1339,119 @@ add(
     [
         ACCOUNTS,
         _ORDER_ROWS,
-        _per_account(
-            "order_rows",
-            "count(r.account_id) as rows_written, count(distinct r.record_key) as stored, "
-            "case when a.id = 4 then 2 else 3 end as succeeded, case when a.id = 4 then 1 else 0 end as failed, "
-            "max(r.last_change_date) as cursor_timestamp",
-        ),
+        """loads as (select *, case when account_id <> 4 and last_change_date < timestamp '1997-01-01 00:00:00'
+        then 1 else 2 end as load from order_rows)""",
+        _newest("loads", "account_id record_key", "load page position", "kept"),
+        f"""all_rows as (
+    select 'run' as part, id as account_id, cast(number as string) as item,
+        case when id = 4 and number = 1 then 'error' else 'success' end as status,
+        timestamp '2026-06-01 11:59:00' + to_minutes(number) as moment,
+        (select count(*) from loads l where l.account_id = id and l.load = number) as a, null as b, null as c
+    from accounts, unnest([1, 2, 3]) n(number)
+    union all
+    select 'state', id, (select arg_max(record_key, row(last_change_date, record_key)) from order_rows r where r.account_id = id),
+        'idle', (select max(last_change_date) from order_rows r where r.account_id = id), null, null, null
+    from accounts
+    union all
+    {_STORED_ORDER} from kept)""",
     ],
-    "result",
-    **_OUTCOME,
+    "all_rows",
+    **_RUN_ROWS,
 )
 add(
     "weekly_run",
     [
         ACCOUNTS,
         _RAW_LINES,
-        _per_account(
-            "raw_lines",
-            "count(r.account_id) as rows_written, count(distinct (r.report_id, r.rrd_id)) filter (r.rrd_id is not null) "
-            "as stored, 2 as succeeded, 0 as failed, timestamp '2026-06-01 20:59:59' as cursor_timestamp",
-        ),
+        _lines("week"),
+        f"""all_rows as (
+    select 'run' as part, id as account_id, cast(number as string) as item, 'success' as status,
+        timestamp '2026-06-01 11:59:00' + to_minutes(number) as moment,
+        (select count(*) from raw_lines l where l.account_id = id and l.report_id % 2 = number - 1) as a,
+        null as b, null as c
+    from accounts, unnest([1, 2]) n(number)
+    union all
+    {_idle("timestamp '2026-06-01 20:59:59'")}
+    union all
+    select 'line', account_id, report_id || ':' || rrd_id, seller_oper_name, date_from, for_pay, quantity, delivery_service
+    from lines)""",
     ],
-    "result",
-    **_OUTCOME,
+    "all_rows",
+    **_RUN_ROWS,
 )
-_KEPT_STOCK = "((r.account_id = 5) = (r.l_linestatus = 'F')) and r.account_id <> 4"
 add(
     "stock_run",
     [
         ACCOUNTS,
         _STOCK_ROWS,
-        _per_account(
-            "stock_rows",
-            "count(*) filter (r.l_linestatus = 'F' or r.account_id <= 3) as rows_written, "
-            f"count(*) filter (r.nm_id is null and {_KEPT_STOCK}) + count(distinct (r.nm_id, r.barcode, r.tech_size, "
-            f"r.warehouse_name)) filter (r.nm_id is not null and {_KEPT_STOCK}) as stored, "
-            "case when a.id = 5 then 1 else 2 end as succeeded, 0 as failed, "
-            "case when a.id = 5 then timestamp '2026-06-01 12:00:00' else timestamp '2026-06-02 12:00:00' end "
-            "as cursor_timestamp",
-        ),
+        _CURRENT_STOCK,
+        f"""all_rows as (
+    select 'run' as part, id as account_id, cast(number as string) as item, 'success' as status,
+        timestamp '2026-05-31 12:00:00' + to_days(number) as moment,
+        (select count(*) from stock_rows s where s.account_id = id and (s.l_linestatus = 'F') = (number = 1)
+            and (number = 1 or id <= 3)) as a, null as b, null as c
+    from accounts, unnest([1, 2]) n(number) where id <> 5 or number = 1
+    union all
+    {_idle("case when id = 5 then timestamp '2026-06-01 12:00:00' else timestamp '2026-06-02 12:00:00' end")}
+    union all
+    select 'stock', account_id, concat_ws(':', nm_id, barcode, tech_size, warehouse_name), brand || '/' || vendor_code,
+        null, quantity, null, null from result)""",
     ],
-    "result",
-    **_OUTCOME,
+    "all_rows",
+    **_RUN_ROWS,
 )
+_OF_KEPT = "where (account_id, supply_key) in (select account_id, supply_key from kept)"
 add(
     "supplies_run",
     [
         ACCOUNTS,
-        """listed as (
-    select o_orderkey % 10 - o_orderkey % 2 as account_id,
-        case when o_orderkey % 9 > 0 then 'supply:' || cast(o_orderkey - o_orderkey % 2 as string)
-             when o_orderkey % 27 > 0 then 'preorder:' || cast(o_orderkey as string) end as supply_key
-    from orders
-    where o_orderkey % 8 between 1 and 6 and o_orderdate >= timestamp '1995-01-01 00:00:00')""",
-        _per_account(
-            "listed",
-            "count(distinct r.supply_key) as stored, 1 as succeeded, 0 as failed, "
-            "timestamp '2026-06-01 20:59:59' as cursor_timestamp",
+        _SUPPLY_ROWS,
+        _HEADS,
+        _DETAILS,
+        _GOODS,
+        _PACKAGES,
+        _BARCODES,
+        # Of two orders that share a supply number the first listed counts.
+        """kept as (select * from heads
+    where o_orderkey % 8 between 1 and 6 and o_orderdate >= timestamp '1995-01-01 00:00:00'
+        and account_id in (select id from accounts)
+    qualify row_number() over (partition by account_id, supply_key order by position) = 1)""",
+        f"own_details as (from details {_OF_KEPT})",
+        f"own_goods as (from goods {_OF_KEPT})",
+        f"own_packages as (from packages {_OF_KEPT} and supply_id is not null)",
+        f"own_barcodes as (from barcodes {_OF_KEPT} and supply_id is not null)",
+        _newest("own_details", "account_id supply_key", "position", "last_details"),
+        _newest("own_packages", "account_id supply_key package_code", "position package_position", "last_packages"),
+        _newest(
+            "own_barcodes",
+            "account_id supply_key package_code barcode",
+            "position package_position barcode_position",
+            "last_barcodes",
         ),
+        """handled as (
+    select account_id from kept union all select account_id from own_details union all select account_id from own_goods
+    union all select account_id from own_packages union all select account_id from own_barcodes)""",
+        """stored as (
+    select 'supplies' as part, account_id, supply_key, phone as item from kept
+    union all select 'supply_details', account_id, supply_key, cast(cast(acceptance_cost as decimal(18,6)) as string)
+        from last_details
+    union all select 'supply_goods', account_id, supply_key, concat(barcode, '/', quantity) from own_goods
+    union all select 'supply_packages', account_id, supply_key, concat(package_code, '/', quantity) from last_packages
+    union all select 'supply_package_barcodes', account_id, supply_key, concat(package_code, '/', barcode, '/', quantity)
+        from last_barcodes)""",
+        f"""all_rows as (
+    select 'run' as part, id as account_id, '1' as item, 'success' as status, timestamp '2026-06-01 12:00:00' as moment,
+        (select count(*) from handled h where h.account_id = id) as a, null as b, null as c
+    from accounts
+    union all
+    {_idle("timestamp '2026-06-01 20:59:59'")}
+    union all
+    select part, account_id, supply_key, item, null, null, null, null from stored)""",
     ],
-    "result",
-    **(_OUTCOME | {"int": "stored succeeded failed"}),
+    "all_rows",
+    **_RUN_ROWS,
 )
 
-_RUN_ROWS = {"as_is": "part account_id item status", "at": "moment", "money": "a b c"}
 _HALF = "(select max(l_orderkey) // 2 * 10 from lineitem)"
 add(
     "settlement_run",
@@ -1443,7 +1491,7 @@ add(
         """broken as (select o_custkey % 5 + 1 as account_id from orders
     where (o_custkey % 5 + 1 = 2 and o_orderkey % 50 = 0) or (o_custkey % 5 + 1 = 4 and o_orderkey % 100 = 1)
     group by all)""",
-        """all_rows as (
+        f"""all_rows as (
     select 'run' as part, id as account_id, number as item,
         case when number = '1' and id in (select account_id from broken) then 'error' else 'success' end as status,
         case number when '1' then timestamp '2026-06-01 12:00:00' else timestamp '2026-06-01 12:01:00' end as moment,
@@ -1455,7 +1503,7 @@ add(
         'idle', (select max(last_change_date) from order_rows r where r.account_id = id), null, null, null
     from accounts
     union all
-    select 'order', account_id, record_key, null, last_change_date, total_price, null, null from (
+    {_STORED_ORDER} from (
         select * from order_rows
         qualify row_number() over (partition by account_id, record_key order by page desc, position desc) = 1))""",
     ],

@@ -970,18 +970,61 @@ def _run_configs(spark: SparkSession, sf_dir: str, api_type: str) -> DataFrame:
     )
 
 
-def _outcomes(store: Store, rows: DataFrame) -> DataFrame:
-    """Per account: what its runs wrote and how they ended, where its cursor is, and
-    ``rows`` of it that are stored."""
-    ended = control.run_ledger(store.read("run_events")).groupBy("account_id").agg(
-        F.coalesce(F.sum("rows_written"), F.lit(0)).alias("rows_written"),
-        F.count_if(F.col("status") == "success").alias("succeeded"),
-        F.count_if(F.col("status") == "error").alias("failed"),
+def _numbered_runs(store: Store) -> DataFrame:
+    """The ledger, with the number of each run of an account."""
+    order = Window.partitionBy("account_id").orderBy("started_at")
+    return control.run_ledger(store.read("run_events")).withColumn("number", F.row_number().over(order))
+
+
+def _run_rows(store: Store) -> list[DataFrame]:
+    """Ledger and state as rows of one shape: part, account_id, item, status, moment, a, b, c."""
+    nothing = F.lit(None).cast("double")
+    ledger = _numbered_runs(store).select(
+        F.lit("run").alias("part"), "account_id", F.col("number").cast("string").alias("item"), "status",
+        F.col("finished_at").alias("moment"), F.col("rows_written").cast("double").alias("a"), nothing.alias("b"), nothing.alias("c"),
+    )
+    state = runs.current_state(store).select(
+        F.lit("state"), "account_id", "cursor_key", "status", "cursor_timestamp", nothing, nothing, nothing
+    )
+    return [ledger, state]
+
+
+def _stored_row(part: str, item: Column, status: Column, moment: Column, *amounts: str) -> list[Column]:
+    """A stored row in the shape of ``_run_rows``."""
+    numbers = [F.col(name).cast("double") for name in amounts]
+    return [
+        F.lit(part), F.col("account_id"), item, status, moment,
+        *numbers, *[F.lit(None).cast("double")] * (3 - len(numbers)),
+    ]
+
+
+def _stored_order() -> list[Column]:
+    return _stored_row(
+        "order", F.col("record_key"), F.col("srid"), F.col("last_change_date"), "total_price", "finished_price", "nm_id"
     )
-    state = runs.current_state(store).select("account_id", "cursor_timestamp")
-    counted = rows.groupBy("account_id").agg(F.count("*").alias("stored"))
-    joined = ended.join(state, "account_id").join(counted, "account_id", "left")
-    return joined.fillna(0, ["stored"])
+
+
+def _stored_line() -> list[Column]:
+    return _stored_row(
+        "line", F.concat_ws(":", "report_id", "rrd_id"), F.col("seller_oper_name"), F.col("date_from"),
+        "for_pay", "quantity", "delivery_service",
+    )
+
+
+def _arriving(feed: DataFrame) -> DataFrame:
+    """Settlement lines with page and position: of the rows of a key the one that counts
+    arrives last."""
+    return feed.withColumns(
+        {
+            "page": F.round(F.col("l_extendedprice") * 100).cast("bigint"),
+            "position": F.col("l_partkey") * 1_000_000 + F.col("l_suppkey"),
+        }
+    )
+
+
+def _stock_arriving(feed: DataFrame) -> DataFrame:
+    order = Window.partitionBy("l_orderkey").orderBy(*fx.STOCK_ARRIVAL[1:])
+    return feed.withColumns({"page": F.col("l_orderkey"), "position": F.row_number().over(order).cast("bigint")})
 
 
 @query("change_runs")
@@ -996,38 +1039,37 @@ def change_runs(spark, sf_dir):
     offered = (early.withColumn("lastChangeDate", dateless), feed, feed)
     for minute, landed_rows in enumerate(offered):
         runs.run_changes(store, landed_rows, configs, "orders", at(f"2026-06-01 12:0{minute}:00"))
-    return _outcomes(store, store.read("orders"))
+    return reduce(DataFrame.unionAll, [*_run_rows(store), store.read("orders").select(*_stored_order())])
 
 
 @query("weekly_run")
 def weekly_run(spark, sf_dir):
     """Reports of even number, then all: the second run loads the others alone."""
     store = Store(spark, new_run_dir(spark, "weekly-run"))
-    feed = fx.settlement_feed(spark, sf_dir).withColumns(
-        {"page": F.lit(0).cast("bigint"), "position": F.xxhash64(*fx.LINE_ARRIVAL)}
-    )
+    feed = _arriving(fx.settlement_feed(spark, sf_dir))
     listed = feed.groupBy("account_id", "reportId").agg(
         F.min("dateFrom").alias("dateFrom"), F.max("dateTo").alias("dateTo"), F.max("createDate").alias("createDate")
     )
     configs = _run_configs(spark, sf_dir, "finance_sales_report_weekly")
-    for reports_listed in (listed.filter("reportId % 2 = 0"), listed):
-        runs.run_weekly(store, reports_listed, feed, configs, at(NOW))
-    return _outcomes(store, store.read("settlement_weekly"))
+    for minute, reports_listed in enumerate((listed.filter("reportId % 2 = 0"), listed)):
+        runs.run_weekly(store, reports_listed, feed, configs, at(f"2026-06-01 12:0{minute}:00"))
+    return reduce(DataFrame.unionAll, [*_run_rows(store), store.read("settlement_weekly").select(*_stored_line())])
 
 
 @query("stock_run")
 def stock_run(spark, sf_dir):
     """All accounts are answered once, then accounts 1-4, of which 4 has nothing left."""
     store = Store(spark, new_run_dir(spark, "stock-run"))
-    feed = fx.stock_feed(spark, sf_dir).withColumns(
-        {"page": F.col("l_orderkey"), "position": F.xxhash64(*fx.STOCK_ARRIVAL)}
-    )
+    feed = _stock_arriving(fx.stock_feed(spark, sf_dir))
     configs = _run_configs(spark, sf_dir, "warehouse_remains")
     everyone = configs.select("account_id")
     runs.run_stock(store, feed.filter("l_linestatus = 'F'"), everyone, configs, at(NOW))
     later = feed.filter("l_linestatus <> 'F' and account_id <= 3")
     runs.run_stock(store, later, everyone.filter("account_id <> 5"), configs, at("2026-06-02 12:00:00"))
-    return _outcomes(store, store.read("stock"))
+    names = F.concat_ws(":", "nm_id", "barcode", "tech_size", "warehouse_name")
+    kind = F.concat_ws("/", "brand", "vendor_code")
+    stored = _stored_row("stock", names, kind, F.lit(None).cast("timestamp"), "quantity")
+    return reduce(DataFrame.unionAll, [*_run_rows(store), store.read("stock").select(*stored)])
 
 
 @query("supplies_run")
@@ -1042,38 +1084,26 @@ def supplies_run(spark, sf_dir):
     runs.run_supplies(
         store,
         feed.select(*arrival, "supply.*"),
-        keyed.select(*arrival, "supply_key", "details.*"),
+        keyed.filter("details is not null").select(*arrival, "supply_key", "details.*"),
         keyed.select(*arrival, "supply_key", F.inline("goods")),
         keyed.select(*arrival, "supply_key", F.inline("packages")),
         configs,
         at(NOW),
     )
-    return _outcomes(store, store.read("supplies")).drop("rows_written")
+    loaded = supplies.Supplies(
+        *(store.read(f"supply_{name}" if name else "supplies") for name in ("", "details", "goods", "packages", "package_barcodes"))
+    )
+    items = _supply_items(loaded).select(
+        F.col("table_name").alias("part"), "account_id", "supply_key", "item", F.lit(None).cast("timestamp"),
+        *[F.lit(None).cast("double")] * 3,
+    )
+    return reduce(DataFrame.unionAll, [*_run_rows(store), items])
 
 
 class _Killed(BaseException):
     """Ends a run as the loss of its driver does: nothing more is logged."""
 
 
-def _numbered_runs(store: Store) -> DataFrame:
-    """The ledger, with the number of each run of an account."""
-    order = Window.partitionBy("account_id").orderBy("started_at")
-    return control.run_ledger(store.read("run_events")).withColumn("number", F.row_number().over(order))
-
-
-def _run_rows(store: Store) -> list[DataFrame]:
-    """Ledger and state as rows of one shape: part, account_id, item, status, moment, a, b, c."""
-    nothing = F.lit(None).cast("double")
-    ledger = _numbered_runs(store).select(
-        F.lit("run").alias("part"), "account_id", F.col("number").cast("string").alias("item"), "status",
-        F.col("finished_at").alias("moment"), F.col("rows_written").cast("double").alias("a"), nothing.alias("b"), nothing.alias("c"),
-    )
-    state = runs.current_state(store).select(
-        F.lit("state"), "account_id", "cursor_key", "status", "cursor_timestamp", nothing, nothing, nothing
-    )
-    return [ledger, state]
-
-
 @query("settlement_run")
 def settlement_run(spark, sf_dir):
     """Three runs over one growing folder. The first, over the lower half of the line
@@ -1085,13 +1115,7 @@ def settlement_run(spark, sf_dir):
         *(F.col(n) if n in ("id", "account_code", "account_name", "enabled", "token_env_var") else F.lit(None).alias(n)
           for n in schemas.ACCOUNTS.names)
     ).select(*(F.col(f.name).cast(f.dataType) for f in schemas.ACCOUNTS.fields)).write.parquet(store.path("accounts"))
-    # Of the rows of a key the one that counts arrives last.
-    feed = fx.settlement_feed(spark, sf_dir, DAILY).withColumns(
-        {
-            "page": F.round(F.col("l_extendedprice") * 100).cast("bigint"),
-            "position": F.col("l_partkey") * 1_000_000 + F.col("l_suppkey"),
-        }
-    )
+    feed = _arriving(fx.settlement_feed(spark, sf_dir, DAILY))
     half = fx.table(spark, sf_dir, "lineitem").agg(F.expr("max(l_orderkey) div 2 * 10").alias("half"))
     feed = staged(feed.crossJoin(F.broadcast(half)), "settlement-feed")
     configs = _run_configs(spark, sf_dir, "finance_sales_report_details")
@@ -1105,16 +1129,11 @@ def settlement_run(spark, sf_dir):
         steps = {"load_facts": killed} if minute == 0 else {}
         with contextlib.suppress(_Killed):
             runs.run_settlement(store, landed_rows.drop("half"), configs, at(f"2026-06-01 12:0{minute}:00"), **steps)
+    lines = store.read("settlement_daily").select(*_stored_line())
     nothing = F.lit(None).cast("timestamp")
-    lines = store.read("settlement_daily").select(
-        F.lit("line"), "account_id", F.concat_ws(":", "report_id", "rrd_id"), "seller_oper_name", "date_from",
-        F.col("for_pay").cast("double"), F.col("quantity").cast("double"), F.col("delivery_service").cast("double"),
-    )
-    found = store.read("article_facts").select(
-        F.lit("fact"), "account_id", F.col("nm_id").cast("string"), "vendor_code", nothing,
-        F.col("buyout_ratio_sum").cast("double"), F.col("logistics_cost_total").cast("double"),
-        F.col("buyout_units").cast("double"),
-    )
+    amounts = ("buyout_ratio_sum", "logistics_cost_total", "buyout_units")
+    fact = _stored_row("fact", F.col("nm_id").cast("string"), F.col("vendor_code"), nothing, *amounts)
+    found = store.read("article_facts").select(*fact)
     return reduce(DataFrame.unionAll, [*_run_rows(store), lines, found])
 
 
@@ -1133,11 +1152,7 @@ def quarantine_runs(spark, sf_dir):
         lines.select("account_id", "value").write.partitionBy("account_id").text(folder)
         feed = landed.read_feed(spark, folder, "orders", keep_broken=True)
         runs.run_changes(store, feed, configs, "orders", at(f"2026-06-01 12:0{minute}:00"))
-    stored = store.read("orders").select(
-        F.lit("order"), "account_id", "record_key", F.lit(None).cast("string"), "last_change_date",
-        F.col("total_price").cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double"),
-    )
-    return reduce(DataFrame.unionAll, [*_run_rows(store), stored])
+    return reduce(DataFrame.unionAll, [*_run_rows(store), store.read("orders").select(*_stored_order())])
 
 
 def _updated_store(spark: SparkSession, sf_dir: str) -> Store:
