@@ -38,6 +38,9 @@ from marketlens.llm.common import divided, give_back_memory, others, small_batch
 _BASE = 0x9E3779B97F4A7C15
 #: A level of windows below this many words is not halved further.
 SHORTEST = 8
+#: So many windows are searched for their smallest hash at a time: the search copies the
+#: hashes of each, some 18 times the words of a text.
+_WINDOWS_AT_ONCE = 1 << 14
 #: Hashes of that many distinct words are kept in a task at a time.
 _CACHED_WORDS = 100_000
 
@@ -93,7 +96,11 @@ def chosen_places(hashing: WindowHashes, words: list[bytes], length: int) -> tup
     levels = [hashing.windows(hashes, size) for size in shorter]
     usable = levels[0][: len(levels[-1])]
     per_window = np.lib.stride_tricks.sliding_window_view(usable, length - shorter[-1] + 1)
-    return levels, per_window.argmin(axis=1) + np.arange(len(per_window))
+    chosen = np.arange(len(per_window))
+    for first in range(0, len(per_window), _WINDOWS_AT_ONCE):
+        part = slice(first, first + _WINDOWS_AT_ONCE)
+        chosen[part] += per_window[part].argmin(axis=1)
+    return levels, chosen
 
 
 def _identity(text: Column) -> list[Column]:
