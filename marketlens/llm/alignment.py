@@ -463,7 +463,7 @@ def aligned(
                 names=["row", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"],
             ) if rows else batch.slice(0, 0)
         tokenizers.forget()
-        give_back_memory()
+        give_back_memory(keep=name)
 
     short = docs.filter(~long).mapInArrow(align, f"row long, doc_id {kind}, {_ALIGNED}")
 
@@ -481,7 +481,7 @@ def aligned(
                 for row, no, first, low, high, words in batch.itertuples(index=False, name=None)
             ]
             yield pd.DataFrame(rows, columns=["row", "no", *_COLUMNS])
-        give_back_memory()
+        give_back_memory(keep=name)
 
     texts = staged(docs.filter(long), "long-texts")  # also tells whether there are any
     parts = texts.select("row", "text").mapInPandas(cut, "row long, no long, first long, low long, high long, words string")

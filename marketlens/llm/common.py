@@ -98,18 +98,28 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def kept_in_process(name: str, make: Callable[[], Any]) -> Any:
-    """What ``make`` gives, made once in a Python worker and used by its later tasks
-    too. Functions that travel by value have no module of their own to keep it in."""
-    holder = sys.modules.setdefault("marketlens_kept", types.ModuleType("marketlens_kept")).__dict__
-    if name not in holder:
-        holder[name] = make()
-    return holder[name]
+def _kept() -> dict[str, Any]:
+    # Functions that travel by value have no module of their own to keep things in.
+    return sys.modules.setdefault("marketlens_kept", types.ModuleType("marketlens_kept")).__dict__.setdefault("kept", {})
 
 
-def give_back_memory() -> None:
-    """Called when a task's Python ends: hands freed memory to the system. The worker
-    lives on for the next stages, which share the executor's memory with it."""
+def kept_in_process(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker and used by its later tasks
+    too, until a task of another kind ends there (``give_back_memory``)."""
+    kept = _kept()
+    if name not in kept:
+        kept.clear()
+        kept[name] = make()
+    return kept[name]
+
+
+def give_back_memory(keep: str | None = None) -> None:
+    """Called when a task's Python ends: lets go of what other kinds of tasks kept in the
+    worker, all but ``keep``, and hands freed memory to the system. The worker lives on for
+    the next stages, which share the executor's memory with it."""
+    kept = _kept()
+    for name in set(kept) - {keep}:
+        del kept[name]
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
     if trim is not None:

@@ -137,7 +137,8 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = kept_in_process(f"ids:{tokenizer}", lambda: IdEncoder(tokenizer))
+        name = f"ids:{tokenizer}"
+        encoder = kept_in_process(name, lambda: IdEncoder(tokenizer))
         for batch in batches:
             rows, at = [], []
             texts = batch["text"].tolist()
@@ -151,7 +152,7 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
             found.insert(0, "doc_id", batch["doc_id"].iloc[at].to_numpy())
             yield found
         encoder.forget()  # the worker lives on, for other stages too
-        give_back_memory()
+        give_back_memory(keep=name)
 
     chosen = small_batches(documents).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return chosen.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
