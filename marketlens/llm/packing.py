@@ -32,7 +32,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import give_back_memory, kept_in_process, small_batches, staged, table
+from marketlens.llm.common import give_back_memory, small_batches, staged, table
 
 END_ID = 1
 _CACHED_CHUNKS = 900_000
@@ -51,19 +51,26 @@ class IdEncoder:
     with the first id that closes a word.
     """
 
+    _ASCII = np.arange(256)
+    _CAPITAL = (_ASCII >= 65) & (_ASCII <= 90)
+    _SPACE = np.isin(_ASCII, list(b" \t\n\r\x0b\x0c"))
+    _MARK = np.isin(_ASCII, list(b".,"))
+    _LETTER_OR_DIGIT = _CAPITAL | ((_ASCII >= 97) & (_ASCII <= 122)) | ((_ASCII >= 48) & (_ASCII <= 57))
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         # Its special tokens are ids of their own. Looking for them costs a quarter of the
-        # time, so chunks that hold none go to a tokenizer that does not.
+        # time, so chunks that hold none go to a tokenizer that does not. All share a model.
         self._marks = [token.content.lower() for token in self._tokenizer.get_added_tokens_decoder().values()]
-        self._unmarked = Tokenizer.from_file(path)
-        self._unmarked.encode_special_tokens = True
-        # The same model for words that need no more than to be told apart.
-        self._of_words = Tokenizer.from_file(path)
-        self._of_words.encode_special_tokens = True
+        self._raw_marks = [mark.encode() for mark in self._marks]
+        self._unmarked = Tokenizer(self._tokenizer.model)
+        self._unmarked.normalizer = self._tokenizer.normalizer
+        self._unmarked.pre_tokenizer = self._tokenizer.pre_tokenizer
+        # The same for words that need no more than to be told apart.
+        self._of_words = Tokenizer(self._tokenizer.model)
         self._of_words.normalizer = normalizers.Sequence([])
         self._of_words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -77,8 +84,23 @@ class IdEncoder:
         encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4") for one in encoded]
 
+    def _chunks(self, text: str | None) -> list[bytes]:
+        """The chunks of a text, so written that few are different: a full stop or comma
+        that ends a word is a chunk of its own, and capitals are small, but for those before
+        a letter beyond ASCII, which may compose with them, and in texts with a special token."""
+        raw = (text or "").encode()
+        small = raw.lower()
+        if len(raw) < 2 or any(mark in small for mark in self._raw_marks):
+            return raw.split()
+        at = np.frombuffer(raw + b" ", dtype=np.uint8)
+        small = at[:-1] + 32 * (self._CAPITAL[at[:-1]] & (at[1:] < 128)).astype(np.uint8)
+        ends = self._MARK[at[1:-1]] & self._SPACE[at[2:]] & self._LETTER_OR_DIGIT[at[:-2]]
+        return np.insert(small, np.flatnonzero(ends) + 1, 32).tobytes().split()
+
     def _learn(self, chunks: set[bytes]) -> None:
         known = self._known
+        simple = {chunk for chunk in chunks if chunk.isalpha() and chunk.islower()}
+        chunks = chunks - simple
         words: list[bytes] = []  # chunks that are a word and perhaps one mark
         cores: list[bytes] = []
         tails: list[bytes] = []
@@ -88,7 +110,7 @@ class IdEncoder:
         # Two letters whose small form depends on their place or is no single letter.
         odd = "\u03a3" in joined or "\u0130" in joined
         small = joined.lower()
-        for chunk, text in zip(listed, (joined if odd else small).split("\n"), strict=True):
+        for chunk, text in zip(listed, (joined if odd else small).split("\n") if listed else [], strict=True):
             core = text.rstrip(".,")
             if core.isalpha() and len(text) - len(core) <= 1 and not (odd and ("\u03a3" in core or "\u0130" in core)):
                 words.append(chunk)
@@ -102,7 +124,7 @@ class IdEncoder:
         for chosen, tokenizer in ((plain, self._unmarked), (special, self._tokenizer)):
             for chunk, ids in zip(chosen, self._ids([chunk.decode() for chunk in chosen], tokenizer), strict=True):
                 known[chunk] = ids.tobytes()
-        new = list(set(cores).difference(known))
+        new = list(simple.union(set(cores).difference(known)))
         text = b" ".join(new).decode()
         clean = not odd and unicodedata.is_normalized("NFC", text)
         ids = self._ids([text], self._of_words if clean else self._unmarked)[0]
@@ -116,12 +138,8 @@ class IdEncoder:
         for chunk, core, tail in zip(words, cores, tails, strict=True):
             known[chunk] = known[core] + known[tail] if tail else known[core]
 
-    def forget(self) -> None:
-        """A few words kept would hold on to most of the memory of all."""
-        self._known = {}
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(text or "").encode().split() for text in texts]
+        split = [self._chunks(text) for text in texts]
         if len(self._known) > _CACHED_CHUNKS:
             self._known.clear()
         known = self._known
@@ -137,8 +155,9 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name = f"ids:{tokenizer}"
-        encoder = kept_in_process(name, lambda: IdEncoder(tokenizer))
+        # Made anew by each task, in a tenth of a second: kept, it would hold memory in
+        # every worker of the executor, of which only some are at work.
+        encoder = IdEncoder(tokenizer)
         for batch in batches:
             rows, at = [], []
             texts = batch["text"].tolist()
@@ -151,8 +170,8 @@ def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str =
             found = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
             found.insert(0, "doc_id", batch["doc_id"].iloc[at].to_numpy())
             yield found
-        encoder.forget()  # the worker lives on, for other stages too
-        give_back_memory(keep=name)
+        del encoder
+        give_back_memory()
 
     chosen = small_batches(documents).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return chosen.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -873,6 +873,7 @@ def test_ids_are_those_of_the_whole_text():
     letters = "aAbÉéßΣσςİı한가.,' \x1c \x85 \n\t!?%$ñ中'sK Å1²"
     texts = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(2000)] + [None, "<|endoftext|> I'll."]
     texts += ["<|endoftext|>", "a<|endoftext|>b", "<|ENDOFTEXT|> c", "<|startoftext|><|endoftext|>", "<|endoftext |>", "A<|EndOfText|>."]
+    assert [len(ids) // 4 for ids in packing.IdEncoder(path).encode(["the", "the", "."])] == [2, 2, 2]
     for start in range(0, len(texts), 50):
         part = texts[start : start + 50]
         for text, ids in zip(part, own.encode(part), strict=True):
