@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -120,6 +121,7 @@ def give_back_memory(keep: str | None = None) -> None:
     kept = _kept()
     for name in set(kept) - {keep}:
         del kept[name]
+    gc.collect()
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
     if trim is not None:
