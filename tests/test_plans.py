@@ -115,3 +115,9 @@ def test_a_hot_key_is_split_over_tasks(spark, how):
         for name in settings:
             spark.conf.unset(name)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_supplies_are_assembled_without_broadcast(spark, sf_dir):
+    # Their keys grow with the orders; the driver would gather all of them.
+    plan = _final_plan(queries.registered()["supplies_assemble"](spark, sf_dir))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
