@@ -90,22 +90,47 @@ def _message() -> Column:
     return F.substring("message", 1, MESSAGE_LIMIT)
 
 
+# Events per task of a fold; up to 200 tasks a shuffle writes rows as they come, above it
+# holds them in memory to sort them.
+_FOLD_EVENTS, _FOLD_TASKS = 50_000, 200
+
+
+def _fold_tasks(events: DataFrame) -> int:
+    """Over how many tasks a log is folded. Folding texts means sorting the rows of a task,
+    messages and all, so what a task holds is set by number of events: files and adaptive
+    execution cut by compressed bytes, of which messages have few."""
+    return min(_FOLD_TASKS, 1 + events.count() // _FOLD_EVENTS)
+
+
 def state_from_events(events: DataFrame) -> DataFrame:
     """Feed state after the run events, taken in order of (at, seq).
 
     Each column is set by some kinds of event only, so its value is that of the
-    latest event of those kinds. All of it is one grouping of the log.
+    latest event of those kinds. A stream of events is grouped once, a log first by
+    parts of its runs: of a busy feed a task then holds a part.
     """
-    folded = events.groupBy(*FEED).agg(
-        F.min(F.when(F.col("kind").isin(*_CREATING), F.struct(*_order()))).alias("created"),
+    events = events.withColumn("message", _message())
+    created = F.min(F.when(F.col("kind").isin(*_CREATING), F.struct(*_order()))).alias("created")
+    latest = [
         _last((CHECKPOINT, SUCCESS), ts=F.col("cursor_timestamp"), key=F.col("cursor_key")).alias("cursor"),
         _last((STARTED,)).alias("started"),
         _last((SUCCESS,)).alias("succeeded"),
         _last((SUCCESS, *_FAILED)).alias("finished"),
-        _last((SUCCESS, *_FAILED), kind=F.col("kind"), text=_message()).alias("outcome"),
+        _last((SUCCESS, *_FAILED), kind=F.col("kind"), text=F.col("message")).alias("outcome"),
         _last((*_CREATING, CHECKPOINT, HEARTBEAT), run=F.col("run_id")).alias("touched"),
         _last((*_CREATING, CHECKPOINT), kind=F.col("kind")).alias("status"),
-    )
+    ]
+    if events.isStreaming:
+        folded = events.groupBy(*FEED).agg(created, *latest)
+    else:
+        tasks = _fold_tasks(events)
+        part = F.pmod(F.hash("run_id"), F.lit(tasks)).alias("_part")
+        parts = events.select("*", part).repartition(tasks, *FEED, "_part")
+        parts = parts.groupBy(*FEED, "_part").agg(created, *latest)
+        found = [name for name in parts.columns if name not in (*FEED, "_part", "created")]
+        folded = parts.repartition(tasks, *FEED).groupBy(*FEED).agg(
+            F.min("created").alias("created"), *(F.max(name).alias(name) for name in found)
+        )
     # A checkpoint before the row existed wrote nothing.
     cursor_stands = F.struct("cursor.at", "cursor.seq") >= F.col("created")
     failed = F.col("outcome.kind").isin(*_FAILED)
@@ -136,15 +161,16 @@ def run_ledger(events: DataFrame) -> DataFrame:
     Success and error always close a run. An interruption closes only a run that
     nothing has closed yet. Success leaves an earlier error message in place.
     """
-    runs = events.groupBy(*FEED, "run_id").agg(
+    spread = events.withColumn("message", _message()).repartition(_fold_tasks(events), *FEED, "run_id")
+    runs = spread.groupBy(*FEED, "run_id").agg(
         F.min(F.when(F.col("kind") == STARTED, F.struct(*_order()))).alias("started"),
         _last((SUCCESS, ERROR), kind=F.col("kind")).alias("closed"),
         F.min(F.when(F.col("kind").isin(SUCCESS, ERROR), F.struct(*_order()))).alias("first_closed"),
         F.min(
-            F.when(F.col("kind") == INTERRUPTED, F.struct(*_order(), _message().alias("text")))
+            F.when(F.col("kind") == INTERRUPTED, F.struct(*_order(), F.col("message").alias("text")))
         ).alias("stopped"),
         _last((SUCCESS,), rows=F.col("rows_written")).alias("succeeded"),
-        _last((ERROR,), text=_message()).alias("failed"),
+        _last((ERROR,), text=F.col("message")).alias("failed"),
     )
     stop_counts = F.col("stopped").isNotNull() & F.coalesce(
         F.struct("stopped.at", "stopped.seq") < F.col("first_closed"), F.lit(True)

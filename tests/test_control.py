@@ -149,3 +149,31 @@ def test_required_columns_fail_the_batch(spark):
         checks.require_not_null(rows, ["n"]).collect()
     with pytest.raises(Exception, match="null in required column n"):
         checks.require_not_null(rows, ["n"]).select(F.sum("n")).collect()
+
+
+def _sorts_before_first_shuffle(rows):
+    """Sorts of the tasks that read the log: below the lowest exchange of each branch."""
+    mode = rows.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    lines = rows._jdf.queryExecution().explainString(mode).splitlines()
+    lowest = max(i for i, line in enumerate(lines) if "Exchange" in line)
+    return [line for line in lines[lowest:] if "Sort" in line]
+
+
+@pytest.mark.parametrize("fold", [control.state_from_events, control.run_ledger])
+def test_messages_are_not_sorted_by_the_tasks_that_read_them(spark, tmp_path, fold):
+    events = [tuple(e[n] for n in RUN_EVENTS.names) for e in _random_events(7)]
+    spark.createDataFrame(events, RUN_EVENTS).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert _sorts_before_first_shuffle(fold(log)) == []
+
+
+@pytest.mark.parametrize("fold", [control.state_from_events, control.run_ledger])
+def test_a_log_folds_alike_over_any_number_of_tasks(spark, monkeypatch, fold):
+    events = [e for seed in range(3) for e in _random_events(seed)]
+    log = spark.createDataFrame([tuple(e[n] for n in RUN_EVENTS.names) for e in events], RUN_EVENTS)
+    found = []
+    for size in (1_000_000, 20, 5):
+        monkeypatch.setattr(control, "_FOLD_EVENTS", size)
+        assert fold(log).select("run_id").rdd.getNumPartitions() == 1 + log.count() // size
+        found.append(sorted(map(str, fold(log).collect())))
+    assert found[0] == found[1] == found[2]
