@@ -121,3 +121,15 @@ def test_supplies_are_assembled_without_broadcast(spark, sf_dir):
     # Their keys grow with the orders; the driver would gather all of them.
     plan = _final_plan(queries.registered()["supplies_assemble"](spark, sf_dir))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_feeds_are_parsed_over_more_tasks_where_there_are_more_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(fx, "_ROWS_PER_TASK", 100)
+    lines = fx.table(spark, sf_dir, "lineitem").count()
+    tasks = min(200, 1 + lines // 100)
+    assert tasks > spark.sparkContext.defaultParallelism
+    # The shuffle comes before the forty columns and the texts.
+    plan = _plan(fx.settlement_feed(spark, sf_dir), "simple")
+    line = next(row for row in plan.splitlines() if f"RoundRobinPartitioning({tasks})" in row)
+    below = plan.splitlines()[plan.splitlines().index(line) + 1]
+    assert "sellerOperName" not in plan[plan.index(line):] and "retail_amount" not in below

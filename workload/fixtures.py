@@ -29,10 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.withColumns(naive) if naive else rows
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a file too small to split, over all cores: parsing is the cost
-    here. Real feeds land as many files and are left as they are."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+# Up to 200 tasks a shuffle writes rows as they come and need not hold them.
+_ROWS_PER_TASK, _MOST_TASKS = 100_000, 200
+
+
+def spread(rows: DataFrame, count: int | None = None) -> DataFrame:
+    """Source rows (``count`` of them) over all cores, since parsing is the cost here and
+    a file may be too small to split; over more tasks where there are more rows."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = 1 + (rows.count() if count is None else count) // _ROWS_PER_TASK
+    return rows.repartition(max(cores, min(tasks, _MOST_TASKS)))
 
 
 def project(rows: DataFrame, mapping: Mapping, *keep: str) -> DataFrame:
@@ -224,9 +230,8 @@ def landed_text(rows: DataFrame, mapping: Mapping, feed: str, *keep: str) -> Dat
 
 
 def _landed(rows: DataFrame, mapping: Mapping, feed: str, *keep: str) -> DataFrame:
-    """Build each feed object as JSON text, then parse it as a landed line is."""
-    if not rows.isStreaming:
-        rows = spread(rows)
+    """Build each feed object as JSON text, then parse it as a landed line is. ``rows``
+    should be spread: parsing takes place where they are."""
     text = landed_text(rows, mapping, feed, *keep)
     # Unfolded as a one-row array: conditions on the fields are then checked after
     # the parse, not by parsing once more below it.
@@ -257,7 +262,7 @@ ORDER_ARRIVAL = ["page", "position"]
 
 
 def order_feed(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
-    source = table(spark, sf_dir, "orders") if rows is None else rows
+    source = spread(table(spark, sf_dir, "orders")) if rows is None else rows
     return _landed(
         source,
         _ORDER_FEED,
@@ -291,7 +296,7 @@ SALE_ARRIVAL = ["l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_
 
 def sale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(
-        table(spark, sf_dir, "lineitem"),
+        spread(table(spark, sf_dir, "lineitem")),
         _SALE_FEED,
         "sales",
         "cast(l_orderkey % 5 + 1 as bigint) as account_id",
@@ -302,7 +307,9 @@ def sale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def settlement_feed(spark: SparkSession, sf_dir: str, period: str = "week") -> DataFrame:
     """Settlement lines as landed: keys repeat, blanks are blanks."""
     source = table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE)
-    typed = project(_with_orders(spark, sf_dir, source), line_mapping(period), *LINE_ARRIVAL)
+    # Spread while rows are narrow, before the forty columns exist.
+    narrow = spread(_with_orders(spark, sf_dir, source), source.count())
+    typed = project(narrow, line_mapping(period), *LINE_ARRIVAL)
     words = {name: name.split("_") for name, _ in line_mapping(period)}
     camel = {n: w[0] + "".join(p.capitalize() for p in w[1:]) for n, w in words.items()}
     dates = {"date_from", "date_to", "create_date", "order_dt", "sale_dt", "rr_date"}
@@ -332,16 +339,35 @@ _STOCK_FEED: Mapping = [
 STOCK_ARRIVAL = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
-def stock_feed(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
-    source = table(spark, sf_dir, "lineitem") if rows is None else rows
-    return _landed(
-        source,
-        _STOCK_FEED,
-        "warehouse_remains",
-        "cast(l_orderkey % 5 + 1 as bigint) as account_id",
-        "l_linestatus",
-        *STOCK_ARRIVAL,
-    )
+_STOCK_KEEP = ["cast(l_orderkey % 5 + 1 as bigint) as account_id", "l_linestatus", *STOCK_ARRIVAL]
+
+
+def stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spread(table(spark, sf_dir, "lineitem")), _STOCK_FEED, "warehouse_remains", *_STOCK_KEEP)
+
+
+def _stock_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source rows of the stock feed with page and position, which are numbered while
+    rows are narrow."""
+    source = table(spark, sf_dir, "lineitem")
+    order = Window.partitionBy("l_orderkey").orderBy(*STOCK_ARRIVAL[1:])
+    numbered = {"page": F.col("l_orderkey"), "position": F.row_number().over(order).cast("bigint")}
+    return spread(source.withColumns(numbered), source.count())
+
+
+def arriving_stock_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stock feed with page and position."""
+    rows = _stock_arriving(spark, sf_dir)
+    return _landed(rows, _STOCK_FEED, "warehouse_remains", *_STOCK_KEEP, "page", "position")
+
+
+def stock_lines(spark: SparkSession, sf_dir: str, answer: str) -> DataFrame:
+    """Stock as lines of a landed folder (``value``), each part of the answer that the
+    expression ``answer`` gives, with the columns it may name. Lines of no answer are left out."""
+    rows = _stock_arriving(spark, sf_dir).withColumn("answer", F.expr(answer)).filter("answer is not null")
+    arrival = [(name, name) for name in ("answer", "page", "position")]
+    text = landed_text(rows, arrival + _STOCK_FEED, "warehouse_remains", *_STOCK_KEEP, "answer")
+    return text.withColumnRenamed("payload", "value")
 
 
 SUPPLY_NUMBER = "cast(o_orderkey - o_orderkey % 2 as string)"
@@ -387,7 +413,7 @@ _SUPPLY_PAYLOAD: Mapping = [
 def supply_feed(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Nested supply payloads; two orders share a supply number."""
     return _landed(
-        table(spark, sf_dir, "orders"),
+        spread(table(spark, sf_dir, "orders")),
         _SUPPLY_PAYLOAD,
         "supply_payloads",
         "cast(o_orderkey % 10 - o_orderkey % 2 as bigint) as account_id",
