@@ -94,3 +94,16 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     below_shuffle = plan.split("Exchange", 1)[1]
     assert "WindowGroupLimit" in below_shuffle
     assert [r.n for r in latest.collect()] == [9_999]
+
+
+def test_latest_per_complete_key_reads_its_rows_once(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a", 1), (1, "a", 2), (1, None, 3), (1, None, 3), (None, None, 4)], "k bigint, name string, at bigint"
+    ).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    latest = latest_per_complete_key(rows, ["k", "name"], ["at"])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    assert latest._jdf.queryExecution().explainString(mode).count("FileScan") == 1
+    assert latest.columns == ["k", "name", "at"]
+    found = sorted((tuple(r) for r in latest.collect()), key=str)
+    assert found == [(1, "a", 2), (1, None, 3), (1, None, 3), (None, None, 4)]
