@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from marketlens import configure, schemas
 from marketlens.operators.cost import current_costs
 from marketlens.operators.lookup import lookup
-from marketlens.plans import identity, settlement
+from marketlens.plans import facts, identity, settlement
 from workload import fixtures as fx
 from workload import queries
 
@@ -37,6 +37,42 @@ def test_account_filter_reaches_the_scan(spark, stored):
     assert scans and all("EqualTo(account_id,2)" in line for line in scans)
 
 
+@pytest.mark.parametrize("name", ["resolved_lines", "unit_identity", "unit_buyout", "article_facts", "facts_load"])
+def test_lines_read_several_times_are_made_once(spark, sf_dir, name):
+    plan = _plan(queries.registered()[name](spark, sf_dir))
+    assert "lineitem.parquet" not in plan and "settlement-lines" in plan
+
+
+def test_facts_shuffle_units_once(spark, sf_dir):
+    lines = fx.settlement_lines_once(spark, sf_dir, "day")
+    plan = _plan(facts.article_facts(lines, fx.accounts(spark, sf_dir)), "simple")
+    # Of marked and unmarked lines, of all lines for their units, and for attributes.
+    assert plan.count("FileScan parquet") == 5  # with the accounts
+    assert plan.count("Window [") == 1 and "article-units" not in plan
+
+
+def test_units_cross_joins_without_identifiers(spark, sf_dir, tmp_path):
+    """What is counted needs no identifier after the units are known."""
+    fx.settlement_lines(spark, sf_dir).write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+    narrow = identity.unit_identity(lines, only=["account_id", "nm_id"])
+    assert narrow.columns == ["account_id", "nm_id", "restored_kiz", "uniq_product_id"]
+    wide = identity.unit_identity(lines).select(*narrow.columns)
+    assert narrow.exceptAll(wide).isEmpty() and wide.exceptAll(narrow).isEmpty()
+
+
+def test_small_sides_of_shuffled_joins_are_hashed(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = identity.unit_identity(configure(spark) and stored)
+        found.write.format("noop").mode("overwrite").save()
+        found.collect()
+        plan = _plan(found, "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan.split("Initial Plan")[0]
+
+
 def test_trusted_identifiers_scan_once(spark, stored):
     plan = _plan(identity.trusted_identifiers(stored), "simple")
     assert plan.count("FileScan parquet") == 1
