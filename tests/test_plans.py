@@ -169,3 +169,11 @@ def test_feeds_are_parsed_over_more_tasks_where_there_are_more_rows(spark, sf_di
     line = next(row for row in plan.splitlines() if f"RoundRobinPartitioning({tasks})" in row)
     below = plan.splitlines()[plan.splitlines().index(line) + 1]
     assert "sellerOperName" not in plan[plan.index(line):] and "retail_amount" not in below
+
+
+def test_supplies_are_staged_without_what_no_table_shows(spark, sf_dir, monkeypatch):
+    written = []
+    write = queries.staged
+    monkeypatch.setattr(queries, "staged", lambda rows, label: written.append(rows.columns) or write(rows, label))
+    queries.registered()["supplies_load"](spark, sf_dir)
+    assert len(written) == 1 and "supply" in written[0] and "_raw" not in written[0]
