@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.values import any_of
-from marketlens.operators.lookup import lookup
+from marketlens.operators.lookup import lookup, shuffled
 
 
 def _one_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -37,11 +37,13 @@ def latest_per_complete_key(rows: DataFrame, keys: list[str], arrival: list[str]
     return latest_per_key(numbered, [*keys, "_alone"], arrival).drop("_alone")
 
 
-def merge_rows(stored: DataFrame, latest: DataFrame, keys: list[str]) -> DataFrame:
+def merge_rows(stored: DataFrame, latest: DataFrame, keys: list[str], grows: bool = False) -> DataFrame:
     """Upsert: rows of ``latest`` (unique by key) replace stored rows whole,
     nulls included. The stored side is not re-sorted or re-grouped; when the
-    batch is small the planner broadcasts its keys and the table never moves."""
-    kept = stored.join(latest.select(*keys), keys, "left_anti")
+    batch is small the planner broadcasts its keys and the table never moves.
+    Keys of a batch that ``grows`` with the data are not broadcast, see ``lookup``."""
+    replaced = latest.select(*keys)
+    kept = stored.join(shuffled(replaced) if grows else replaced, keys, "left_anti")
     return kept.unionByName(latest)
 
 

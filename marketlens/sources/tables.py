@@ -26,6 +26,8 @@ from marketlens.operators.lookup import lookup
 from marketlens.operators.merge import latest_per_key, merge_rows
 from marketlens.session import files_at, remove
 
+# Keys of so many loaded rows may be broadcast when a table is read.
+_BROADCAST_ROWS = 500_000
 _ORDER = T.StructField("_order", T.ArrayType(T.LongType()))
 
 
@@ -84,8 +86,12 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     rows = added.parquet(*(f"{path}/load={n}" for n in loads))
     keys = schemas.LOADED[name]
     if keys == schemas.KEYS.get(name):
-        latest = latest_per_key(rows, keys, ["_order"]).select(*schema.names)
-        return merge_rows(stored, latest, keys) if base else latest
+        # A load holds one row per key, so a single one needs no sort of all its rows.
+        latest = (latest_per_key(rows, keys, ["_order"]) if len(loads) > 1 else rows).select(*schema.names)
+        if not base:
+            return latest
+        # Counted, because sizes are estimated from compressed files: keys taken for 5 MB held 235.
+        return merge_rows(stored, latest, keys, grows=rows.select().count() > _BROADCAST_ROWS)
     replaced = spark.read.parquet(*(f"{path}/replaced={n}" for n in loads))
     last = replaced.groupBy(*keys).agg(F.max("_load").alias("_load"))
     in_force = lookup(

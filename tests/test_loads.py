@@ -93,6 +93,35 @@ def test_a_load_that_dies_leaves_the_old_table(spark, tmp_path):
     assert _prices(store) == {(1, "s1"): 1, (1, "s2"): 21}
 
 
+def test_a_single_load_is_read_without_sorting_it(spark, tmp_path):
+    """A load holds one row per key; a second one is compared with it."""
+    path, keys = str(tmp_path / "orders"), schemas.KEYS["orders"]
+    for load, price in enumerate((1, 2), 1):
+        rows = [{"srid": s, "date": "2026-05-01", "lastChangeDate": "2026-05-01", "totalPrice": price + n} for n, s in enumerate(("a", "a", "b"))]
+        batch = normalize.normalize_orders(_feed(spark, "orders", rows), ["page", "position"], _now())
+        tables.upsert_table(batch, path, keys, ["page", "position"])
+        read = tables.read_table(spark, path, "orders")
+        plan = read._jdf.queryExecution().toString()
+        assert ("Window" in plan) == (load > 1)
+        assert sorted(int(r.total_price) for r in read.collect()) == [price + 1, price + 2]
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_keys_of_many_loaded_rows_are_not_broadcast(spark, tmp_path, monkeypatch, most):
+    path, keys = str(tmp_path / "orders"), schemas.KEYS["orders"]
+    monkeypatch.setattr(tables, "_BROADCAST_ROWS", most)
+    for names in ("ab", "bc"):
+        rows = [{"srid": s, "date": "2026-05-01", "lastChangeDate": "2026-05-01", "totalPrice": len(names)} for s in names]
+        batch = normalize.normalize_orders(_feed(spark, "orders", rows), ["page", "position"], _now())
+        tables.upsert_table(batch, path, keys, ["page", "position"])
+        if names == "ab":
+            tables.compact(spark, path, "orders")
+    read = tables.read_table(spark, path, "orders")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (most > 0)
+    assert sorted(r.srid for r in read.collect()) == ["a", "b", "c"]
+
+
 def test_compaction_changes_no_row_and_may_die(spark, tmp_path):
     store = _store(spark, tmp_path)
     expected = {}
