@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -52,10 +53,8 @@ class IdEncoder:
     """
 
     _ASCII = np.arange(256)
-    _CAPITAL = (_ASCII >= 65) & (_ASCII <= 90)
     _SPACE = np.isin(_ASCII, list(b" \t\n\r\x0b\x0c"))
-    _MARK = np.isin(_ASCII, list(b".,"))
-    _LETTER_OR_DIGIT = _CAPITAL | ((_ASCII >= 97) & (_ASCII <= 122)) | ((_ASCII >= 48) & (_ASCII <= 57))
+    _LETTER_OR_DIGIT = np.isin(_ASCII, list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,9 +71,12 @@ class IdEncoder:
         # The same for words that need no more than to be told apart.
         self._of_words = Tokenizer(self._tokenizer.model)
         self._of_words.normalizer = normalizers.Sequence([])
-        self._of_words.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        self._of_words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # The characters that a byte-level vocabulary writes for bytes, but for the space.
+        printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        unprinted = [byte for byte in range(256) if byte not in printed]
+        self._written = {byte: byte for byte in printed} | {byte: 256 + n for n, byte in enumerate(unprinted)}
+        self._written[0x20] = 0x20
         vocabulary = self._tokenizer.get_vocab()
         self._closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._closes[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
@@ -92,33 +94,41 @@ class IdEncoder:
         small = raw.lower()
         if len(raw) < 2 or any(mark in small for mark in self._raw_marks):
             return raw.split()
-        at = np.frombuffer(raw + b" ", dtype=np.uint8)
-        small = at[:-1] + 32 * (self._CAPITAL[at[:-1]] & (at[1:] < 128)).astype(np.uint8)
-        ends = self._MARK[at[1:-1]] & self._SPACE[at[2:]] & self._LETTER_OR_DIGIT[at[:-2]]
-        return np.insert(small, np.flatnonzero(ends) + 1, 32).tobytes().split()
+        written = bytearray(small + b" ")
+        at = np.frombuffer(written, dtype=np.uint8)
+        if not raw.isascii():
+            own = np.frombuffer(raw, dtype=np.uint8)
+            at[np.flatnonzero((own[:-1] - np.uint8(65) < 26) & (own[1:] > 127))] -= 32
+        # "." and "," are 0x2e and 0x2c. Where they end a word they become 0xfe and 0xfc, which
+        # no UTF-8 holds, and then two bytes.
+        marks = np.flatnonzero((at[1:-1] & 0xFD) == 0x2C) + 1
+        at[marks[self._SPACE[at[marks + 1]] & self._LETTER_OR_DIGIT[at[marks - 1]]]] |= 0xD0
+        return bytes(written).replace(b"\xfe", b" .").replace(b"\xfc", b" ,").split()
 
     def _learn(self, chunks: set[bytes]) -> None:
         known = self._known
         simple = {chunk for chunk in chunks if chunk.isalpha() and chunk.islower()}
         chunks = chunks - simple
-        words: list[bytes] = []  # chunks that are a word and perhaps one mark
+        words: list[bytes] = []  # chunks that are a word and perhaps a run of marks
         cores: list[bytes] = []
         tails: list[bytes] = []
-        others = {tail for tail in (b".", b",") if tail not in known}
+        others: set[bytes] = set()
         listed = list(chunks)
         joined = b"\n".join(listed).decode()
         # Two letters whose small form depends on their place or is no single letter.
         odd = "\u03a3" in joined or "\u0130" in joined
         small = joined.lower()
+        marks = [mark for mark in self._marks if mark in small]
         for chunk, text in zip(listed, (joined if odd else small).split("\n") if listed else [], strict=True):
-            core = text.rstrip(".,")
-            if core.isalpha() and len(text) - len(core) <= 1 and not (odd and ("\u03a3" in core or "\u0130" in core)):
+            core = text.rstrip(string.punctuation)
+            marked = marks and any(mark in text.lower() for mark in marks)
+            if core.isalpha() and not marked and not (odd and ("\u03a3" in core or "\u0130" in core)):
                 words.append(chunk)
                 cores.append(core.encode())
-                tails.append(chunk[-1:] if len(core) < len(text) else b"")
+                tails.append(text[len(core) :].encode())
             else:
                 others.add(chunk)
-        marks = [mark for mark in self._marks if mark in small]
+        others.update(set(tails).difference(known, [b""]))
         special = [chunk for chunk in others if any(mark in chunk.decode().lower() for mark in marks)] if marks else []
         plain = list(others.difference(special))
         for chosen, tokenizer in ((plain, self._unmarked), (special, self._tokenizer)):
@@ -127,7 +137,10 @@ class IdEncoder:
         new = list(simple.union(set(cores).difference(known)))
         text = b" ".join(new).decode()
         clean = not odd and unicodedata.is_normalized("NFC", text)
-        ids = self._ids([text], self._of_words if clean else self._unmarked)[0]
+        if clean:
+            ids = self._ids([text.encode().decode("latin-1").translate(self._written)], self._of_words)[0]
+        else:
+            ids = self._ids([text], self._unmarked)[0]
         ends = np.flatnonzero(self._closes[ids]) + 1
         if len(ends) != len(new):  # a letter that the vocabulary takes for something else
             found = [own.tobytes() for own in self._ids([core.decode() for core in new], self._unmarked)]
@@ -143,11 +156,16 @@ class IdEncoder:
         if len(self._known) > _CACHED_CHUNKS:
             self._known.clear()
         known = self._known
-        new = set().union(*split).difference(known)
+        found = [list(map(known.get, chunks)) for chunks in split]
+        missing = [[at for at, ids in enumerate(own) if ids is None] for own in found]
+        new = {chunks[at] for chunks, places in zip(split, missing, strict=True) for at in places}
         if new:
             self._learn(new)
+        for chunks, own, places in zip(split, found, missing, strict=True):
+            for at in places:
+                own[at] = known[chunks[at]]
         end = np.array([END_ID], dtype="<u4").tobytes()
-        return [b"".join([known[chunk] for chunk in chunks]) + end for chunks in split]
+        return [b"".join(own) + end for own in found]
 
 
 def pieces(documents: DataFrame, *, tokenizer: str, capacity: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -881,6 +881,23 @@ def test_ids_are_those_of_the_whole_text():
             assert np.frombuffer(ids, dtype="<u4").tolist() == expected, text
 
 
+def test_words_before_runs_of_marks_are_encoded_together():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, alone = packing.IdEncoder(path), []
+    ids = encoder._ids
+    encoder._ids = lambda texts, tokenizer: alone.extend(texts if len(texts) > 1 else []) or ids(texts, tokenizer)
+    rng = random.Random(19)
+    words = ["".join(rng.choices("abcdeßéñ", k=6)) for _ in range(200)]
+    text = " ".join(word + mark for word in words for mark in ("%%%", "!?", "...", "'s", "-", ",")).capitalize()
+    assert encoder.encode([text])[0] == np.array(
+        [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 1], dtype="<u4"
+    ).tobytes()
+    assert not [one for one in alone if one.endswith(("%%%", "!?", "...", "-", ",")) and one[0].isalpha()]
+
+
 # --------------------------------------------------------------- edge cases
 
 
