@@ -260,7 +260,8 @@ def _kept(length: int):
             yield pd.DataFrame(rows, columns=["kept", "n_words", "n_removed"])
         give_back_memory()
 
-    return keep
+    # Else a filter on the result would evaluate it a second time, in workers of its own.
+    return keep.asNondeterministic()
 
 
 def without_repeats(documents: DataFrame, *, text: str = "text", length: int = 35) -> DataFrame:

@@ -205,6 +205,13 @@ def test_cut_documents_keep_their_columns(spark):
     }
 
 
+def test_passages_are_cut_out_once(spark):
+    passage = " ".join(f"w{k}" for k in range(35))
+    rows = docs(spark, [(1, "first " + passage), (2, passage + " last")]).withColumn("n_chars", F.char_length("text"))
+    plan = substrings.drop_repeats(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 # --------------------------------------------------------------- decontamination
 
 
