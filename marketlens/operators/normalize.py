@@ -49,12 +49,9 @@ _LANDING = ("account_id", "page", "position", "supply_key")
 _OBJECT = "map<string,variant>"
 
 
-def _payload(source: Column, feed: Feed, dated: bool = True, **extra: Column) -> Column:
-    """A source object, a variant, as JSON text: all its fields, declared or not, with
-    their own types and nulls; texts of date fields as instants if ``dated``. ``extra``
-    fields are added."""
-    fields = F.try_variant_get(source, "$", _OBJECT)
-    fields = F.map_filter(fields, lambda name, _: ~name.isin(*_LANDING, *extra))
+def _payload(fields: Column, feed: Feed, dated: bool = True) -> Column:
+    """The fields of a source object as JSON text: declared or not, with their own types and
+    nulls; texts of date fields as instants if ``dated``."""
     dates = [name for name, _, kind in feed.fields() if kind.endswith("instant")] if dated else []
     if dates:
 
@@ -65,23 +62,39 @@ def _payload(source: Column, feed: Feed, dated: bool = True, **extra: Column) ->
             return F.when(text.isNotNull(), instant.cast("variant")).otherwise(value)
 
         fields = F.transform_values(fields, shown)
-    for name, value in extra.items():
-        fields = F.map_concat(fields, F.create_map(F.lit(name), value))
     return F.to_json(fields).alias("raw_payload")
 
 
-def _raw(rows: DataFrame, source: str, feed: Feed, prefix: str = "", dated: bool = True, **extra: Column) -> Column:
+def _fields(source: Column) -> Column:
+    """The fields of a variant that is an object, by name."""
+    return F.try_variant_get(source, "$", _OBJECT)
+
+
+def _without(fields: Column, *names: str) -> Column:
+    return F.map_filter(fields, lambda name, _: ~name.isin(*names))
+
+
+def _begun(payload: Column, name: str) -> Column:
+    """The text of an object up to the value of one more field, ``name``."""
+    more = F.when(payload == "{}", F.lit("")).otherwise(F.lit(","))
+    return F.concat(F.left(payload, F.length(payload) - 1), more, F.lit(f'"{name}":'))
+
+
+def _raw(rows: DataFrame, source: str, feed: Feed, prefix: str = "", dated: bool = True) -> Column:
     """The source object as JSON text: the variant in column ``source`` where rows were
     landed with it, else what the declared fields hold."""
     if source in rows.columns:
-        return _payload(F.col(source), feed, dated, **extra)
+        return _payload(_without(_fields(F.col(source)), *_LANDING), feed, dated)
+    return F.to_json(F.struct(*_declared(feed, prefix))).alias("raw_payload")
+
+
+def _declared(feed: Feed, prefix: str = "") -> list[Column]:
+    """The declared fields, as they show in the text of an object."""
     parts = []
     for name, _, kind in feed.fields():
         value = F.col(prefix + name)
         parts.append((typed(value, kind) if kind.endswith("instant") else value).alias(name))
-    parts += [F.col(prefix + nested.name).alias(nested.name) for nested in feed.nested]
-    parts += [F.col(name).alias(name) for name in extra]
-    return F.to_json(F.struct(*parts)).alias("raw_payload")
+    return parts + [F.col(prefix + nested.name).alias(nested.name) for nested in feed.nested]
 
 
 def _elements(source: str, path: str) -> Column:
@@ -158,23 +171,46 @@ def normalize_stock(rows: DataFrame, keep=(), now: Column | None = None) -> Data
     ``warehouse_position`` is added for arrival order within a feed row.
     """
     moment = F.current_timestamp() if now is None else now
-    stocked = rows.select("*", F.posexplode("warehouses").alias("warehouse_position", "warehouse"))
-    own = F.col("warehouse")
     if "_raw" in rows.columns:
-        own = F.get(_elements("_raw", "$.warehouses"), F.col("warehouse_position"))
+        rows = _with_stock_texts(rows)
+        own = F.coalesce(F.get("_own", F.col("warehouse_position")), F.lit("null"))
+        payload = F.concat("_shared", own, F.lit("}"))
+    else:
+        payload = F.to_json(F.struct(*_declared(schemas.STOCK), "warehouse"))
+    stocked = rows.select("*", F.posexplode("warehouses").alias("warehouse_position", "warehouse"))
     return stocked.select(
         "account_id",
         moment.alias("snapshot_at"),
         *_columns(schemas.STOCK),
         F.coalesce("warehouse.warehouseName", F.lit("")).alias("warehouse_name"),
         F.coalesce("warehouse.quantity", F.lit(0)).alias("quantity"),
-        _raw(stocked, "_raw", schemas.STOCK, warehouse=own),
+        payload.alias("raw_payload"),
         _stamp(now),
         *keep,
         "warehouse_position",
     )
 
 
+def _with_stock_texts(rows: DataFrame) -> DataFrame:
+    """Adds ``_shared``, the text of a feed row's payloads up to their own warehouse, and
+    ``_own``, the texts of its warehouses, so that each is made once a feed row. What a
+    step reads more than once is a column of the step before."""
+    left_out = (*_LANDING, "warehouse")
+    fields = F.col("_fields")
+    # Rows without these names, which is soon seen, are not filtered field by field.
+    holds = F.arrays_overlap(F.map_keys(fields), F.array(*[F.lit(name) for name in left_out]))
+    shown = F.when(holds, _without(fields, *left_out)).otherwise(fields)
+    elements = _elements("_raw", "$.warehouses")
+    # Objects are written as maps: the names in a variant cost more to write.
+    objects = F.try_variant_get("_raw", "$.warehouses", f"array<{_OBJECT}>")
+    own = F.transform(objects, lambda entry, n: F.coalesce(F.to_json(entry), F.to_json(F.get(elements, n))))
+    return (
+        rows.withColumn("_fields", _fields(F.col("_raw")))
+        .withColumns({"_payload": _payload(shown, schemas.STOCK), "_own": own})
+        .withColumn("_shared", _begun(F.col("_payload"), "warehouse"))
+    )
+
+
 # ------------------------------------------------------------ supplies
 
 

@@ -104,6 +104,25 @@ def test_stock_rows(spark, tmp_path):
     assert raw["warehouse"] == {"warehouseName": "W", "quantity": 3} and len(raw["warehouses"]) == 2
 
 
+def test_stock_texts_are_made_once_a_feed_row(spark, tmp_path):
+    odd = {"quantity": None, 'é"x': "a\\\n", "d": {"z": 1, "a": [1, "x", None]}}
+    rows = _arrived(
+        [
+            {"warehouse": "its own", "weight": 1.5, "note": None, "warehouses": [odd, None, {}]},
+            {"warehouses": [{"warehouseName": "W"}]},
+        ]
+    )
+    feed = landed.read_feed(spark, _land(tmp_path, rows), "warehouse_remains")
+    payloads = normalize.normalize_stock(feed, ["position"]).select("position", "warehouse_position", "raw_payload")
+    found = [row.raw_payload for row in payloads.orderBy("position", "warehouse_position").collect()]
+    source = {"weight": 1.5, "note": None, "warehouses": [odd, None, {}]}
+    assert [json.loads(text) for text in found[:3]] == [{**source, "warehouse": own} for own in source["warehouses"]]
+    assert found[3] == '{"warehouses":[{"warehouseName":"W"}],"warehouse":{"warehouseName":"W"}}'
+    plan = payloads._jdf.queryExecution().optimizedPlan().toString()
+    a_warehouse, _, a_feed_row = plan.partition("Generate posexplode")
+    assert "StructsToJson" in a_feed_row and "StructsToJson" not in a_warehouse
+
+
 PAYLOADS = [
     {"supply": {"supplyID": 5, "preorderID": "9", "statusID": "1", "createDate": "2026-05-01"},
      "details": {"warehouseID": 3, "acceptanceCost": "1.25"},

@@ -313,17 +313,26 @@ def settlement_payload(spark, sf_dir):
     )
 
 
+_STOCK_SAID = (
+    "shelf string, warehouse struct<warehouseName string>, warehouses array<struct<warehouseName string>>"
+)
+
+
 @query("stock_payload")
 def stock_payload(spark, sf_dir):
     """The stock row, with its one warehouse beside all of them."""
     rows = normalize.normalize_stock(fx.stock_feed(spark, sf_dir))
-    return rows.select(
+    # What the kept source object says, read back from its text in one pass.
+    said = rows.withColumn("said", F.from_json("raw_payload", _STOCK_SAID))
+    _, *kept = _undeclared("shelf", "shelf")
+    return said.select(
         "account_id",
         "barcode",
         "warehouse_position",
-        _said("$.warehouse.warehouseName").alias("warehouse"),
-        _said("$.warehouses[0].warehouseName").alias("first_warehouse"),
-        *_undeclared("shelf", "shelf"),
+        F.col("said.warehouse.warehouseName").alias("warehouse"),
+        F.get("said.warehouses", F.lit(0))["warehouseName"].alias("first_warehouse"),
+        F.col("said.shelf").cast("double").alias("shelf"),
+        *kept,
     )
 
 
