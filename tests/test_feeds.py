@@ -76,6 +76,22 @@ def test_settlement_keeps_the_source_object(spark, tmp_path):
     assert raw["title"] == "Товар" and raw["dateFrom"].startswith("2026-05-02T21:00:00")
 
 
+def test_dates_of_a_source_object_are_read_once(spark, tmp_path):
+    line = {"reportId": 1, "rrdId": 2, "dateFrom": "2026-05-03", "orderDt": "", "saleDt": None, "dateTo": "2026-05-03T10:00:00Z",
+            "more": {"dateFrom": "2026-05-03"}}
+    lines = [line, {"reportId": 1, "rrdId": 3, "createDate": 7}]
+    feed = landed.read_feed(spark, _land(tmp_path, _arrived(lines)), "finance_sales_report_details")
+    payloads = normalize.normalize_settlement(feed, ["position"]).orderBy("position").select("raw_payload")
+    assert [r.raw_payload for r in payloads.collect()] == [
+        '{"dateFrom":"2026-05-02T21:00:00.000Z","dateTo":"2026-05-03T10:00:00.000Z","more":{"dateFrom":"2026-05-03"},'
+        '"orderDt":"","reportId":1,"rrdId":2,"saleDt":null}',
+        '{"createDate":7,"reportId":1,"rrdId":3}',
+    ]
+    dates = [kind for _, _, kind in schemas.SETTLEMENT.fields() if kind.endswith("instant")]
+    plan = payloads._jdf.queryExecution().analyzed().toString()
+    assert plan.count("schema_of_variant(") <= len(dates)
+
+
 def test_bad_rows_fail_the_read(spark, tmp_path):
     for bad in ('"text"', "{broken", '{"nmId": "not a number"}'):
         folder = _land(tmp_path, [bad], f"bad{abs(hash(bad))}")
