@@ -34,12 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _ROWS_PER_TASK, _MOST_TASKS = 100_000, 200
 
 
-def spread(rows: DataFrame, count: int | None = None) -> DataFrame:
+def spread(rows: DataFrame, count: int | None = None, by: str | None = None) -> DataFrame:
     """Source rows (``count`` of them) over all cores, since parsing is the cost here and
-    a file may be too small to split; over more tasks where there are more rows."""
+    a file may be too small to split; over more tasks where there are more rows. ``by`` is a
+    column that differs much, where rows are joined by it next; else they go in turn."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     tasks = 1 + (rows.count() if count is None else count) // _ROWS_PER_TASK
-    return rows.repartition(max(cores, min(tasks, _MOST_TASKS)))
+    return rows.repartition(max(cores, min(tasks, _MOST_TASKS)), *([by] if by else []))
 
 
 def project(rows: DataFrame, mapping: Mapping, *keep: str) -> DataFrame:
@@ -156,8 +157,12 @@ def _single_lines(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
     """Source rows of stored lines, one per key, with their orders. Repeats are removed
     on the narrow rows, before the join and before the forty columns exist."""
     source = table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE)
-    report = F.date_trunc(period, F.col("l_shipdate"))
-    window = Window.partitionBy(F.expr(LINE_KEY), report).orderBy(*[F.desc(c) for c in LINE_ARRIVAL])
+    key = [F.expr(LINE_KEY), F.date_trunc(period, F.col("l_shipdate"))]
+    one_digit = F.coalesce(F.col("l_linenumber").between(0, 9), F.lit(False))
+    if source.filter(~one_digit).isEmpty():
+        # Then rows of one key are of one order, and one shuffle serves grouping and join.
+        source, key = source.repartition("l_orderkey"), ["l_orderkey", *key]
+    window = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in LINE_ARRIVAL])
     single = source.withColumn("rn", F.row_number().over(window)).filter("rn = 1").drop("rn")
     return _with_orders(spark, sf_dir, single)
 
@@ -319,8 +324,9 @@ def sale_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def settlement_feed(spark: SparkSession, sf_dir: str, period: str = "week", once: bool = False) -> DataFrame:
     """Settlement lines as landed: keys repeat, blanks are blanks. ``once``: see ``_landed``."""
     source = table(spark, sf_dir, "lineitem").select(*_LINE_SOURCE)
-    # Spread while rows are narrow, before the forty columns exist.
-    narrow = spread(_with_orders(spark, sf_dir, source), source.count())
+    # Spread while rows are narrow, before the forty columns exist, and by the order, so that
+    # orders too many to broadcast are joined without moving the lines once more.
+    narrow = _with_orders(spark, sf_dir, spread(source, by="l_orderkey"))
     typed = project(narrow, line_mapping(period), *LINE_ARRIVAL)
     words = {name: name.split("_") for name, _ in line_mapping(period)}
     camel = {n: w[0] + "".join(p.capitalize() for p in w[1:]) for n, w in words.items()}
