@@ -3,8 +3,10 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from workload import fixtures as fx
+from workload import queries
 
 
 def _tables(spark, folder, numbers):
@@ -38,3 +40,18 @@ def test_line_numbers_of_two_digits_share_keys_across_orders(spark, tmp_path):
     folder = _tables(spark, tmp_path, [(5, 12, 10), (6, 2, 20), (5, 1, 1), (5, 1, 2), (6, None, 1)])
     found = fx._single_lines(spark, folder, "week").select("l_orderkey", "l_linenumber", "l_extendedprice").collect()
     assert sorted(tuple(r) for r in found if r.l_linenumber) == [(5, 1, 2.0), (6, 2, 20.0)]
+
+
+def test_supply_lines_are_made_once_for_each_answer(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries, "_streamed_answers", lambda _, lines, *args: made.append(lines))
+    monkeypatch.setattr(queries.answer_stream, "read_supplies", lambda *_: queries._payloads(spark, sf_dir))
+    queries.streamed_supplies(spark, sf_dir)
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "parse_json" not in plan
+    counts = made[0].groupBy("answer").agg(F.count("*").alias("n")).collect()
+    dates = fx.table(spark, sf_dir, "orders")
+    assert {r.answer: r.n for r in counts} == {
+        1: dates.filter("o_orderdate < timestamp '1998-01-01'").count(),
+        2: dates.filter("o_orderdate >= timestamp '1997-01-01'").count(),
+    }
